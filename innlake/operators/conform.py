@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innlake.functions.scalars import booking_number
+from innlake.functions.sqltext import name
 from innlake.operators.cleaning import clean_bookings
 from innlake.operators.encoding import observed_levels, one_hot
 from innlake.schemas import (
@@ -19,17 +20,16 @@ def conform(df: DataFrame, table: dict[str, str], keep_unknown: bool = False) ->
     One projection for all columns. With keep_unknown, further columns of the
     frame follow the template, before `predicted`.
     """
-    def cell(name: str, kind: str):
-        if name not in df.columns:
-            return F.lit(0).cast(kind).alias(name)
-        return F.coalesce(F.col(f"`{name}`").cast(kind), F.lit(0).cast(kind)).alias(name)
+    def cell(column: str, kind: str) -> str:
+        value = f"coalesce(cast({name(column)} as {kind}), cast(0 as {kind}))"
+        return f"{value if column in df.columns else f'cast(0 as {kind})'} as {name(column)}"
 
-    cells = [cell(name, kind) for name, kind in table.items() if name != "predicted"]
+    cells = [cell(c, kind) for c, kind in table.items() if c != "predicted"]
     if keep_unknown:
-        cells += [F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in df.columns if c not in table]
+        cells += [f"coalesce({name(c)}, 0) as {name(c)}" for c in df.columns if c not in table]
     if "predicted" in table:
         cells.append(cell("predicted", table["predicted"]))
-    return df.select(*cells)
+    return df.selectExpr(*cells)
 
 
 def _encode(df: DataFrame, table: dict[str, str], keep_unknown: bool) -> DataFrame:

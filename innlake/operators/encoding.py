@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from innlake.functions.sqltext import name, rows, text
 from innlake.schemas import VOCABULARY, indicator
 
 
@@ -12,9 +13,9 @@ class TooManyLevelsError(ValueError):
     """A column has more distinct values than may become columns."""
 
 
-def indicator_columns(column: str, levels: list[str]) -> list[Column]:
+def indicator_columns(column: str, levels: list[str]) -> list[str]:
     return [
-        F.coalesce((F.col(column) == level).cast("int"), F.lit(0)).alias(indicator(column, level))
+        f"coalesce(cast({name(column)} = {text(level)} as int), 0) as {name(indicator(column, level))}"
         for level in levels
     ]
 
@@ -26,12 +27,19 @@ def one_hot(df: DataFrame, vocabulary: dict[str, list[str]] = VOCABULARY) -> Dat
     so it also works on streams.
     """
     present = {c: levels for c, levels in vocabulary.items() if c in df.columns}
-    kept = [F.col(c) for c in df.columns if c not in present]
-    return df.select(*kept, *[
+    kept = [name(c) for c in df.columns if c not in present]
+    return df.selectExpr(*kept, *[
         column for c, levels in present.items() for column in indicator_columns(c, levels)
     ])
 
 
+def value_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, level) for every cell of the columns."""
+    return df.selectExpr(rows([
+        f"struct({text(c)} as column_name, cast({name(c)} as string) as level)" for c in columns
+    ]))
+
+
 def observed_levels(
     df: DataFrame, columns: list[str], max_levels: int = 1000,
 ) -> dict[str, list[str]]:
@@ -40,16 +48,13 @@ def observed_levels(
     Levels become columns, so their number is bounded: the collected rows never
     exceed max_levels per column, more is an error.
     """
-    pairs = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level"))
-        for c in columns
-    ]))).filter("level is not null").distinct()
     limit = max_levels * len(columns)
-    rows = pairs.limit(limit + 1).collect()
+    pairs = (value_pairs(df, columns).filter("level is not null").distinct()
+             .limit(limit + 1).collect())
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
-        found[row["column"]].append(row["level"])
-    if len(rows) > limit or any(len(levels) > max_levels for levels in found.values()):
+    for row in pairs:
+        found[row["column_name"]].append(row["level"])
+    if len(pairs) > limit or any(len(levels) > max_levels for levels in found.values()):
         raise TooManyLevelsError(f"more than {max_levels} levels among {columns}")
     return {c: sorted(levels) for c, levels in found.items()}
 
@@ -60,13 +65,10 @@ def one_hot_observed(df: DataFrame, columns: list[str], max_levels: int = 1000)
 
 def unknown_levels(df: DataFrame, vocabulary: dict[str, list[str]] = VOCABULARY) -> DataFrame:
     """Row counts of the values outside the vocabulary."""
-    pairs = df.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.when(~F.col(c).isin(levels), F.col(c)).alias("level"),
-        )
-        for c, levels in vocabulary.items()
-    ])))
+    known = F.lit(False)
+    for c, levels in vocabulary.items():
+        known = known | ((F.col("column_name") == c) & F.col("level").isin(levels))
+    pairs = value_pairs(df, list(vocabulary)).filter(~known)
     return (pairs.filter("level is not null")
             .groupBy("column_name", "level").agg(F.count("*").alias("n_rows")))
 

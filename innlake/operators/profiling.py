@@ -3,108 +3,100 @@ unfolded into one row per column (no shuffle beyond the final merge)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from innlake.functions.sqltext import name, number, rows, text
+from innlake.operators.encoding import value_pairs
 from innlake.operators.quantiles import interpolated_quantiles
 
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def _unfold(df: DataFrame, stats: dict[str, dict[str, Column]]) -> DataFrame:
-    """One aggregate, then a row (column_name, stat...) per column."""
-    wide = df.agg(*[
-        expr.alias(f"{i}:{name}")
-        for i, (_, exprs) in enumerate(stats.items()) for name, expr in exprs.items()
+def _unfold(
+    df: DataFrame, stats: dict[str, dict[str, str]], constants: dict[str, dict[str, str]] | None = None,
+) -> DataFrame:
+    """One aggregate, then a row (column_name, stat..., constant...) per column."""
+    wide = df.selectExpr(*[
+        f"{expr} as `{i}:{stat}`"
+        for i, exprs in enumerate(stats.values()) for stat, expr in exprs.items()
     ])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"),
-                 *[F.col(f"`{i}:{name}`").alias(name) for name in exprs])
+    return wide.selectExpr(rows([
+        f"struct({text(c)} as column_name, " + ", ".join(
+            [f"`{i}:{stat}` as {stat}" for stat in exprs]
+            + [f"{value} as {label}" for label, value in (constants or {}).get(c, {}).items()]) + ")"
         for i, (c, exprs) in enumerate(stats.items())
-    ])))
+    ]))
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    stats = {c: {"n_missing": F.count_if(F.col(f"`{c}`").isNull())} for c in df.columns}
+    stats = {c: {"n_missing": f"count_if({name(c)} is null)"} for c in df.columns}
     return _unfold(df, stats).filter("n_missing > 0")
 
 
 def max_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    return _unfold(df, {c: {"max_value": F.max(F.col(f"`{c}`")).cast("double")} for c in columns})
+    return _unfold(df, {c: {"max_value": f"cast(max({name(c)}) as double)"} for c in columns})
 
 
 def variance_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    return _unfold(df, {c: {"variance": F.var_samp(F.col(f"`{c}`"))} for c in columns})
+    return _unfold(df, {c: {"variance": f"var_samp({name(c)})"} for c in columns})
 
 
 def shape_report(df: DataFrame) -> DataFrame:
     """Name, type, position and non-NULL count per column, plus the shape."""
     types = dict(df.dtypes)
-    stats = {
-        c: {
-            "position": F.lit(i), "data_type": F.lit(types[c]),
-            "n_present": F.count(F.col(f"`{c}`")), "n_rows": F.count("*"),
-            "n_columns": F.lit(len(df.columns)),
-        } for i, c in enumerate(df.columns)
+    stats = {c: {"n_present": f"count({name(c)})", "n_rows": "count(*)"} for c in df.columns}
+    constants = {
+        c: {"position": str(i), "data_type": text(types[c]), "n_columns": str(len(df.columns))}
+        for i, c in enumerate(df.columns)
     }
-    return _unfold(df, stats)
+    return _unfold(df, stats, constants)
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("level"))
-        for c in columns
-    ]))).distinct()
+    return value_pairs(df, columns).distinct()
 
 
-def _pair_correlation(x: str, y: str) -> Column:
+def _pair_correlation(x: str, y: str) -> str:
     """Pearson over rows where both are present; NULL for a constant column.
 
     Built from merge-stable central moments, because corr() divides by zero
     under ANSI rules when a column is constant.
     """
-    a, b = F.col(f"`{x}`").cast("double"), F.col(f"`{y}`").cast("double")
-    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
-    return F.try_divide(F.covar_pop(a, b), spread)
+    a, b = name(x), name(y)
+    return (f"try_divide(covar_pop({a}, {b}), stddev_pop(if({b} is null, null, {a}))"
+            f" * stddev_pop(if({a} is null, null, {b})))")
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Every ordered pair; each unordered pair is aggregated once."""
     pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
-    wide = df.agg(*[_pair_correlation(x, y).alias(f"c{i}") for i, (x, y) in enumerate(pairs)])
-    cells = [
-        (left, right, i) for i, (x, y) in enumerate(pairs)
-        for left, right in dict.fromkeys([(x, y), (y, x)])
-    ]
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(left).alias("column_x"), F.lit(right).alias("column_y"),
-                 F.col(f"c{i}").alias("corr"))
-        for left, right, i in cells
-    ])))
+    wide = df.selectExpr(*[f"{_pair_correlation(x, y)} as c{i}" for i, (x, y) in enumerate(pairs)])
+    return wide.selectExpr(rows([
+        f"struct({text(left)} as column_x, {text(right)} as column_y, c{i} as corr)"
+        for i, (x, y) in enumerate(pairs) for left, right in dict.fromkeys([(x, y), (y, x)])
+    ]))
 
 
 def corr_rank(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
     """|corr| with the target, strongest first, constant columns last."""
-    stats = {c: {"abs_corr": F.abs(_pair_correlation(c, target))} for c in columns}
+    stats = {c: {"abs_corr": f"abs({_pair_correlation(c, target)})"} for c in columns}
     return _unfold(df, stats).orderBy(F.desc_nulls_last("abs_corr"), "column_name")
 
 
 def _summary(df: DataFrame, columns: list[str]) -> dict[str, dict]:
     """Count, moments, extremes and approximate distinct count: one small row."""
-    row = df.agg(*[
-        stat.alias(f"{name}{i}") for i, c in enumerate(columns)
-        for name, stat in {
-            "n": F.count(F.col(f"`{c}`")), "mean": F.avg(F.col(f"`{c}`")),
-            "std": F.stddev_samp(F.col(f"`{c}`")),
-            "min": F.min(F.col(f"`{c}`")).cast("double"), "max": F.max(F.col(f"`{c}`")).cast("double"),
-            "distinct": F.approx_count_distinct(F.col(f"`{c}`")),
-        }.items()
-    ]).first()
-    return {
-        c: {name: row[f"{name}{i}"] for name in ("n", "mean", "std", "min", "max", "distinct")}
-        for i, c in enumerate(columns)
+    stats = {
+        "n": "count({})", "mean": "avg({})", "std": "stddev_samp({})",
+        "min": "cast(min({}) as double)", "max": "cast(max({}) as double)",
+        "distinct": "approx_count_distinct({})",
     }
+    row = df.selectExpr(*[
+        f"{expr.format(name(c))} as {stat}{i}"
+        for i, c in enumerate(columns) for stat, expr in stats.items()
+    ]).first()
+    return {c: {stat: row[f"{stat}{i}"] for stat in stats} for i, c in enumerate(columns)}
 
 
 def _quartiles(df: DataFrame, summary: dict[str, dict], **tuning: int) -> dict[str, list]:
@@ -132,17 +124,16 @@ def iqr_outliers(df: DataFrame, columns: list[str], whisker: float = 3.0, **tuni
     IQR of the box) and the rows beyond them."""
     quartiles = _quartiles(df, _summary(df, columns), **tuning)
     stats = {}
-    for c, (q1, q2, q3) in quartiles.items():
-        col = F.col(f"`{c}`").cast("double")
-        if q1 is None:
-            low = high = F.lit(None).cast("double")
+    for c, box in quartiles.items():
+        if box[0] is None:
+            q1 = q2 = q3 = low = high = "cast(null as double)"
         else:
-            low, high = F.lit(q1 - whisker * (q3 - q1)), F.lit(q3 + whisker * (q3 - q1))
-        inside = F.when((col >= low) & (col <= high), col)
+            reach = whisker * (box[2] - box[0])
+            q1, q2, q3, low, high = map(number, [*box, box[0] - reach, box[2] + reach])
+        inside = f"if({name(c)} between {low} and {high}, cast({name(c)} as double), null)"
         stats[c] = {
-            "q1": F.lit(q1).cast("double"), "median": F.lit(q2).cast("double"),
-            "q3": F.lit(q3).cast("double"),
-            "whisker_low": F.min(inside), "whisker_high": F.max(inside),
-            "n_below": F.count_if(col < low), "n_above": F.count_if(col > high),
+            "q1": q1, "median": q2, "q3": q3,
+            "whisker_low": f"min({inside})", "whisker_high": f"max({inside})",
+            "n_below": f"count_if({name(c)} < {low})", "n_above": f"count_if({name(c)} > {high})",
         }
     return _unfold(df, stats)

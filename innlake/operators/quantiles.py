@@ -14,9 +14,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from innlake.functions.sqltext import name, number, rows
+
 SKETCH_ACCURACY = 10_000
 SETTLE_DISTINCT = 100_000
 
@@ -30,33 +32,31 @@ class _Target:
     low: float | None = None
     high: float | None = None
 
-    def cell(self) -> Column:
-        return F.col(f"`{self.column}`").cast("double")
+    @property
+    def cell(self) -> str:
+        return f"cast({name(self.column)} as double)"
 
-    def inside(self) -> Column:
+    @property
+    def bracketed(self) -> str:
+        """The value where it lies inside the bracket, else NULL."""
         if self.low is None:
-            return self.cell().isNotNull()
-        return (self.cell() > self.low) & (self.cell() < self.high)
+            return self.cell
+        return f"if({self.cell} > {number(self.low)} and {self.cell} < {number(self.high)}, {self.cell}, null)"
 
 
 def _settle(df: DataFrame, targets: dict[int, _Target], below: dict[int, int]) -> dict[int, float]:
     """Exact values of targets whose bracket holds few distinct values."""
-    tagged = df.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(key).alias("target"),
-            F.when(t.inside(), t.cell()).alias("value"),
-        ) for key, t in targets.items()
-    ]))).filter("value is not null")
+    tagged = df.selectExpr(rows([
+        f"struct({key} as target, {t.bracketed} as value)" for key, t in targets.items()
+    ])).filter("value is not null")
     counts = tagged.groupBy("target", "value").agg(F.count("*").alias("n"))
     running = Window.partitionBy("target").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    wanted = F.create_map(*[
-        part for key, t in targets.items() for part in (F.lit(key), F.lit(t.rank - below[key]))
-    ])
-    rows = (counts.withColumn("upto", F.sum("n").over(running))
-            .withColumn("rank", F.element_at(wanted, F.col("target")))
-            .filter("rank < upto and rank >= upto - n").collect())
-    return {row["target"]: row["value"] for row in rows}
+    wanted = "map(" + ", ".join(f"{key}, {t.rank - below[key]}L" for key, t in targets.items()) + ")"
+    found = (counts.withColumn("upto", F.sum("n").over(running))
+             .withColumn("rank", F.expr(f"element_at({wanted}, target)"))
+             .filter("rank < upto and rank >= upto - n").collect())
+    return {row["target"]: row["value"] for row in found}
 
 
 def order_statistics(
@@ -88,18 +88,18 @@ def order_statistics(
         for i, t in targets.items():
             position = (t.rank - below[i] + 0.5) / rows_in[i]
             spots = [max(position - slack[i], 0.0), min(position + slack[i], 1.0)]
-            sketches.append(F.percentile_approx(F.when(t.inside(), t.cell()), spots, accuracy).alias(f"s{i}"))
-        ends = {i: tuple(found) for i, found in zip(targets, df.agg(*sketches).first())}
-        checks = df.agg(*[
-            stat for i, t in targets.items() for stat in (
-                F.count_if(t.cell() < ends[i][0]).alias(f"under_low{i}"),
-                F.count_if(t.cell() <= ends[i][0]).alias(f"upto_low{i}"),
-                F.count_if(t.cell() < ends[i][1]).alias(f"under_high{i}"),
-                F.count_if(t.cell() <= ends[i][1]).alias(f"upto_high{i}"),
-                F.approx_count_distinct(
-                    F.when((t.cell() > ends[i][0]) & (t.cell() < ends[i][1]), t.cell())).alias(f"distinct{i}"),
-            )
-        ]).first()
+            sketches.append(
+                f"percentile_approx({t.bracketed}, array({', '.join(map(number, spots))}), {accuracy}) as s{i}")
+        ends = {i: tuple(found) for i, found in zip(targets, df.selectExpr(*sketches).first())}
+        stats = []
+        for i, t in targets.items():
+            low, high = map(number, ends[i])
+            stats += [
+                f"count_if({t.cell} < {low}) as under_low{i}", f"count_if({t.cell} <= {low}) as upto_low{i}",
+                f"count_if({t.cell} < {high}) as under_high{i}", f"count_if({t.cell} <= {high}) as upto_high{i}",
+                f"approx_count_distinct(if({t.cell} > {low} and {t.cell} < {high}, {t.cell}, null)) as distinct{i}",
+            ]
+        checks = df.selectExpr(*stats).first()
         for i, t in list(targets.items()):
             low, high = ends[i]
             if not checks[f"under_low{i}"] <= t.rank < checks[f"upto_high{i}"]:

@@ -5,26 +5,28 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from innlake.functions.sqltext import name, number
 
 
 def fit_scaler(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation per column, one aggregate row."""
-    row = df.agg(*[
-        stat for i, c in enumerate(columns) for stat in (
-            F.avg(F.col(f"`{c}`")).alias(f"mean_{i}"),
-            F.stddev_pop(F.col(f"`{c}`")).alias(f"std_{i}"),
-        )
+    row = df.selectExpr(*[
+        stat for i, c in enumerate(columns)
+        for stat in (f"avg({name(c)}) as mean_{i}", f"stddev_pop({name(c)}) as std_{i}")
     ]).first()
     return {c: (row[f"mean_{i}"], row[f"std_{i}"]) for i, c in enumerate(columns)}
 
 
 def apply_scaler(df: DataFrame, fitted: dict[str, tuple[float, float]]) -> DataFrame:
     """(x - mean) / std; a constant column is centred only."""
-    return df.withColumns({
-        c: (F.col(f"`{c}`") - F.lit(mean)) / F.lit(std if std else 1.0)
-        for c, (mean, std) in fitted.items() if mean is not None
-    })
+    def cell(column: str) -> str:
+        mean, std = fitted.get(column, (None, None))
+        if mean is None:
+            return name(column)
+        return f"({name(column)} - {number(mean)}) / {number(std or 1.0)} as {name(column)}"
+
+    return df.selectExpr(*map(cell, df.columns))
 
 
 def fit_pca(df: DataFrame, columns: list[str], k: int, unit_variance: bool = False) -> PipelineModel:

@@ -326,8 +326,7 @@ def csv_roundtrip(spark, sf):
 
 
 def csv_parse_lines(spark, sf):
-    rows = views.booking_messages(spark, sf).filter(~F.col("value").isin(frames.START, frames.END))
-    return csv_files.parse_csv_lines(rows.select("value"), "value", MONTHLY)
+    return csv_files.parse_csv_lines(views.booking_lines(spark, sf), "value", MONTHLY)
 
 
 def message_encode(spark, sf):

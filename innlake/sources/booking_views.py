@@ -87,8 +87,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _view(df: DataFrame, definitions: dict[str, str], types: dict[str, str]) -> DataFrame:
-    return df.select(*[
-        F.expr(text).cast(types[name]).alias(name) for name, text in definitions.items()
+    return df.selectExpr(*[
+        f"cast({text} as {types[name]}) as {name}" for name, text in definitions.items()
     ])
 
 
@@ -121,29 +121,41 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def booking_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The monthly feed as messages: per month START, header, rows, END.
+def _feed_log(
+    spark: SparkSession, sf_dir: str, framing: tuple[tuple[int, str], ...],
+) -> DataFrame:
+    """Monthly feed as CSV lines with extra lines per month at given positions.
 
     Months alternate between two log partitions. Offsets are computed from the
     month and the booking number, so no ordering pass is needed.
     """
     feed = monthly_bookings(spark, sf_dir)
-    columns = feed.columns
     month = F.array_position(F.array(*map(F.lit, MONTHS)), F.col("arrival_date_month"))
     ordinal = F.col("arrival_date_year") * 12 + month - 1
     rows = feed.select(
         ordinal.cast("bigint").alias("month"),
         (F.expr("cast(substring(Booking_ID, 4) as bigint)") + 2).alias("position"),
-        csv_line(columns).alias("value"),
+        csv_line(feed.columns).alias("value"),
     )
-    # A month is one group of at most a few thousand in all; only its id moves.
-    controls = rows.select("month").distinct().select("month", F.inline(F.array(*[
+    extra = rows.select("month").distinct().select("month", F.inline(F.array(*[
         F.struct(F.lit(position).cast("bigint").alias("position"), F.lit(value).alias("value"))
-        for position, value in ((0, START), (1, csv_header(columns)), (MONTH_SPAN - 1, END))
+        for position, value in framing
     ])))
-    return rows.unionByName(controls).select(
+    return rows.unionByName(extra).select(
         F.lit("bookings").alias("topic"),
         (F.col("month") % 2).cast("int").alias("partition"),
         (F.col("month") * MONTH_SPAN + F.col("position")).alias("offset"),
         "value",
     )
+
+
+def booking_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly feed as messages: per month START, header, rows, END."""
+    header = csv_header(list(MONTHLY_COLUMNS))
+    return _feed_log(spark, sf_dir, ((0, START), (1, header), (MONTH_SPAN - 1, END)))
+
+
+def booking_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text lines of the monthly files, headers included."""
+    header = csv_header(list(MONTHLY_COLUMNS))
+    return _feed_log(spark, sf_dir, ((1, header),)).select("value")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from innlake.functions.sqltext import name, text
+
 # The texts read as missing.
 MISSING_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -19,27 +21,27 @@ def _as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
 
 
-def _typed(text: Column, kind: T.DataType, strict: bool) -> Column:
+def _typed(column: str, kind: T.DataType, strict: bool) -> str:
     """Cast after mapping tokens to NULL; '2.0' is a valid integer text.
 
     strict raises on text that is no value of the type, otherwise it is NULL.
     """
-    present = F.when(~F.trim(text).isin(MISSING_TOKENS), text)
+    tokens = ", ".join(map(text, MISSING_TOKENS))
+    present = f"if(trim({name(column)}) in ({tokens}), null, {name(column)})"
+    cast, target = ("cast" if strict else "try_cast"), kind.simpleString()
     if isinstance(kind, T.StringType):
-        return present
-    if isinstance(kind, (T.IntegerType, T.LongType)):
-        whole = F.coalesce(present.try_cast("bigint"),
-                           present.cast("double").cast("bigint") if strict
-                           else present.try_cast("double").try_cast("bigint"))
-        return whole.cast(kind) if strict else whole.try_cast(kind)
-    return present.cast(kind) if strict else present.try_cast(kind)
+        value = present
+    elif isinstance(kind, (T.IntegerType, T.LongType)):
+        whole = f"coalesce(try_cast({present} as bigint), {cast}({cast}({present} as double) as bigint))"
+        value = f"{cast}({whole} as {target})"
+    else:
+        value = f"{cast}({present} as {target})"
+    return f"{value} as {name(column)}"
 
 
-def apply_schema(text: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
-    """Typed columns from a frame of text columns with the same names."""
-    return text.select(*[
-        _typed(F.col(f"`{f.name}`"), f.dataType, strict).alias(f.name) for f in schema
-    ])
+def typed_columns(schema: T.StructType, strict: bool = True) -> list[str]:
+    """Typed columns over text columns with the same names."""
+    return [_typed(f.name, f.dataType, strict) for f in schema]
 
 
 def read_csv(
@@ -51,10 +53,10 @@ def read_csv(
     No inference pass. multi_line allows line breaks inside quotes, at the
     price of one task per file.
     """
-    text = (spark.read.schema(_as_text(schema))
-            .options(header=True, enforceSchema=False, multiLine=multi_line, mode="FAILFAST", **_DIALECT)
-            .csv(path))
-    return apply_schema(text, schema, strict)
+    raw = (spark.read.schema(_as_text(schema))
+           .options(header=True, enforceSchema=False, multiLine=multi_line, mode="FAILFAST", **_DIALECT)
+           .csv(path))
+    return raw.selectExpr(*typed_columns(schema, strict))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -81,7 +83,7 @@ def parse_csv_lines(
     ddl = ", ".join(f"`{f.name}` string" for f in schema)
     lines = (df.select(*others, F.explode(F.split(F.col(value), "\\r?\\n")).alias("line"))
              .filter((F.col("line") != "") & (F.col("line") != csv_header(schema.names))))
-    fields = lines.select(*others, F.from_csv("line", ddl, _DIALECT).alias("fields"))
-    return fields.select(*others, *[
-        _typed(F.col(f"fields.`{f.name}`"), f.dataType, strict).alias(f.name) for f in schema
-    ])
+    # A generator parses each line once; field access on from_csv would be
+    # rewritten into one parse per field and use.
+    fields = lines.select(*others, F.inline(F.array(F.from_csv("line", ddl, _DIALECT))))
+    return fields.selectExpr(*map(name, others), *typed_columns(schema, strict))
