@@ -21,7 +21,7 @@ from innlake.operators import (
 )
 from innlake.schemas import (
     BOOKINGS, CANCEL_INPUTS, CANCEL_PREDICTORS, CANCEL_TABLE, CANCEL_UNUSED, MARKET_SEGMENTS,
-    MEALS, MONTHLY, MONTHS, NUMERIC_FEATURES, ONE_HOT, PRICE_INPUTS, PRICE_PREDICTORS,
+    MEALS, MONTHLY, NUMERIC_FEATURES, ONE_HOT, PRICE_INPUTS, PRICE_PREDICTORS,
     PRICE_TABLE, VOCABULARY, indicator,
 )
 from innlake.sources import booking_views as views
@@ -378,7 +378,7 @@ def _event_buckets(unit: str) -> Query:
 
 
 def stream_ingest(spark, sf):
-    """The booking log replayed in three drops that cut months in the middle.
+    """The booking log replayed in two drops, cut in the middle of two months.
 
     Each drop runs one availableNow micro-batch on the same checkpoint, so
     frames are carried across batches and restarts. Returns the price table.
@@ -397,9 +397,10 @@ def stream_ingest(spark, sf):
 
     log = views.booking_messages(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cuts = [(year * 12 + 6) * views.MONTH_SPAN + 500 for year in (YEAR - 1, YEAR)]
-        low, high = (F.col("offset") >= c for c in cuts)
-        for drop in (~low, low & ~high, high):
+        cut = F.col("offset") >= (YEAR * 12 + 6) * views.MONTH_SPAN + 500
+        other_cut = F.col("offset") >= (YEAR * 12 + 5) * views.MONTH_SPAN + 500
+        later = F.when(F.col("partition") == 0, cut).otherwise(other_cut)
+        for drop in (~later, later):
             messages.write_messages(log.filter(drop), "parquet", path=source)
             stream = messages.message_stream(spark, "parquet", path=source)
             ingest.start_ingest(stream, root, warehouse, price, cancel).awaitTermination()

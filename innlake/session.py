@@ -21,6 +21,8 @@ def build_session(master: str, shuffle_partitions: int, memory: str = "8g") -> S
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Python call sites per column expression only slow wide frames down.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -14,7 +14,10 @@ MISSING_TOKENS = [
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 ]
-_DIALECT = {"sep": ",", "quote": '"', "escape": '"'}
+_DIALECT = {
+    "sep": ",", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def _as_text(schema: T.StructType) -> T.StructType:
@@ -27,7 +30,8 @@ def _typed(column: str, kind: T.DataType, strict: bool) -> str:
     strict raises on text that is no value of the type, otherwise it is NULL.
     """
     tokens = ", ".join(map(text, MISSING_TOKENS))
-    present = f"if(trim({name(column)}) in ({tokens}), null, {name(column)})"
+    compared = name(column) if isinstance(kind, T.StringType) else f"trim({name(column)})"
+    present = f"if({compared} in ({tokens}), null, {name(column)})"
     cast, target = ("cast" if strict else "try_cast"), kind.simpleString()
     if isinstance(kind, T.StringType):
         value = present

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from innlake.functions.sqltext import name
+
 BATCH = "batch_id"
 
 
@@ -28,15 +30,17 @@ def conform_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
         raise SchemaMismatchError(
             f"missing {sorted(set(schema.names) - set(df.columns))}, "
             f"unexpected {sorted(set(df.columns) - set(schema.names))}")
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(*[
+        f"cast({name(f.name)} as {f.dataType.simpleString()}) as {name(f.name)}" for f in schema
+    ])
 
 
 class Table:
     """A named table below the warehouse folder, with its schema beside it."""
 
-    def __init__(self, spark: SparkSession, root: str, name: str):
-        self.spark, self.name = spark, name
-        self.path = f"{root.rstrip('/')}/{name}"
+    def __init__(self, spark: SparkSession, root: str, table: str):
+        self.spark, self.name = spark, table
+        self.path = f"{root.rstrip('/')}/{table}"
         self._schema_path = self.path + ".schema"
 
     def schema(self) -> T.StructType:
