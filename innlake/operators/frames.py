@@ -8,11 +8,16 @@ partition to carry the open frame across block borders.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, END = "START", "END"
 BLOCK_SPAN = 1_000_000
+_START, _END = 1, 2
+
+
+def _word(code: Column) -> Column:
+    return F.when(code == _START, START).when(code == _END, END)
 
 
 def tag_frames(messages: DataFrame, block_span: int = BLOCK_SPAN) -> DataFrame:
@@ -28,9 +33,10 @@ def tag_frames(messages: DataFrame, block_span: int = BLOCK_SPAN) -> DataFrame:
     """
     log = ["topic", "partition"]
     block = log + ["block"]
+    # Controls as numbers: aggregates over them stay hash-based.
     blocks = messages.withColumns({
-        "control": F.when(F.col("value").isin(START, END), F.col("value")),
-        "block": F.floor(F.col("offset") / F.lit(block_span)).cast("bigint"),
+        "control": F.when(F.col("value") == START, _START).when(F.col("value") == END, _END),
+        "block": F.expr(f"offset div {int(block_span)}"),
     })
     upto = Window.partitionBy(*block).orderBy("offset").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -38,7 +44,7 @@ def tag_frames(messages: DataFrame, block_span: int = BLOCK_SPAN) -> DataFrame:
     # frame that ends in "unbounded following" would be quadratic.
     ahead = Window.partitionBy(*block).orderBy(F.desc("offset")).rowsBetween(
         Window.unboundedPreceding, -1)
-    is_start, is_end = F.col("control") == START, F.col("control") == END
+    is_start, is_end = F.col("control") == _START, F.col("control") == _END
     local = (
         blocks
         .withColumns({
@@ -83,10 +89,10 @@ def tag_frames(messages: DataFrame, block_span: int = BLOCK_SPAN) -> DataFrame:
         F.col("ends_before") + F.col("ends_at_next_start_in"),
         F.col("ends_at_next_block_start"), F.col("ends_total"))
     return local.join(carried, block).select(
-        *messages.columns, "control",
+        *messages.columns, _word(F.col("control")).alias("control"),
         (F.col("starts_before") + F.col("starts_in")).alias("frame_id"),
-        F.coalesce("prev_in", "prev_block_control").alias("prev_control"),
-        F.coalesce("next_in", "next_block_control").alias("next_control"),
+        _word(F.coalesce("prev_in", "prev_block_control")).alias("prev_control"),
+        _word(F.coalesce("next_in", "next_block_control")).alias("next_control"),
         (ends_at_reset - ends_upto).alias("n_emissions"),
     )
 

@@ -58,21 +58,25 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return value_pairs(df, columns).distinct()
 
 
-def _pair_correlation(x: str, y: str) -> str:
+def _pair_correlation(df: DataFrame, x: str, y: str) -> str:
     """Pearson over rows where both are present; NULL for a constant column.
 
     Built from merge-stable central moments, because corr() divides by zero
-    under ANSI rules when a column is constant.
+    under ANSI rules when a column is constant. Deviations of columns that
+    cannot be NULL are the same in every pair and hence computed once.
     """
-    a, b = name(x), name(y)
-    return (f"try_divide(covar_pop({a}, {b}), stddev_pop(if({b} is null, null, {a}))"
-            f" * stddev_pop(if({a} is null, null, {b})))")
+    def spread(column: str, other: str) -> str:
+        if not df.schema[other].nullable:
+            return f"stddev_pop({name(column)})"
+        return f"stddev_pop(if({name(other)} is null, null, {name(column)}))"
+
+    return f"try_divide(covar_pop({name(x)}, {name(y)}), {spread(x, y)} * {spread(y, x)})"
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Every ordered pair; each unordered pair is aggregated once."""
     pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
-    wide = df.selectExpr(*[f"{_pair_correlation(x, y)} as c{i}" for i, (x, y) in enumerate(pairs)])
+    wide = df.selectExpr(*[f"{_pair_correlation(df, x, y)} as c{i}" for i, (x, y) in enumerate(pairs)])
     return wide.selectExpr(rows([
         f"struct({text(left)} as column_x, {text(right)} as column_y, c{i} as corr)"
         for i, (x, y) in enumerate(pairs) for left, right in dict.fromkeys([(x, y), (y, x)])
@@ -81,7 +85,7 @@ def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def corr_rank(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
     """|corr| with the target, strongest first, constant columns last."""
-    stats = {c: {"abs_corr": f"abs({_pair_correlation(c, target)})"} for c in columns}
+    stats = {c: {"abs_corr": f"abs({_pair_correlation(df, c, target)})"} for c in columns}
     return _unfold(df, stats).orderBy(F.desc_nulls_last("abs_corr"), "column_name")
 
 

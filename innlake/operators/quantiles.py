@@ -45,18 +45,31 @@ class _Target:
 
 
 def _settle(df: DataFrame, targets: dict[int, _Target], below: dict[int, int]) -> dict[int, float]:
-    """Exact values of targets whose bracket holds few distinct values."""
+    """Exact values of targets whose bracket holds few distinct values.
+
+    Ranks that share a column and a bracket are read off the same counts.
+    """
+    groups: dict[str, list[int]] = {}
+    for key, t in targets.items():
+        groups.setdefault(t.bracketed, []).append(key)
     tagged = df.selectExpr(rows([
-        f"struct({key} as target, {t.bracketed} as value)" for key, t in targets.items()
+        f"struct({i} as bracket, {value} as value)" for i, value in enumerate(groups)
     ])).filter("value is not null")
-    counts = tagged.groupBy("target", "value").agg(F.count("*").alias("n"))
-    running = Window.partitionBy("target").orderBy("value").rowsBetween(
+    counts = tagged.groupBy("bracket", "value").agg(F.count("*").alias("n"))
+    # One row per distinct value, bounded by the settling limit per bracket.
+    running = Window.partitionBy("bracket").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    wanted = "map(" + ", ".join(f"{key}, {t.rank - below[key]}L" for key, t in targets.items()) + ")"
+    wanted = ", ".join(
+        f"{i}, array({', '.join(f'{targets[key].rank - below[key]}L' for key in keys)})"
+        for i, keys in enumerate(groups.values()))
     found = (counts.withColumn("upto", F.sum("n").over(running))
-             .withColumn("rank", F.expr(f"element_at({wanted}, target)"))
-             .filter("rank < upto and rank >= upto - n").collect())
-    return {row["target"]: row["value"] for row in found}
+             .filter(f"exists(element_at(map({wanted}), bracket), r -> r >= upto - n and r < upto)")
+             .collect())
+    members = list(groups.values())
+    return {
+        key: row["value"] for row in found for key in members[row["bracket"]]
+        if row["upto"] - row["n"] <= targets[key].rank - below[key] < row["upto"]
+    }
 
 
 def order_statistics(

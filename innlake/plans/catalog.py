@@ -5,7 +5,8 @@ Each runs over the whole tables. The SQL counterparts are in oracles.py.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -424,13 +425,20 @@ def _cancel_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
     return splitting.train_test_split(_cancel(spark, sf), "Booking_ID")
 
 
-def _fitted(estimator, train: DataFrame, predictors: list[str], label: str):
-    """Training rows are read many times, so they are held while fitting."""
-    train = train.select("Booking_ID", *predictors, label).persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def _held(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows spread over the cores and kept for repeated reading."""
+    held = session.balanced(df, "Booking_ID").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return estimator.fit(train)
+        yield held
     finally:
-        train.unpersist()
+        held.unpersist()
+
+
+def _fitted(estimator, train: DataFrame, predictors: list[str], label: str):
+    """Training rows are read many times, so they are held while fitting."""
+    with _held(train.select("Booking_ID", *predictors, label)) as rows:
+        return estimator.fit(rows)
 
 
 def _regression_report(name: str, scored: DataFrame) -> DataFrame:
@@ -449,7 +457,8 @@ def _regression(name: str) -> Query:
 
 def reg_bayesian_ridge(spark, sf):
     train, test = _price_parts(spark, sf)
-    model = bayesian_ridge.fit_bayesian_ridge(train, PRICE_PREDICTORS, "adr")
+    with _held(train.select("Booking_ID", *PRICE_PREDICTORS, "adr")) as rows:
+        model = bayesian_ridge.fit_bayesian_ridge(rows, PRICE_PREDICTORS, "adr")
     return _regression_report("bayesian_ridge", model.transform(test))
 
 
@@ -488,12 +497,14 @@ def _both_targets(name: str) -> Query:
 
 def cls_adaboost(spark, sf):
     train, test = _cancel_parts(spark, sf)
+    train = session.balanced(train, "Booking_ID")
     stumps = adaboost.fit_adaboost(
         presets.vectors(train, CANCEL_PREDICTORS, "is_canceled"), presets.FEATURES, "is_canceled",
         [0.0, 1.0], rounds=10, max_depth=1)
     scored = stumps.transform(presets.vectors(test, CANCEL_PREDICTORS, "is_canceled"))
     report = _class_report("adaboost", "is_canceled", scored, "is_canceled")
     train, test = _band_parts(spark, sf)
+    train = session.balanced(train, "Booking_ID")
     deep = adaboost.fit_adaboost(
         presets.vectors(train, PRICE_PREDICTORS, "adr_category"), presets.FEATURES, "adr_category",
         [float(band) for band in range(1, len(scalars.RATE_EDGES))], rounds=BAND_ROUNDS, max_depth=DEPTH)
@@ -504,21 +515,23 @@ def cls_adaboost(spark, sf):
 def cls_knn(spark, sf):
     train, test = _cancel_parts(spark, sf)
     rows = train.select("Booking_ID", "is_canceled", knn.feature_array(CANCEL_PREDICTORS).alias("features"))
-    model = knn.fit_knn(rows, "Booking_ID", "features", "is_canceled")
-    scored = scoring.predictions(model, test, CANCEL_PREDICTORS)
+    model = knn.fit_knn(session.balanced(rows, "Booking_ID"), "Booking_ID", "features", "is_canceled")
+    scored = scoring.predictions(model, session.balanced(test, "Booking_ID"), CANCEL_PREDICTORS)
     return _class_report("knn", "is_canceled", scored, "is_canceled")
 
 
 def pca_scores(spark, sf):
     rows = _price(spark, sf).select("Booking_ID", *PCA_COLUMNS)
-    scored = scaling.fit_pca(rows, PCA_COLUMNS, k=2).transform(rows)
+    with _held(rows) as held:
+        model = scaling.fit_pca(held, PCA_COLUMNS, k=2)
+    scored = model.transform(rows)
     scores = vector_to_array("pca_scores")
     return scored.select("Booking_ID", scores[0].alias("pc1"), scores[1].alias("pc2"))
 
 
 def pca_variance(spark, sf):
-    rows = _price(spark, sf).select(*PCA_COLUMNS)
-    model = scaling.fit_pca(rows, PCA_COLUMNS, k=len(PCA_COLUMNS), unit_variance=True)
+    with _held(_price(spark, sf).select("Booking_ID", *PCA_COLUMNS)) as rows:
+        model = scaling.fit_pca(rows, PCA_COLUMNS, k=len(PCA_COLUMNS), unit_variance=True)
     ratios = model.stages[-1].explainedVariance.toArray().tolist()
     return spark.createDataFrame(list(enumerate(ratios, start=1)), "component int, ratio double")
 

@@ -15,6 +15,7 @@ from innlake.operators.conform import (
 )
 from innlake.operators.evaluation import champion, classification_metrics, regression_metrics
 from innlake.operators.splitting import quarter_slice, train_test_split
+from innlake.session import balanced
 from innlake.schemas import CANCEL_PREDICTORS, LISTINGS, MONTHLY, PRICE_PREDICTORS
 from innlake.sources.csv_files import read_csv
 from innlake.sources.tables import Table
@@ -73,7 +74,7 @@ def _contest(
 ) -> tuple[DataFrame, dict]:
     """Fit every candidate on the training rows and score the hold-out."""
     train, test = train_test_split(df, "Booking_ID")
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = balanced(train, "Booking_ID").persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
     metric = "r2" if regression else "accuracy"
     try:

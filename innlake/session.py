@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_dir: str | None = None
@@ -52,3 +52,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_dir(spark)}/innlake/{label}-{uuid.uuid4().hex}"
+
+
+def balanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread rows over all cores where a few small files would use only some.
+
+    For frames that are read many times. Inputs with enough partitions are
+    left as they are, so large tables are never shuffled for it.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= wanted:
+        return df
+    return df.repartition(wanted, *keys)

@@ -1,11 +1,13 @@
 """Warehouse-style Parquet tables: declared schema, overwrite, append by name.
 
-A table is a folder of `batch_id=<n>` partitions. An append replaces the
-partition of its own batch, so a retried batch never adds rows twice.
+An append replaces the partition of its own batch, so a retried batch never
+adds rows twice.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 from innlake.functions.sqltext import name
 
 BATCH = "batch_id"
+POINTER = "version int, schema string"
 
 
 class TableMissingError(LookupError):
@@ -36,24 +39,35 @@ def conform_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 class Table:
-    """A named table below the warehouse folder, with its schema beside it."""
+    """A named table below the warehouse folder.
+
+    Rows live in `<table>/v<version>/batch_id=<n>`. An overwrite fills a new
+    version and then adds a pointer row with its schema, so readers see either
+    the old or the new table, and a job that dies half-way leaves the old one.
+    """
 
     def __init__(self, spark: SparkSession, root: str, table: str):
         self.spark, self.name = spark, table
         self.path = f"{root.rstrip('/')}/{table}"
-        self._schema_path = self.path + ".schema"
 
-    def schema(self) -> T.StructType:
+    def _current(self) -> tuple[int, T.StructType]:
         try:
-            return self.spark.read.parquet(self._schema_path).schema
+            pointers = self.spark.read.schema(POINTER).parquet(f"{self.path}.pointers")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 raise TableMissingError(self.name) from error
             raise
+        latest = pointers.orderBy(F.desc("version")).first()
+        if latest is None:
+            raise TableMissingError(self.name)
+        return latest["version"], T.StructType.fromJson(json.loads(latest["schema"]))
+
+    def schema(self) -> T.StructType:
+        return self._current()[1]
 
     def exists(self) -> bool:
         try:
-            self.schema()
+            self._current()
         except TableMissingError:
             return False
         return True
@@ -64,23 +78,28 @@ class Table:
 
     def overwrite(self, df: DataFrame) -> None:
         """Replace content and schema."""
-        (df.withColumn(BATCH, F.lit(0).cast("bigint"))
-         .write.mode("overwrite").partitionBy(BATCH).parquet(self.path))
-        (self.spark.createDataFrame([], df.schema).coalesce(1)
-         .write.mode("overwrite").parquet(self._schema_path))
+        try:
+            version = self._current()[0] + 1
+        except TableMissingError:
+            version = 1
+        df.write.mode("overwrite").parquet(f"{self.path}/v{version}/{BATCH}=0")
+        pointer = self.spark.createDataFrame([(version, df.schema.json())], POINTER)
+        pointer.coalesce(1).write.mode("append").parquet(f"{self.path}.pointers")
 
     def append(self, df: DataFrame, batch_id: int) -> None:
         """Add rows by column name under the batch's own partition."""
         if batch_id < 1:
             raise ValueError("batch ids of appends start at 1; 0 is the overwrite load")
-        rows = conform_to_schema(df, self.schema())
-        rows.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
+        version, schema = self._current()
+        rows = conform_to_schema(df, schema)
+        rows.write.mode("overwrite").parquet(f"{self.path}/v{version}/{BATCH}={batch_id}")
 
     def batches(self) -> DataFrame:
         """All rows with the batch they came with."""
         # The known schema spares a footer scan over every stored file.
-        schema = T.StructType([*self.schema(), T.StructField(BATCH, T.LongType())])
-        return self.spark.read.schema(schema).parquet(self.path)
+        version, schema = self._current()
+        stored = T.StructType([*schema, T.StructField(BATCH, T.LongType())])
+        return self.spark.read.schema(stored).parquet(f"{self.path}/v{version}")
 
     def scan(self) -> DataFrame:
         return self.batches().drop(BATCH)
