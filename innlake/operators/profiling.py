@@ -58,25 +58,42 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return value_pairs(df, columns).distinct()
 
 
-def _pair_correlation(df: DataFrame, x: str, y: str) -> str:
+def _centres(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
+    """Mean per column, None where all present values are the same."""
+    row = df.selectExpr(*[
+        f"if(min({name(c)}) = max({name(c)}), null, avg({name(c)})) as m{i}" for i, c in enumerate(columns)
+    ]).first()
+    return {c: row[f"m{i}"] for i, c in enumerate(columns)}
+
+
+def _pair_correlation(df: DataFrame, x: str, y: str, centres: dict[str, float | None]) -> str:
     """Pearson over rows where both are present; NULL for a constant column.
 
-    Built from merge-stable central moments, because corr() divides by zero
-    under ANSI rules when a column is constant. Deviations of columns that
-    cannot be NULL are the same in every pair and hence computed once.
+    Sums of products of centred values: cheap per row where corr() updates and
+    divides, free of cancellation, and no division by zero under ANSI rules.
+    The squares of columns that cannot be NULL are shared by all pairs.
     """
-    def spread(column: str, other: str) -> str:
-        if not df.schema[other].nullable:
-            return f"stddev_pop({name(column)})"
-        return f"stddev_pop(if({name(other)} is null, null, {name(column)}))"
+    if centres[x] is None or centres[y] is None:
+        return "cast(null as double)"
+    a, b = (f"({name(c)} - {number(centres[c])})" for c in (x, y))
+    if not (df.schema[x].nullable or df.schema[y].nullable):
+        return f"try_divide(sum({a} * {b}), sqrt(sum({a} * {a}) * sum({b} * {b})))"
+    # Only rows with both values count, so their own means have to go as well.
+    a, b = f"if({b} is null, null, {a})", f"if({a} is null, null, {b})"
 
-    return f"try_divide(covar_pop({name(x)}, {name(y)}), {spread(x, y)} * {spread(y, x)})"
+    def centred(p: str, q: str) -> str:
+        return f"(sum({p} * {q}) - try_divide(sum({p}) * sum({q}), count({p})))"
+
+    return (f"if(min({a}) = max({a}) or min({b}) = max({b}), null, "
+            f"try_divide({centred(a, b)}, sqrt({centred(a, a)} * {centred(b, b)})))")
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Every ordered pair; each unordered pair is aggregated once."""
+    centres = _centres(df, columns)
     pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
-    wide = df.selectExpr(*[f"{_pair_correlation(df, x, y)} as c{i}" for i, (x, y) in enumerate(pairs)])
+    wide = df.selectExpr("count(*)", *[
+        f"{_pair_correlation(df, x, y, centres)} as c{i}" for i, (x, y) in enumerate(pairs)])
     return wide.selectExpr(rows([
         f"struct({text(left)} as column_x, {text(right)} as column_y, c{i} as corr)"
         for i, (x, y) in enumerate(pairs) for left, right in dict.fromkeys([(x, y), (y, x)])
@@ -85,8 +102,12 @@ def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def corr_rank(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
     """|corr| with the target, strongest first, constant columns last."""
-    stats = {c: {"abs_corr": f"abs({_pair_correlation(df, c, target)})"} for c in columns}
-    return _unfold(df, stats).orderBy(F.desc_nulls_last("abs_corr"), "column_name")
+    centres = _centres(df, list(dict.fromkeys([*columns, target])))
+    stats = {
+        c: {"n_rows": "count(*)", "abs_corr": f"abs({_pair_correlation(df, c, target, centres)})"}
+        for c in columns
+    }
+    return _unfold(df, stats).drop("n_rows").orderBy(F.desc_nulls_last("abs_corr"), "column_name")
 
 
 def _summary(df: DataFrame, columns: list[str]) -> dict[str, dict]:

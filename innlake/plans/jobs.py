@@ -15,8 +15,8 @@ from innlake.operators.conform import (
 )
 from innlake.operators.evaluation import champion, classification_metrics, regression_metrics
 from innlake.operators.splitting import quarter_slice, train_test_split
-from innlake.session import balanced
 from innlake.schemas import CANCEL_PREDICTORS, LISTINGS, MONTHLY, PRICE_PREDICTORS
+from innlake.session import balanced, ensure_checkpoint_dir
 from innlake.sources.csv_files import read_csv
 from innlake.sources.tables import Table
 from innlake.streaming.ingest import CANCEL_NAME, PRICE_NAME, append_month
@@ -73,6 +73,7 @@ def _contest(
     df: DataFrame, names: list[str], predictors: list[str], label: str, regression: bool, sizes: dict,
 ) -> tuple[DataFrame, dict]:
     """Fit every candidate on the training rows and score the hold-out."""
+    ensure_checkpoint_dir(df.sparkSession)
     train, test = train_test_split(df, "Booking_ID")
     train = balanced(train, "Booking_ID").persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)

@@ -411,6 +411,7 @@ def oracles() -> dict[str, str]:
             {_r("sqrt(avg((is_canceled - p)::DOUBLE ** 2))")} AS label_rmse
             FROM (SELECT is_canceled, CASE WHEN lead_time > 220 THEN 1 ELSE 0 END AS p FROM cancel WHERE {_SPLIT} >= 80)""",
         "knn_classify": _KNN,
+        "model_roundtrip": f"{_PRICES} SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM price WHERE {_SPLIT} >= 80",
         "csv_roundtrip": f"{_BASES} SELECT * REPLACE (nullif(country, 'NA') AS country) FROM bookings",
         "csv_parse_lines": f"""{_BASES} SELECT {_FEED_ID} AS "Booking_ID", {", ".join(_FEED[1:])} FROM bookings""",
         "message_encode": _with(_BOOKINGS, _MESSAGES) + "\nSELECT * FROM log",

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from innlake.functions.sqltext import text
 from innlake.operators.frames import END, START
 from innlake.schemas import BOOKING_COLUMNS, LISTING_COLUMNS, MONTHLY_COLUMNS, MONTHS
 from innlake.sources.csv_files import csv_header, csv_line
@@ -32,7 +33,7 @@ _BOOKINGS = {
     "is_canceled": f"if({_CANCELED}, 1, 0)",
     "lead_time": _LEAD,
     "arrival_date_year": "year(o_orderdate)",
-    "arrival_date_month": "date_format(o_orderdate, 'MMMM')",
+    "arrival_date_month": f"element_at(array({', '.join(map(text, MONTHS))}), month(o_orderdate))",
     "arrival_date_week_number": "weekofyear(o_orderdate)",
     "arrival_month": "cast(month(o_orderdate) as string)",
     "arrival_date_day_of_month": "day(o_orderdate)",
@@ -88,7 +89,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _view(df: DataFrame, definitions: dict[str, str], types: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[
-        f"cast({text} as {types[name]}) as {name}" for name, text in definitions.items()
+        f"cast({sql} as {types[name]}) as {name}" for name, sql in definitions.items()
     ])
 
 
