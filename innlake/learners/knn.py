@@ -1,11 +1,12 @@
 """Exact k-nearest-neighbour classification as a pruned, blocked join.
 
-Training rows are cut into cells around a fixed number of pivots. Cell radii
-and the rows nearest to each pivot give every query an upper bound of its k-th
-distance; by the triangle inequality only cells that can beat it are visited,
-so the result equals a full comparison. Cells are cut into blocks of bounded
-size, however many rows share a cell, and a task compares one query block with
-one training block, keeping only k rows per query. No pair ever leaves a task.
+Training rows belong to the nearest of a bounded number of pivots and, there,
+to a ring of similar distance to it; pivot and ring make a cell. The rows
+closest to each pivot give every query an upper bound of its k-th distance; by
+the triangle inequality only rings that can beat it are visited, so the result
+equals a full comparison. Cells are cut into blocks of bounded size, however
+many rows share a cell, and a task compares one query block with one training
+block, keeping only k rows per query. No pair ever leaves a task.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from innlake.session import scratch_path
+
 BLOCK_ROWS = 2048
 MAX_PIVOTS = 1024
+RINGS = 8
 VISIT_CHUNK = 512
 # Guards the pruning bounds against rounding; the final distances are exact.
 SLACK = 1e-9
@@ -50,18 +54,40 @@ def _squared_distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
 
 @dataclass
 class KnnModel:
-    """Training rows (id, features, label, cell, radius) and the cell summary.
+    """Training rows (id, features, label, pivot, radius) and their summary.
 
-    train is held by Spark; pivots (fixed number) and cells (one row per pivot)
-    are the only parts the driver sees.
+    rows is held by Spark; pivots (a bounded number), the ring borders of each
+    pivot and one summary row per cell are the only parts the driver sees.
     """
 
-    train: DataFrame
+    rows: DataFrame
     pivots: np.ndarray
-    cells: list[dict]
     k: int
     block_rows: int = BLOCK_ROWS
 
+    def __post_init__(self):
+        spark = self.rows.sparkSession
+        # Equal row counts per ring, up to the sketch's error.
+        spots = ", ".join(f"{i / RINGS}D" for i in range(1, RINGS))
+        borders = self.rows.groupBy("pivot").agg(
+            F.expr(f"percentile_approx(radius, array({spots}), 1000)").alias("borders")).collect()
+        table = spark.createDataFrame(
+            [(r["pivot"], r["borders"]) for r in borders], "pivot int, borders array<double>")
+        ring = F.size(F.filter("borders", lambda border: border < F.col("radius")))
+        self.train = (
+            self.rows.join(F.broadcast(table), "pivot")
+            .withColumn("cell", (F.col("pivot") * RINGS + ring).cast("int"))
+            .select("id", "features", "label", "pivot", "radius", "cell"))
+        self.cells = [r.asDict() for r in self.train.groupBy("cell").agg(
+            F.count("*").alias("n"), F.min("radius").alias("inner"), F.max("radius").alias("outer")).collect()]
+        # The rank limit is applied before the shuffle, so a crowded pivot
+        # sends k rows per task, not all of its rows.
+        ranked = Window.partitionBy("pivot").orderBy("radius")
+        closest = (
+            self.rows.select("pivot", "radius").withColumn("rank", F.row_number().over(ranked))
+            .filter(f"rank <= {self.k}").groupBy("pivot").agg(F.collect_list("radius").alias("closest")).collect())
+        self.closest = {r["pivot"]: np.array(r["closest"]) for r in closest}
+
     def classify(self, queries: DataFrame, id_col: str, features: str) -> DataFrame:
         """(id, prediction) per query, ids being unique: majority of the k nearest, ties go to
         the smaller label; equal distances go to the smaller training id."""
@@ -118,24 +144,24 @@ class KnnModel:
 
     def _visits(self, queries: DataFrame, id_col: str, features: str) -> DataFrame:
         """(query_id, features, cell) for every cell that may hold a neighbour."""
-        pivots, k = self.pivots, self.k
+        pivots, k, closest = self.pivots, self.k, self.closest
         index = np.array([c["cell"] for c in self.cells])
         inner = np.array([c["inner"] for c in self.cells])
         outer = np.array([c["outer"] for c in self.cells])
-        closest = [np.array(c["closest"]) for c in self.cells]
 
         @F.pandas_udf("array<int>")
         def cells_to_visit(series: pd.Series) -> pd.Series:
             visits = []
             for start in range(0, len(series), VISIT_CHUNK):
                 points = _matrix(series.iloc[start:start + VISIT_CHUNK])
-                distance = _pivot_distances(points, pivots[index])
-                reach = np.concatenate([distance[:, [j]] + near for j, near in enumerate(closest)], axis=1)
+                to_pivot = _pivot_distances(points, pivots)
+                reach = np.concatenate([to_pivot[:, [j]] + near for j, near in closest.items()], axis=1)
                 if reach.shape[1] >= k:
                     bound = np.partition(reach, k - 1, axis=1)[:, k - 1]
                 else:
                     bound = np.full(len(points), np.inf)
                 bound = (bound * (1 + SLACK) + SLACK)[:, None]
+                distance = to_pivot[:, index // RINGS]
                 keep = (distance - outer <= bound) & (inner - distance <= bound)
                 visits.extend(index[row].tolist() for row in keep)
             return pd.Series(visits, dtype=object)
@@ -146,32 +172,17 @@ class KnnModel:
         )
 
     def save(self, path: str) -> None:
-        spark = self.train.sparkSession
-        self.train.write.mode("overwrite").parquet(f"{path}/train")
-        rows = [(i, p.tolist()) for i, p in enumerate(self.pivots)]
-        spark.createDataFrame(rows, "cell int, pivot array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/pivots")
+        spark = self.rows.sparkSession
+        self.rows.write.mode("overwrite").parquet(f"{path}/rows")
+        pivots = [(i, p.tolist()) for i, p in enumerate(self.pivots)]
+        spark.createDataFrame(pivots, "pivot int, place array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/pivots")
         spark.createDataFrame([(self.k,)], "k int").coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> KnnModel:
-        pivots = np.array([r["pivot"] for r in spark.read.parquet(f"{path}/pivots").orderBy("cell").collect()])
+        places = spark.read.parquet(f"{path}/pivots").orderBy("pivot").collect()
         k = spark.read.parquet(f"{path}/settings").first()["k"]
-        train = spark.read.parquet(f"{path}/train")
-        return KnnModel(train, pivots, _summarise(train, k), k)
-
-
-def _summarise(assigned: DataFrame, k: int) -> list[dict]:
-    """Rows, radii and the k smallest radii of every cell: one row per pivot.
-
-    The rank filter is applied before the shuffle, so a crowded cell sends k
-    rows per task, not all of its rows.
-    """
-    ranked = Window.partitionBy("cell").orderBy("radius")
-    closest = (assigned.select("cell", "radius").withColumn("rank", F.row_number().over(ranked))
-               .filter(f"rank <= {k}").groupBy("cell").agg(F.collect_list("radius").alias("closest")))
-    sizes = assigned.groupBy("cell").agg(
-        F.count("*").alias("n"), F.min("radius").alias("inner"), F.max("radius").alias("outer"))
-    return [row.asDict() for row in sizes.join(closest, "cell").collect()]
+        return KnnModel(spark.read.parquet(f"{path}/rows"), np.array([r["place"] for r in places]), k)
 
 
 def fit_knn(
@@ -183,7 +194,16 @@ def fit_knn(
     Pivots are the rows with the smallest key hash: spread like the data and
     the same on every run. They only steer the pruning, not the result, and
     their number is bounded whatever the size of the data.
+
+    Of training rows with equal features, the k smallest ids always win the
+    ties, so the others can never be neighbours and are left out. However many
+    copies a row has, k of them are kept; the limit works before the shuffle.
+
+    The assigned rows are written once to the shared folder, as they are read
+    several times.
     """
+    spark = df.sparkSession
+    copies = Window.partitionBy("features").orderBy("id", "label")
     rows = df.select(
         F.col(id_col).cast("bigint").alias("id"),
         F.col(features).cast("array<double>").alias("features"), F.col(label).alias("label"))
@@ -194,15 +214,18 @@ def fit_knn(
         raise ValueError("no training rows")
     pivots = np.array([r["features"] for r in picked])
 
-    @F.pandas_udf("cell int, radius double")
+    @F.pandas_udf("pivot int, radius double")
     def assign(series: pd.Series) -> pd.DataFrame:
         points = _matrix(series)
         if not len(points):
-            return pd.DataFrame({"cell": pd.Series(dtype="int32"), "radius": pd.Series(dtype="float64")})
+            return pd.DataFrame({"pivot": pd.Series(dtype="int32"), "radius": pd.Series(dtype="float64")})
         distance = _pivot_distances(points, pivots)
-        cell = distance.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "radius": distance[np.arange(len(cell)), cell]})
-
-    assigned = rows.withColumn("nearest", assign("features")).select(
-        "id", "features", "label", "nearest.cell", "nearest.radius")
-    return KnnModel(assigned, pivots, _summarise(assigned, k), k, block_rows)
+        pivot = distance.argmin(axis=1)
+        return pd.DataFrame({"pivot": pivot.astype("int32"), "radius": distance[np.arange(len(pivot)), pivot]})
+
+    path = scratch_path(spark, "knn-rows")
+    (rows.withColumn("copy", F.row_number().over(copies)).filter(f"copy <= {k}")
+     .withColumn("nearest", assign("features"))
+     .select("id", "features", "label", "nearest.pivot", "nearest.radius")
+     .write.parquet(path))
+    return KnnModel(spark.read.parquet(path), pivots, k, block_rows)
