@@ -29,59 +29,71 @@ def _words(text: np.ndarray) -> np.ndarray:
     return out
 
 
+def _order(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Positions in the order of keys of so many bits; one sort of packed numbers where they fit."""
+    width = max(1, (len(keys) - 1).bit_length())
+    if bits + width > 64:
+        return np.argsort(keys)
+    shift = np.uint64(width)
+    packed = np.sort((keys.astype(np.uint64) << shift) | np.arange(len(keys), dtype=np.uint64))
+    return (packed & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
+
+
 def suffix_array(text: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Order of all suffixes, by doubling the compared length for those still tied."""
     n = len(text)
-    order = np.argsort(words)
-    sorted_keys = words[order]
-    head = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])
-    del sorted_keys
+    step = 5
+    first = words >> np.uint64(8 * (8 - step))
+    order = _order(first, 8 * step)
+    first = first[order]
+    head = np.concatenate([[True], first[1:] != first[:-1]])
     rank = np.zeros(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    step = 8
+    width = n.bit_length()
     tied = np.flatnonzero(~(head & np.append(head[1:], True)))
     while len(tied):
         suffix = order[tied]
         far = suffix + step
-        second = np.where(far < n, rank[np.minimum(far, n - 1)] + 1, 0)
-        key = (rank[suffix] << 32) | second
-        by_key = np.argsort(key)
+        key = (rank[suffix] << width) | np.where(far < n, rank[np.minimum(far, n - 1)] + 1, 0)
+        by_key = _order(key, 2 * width)
         key = key[by_key]
         order[tied] = suffix = suffix[by_key]
         new_head = np.concatenate([[True], key[1:] != key[:-1]])
         rank[suffix] = np.maximum.accumulate(np.where(new_head, tied, 0))
-        single = new_head & np.append(new_head[1:], True)
-        tied = tied[~single]
+        tied = tied[~(new_head & np.append(new_head[1:], True))]
         step *= 2
     return order
 
 
-def _common(text: np.ndarray, words: np.ndarray, a: np.ndarray, b: np.ndarray, limit: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of the suffixes at a and b, cut at limit."""
-    n = len(text)
+def _common(words: np.ndarray, a: np.ndarray, b: np.ndarray, limit: np.ndarray, least: int) -> np.ndarray:
+    """Length of the common prefix of the suffixes at a and b, cut at limit; 0 if shorter than least."""
+    n = len(words)
     out = np.zeros(len(a), np.int64)
-    live = np.arange(len(a))
+    live = np.flatnonzero((limit >= least) & (np.maximum(a, b) + least <= n))
+    if least >= 8:  # most short matches differ in the last bytes already
+        tail = least - 8
+        live = live[words[a[live] + tail] == words[b[live] + tail]]
     while len(live):
         x, y = a[live] + out[live], b[live] + out[live]
         inside = (np.maximum(x, y) < n) & (out[live] < limit[live])
         live, x, y = live[inside], x[inside], y[inside]
         differ = words[x] ^ words[y]
-        same = differ == 0
-        rest = ~same
-        if rest.any():
-            # Whole equal bytes before the first differing bit.
-            top = 63 - np.frexp((differ[rest] >> np.uint64(8)).astype(np.float64))[1] - 7
-            top = np.where(differ[rest] >> np.uint64(8) == 0, 56, top)
-            out[live[rest]] += top // 8
-        live = live[same]
+        rest = differ != 0
+        # Whole equal bytes before the first one that differs.
+        for byte in range(7):
+            out[live[rest]] += (differ[rest] >> np.uint64(56 - 8 * byte) == 0)
+        live = live[~rest]
         out[live] += 8
-    return np.minimum(out, limit)
+    out = np.minimum(out, limit)
+    out[out < least] = 0
+    return out
 
 
 class RunIndex:
     """Runs of the transform and the matches sampled at their two ends."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], least: int = 1):
+        """Matches shorter than `least` count as none."""
         self.sizes = np.array([len(t) for t in texts], np.int64)
         joined = bytes([SEPARATOR]).join(texts) + bytes([SEPARATOR])
         text = np.frombuffer(joined, np.uint8)
@@ -100,16 +112,16 @@ class RunIndex:
         place = np.empty(self.n, np.int64)
         place[order] = np.arange(self.n)
         firsts = place[self.starts]
-        self.head_at, self.head_match = self._sampled(text, words, order, np.union1d(heads, firsts), -1)
-        self.end_at, self.end_match = self._sampled(text, words, order, np.union1d(ends, firsts), 1)
+        self.head_at, self.head_match = self._sampled(words, order, np.union1d(heads, firsts), -1, least)
+        self.end_at, self.end_match = self._sampled(words, order, np.union1d(ends, firsts), 1, least)
 
-    def _sampled(self, text, words, order, at, side):
+    def _sampled(self, words, order, at, side, least):
         near = at + side
         inside = (near >= 0) & (near < self.n)
         suffix = order[at]
         limit = np.where(inside, np.maximum(0, self._stop[suffix] - suffix), 0)
-        match = _common(text, words, suffix, order[np.clip(near, 0, self.n - 1)], limit)
-        by_place = np.argsort(suffix)
+        match = _common(words, suffix, order[np.clip(near, 0, self.n - 1)], limit, least)
+        by_place = _order(suffix, self.n.bit_length())
         return suffix[by_place], match[by_place]
 
     def matching_statistics(self) -> np.ndarray:
@@ -117,8 +129,10 @@ class RunIndex:
         out = np.zeros(self.n, np.int64)
         place = np.arange(self.n)
         for at, match in ((self.head_at, self.head_match), (self.end_at, self.end_match)):
-            sample = np.searchsorted(at, place, side="right") - 1
-            out = np.maximum(out, match[sample] + at[sample] - place)
+            sample = np.zeros(self.n, np.int64)
+            sample[at] = np.arange(len(at))
+            sample = np.maximum.accumulate(sample)
+            out = np.maximum(out, (match + at)[sample] - place)
         return np.minimum(out, np.maximum(0, self._stop - place))
 
     def repeats(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -26,14 +26,14 @@ from innlake.llm.run_index import RunIndex
 LENGTH = 200
 ANCHOR = 32
 #: Bytes of context text in a shard, and distinct contexts of one anchor that a shard takes.
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 1 << 21
 HOT_CONTEXTS = 4096
 
 
 def _shard(length: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        index = RunIndex(table.column("body").to_pylist())
+        index = RunIndex(table.column("body").to_pylist(), length)
         which, start, end = index.repeats(length)
         once = table.column("copies").to_numpy()[which] == 1
         take = pa.array(which[once])
