@@ -96,6 +96,13 @@ def _each(batch: pa.RecordBatch, shape: Windows) -> Iterator[tuple[int, tuple[np
         yield first, contexts(codes, places, shape)
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, for steps that make Python objects of the rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """doc_id, body (UTF-8 bytes, empty for null) and doc_key, a hash of both.
 
@@ -152,7 +159,7 @@ def repeated_spans(docs: DataFrame, shape: Windows, refine: Callable[[Callable[[
     # The same exchange of the texts serves the cutting-out and the final join.
     dealt = docs.repartition("doc_key")
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             rows = {name: [] for name in ("anchor", "context", "n_alike", "copies", "body")}
             for i in range(batch.num_rows):
                 body = batch.column("body")[i].as_py()
@@ -178,6 +185,8 @@ def repeated_spans(docs: DataFrame, shape: Windows, refine: Callable[[Callable[[
         "anchor", "context", F.lit(None).cast("array<struct<offset:int,end:int>>").alias("pieces"))
     found = whole.unionByName(parts.groupBy("anchor", "context").agg(
         F.collect_set(F.struct("offset", "end")).alias("pieces")))
+    # A computed key makes Spark shuffle this side too, so that it can split hot contexts of the other.
+    found = found.select(F.col("anchor").bitwiseXOR(F.lit(0)).alias("anchor"), "context", "pieces")
     start, size = F.shiftright("place", 24), F.col("place").bitwiseAND(0xFFFFFF)
 
     def span(begin, end):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innlake.llm.anchors import Windows, keyed, merged, repeated_spans, windows_repeated
+from innlake.llm.anchors import Windows, in_slices, keyed, merged, repeated_spans, windows_repeated
 from innlake.llm.run_index import RunIndex
 
 LENGTH = 200
@@ -73,7 +73,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     kind = found.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             pairs = [_cut(b, s) for b, s in zip(batch.column("body").to_pylist(), batch.column("spans").to_pylist())]
             runs = pa.array([[{"start": a, "end": z} for a, z in r] for r, _ in pairs], _RUNS)
             yield pa.RecordBatch.from_arrays(

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innlake.llm.anchors import Windows, keyed, merged, repeated_spans, windows_repeated
+from innlake.llm.anchors import Windows, in_slices, keyed, merged, repeated_spans, windows_repeated
 
 LENGTH = 35
 ANCHOR = 8
@@ -32,7 +32,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     kind = found.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             n_words, n_removed, kept = [], [], []
             for body, spans in zip(batch.column("body").to_pylist(), batch.column("spans").to_pylist()):
                 own = body.split()
