@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from innlake.llm import suffix_dedup, word_dedup
+from innlake.llm import best_fit, cross_parse, near_dedup, piece_codec, suffix_dedup, token_files, word_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.query,
+    "op2_best_fit_packing": best_fit.query,
+    "op3_token_records": token_files.query,
+    "op4_minhash_near_dedup": near_dedup.query,
     "op5_substring_dedup": word_dedup.query,
+    "op8_sentencepiece_codec": piece_codec.query,
+    "op10_language_id": cross_parse.query,
 }
 
 ORACLES: dict[str, str] = {}
