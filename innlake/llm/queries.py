@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from innlake.llm import best_fit, cross_parse, near_dedup, piece_codec, suffix_dedup, token_files, word_dedup
+from innlake.llm import (
+    best_fit, cross_parse, near_dedup, page_text, piece_codec, suffix_dedup, token_files, word_dedup,
+)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.query,
@@ -11,6 +13,7 @@ QUERIES = {
     "op4_minhash_near_dedup": near_dedup.query,
     "op5_substring_dedup": word_dedup.query,
     "op8_sentencepiece_codec": piece_codec.query,
+    "op9_page_text": page_text.query,
     "op10_language_id": cross_parse.query,
 }
 
