@@ -103,19 +103,20 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa
             yield batch.slice(at, rows)
 
 
-def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, body (UTF-8 bytes, empty for null) and doc_key, a hash of both.
+def keyed(docs: DataFrame, key: str, text: str, extra: list[str] | None = None) -> DataFrame:
+    """doc_id, body (UTF-8 bytes, empty for null), extra (a struct of other columns) and doc_key, a hash of the first two.
 
-    Rows that agree in all of it have the same repeats, so they may share marks.
+    Rows that agree in both have the same repeats, so they may share marks.
     """
     body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    return docs.select(F.col(key).alias("doc_id"), body.alias("body")).withColumn(
+    more = [F.struct(*[F.col(f"`{c}`") for c in extra]).alias("extra")] if extra else []
+    return docs.select(F.col(f"`{key}`").alias("doc_id"), body.alias("body"), *more).withColumn(
         "doc_key", F.xxhash64("doc_id", "body"))
 
 
 def repeated_spans(docs: DataFrame, shape: Windows, refine: Callable[[Callable[[str], DataFrame]], DataFrame],
                    label: str) -> DataFrame:
-    """The frame of keyed() with spans, an array of (start, end) in units, null if nothing repeats.
+    """The frame of keyed() without doc_key and with spans, an array of (start, end) in units, null if nothing repeats.
 
     Spans may overlap. refine gets a function from a condition on n_alike to a frame of
     anchor, context, n_alike, copies, body; it returns (anchor, context, offset, end):
@@ -146,7 +147,7 @@ def repeated_spans(docs: DataFrame, shape: Windows, refine: Callable[[Callable[[
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     path = scratch_path(spark, label)
-    docs.mapInArrow(candidates, f"doc_id {kind}, doc_key long, anchor long, context long, place long") \
+    docs.select("doc_id", "doc_key", "body").mapInArrow(candidates, f"doc_id {kind}, doc_key long, anchor long, context long, place long") \
         .write.parquet(f"{path}/candidates")
     seen = spark.read.parquet(f"{path}/candidates")
     distinct = seen.groupBy("anchor", "context").agg(
@@ -158,6 +159,7 @@ def repeated_spans(docs: DataFrame, shape: Windows, refine: Callable[[Callable[[
 
     # The same exchange of the texts serves the cutting-out and the final join.
     dealt = docs.repartition("doc_key")
+    own = [c for c in docs.columns if c != "doc_key"]
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             rows = {name: [] for name in ("anchor", "context", "n_alike", "copies", "body")}
@@ -176,8 +178,8 @@ def repeated_spans(docs: DataFrame, shape: Windows, refine: Callable[[Callable[[
     def texts(where: str) -> DataFrame:
         asked = still_open.filter(where).groupBy("doc_key").agg(
             F.collect_list(F.struct("anchor", "context", "n_alike", "copies", "place")).alias("asked"))
-        # The id goes along so that this exchange is the same as that of the final join.
-        return dealt.join(asked, "doc_key").select("doc_id", "body", "asked").mapInArrow(
+        # All columns go along so that this exchange is the same as that of the final join.
+        return dealt.join(asked, "doc_key").select(*own, "asked").mapInArrow(
             cut_out, "anchor long, context long, n_alike long, copies long, body binary")
 
     parts = refine(texts)
@@ -197,9 +199,9 @@ def repeated_spans(docs: DataFrame, shape: Windows, refine: Callable[[Callable[[
     marks = seen.join(found, ["anchor", "context"]).select("doc_key", F.explode(spans).alias("s")) \
         .groupBy("doc_key").agg(F.collect_set("s").alias("marked"))
     # Joined by one key, so the texts stay where they are; the id settles equal keys.
-    own = F.filter("marked", lambda m: m["doc_id"].eqNullSafe(F.col("doc_id")))
+    marked = F.filter("marked", lambda m: m["doc_id"].eqNullSafe(F.col("doc_id")))
     return dealt.join(marks, "doc_key", "left").select(
-        "doc_id", "body", F.transform(own, lambda m: F.struct(m["start"], m["end"])).alias("spans"))
+        *own, F.transform(marked, lambda m: F.struct(m["start"], m["end"])).alias("spans"))
 
 
 _ASKED = pa.schema([("anchor", pa.int64()), ("context", pa.int64()), ("n_alike", pa.int64()),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from innlake.llm import (
-    best_fit, cross_parse, near_dedup, page_text, piece_codec, suffix_dedup, token_files, word_dedup,
+    best_fit, cross_parse, near_dedup, page_text, piece_codec, pivot_search, suffix_dedup, token_files, vector_dedup,
+    word_dedup,
 )
 
 QUERIES = {
@@ -12,6 +13,8 @@ QUERIES = {
     "op3_token_records": token_files.query,
     "op4_minhash_near_dedup": near_dedup.query,
     "op5_substring_dedup": word_dedup.query,
+    "op6_vector_near_dedup": vector_dedup.query,
+    "op7_pivot_top_k": pivot_search.query,
     "op8_sentencepiece_codec": piece_codec.query,
     "op9_page_text": page_text.query,
     "op10_language_id": cross_parse.query,

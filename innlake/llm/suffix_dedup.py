@@ -42,8 +42,10 @@ def _shard(length: int):
     return run
 
 
-def marked(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """doc_id, body (bytes) and spans: byte ranges covered by strings of `length` that start elsewhere too."""
+def marked(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
+           extra: list[str] | None = None) -> DataFrame:
+    """doc_id, body (bytes), extra (a struct of columns, if named) and spans: byte ranges covered by strings of
+    `length` that start elsewhere too."""
     shape = Windows(length, min(ANCHOR, length), by_word=False)
     total = docs.agg(F.sum(F.octet_length(F.col(text).cast("binary"))).alias("n")).first()["n"] or 0
     # The contexts of all anchors together are shorter than twice the corpus.
@@ -54,7 +56,7 @@ def marked(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
             .groupBy("shard").applyInArrow(_shard(length), "anchor long, context long, offset int, end int")
         return near.unionByName(windows_repeated(texts(f"n_alike > {HOT_CONTEXTS}"), shape))
 
-    return repeated_spans(keyed(docs, key, text), shape, refine, "suffix-dedup")
+    return repeated_spans(keyed(docs, key, text, extra), shape, refine, "suffix-dedup")
 
 
 def _cut(body: bytes, spans) -> tuple[list[tuple[int, int]], bytes]:
@@ -96,3 +98,24 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("runs").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without their repeated strings; a character that a cut divides goes, a null text stays null."""
+    columns = docs.columns
+    named = docs.withColumn("own_name", F.xxhash64(*columns))
+    others = [c for c in columns if c != "text"] + ["has_text"]
+    found = marked(named.withColumn("has_text", F.col("text").isNotNull()), "own_name", "text", LENGTH, others)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            kept = [_cut(b, s)[1].decode("utf-8", "ignore")
+                    for b, s in zip(batch.column("body").to_pylist(), batch.column("spans").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("extra"), pa.array(kept, pa.string())], names=["extra", "text"])
+
+    schema = found.select("extra").schema.add("text", "string")
+    text = F.when(F.col("extra.has_text"), F.col("text")).alias("text")
+    kept = found.mapInArrow(cut, schema).select(text, *[F.col(f"extra.`{c}`") for c in others if c != "has_text"])
+    if "n_chars" in columns:
+        kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*columns)
