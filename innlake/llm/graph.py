@@ -33,7 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(edges.sparkSession)
     digest = [F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")]
-    edges = edges.filter("u <> v").select("u", "v").distinct()
+    edges = edges.filter("u <> v").select("u", "v").distinct().checkpoint()  # read twice in each round
     before = None
     while True:
         edges = _small_star(_large_star(edges).distinct()).distinct().checkpoint()

@@ -36,8 +36,9 @@ from innlake.session import scratch_path
 SHINGLE = 4
 PERCENT = 80
 MIN_AGREEMENT = 76
-#: Nodes of a problem that meet in one task, and about as many of small problems together.
-BLOCK = 512
+#: Nodes in a block of a problem; two blocks meet in a task. Nodes of small problems that share a task, about.
+BLOCK = 2048
+BLOCK_SMALL = 512
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -168,7 +169,7 @@ def _links(docs: DataFrame, signed: DataFrame, size: int, percent: int) -> DataF
     n_wanted = wanted.count()
     sets = _wanted_sets(docs, wanted, n_wanted, size)
     block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    tasks = max(1, n_wanted // BLOCK)
+    tasks = 1 + n_wanted // BLOCK_SMALL
     met = wanted.select("node", F.col("component").alias("problem"), "blocks", block.alias("block")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("node", "problem",
