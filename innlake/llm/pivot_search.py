@@ -16,7 +16,8 @@ to 2^53, beyond that Python's integers; a score outside of 64 bits is cut to
 the nearest). Defined results: vectors that are null, empty or hold null or
 non-finite components, those of another than the commonest length and rows
 without key take no part; equal scores go by key; rows repeated are candidates
-each, but a query's own key never is one; other columns are ignored; an empty
+each and one query, but a query's own key never is a candidate; different
+vectors of one key are ranked together; other columns are ignored; an empty
 table gives an empty result.
 """
 
@@ -137,7 +138,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, key: str = "vec_id", ve
     def copies(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    asked = known.filter("asks").withColumn("q", F.pmod(place, F.lit(q_blocks)).cast("int")).withColumn("c", copies(c_blocks))
+    asked = known.filter("asks").dropDuplicates(["own", "whole"]).withColumn("q", F.pmod(place, F.lit(q_blocks)).cast("int")).withColumn("c", copies(c_blocks))
     against = known.withColumn("asks", F.lit(False)).withColumn("c", F.pmod(place, F.lit(c_blocks)).cast("int")) \
         .withColumn("q", copies(q_blocks))
 
