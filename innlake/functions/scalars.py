@@ -36,7 +36,7 @@ def upper_clamp(col: Column, bound: int) -> Column:
 
 def within_upper_bound(col: Column, bound: int) -> Column:
     """Filter predicate that drops only rows known to exceed the bound."""
-    return ~F.coalesce(col > bound, F.lit(False))
+    return col.isNull() | (col <= bound)
 
 
 def presence_label(col: Column, present: str, absent: str) -> Column:

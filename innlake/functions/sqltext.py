@@ -7,6 +7,8 @@ several calls per column.
 
 from __future__ import annotations
 
+import math
+
 
 def name(column: str) -> str:
     """Quoted column reference."""
@@ -19,8 +21,9 @@ def text(value: str) -> str:
 
 
 def number(value: float) -> str:
-    """Double literal that keeps every bit."""
-    return f"{float(value)!r}D"
+    """Double literal that keeps every bit; NaN and infinities have no literal of their own."""
+    value = float(value)
+    return f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
 
 
 def rows(structs: list[str]) -> str:

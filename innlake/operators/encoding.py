@@ -41,25 +41,25 @@ def value_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def observed_levels(
-    df: DataFrame, columns: list[str], max_levels: int = 1000,
+    df: DataFrame, columns: list[str], max_levels: int | None = None,
 ) -> dict[str, list[str]]:
     """Sorted distinct values per column, found in one pass.
 
-    Levels become columns, so their number is bounded: the collected rows never
-    exceed max_levels per column, more is an error.
+    Levels become columns. Without max_levels all of them do; with it, a column
+    with more is an error, found by counts before any level is collected.
     """
-    limit = max_levels * len(columns)
-    pairs = (value_pairs(df, columns).filter("level is not null").distinct()
-             .limit(limit + 1).collect())
+    pairs = value_pairs(df, columns).filter("level is not null").distinct()
+    if max_levels is not None:
+        wide = pairs.groupBy("column_name").count().filter(F.col("count") > max_levels).collect()
+        if wide:
+            raise TooManyLevelsError(f"more than {max_levels} levels in {sorted(r['column_name'] for r in wide)}")
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in pairs:
+    for row in pairs.collect():
         found[row["column_name"]].append(row["level"])
-    if len(pairs) > limit or any(len(levels) > max_levels for levels in found.values()):
-        raise TooManyLevelsError(f"more than {max_levels} levels among {columns}")
     return {c: sorted(levels) for c, levels in found.items()}
 
 
-def one_hot_observed(df: DataFrame, columns: list[str], max_levels: int = 1000) -> DataFrame:
+def one_hot_observed(df: DataFrame, columns: list[str], max_levels: int | None = None) -> DataFrame:
     return one_hot(df, observed_levels(df, columns, max_levels))
 
 

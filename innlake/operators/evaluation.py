@@ -54,5 +54,6 @@ def leaderboard(df: DataFrame, label: str, candidates: dict[str, Column]) -> Dat
 
 
 def champion(scores: DataFrame, metric: str) -> DataFrame:
-    """Best candidate; a tie keeps the earlier one, a missing metric loses."""
-    return scores.orderBy(F.col(metric).desc_nulls_last(), F.col("ordinal").asc()).limit(1)
+    """Best candidate; a tie keeps the earlier one, a missing or NaN metric loses."""
+    known = F.when(~F.isnan(metric), F.col(metric))
+    return scores.orderBy(known.desc_nulls_last(), F.col("ordinal").asc()).limit(1)

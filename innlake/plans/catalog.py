@@ -350,9 +350,22 @@ def load_append(spark, sf):
     table.overwrite(conform.to_warehouse_names(_price(spark, sf)))
     feed = conform.to_warehouse_names(monthly_price(spark, sf))
     reordered = feed.select(*reversed(feed.columns))
-    table.append(reordered.filter(F.col("arrival_date_year") <= YEAR), 1)
+    table.append(reordered.filter(F.col("arrival_date_year") <= YEAR), 1, "feed")
     for _ in range(2):
-        table.append(reordered.filter(F.col("arrival_date_year") > YEAR), 2)
+        table.append(reordered.filter(F.col("arrival_date_year") > YEAR), 2, "feed")
+    return table.scan()
+
+
+def append_writers(spark, sf):
+    """A stream, a replay and a second stream append under the same batch ids, each of them twice."""
+    table = Table(spark, session.scratch_path(spark, "writers"), ingest.PRICE_NAME)
+    table.overwrite(conform.to_warehouse_names(_price(spark, sf)))
+    feed = conform.to_warehouse_names(monthly_price(spark, sf))
+    for _ in range(2):
+        for i, writer in enumerate(("stream-a", "files", "stream-b")):
+            part = feed.filter(F.col("arrival_date_year") % 3 == i)
+            table.append(part.filter("lead_time < 200"), 1, writer)
+            table.append(part.filter("lead_time >= 200"), 2, writer)
     return table.scan()
 
 
@@ -588,6 +601,7 @@ QUERIES: dict[str, Query] = {
     "regression_metrics": regression_metrics, "classification_metrics": classification_metrics,
     "knn_classify": knn_classify, "csv_roundtrip": csv_roundtrip, "csv_parse_lines": csv_parse_lines,
     "message_encode": message_encode, "load_overwrite": load_overwrite, "load_append": load_append,
+    "append_writers": append_writers,
     "scan_all": scan_all, "frame_messages": frame_messages,
     "frame_messages_unreset": frame_messages_unreset,
     "monthly_buckets": _event_buckets("month"), "quarterly_buckets": _event_buckets("quarter"),

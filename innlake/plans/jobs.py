@@ -50,14 +50,16 @@ def batch_etl_from_csv(
 
 def monthly_etl(
     spark: SparkSession, path: str, batch_id: int, warehouse: str, store: ModelStore,
+    writer: str = "files",
 ) -> None:
     """Load one monthly CSV directly, scored by the current champions.
 
-    Also the way to replay a month whose messages never arrived: the same
-    batch id replaces what an earlier attempt wrote.
+    Also the way to replay a month whose messages never arrived: the same batch
+    id replaces what an earlier attempt of this writer wrote, never what a
+    stream wrote.
     """
     append_month(
-        read_csv(spark, path, MONTHLY), batch_id, warehouse,
+        read_csv(spark, path, MONTHLY), batch_id, writer, warehouse,
         price_scorer(store.load(PRICE_MODEL)), cancel_scorer(store.load(CANCEL_MODEL)))
 
 

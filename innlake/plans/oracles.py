@@ -435,6 +435,7 @@ FROM ends WHERE n > 0 AND value NOT IN ('START', 'END')""",
         "stream_ingest": _with(_BOOKINGS, _MONTHLY)
         + f"\nSELECT * EXCLUDE (is_canceled), {_FORMULA} AS predicted FROM monthly",
     }
+    sql["append_writers"] = sql["load_append"]
     for name, unit in (("monthly_buckets", "month"), ("quarterly_buckets", "quarter")):
         sql[name] = f"""SELECT CAST(date_trunc('{unit}', ts) AS DATE) AS period_start, count(*) AS n_events,
             round(sum(value), 4) AS total_value FROM events GROUP BY 1"""

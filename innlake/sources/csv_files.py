@@ -36,8 +36,12 @@ def _typed(column: str, kind: T.DataType, strict: bool) -> str:
     if isinstance(kind, T.StringType):
         value = present
     elif isinstance(kind, (T.IntegerType, T.LongType)):
-        whole = f"coalesce(try_cast({present} as bigint), {cast}({cast}({present} as double) as bigint))"
-        value = f"{cast}({whole} as {target})"
+        # Text with a fraction is no integer: it goes through a decimal that must be whole.
+        number = f"try_cast({present} as double)"
+        fraction = f"{number} is not null and {number} <> floor({number})"
+        refused = f"cast(concat('not whole: ', {present}) as bigint)" if strict else "null"
+        whole = f"if({fraction}, {refused}, {cast}({cast}({present} as double) as bigint))"
+        value = f"{cast}(coalesce(try_cast({present} as bigint), {whole}) as {target})"
     else:
         value = f"{cast}({present} as {target})"
     return f"{value} as {name(column)}"
@@ -76,6 +80,28 @@ def csv_line(columns: list[str]) -> Column:
     return F.to_csv(F.struct(*[F.col(f"`{c}`") for c in columns]), _DIALECT)
 
 
+def parse_csv_messages(df: DataFrame, value: str, schema: T.StructType) -> DataFrame:
+    """One row for each message, typed where possible, with `reason`: why it can't be taken, or NULL.
+
+    A message is one record, line breaks inside quotes included; messages that
+    are blank or the header are dropped, other columns and the message are kept.
+    """
+    ddl = ", ".join(f"`{f.name}` string" for f in schema)
+    rows = df.filter(~F.trim(value).isin("", csv_header(schema.names)))
+    read = F.from_csv(F.col(value), f"{ddl}, `_misread` string", {**_DIALECT, "columnNameOfCorruptRecord": "_misread"})
+    parsed = rows.select("*", F.inline(F.array(read)))
+    raw = [f"{name(f.name)} as {name('_raw_' + f.name)}" for f in schema]
+    others = [name(c) for c in df.columns]
+    typed = parsed.selectExpr(*others, "_misread", *raw, *typed_columns(schema, strict=False))
+    tokens = ", ".join(map(text, MISSING_TOKENS))
+    unread = [
+        f"if({name(f.name)} is null and trim({name('_raw_' + f.name)}) not in ({tokens}), {text(f.name)}, null)"
+        for f in schema if not isinstance(f.dataType, T.StringType)]
+    reason = ("case when _misread is not null then 'wrong number of fields' when size({0}) > 0 "
+              "then concat('unreadable: ', array_join({0}, ' ')) end").format(f"array_compact(array({', '.join(unread)}))")
+    return typed.selectExpr(*others, *[name(f.name) for f in schema], f"{reason} as reason")
+
+
 def parse_csv_lines(
     df: DataFrame, value: str, schema: T.StructType, strict: bool = True,
 ) -> DataFrame:

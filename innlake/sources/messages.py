@@ -5,7 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from innlake.operators.frames import END, START
 from innlake.schemas import MESSAGES
+from innlake.sources.csv_files import csv_header, csv_line
+
+
+def frame_rows(df: DataFrame, columns: list[str], group: str, order: str) -> DataFrame:
+    """Rows as messages: (group, position, value) with START, header, CSV rows and END for each group.
+
+    order is a number that is unique in its group and not negative; START and the
+    header come before it, END after it, so no pass over the rows orders them.
+    """
+    rows = df.select(F.col(group).alias("group"), F.col(order).cast("bigint").alias("position"),
+                     csv_line(columns).alias("value"))
+    control = F.array(*[F.struct(F.lit(p).cast("bigint").alias("position"), F.lit(v).alias("value"))
+                        for p, v in ((-2, START), (-1, csv_header(columns)))])
+    last = rows.groupBy("group").agg(F.max("position").alias("last"))
+    opening = last.select("group", F.inline(control))
+    closing = last.select("group", (F.col("last") + 1).alias("position"), F.lit(END).alias("value"))
+    return rows.unionByName(opening).unionByName(closing)
 
 
 def encode_values(messages: DataFrame) -> DataFrame:

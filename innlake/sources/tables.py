@@ -1,12 +1,13 @@
 """Warehouse-style Parquet tables: declared schema, overwrite, append by name.
 
-An append replaces the partition of its own batch, so a retried batch never
-adds rows twice.
+An append replaces the partition of its own writer and batch, so a retried
+batch never adds rows twice and writers never touch each other's rows.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from pyspark.sql import types as T
 
 from innlake.functions.sqltext import name
 
-BATCH = "batch_id"
+WRITER, BATCH = "writer", "batch_id"
+LOAD = "load"
 POINTER = "version int, schema string"
 
 
@@ -41,7 +43,7 @@ def conform_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 class Table:
     """A named table below the warehouse folder.
 
-    Rows live in `<table>/v<version>/batch_id=<n>`. An overwrite fills a new
+    Rows live in `<table>/v<version>/writer=<name>/batch_id=<n>`. An overwrite fills a new
     version and then adds a pointer row with its schema, so readers see either
     the old or the new table, and a job that dies half-way leaves the old one.
     """
@@ -82,24 +84,30 @@ class Table:
             version = self._current()[0] + 1
         except TableMissingError:
             version = 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v{version}/{BATCH}=0")
+        df.write.mode("overwrite").parquet(f"{self.path}/v{version}/{WRITER}={LOAD}/{BATCH}=0")
         pointer = self.spark.createDataFrame([(version, df.schema.json())], POINTER)
         pointer.coalesce(1).write.mode("append").parquet(f"{self.path}.pointers")
 
-    def append(self, df: DataFrame, batch_id: int) -> None:
-        """Add rows by column name under the batch's own partition."""
+    def append(self, df: DataFrame, batch_id: int, writer: str) -> None:
+        """Add rows by column name under the writer's own batch.
+
+        Batch ids count within a writer. A writer that repeats one replaces what
+        it wrote under it; a different source of rows needs a name of its own.
+        """
         if batch_id < 1:
             raise ValueError("batch ids of appends start at 1; 0 is the overwrite load")
+        if writer == LOAD or not re.fullmatch(r"[A-Za-z0-9._-]+", writer):
+            raise ValueError(f"{writer!r} is no name for a writer")
         version, schema = self._current()
         rows = conform_to_schema(df, schema)
-        rows.write.mode("overwrite").parquet(f"{self.path}/v{version}/{BATCH}={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/v{version}/{WRITER}={writer}/{BATCH}={batch_id}")
 
     def batches(self) -> DataFrame:
-        """All rows with the batch they came with."""
+        """All rows with the writer and the batch they came with."""
         # The known schema spares a footer scan over every stored file.
         version, schema = self._current()
-        stored = T.StructType([*schema, T.StructField(BATCH, T.LongType())])
+        stored = T.StructType([*schema, T.StructField(WRITER, T.StringType()), T.StructField(BATCH, T.LongType())])
         return self.spark.read.schema(stored).parquet(f"{self.path}/v{version}")
 
     def scan(self) -> DataFrame:
-        return self.batches().drop(BATCH)
+        return self.batches().drop(WRITER, BATCH)

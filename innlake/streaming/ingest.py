@@ -8,46 +8,60 @@ micro-batch's id in overwrite mode, so a replayed batch gives the same files.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from innlake.learners.scoring import Scorer
-from innlake.operators.cleaning import missing_rates
 from innlake.operators.conform import conform, monthly_features, to_warehouse_names
 from innlake.operators.frames import BLOCK_SPAN, END, START, tag_frames
 from innlake.schemas import CANCEL_TABLE, MONTHLY, PRICE_TABLE
-from innlake.sources.csv_files import parse_csv_lines
+from innlake.sources.csv_files import parse_csv_messages
 from innlake.sources.tables import Table
 
 STATE = "topic string, partition int, frames_started bigint, open boolean, open_since bigint"
 PENDING = "topic string, partition int, frame_id bigint, offset bigint, value string, batch_id bigint"
 LOG = ["topic", "partition"]
 
+REJECTED = T.StructType([*MONTHLY, T.StructField("line", T.StringType()), T.StructField("reason", T.StringType())])
+WRITER = "writer string"
+
 PRICE_NAME, CANCEL_NAME, REJECTED_NAME = (
     "hotel_booking_ml_price", "hotel_booking_ml_cancel", "rejected_bookings")
 
 
-def append_month(rows: DataFrame, batch_id: int, warehouse: str, price: Scorer, cancel: Scorer) -> None:
-    """Clean, encode, score twice, append twice; rows without a rate are kept
-    apart in the rejected table."""
+def append_month(
+    rows: DataFrame, batch_id: int, writer: str, warehouse: str, price: Scorer, cancel: Scorer,
+) -> None:
+    """Clean, encode, score twice, append twice.
+
+    Rows that can't be used are kept apart in the rejected table with the
+    reason: no rate, or what the `reason` column says, if there is one; `line`
+    is the message that a row came from, if any.
+    """
     spark = rows.sparkSession
     rejected = Table(spark, warehouse, REJECTED_NAME)
     if not rejected.exists():
-        rejected.create(MONTHLY)
+        rejected.create(REJECTED)
+    for column in ("line", "reason"):
+        if column not in rows.columns:
+            rows = rows.withColumn(column, F.lit(None).cast("string"))
+    rows = rows.withColumn("reason", F.coalesce("reason", F.when(F.col("adr").isNull(), "no rate")))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rejected.append(missing_rates(rows), batch_id)
-        shared = monthly_features(rows)
+        rejected.append(rows.filter("reason is not null").select(*REJECTED.names), batch_id, writer)
+        shared = monthly_features(rows.filter("reason is null").select(*MONTHLY.names))
         for name, template, score in (
             (PRICE_NAME, PRICE_TABLE, price), (CANCEL_NAME, CANCEL_TABLE, cancel),
         ):
             scored = score(conform(shared, template))
-            Table(spark, warehouse, name).append(to_warehouse_names(scored), batch_id)
+            Table(spark, warehouse, name).append(to_warehouse_names(scored), batch_id, writer)
     finally:
         rows.unpersist()
 
@@ -106,7 +120,10 @@ class FrameAssembler:
             )
             complete = data.filter(F.col("next_control") == END).drop("next_control")
             waiting = self._waiting(spark, closing, batch_id)
-            self.emit(complete if waiting is None else complete.unionByName(waiting), batch_id)
+            if waiting is not None:
+                complete = complete.unionByName(waiting)
+            if not complete.isEmpty():
+                self.emit(complete, batch_id)
             is_open = F.coalesce(F.col("last_control") == START, F.col("open"), F.lit(False))
             (state.join(seen, LOG, "full").select(
                 *LOG,
@@ -119,19 +136,39 @@ class FrameAssembler:
             tagged.unpersist()
 
 
+def writer_name(spark: SparkSession, root: str) -> str:
+    """The name under which the stream with this root appends; made once, kept with its checkpoint."""
+    path = f"{root}/writer"
+    try:
+        return spark.read.schema(WRITER).parquet(path).first()["writer"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    name = f"stream-{uuid.uuid4().hex}"
+    spark.createDataFrame([(name,)], WRITER).coalesce(1).write.parquet(path)
+    return name
+
+
 def start_ingest(
-    messages: DataFrame, root: str, warehouse: str, price: Scorer, cancel: Scorer,
-    block_span: int = BLOCK_SPAN, **trigger,
+    messages: DataFrame, root: str, warehouse: str, price: Scorer | Callable[[], Scorer],
+    cancel: Scorer | Callable[[], Scorer], block_span: int = BLOCK_SPAN, current: bool = False, **trigger,
 ) -> StreamingQuery:
     """Run the monthly ETL on every frame the stream closes.
 
-    root holds the stream's own files (checkpoint, state, waiting rows); the
-    feature tables must exist in the warehouse. trigger is passed on, by
-    default everything available is processed and the query ends.
+    root holds the stream's own files (checkpoint, state, waiting rows, its
+    writer's name); the feature tables must exist in the warehouse. With
+    current, price and cancel are functions that give the scorer, asked anew
+    for each micro-batch with closed frames, so that a promotion reaches a
+    running stream. trigger is passed on, by default everything available is
+    processed and the query ends. A message that is no booking goes to the
+    rejected table and stops nothing.
     """
+    writer = writer_name(messages.sparkSession, root)
+
     def emit(frames: DataFrame, batch_id: int) -> None:
-        rows = parse_csv_lines(frames.select("value"), "value", MONTHLY)
-        append_month(rows, batch_id + 1, warehouse, price, cancel)
+        rows = parse_csv_messages(frames.select(F.col("value").alias("line")), "line", MONTHLY)
+        append_month(rows, batch_id + 1, writer, warehouse, price() if current else price,
+                     cancel() if current else cancel)
 
     return (messages.writeStream
             .foreachBatch(FrameAssembler(f"{root}/frames", emit, block_span))

@@ -71,7 +71,7 @@ def test_month_keeps_rows_without_rate_apart(spark):
     empty_tables(spark, warehouse)
     row = {**{n: booking_row().get(n) for n in MONTHLY_COLUMNS}, "Booking_ID": "INN00001"}
     rows = frame(spark, [row, {**row, "Booking_ID": "INN00002", "adr": None}], MONTHLY)
-    append_month(rows, 1, warehouse, unscored, unscored)
+    append_month(rows, 1, "files", warehouse, unscored, unscored)
     assert [r.Booking_ID for r in Table(spark, warehouse, PRICE_NAME).scan().collect()] == [1]
     assert [r.Booking_ID for r in Table(spark, warehouse, REJECTED_NAME).scan().collect()] == ["INN00002"]
 

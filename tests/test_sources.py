@@ -54,16 +54,16 @@ def test_overwrite_replaces_schema_and_append_is_by_name_and_idempotent(spark):
     table = Table(spark, scratch_path(spark, "warehouse"), "t")
     one = spark.createDataFrame([(1, "a")], "k int, `a b/c` string")
     with pytest.raises(TableMissingError):
-        table.append(one, 1)
+        table.append(one, 1, "w")
     assert not table.exists()
     table.overwrite(spark.createDataFrame([(1,)], "other int"))
     table.overwrite(one)
     swapped = spark.createDataFrame([("b", 2)], "`a b/c` string, k int")
     for _ in range(2):
-        table.append(swapped, 1)
+        table.append(swapped, 1, "w")
     assert sorted(tuple(r) for r in table.scan().collect()) == [(1, "a"), (2, "b")]
     with pytest.raises(SchemaMismatchError):
-        table.append(spark.createDataFrame([(1,)], "k int"), 2)
+        table.append(spark.createDataFrame([(1,)], "k int"), 2, "w")
     table.overwrite(one)
     assert table.scan().count() == 1
 
