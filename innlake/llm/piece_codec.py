@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innlake.llm import units
-from innlake.llm.chunk_codes import ChunkCodes
+from innlake.llm.chunk_codes import ChunkCodes, by_lists, gap_starts
 
 MARK = "▁"
 # Fixed values of the model format: kinds of models and of pieces.
@@ -161,7 +161,7 @@ class Codec:
             import sentencepiece
 
             self._reference = sentencepiece.SentencePieceProcessor(model_file=path)
-        self._codes = ChunkCodes(self._encode, np.int32)
+        self._codes = ChunkCodes(by_lists(self._encode), np.int32)
         pieces = [self._surface(p, kind) for p, _, kind in self.model.pieces]
         self._bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self._ends = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
@@ -196,7 +196,7 @@ class Codec:
                 literal = (data[:-2] == mark[0]) & (data[1:-1] == mark[1]) & (data[2:] == mark[2])
                 for i in range(3):
                     gaps[i: len(data) - 2 + i] |= literal
-        return self._codes.encode(data, offsets, gaps, " " if self.model.dummy_prefix else "")
+        return self._codes.encode(data, offsets, gap_starts(gaps), " " if self.model.dummy_prefix else "")
 
     def normal(self, texts: list[str]) -> list[str]:
         return texts if self._normalise is None else [self._normalise(t) for t in texts]

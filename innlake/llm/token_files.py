@@ -13,10 +13,12 @@ worth of records and an empty result.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innlake.llm import units
-from innlake.llm.chunk_codes import ChunkCodes
+from innlake.llm.chunk_codes import ChunkCodes, by_lists, gap_starts
 from innlake.llm.record_files import read_all, write_records
 from innlake.session import scratch_path
 
@@ -33,11 +35,46 @@ END = 1
 #: Bytes of text in a file, about.
 FILE_BYTES = 24 << 20
 
-_encoders: dict[str, tuple[ChunkCodes, type]] = {}
+# Fixed value: a pre-tokenizer's pattern under which a letter and an ASCII sign next to it are never in one token.
+_LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+_BORDER = "\x1e"
 
-def _encoder(path: str) -> tuple[ChunkCodes, type]:
-    """One per worker and tokenizer; white space must be a boundary for the tokenizer."""
+_ascii = np.arange(128)
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_SIGN = np.zeros(256, bool)
+_SIGN[33:127] = ~(_LETTER[33:127] | ((_ascii[33:127] >= 48) & (_ascii[33:127] < 58)))
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+
+
+@dataclass(frozen=True)
+class _Encoder:
+    """Encoder of one tokenizer; white space must be a boundary for it."""
+
+    codes: ChunkCodes
+    width: type
+    lowers: bool
+    letters_apart: bool
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.lowers:
+            data = _FOLD[data]
+        cuts = gap_starts(units.SPACE[data])
+        if self.letters_apart:
+            letter = _LETTER[data]
+            # Two-byte Latin letters: U+00C0 to U+00FF without the two signs among them.
+            letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+            cuts[1:] |= letter[:-1] & _SIGN[data[1:]]
+        return self.codes.encode(data, offsets, cuts)
+
+
+_encoders: dict[str, _Encoder] = {}
+
+
+def _encoder(path: str) -> _Encoder:
+    """One per worker and tokenizer."""
     if path not in _encoders:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -45,10 +82,26 @@ def _encoder(path: str) -> tuple[ChunkCodes, type]:
         tokenizer = Tokenizer.from_file(path)
         width = np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
 
-        def encode(chunks: list[str]) -> list[list[int]]:
+        def alone(chunks: list[str]) -> list[list[int]]:
             return [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
-        _encoders[path] = ChunkCodes(encode, width), width
+        border = alone([_BORDER])[0]
+
+        def together(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            """All chunks as one text, with a sign between them that is a token of its own."""
+            if len(border) == 1:
+                ids = np.array(alone([f" {_BORDER} ".join(chunks)])[0], np.int64)
+                at = np.flatnonzero(ids == border[0])
+                if len(at) == len(chunks) - 1:
+                    return np.delete(ids, at), np.diff(at, prepend=-1, append=len(ids)) - 1
+            return by_lists(alone)(chunks)  # the sign isn't one token, or a chunk has it
+
+        rules = json.loads(tokenizer.to_str())["pre_tokenizer"] or {}
+        first = (rules.get("pretokenizers") or [rules])[0]
+        _encoders[path] = _Encoder(
+            ChunkCodes(together, width), width,
+            tokenizer.normalizer is not None and tokenizer.normalizer.normalize_str("AZ") == "az",
+            first.get("type") == "Split" and first.get("pattern") == {"Regex": _LETTERS_APART})
     return _encoders[path]
 
 
@@ -75,7 +128,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, key: str = "doc_id", tex
     files = 1 + total // FILE_BYTES
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, width = _encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         task = TaskContext.get()
         name = f"part-{task.partitionId():06d}"
         n_ids = 0
@@ -85,10 +138,10 @@ def write(docs: DataFrame, tokenizer: str, folder: str, key: str = "doc_id", tex
             for batch in batches:
                 data, offsets = units.flat(batch.column("body"))
                 names = batch.column("name").to_pylist()
-                for first, part, own in units.chunks(data, offsets, 8 << 20):
-                    ids, ends = codes.encode(part, own, units.SPACE[part])
+                for first, part, own in units.chunks(data, offsets, 4 << 20):
+                    ids, ends = encoder.encode(part, own)
                     for i in range(len(own) - 1):
-                        piece = np.append(ids[ends[i]: ends[i + 1]], np.asarray(end, width))
+                        piece = np.append(ids[ends[i]: ends[i + 1]], np.asarray(end, encoder.width))
                         n_ids += len(piece)
                         yield _payload(names[first + i], piece)
 
