@@ -11,7 +11,7 @@ from sentencepiece import sentencepiece_model_pb2 as proto
 from tokenizers import Tokenizer
 
 from innlake.llm import piece_codec, record_files, token_files
-from innlake.llm.chunk_codes import ChunkCodes
+from innlake.llm.chunk_codes import ChunkCodes, by_lists, gap_starts
 from innlake.llm.units import SPACE
 from tests.llm import cases
 
@@ -63,11 +63,11 @@ def test_token_files_of_no_documents(spark, tmp_path):
 
 def test_remembering_few_chunks_changes_nothing():
     tokenizer = Tokenizer.from_file(WORD)
-    codes = ChunkCodes(lambda c: [e.ids for e in tokenizer.encode_batch(c, add_special_tokens=False)], np.uint16, 5)
+    codes = ChunkCodes(by_lists(lambda c: [e.ids for e in tokenizer.encode_batch(c, add_special_tokens=False)]), np.uint16, 5)
     texts = [t or "" for _, t, *_ in cases.rows()]
-    for some in (texts, texts[::-1], [""], []):
+    for some in (texts, texts[::-1], ["a\x1eb \x1e c"], [""], []):
         data, offsets = joined(some)
-        ids, ends = codes.encode(data, offsets, SPACE[data])
+        ids, ends = codes.encode(data, offsets, gap_starts(SPACE[data]))
         assert [ids[a:z].tolist() for a, z in zip(ends[:-1], ends[1:])] == [
             tokenizer.encode(t, add_special_tokens=False).ids for t in some]
 
