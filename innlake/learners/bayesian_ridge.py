@@ -10,13 +10,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The usual defaults of the method.
 PRIOR = 1e-6
 MAX_ROUNDS = 300
 TOLERANCE = 1e-3
+_SAVED = "features array<string>, coefficients array<double>, intercept double"
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,14 @@ class LinearFormula:
     coefficients: list[float]
     intercept: float
 
+    def save(self, path: str) -> None:
+        row = SparkSession.active().createDataFrame([(self.features, self.coefficients, self.intercept)], _SAVED)
+        row.coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LinearFormula:
+        return cls(*spark.read.schema(_SAVED).parquet(path).first())
+
     def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         terms = [F.col(f"`{c}`") * F.lit(float(w)) for c, w in zip(self.features, self.coefficients)]
         return df.withColumn(output, sum(terms, F.lit(float(self.intercept))))

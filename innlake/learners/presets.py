@@ -15,7 +15,6 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from innlake.schemas import ONE_HOT, VOCABULARY, indicator
 
@@ -56,9 +55,15 @@ def _plain(columns: list[str], estimator: Estimator) -> Pipeline:
     return Pipeline(stages=[assemble(columns), estimator])
 
 
+#: Deepest trees that MLlib grows; the published forests have no bound.
+DEEPEST = 30
+#: Memory for the statistics of the nodes that one pass over the rows splits.
+_FOREST_MB = 1024
+
+
 def regressor(
     name: str, columns: list[str], label: str, rounds: int = 100, trees: int = 100,
-    forest_depth: int = 12,
+    forest_depth: int = DEEPEST,
 ) -> Pipeline:
     """Price models by name."""
     common = {"featuresCol": FEATURES, "labelCol": label}
@@ -70,7 +75,7 @@ def regressor(
             **common, regParam=1.0, elasticNetParam=0.5, standardization=False))
     if name == "random_forest":
         return _plain(columns, RandomForestRegressor(
-            **boosted, numTrees=trees, maxDepth=forest_depth, featureSubsetStrategy="all"))
+            **boosted, numTrees=trees, maxDepth=forest_depth, featureSubsetStrategy="all", maxMemoryInMB=_FOREST_MB))
     if name == "gbt":
         return _plain(columns, GBTRegressor(**boosted, maxIter=rounds, maxDepth=3, stepSize=0.1))
     if name == "gbt_deep":
@@ -86,7 +91,7 @@ def regressor(
 
 def classifier(
     name: str, columns: list[str], label: str, rounds: int = 100, trees: int = 100,
-    forest_depth: int = 12, scaled: list[str] | None = None,
+    forest_depth: int = DEEPEST, scaled: list[str] | None = None,
 ) -> Pipeline:
     """Cancellation and price-band models by name.
 
@@ -108,15 +113,15 @@ def classifier(
             LogisticRegression(**common, maxIter=100, standardization=False),
         ])
     if name == "decision_tree":
-        return _plain(columns, DecisionTreeClassifier(**seeded, maxDepth=forest_depth))
+        return _plain(columns, DecisionTreeClassifier(**seeded, maxDepth=forest_depth, maxMemoryInMB=_FOREST_MB))
     if name == "random_forest":
         return _plain(columns, RandomForestClassifier(
-            **seeded, numTrees=trees, maxDepth=forest_depth, featureSubsetStrategy="sqrt"))
+            **seeded, numTrees=trees, maxDepth=forest_depth, featureSubsetStrategy="sqrt", maxMemoryInMB=_FOREST_MB))
     if name == "extra_trees":
         # Whole sample per tree and coarse bins stand in for random thresholds.
         return _plain(columns, RandomForestClassifier(
             **seeded, numTrees=trees, maxDepth=forest_depth, featureSubsetStrategy="sqrt",
-            bootstrap=False, maxBins=8))
+            bootstrap=False, maxBins=8, maxMemoryInMB=_FOREST_MB))
     if name == "gbt":
         return _plain(columns, GBTClassifier(**seeded, maxIter=rounds, maxDepth=3, stepSize=0.1))
     if name == "gbt_indexed":
@@ -128,9 +133,3 @@ def classifier(
         return _plain(columns, OneVsRest(classifier=one, parallelism=4, **common))
     raise KeyError(name)
 
-
-def predict(model, df: DataFrame, keep: list[str]) -> DataFrame:
-    """The kept columns and `prediction`; works for any fitted preset."""
-    return model.transform(df).select(*keep, F.col("prediction"))
-
-

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
+from innlake.learners.adaboost import AdaBoostModel
+from innlake.learners.bayesian_ridge import LinearFormula
 from innlake.learners.knn import KnnModel
 
+OWN_KINDS = {"knn": KnnModel, "adaboost": AdaBoostModel, "formula": LinearFormula}
+
 POINTER = "name string, version int, candidate string, kind string, path string, metric double"
 
 
@@ -55,20 +60,21 @@ class ModelStore:
             version = self.current(name).version + 1
         except NoChampionError:
             version = 1
+        if metric is None or math.isnan(metric):
+            raise ValueError(f"{candidate} has no metric")
         path = f"{self.root}/{name}/v{version}"
-        if isinstance(model, KnnModel):
-            kind = "knn"
+        kind = next((k for k, own in OWN_KINDS.items() if isinstance(model, own)), "pipeline")
+        if kind in OWN_KINDS:
             model.save(path)
         else:
-            kind = "pipeline"
             model.write().overwrite().save(path)
         chosen = Champion(name, version, candidate, kind, path, metric)
         row = self.spark.createDataFrame([tuple(vars(chosen).values())], POINTER)
         row.coalesce(1).write.mode("append").parquet(self._pointers(name))
         return chosen
 
-    def load(self, name: str) -> PipelineModel | KnnModel:
+    def load(self, name: str) -> PipelineModel | KnnModel | AdaBoostModel | LinearFormula:
         chosen = self.current(name)
-        if chosen.kind == "knn":
-            return KnnModel.load(self.spark, chosen.path)
+        if chosen.kind in OWN_KINDS:
+            return OWN_KINDS[chosen.kind].load(self.spark, chosen.path)
         return PipelineModel.load(chosen.path)

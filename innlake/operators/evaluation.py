@@ -32,6 +32,26 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
     )
 
 
+def regression_facts(train: DataFrame, scored: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Hold-out size and mean, the error of guessing the training mean, and whether the model's is lower."""
+    guess = train.agg(F.avg(label).alias("guess"))
+    error, plain = F.col(label) - F.col(prediction), F.col(label) - F.col("guess")
+    return scored.crossJoin(F.broadcast(guess)).agg(  # one row
+        F.count("*").alias("n_rows"), F.round(F.avg(label), 6).alias("label_mean"),
+        F.round(F.avg(plain * plain), 6).alias("baseline_mse"),
+        (F.avg(error * error) < F.avg(plain * plain)).alias("beats_baseline"))
+
+
+def classification_facts(train: DataFrame, scored: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Hold-out size and classes, the accuracy of guessing the commonest training class, and whether the model's is higher."""
+    guess = train.groupBy(F.col(label).alias("guess")).count().orderBy(F.desc("count"), "guess").limit(1).select("guess")
+    right, plain = F.col(label) == F.col(prediction), F.col(label) == F.col("guess")
+    return scored.crossJoin(F.broadcast(guess)).agg(  # one row
+        F.count("*").alias("n_rows"), F.count_distinct(label).alias("n_classes"),
+        F.round(F.avg(plain.cast("double")), 6).alias("baseline_accuracy"),
+        (F.avg(right.cast("double")) > F.avg(plain.cast("double"))).alias("beats_baseline"))
+
+
 def leaderboard(df: DataFrame, label: str, candidates: dict[str, Column]) -> DataFrame:
     """R2 and MSE of several predictions of the same rows, in one aggregate.
 

@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from innlake import session
 from innlake.functions import scalars
 from innlake.learners import adaboost, bayesian_ridge, knn, presets, scoring
+from innlake.learners.store import ModelStore
 from innlake.operators import (
     cleaning, conform, encoding, evaluation, frames, profiling, scaling, splitting,
 )
+from innlake.plans import jobs
 from innlake.schemas import (
     BOOKINGS, CANCEL_INPUTS, CANCEL_PREDICTORS, CANCEL_TABLE, CANCEL_UNUSED, MARKET_SEGMENTS,
     MEALS, MONTHLY, NUMERIC_FEATURES, ONE_HOT, PRICE_INPUTS, PRICE_PREDICTORS,
@@ -36,9 +38,10 @@ QUARTER, YEAR = 3, 1997
 CATEGORICAL = list(VOCABULARY)
 # Segments whose indicators feed the principal components.
 PCA_COLUMNS = [indicator("market_segment", s) for s in ("Direct", "Groups", "Offline TA/TO", "Online TA")]
-# Sizes that keep a full training run of every learner short in a query; the
-# presets default to the published sizes.
-ROUNDS, TREES, DEPTH, BAND_ROUNDS = 20, 20, 8, 3
+# The published sizes: boosting rounds, trees, boosts of AdaBoost. Depth is MLlib's bound.
+ROUNDS, TREES, BOOSTS, DEPTH = 100, 100, 50, presets.DEEPEST
+# Training rows are dealt to as many partitions everywhere, so models don't depend on the cluster.
+PARTITIONS = 8
 
 
 def _price(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -423,14 +426,15 @@ def stream_ingest(spark, sf):
     return conform.from_warehouse_names(Table(spark, warehouse, ingest.PRICE_NAME).scan())
 
 
-# --- learners (rows only) -----------------------------------------------------
+# --- learners: facts about the hold-out that SQL can state --------------------
 
 def _price_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
     return splitting.train_test_split(_price(spark, sf), "Booking_ID")
 
 
 def _band_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
-    bands = _price(spark, sf).withColumn("adr_category", scalars.rate_category(F.col("adr")))
+    """Bands as labels 0 to 13: no learner meets a class without rows."""
+    bands = _price(spark, sf).withColumn("adr_category", scalars.rate_category(F.col("adr")) - 1)
     return splitting.train_test_split(bands, "Booking_ID")
 
 
@@ -440,12 +444,12 @@ def _cancel_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 @contextmanager
 def _held(df: DataFrame) -> Iterator[DataFrame]:
-    """The rows spread over the cores and kept for repeated reading.
+    """The rows dealt to a fixed number of partitions and kept for repeated reading.
 
     Boosting cuts its own lineage when a checkpoint folder is set.
     """
     session.ensure_checkpoint_dir(df.sparkSession)
-    held = session.balanced(df, "Booking_ID").persist(StorageLevel.MEMORY_AND_DISK)
+    held = session.spread(df, "Booking_ID", PARTITIONS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield held
     finally:
@@ -458,51 +462,56 @@ def _fitted(estimator, train: DataFrame, predictors: list[str], label: str):
         return estimator.fit(rows)
 
 
-def _regression_report(name: str, scored: DataFrame) -> DataFrame:
-    return evaluation.regression_metrics(scored, "adr", "prediction").withColumn("model", F.lit(name))
+def _regression_report(name: str, train: DataFrame, scored: DataFrame) -> DataFrame:
+    return evaluation.regression_facts(train, scored, "adr", "prediction").withColumn("model", F.lit(name))
 
 
 def _regression(name: str) -> Query:
     def query(spark, sf):
         train, test = _price_parts(spark, sf)
-        model = _fitted(
-            presets.regressor(name, PRICE_PREDICTORS, "adr", rounds=ROUNDS, trees=TREES, forest_depth=DEPTH),
-            train, PRICE_PREDICTORS, "adr")
-        return _regression_report(name, model.transform(test))
+        model = _fitted(presets.regressor(name, PRICE_PREDICTORS, "adr", rounds=ROUNDS, trees=TREES,
+                                          forest_depth=DEPTH), train, PRICE_PREDICTORS, "adr")
+        return _regression_report(name, train, model.transform(test))
     return query
 
 
+def reg_linear(spark, sf):
+    """Also the normal equations: the mean of residual times feature, the largest of all features, is 0."""
+    train, test = _price_parts(spark, sf)
+    model = _fitted(presets.regressor("linear", PRICE_PREDICTORS, "adr"), train, PRICE_PREDICTORS, "adr")
+    residual = F.col("adr") - F.col("prediction")
+    normal = model.transform(train).agg(F.round(F.greatest(
+        F.abs(F.avg(residual)), *[F.abs(F.avg(residual * F.col(f"`{c}`"))) for c in PRICE_PREDICTORS]), 3).alias("normal_residual"))
+    return _regression_report("linear", train, model.transform(test)).crossJoin(F.broadcast(normal))  # one row
+
+
 def reg_bayesian_ridge(spark, sf):
     train, test = _price_parts(spark, sf)
     with _held(train.select("Booking_ID", *PRICE_PREDICTORS, "adr")) as rows:
         model = bayesian_ridge.fit_bayesian_ridge(rows, PRICE_PREDICTORS, "adr")
-    return _regression_report("bayesian_ridge", model.transform(test))
+    return _regression_report("bayesian_ridge", train, model.transform(test))
 
 
-def _class_report(name: str, target: str, scored: DataFrame, label: str) -> DataFrame:
-    return evaluation.classification_metrics(scored, label, "prediction").withColumns(
+def _class_report(name: str, target: str, train: DataFrame, scored: DataFrame) -> DataFrame:
+    return evaluation.classification_facts(train, scored, target, "prediction").withColumns(
         {"model": F.lit(name), "target": F.lit(target)})
 
 
 def _cancel_class(name: str) -> Query:
     def query(spark, sf):
         train, test = _cancel_parts(spark, sf)
-        model = _fitted(
-            presets.classifier(name, CANCEL_PREDICTORS, "is_canceled", rounds=ROUNDS, trees=TREES,
-                               forest_depth=DEPTH),
-            train, CANCEL_PREDICTORS, "is_canceled")
-        return _class_report(name, "is_canceled", model.transform(test), "is_canceled")
+        model = _fitted(presets.classifier(name, CANCEL_PREDICTORS, "is_canceled", rounds=ROUNDS, trees=TREES,
+                                           forest_depth=DEPTH), train, CANCEL_PREDICTORS, "is_canceled")
+        return _class_report(name, "is_canceled", train, model.transform(test))
     return query
 
 
 def _band_class(name: str) -> Query:
     def query(spark, sf):
         train, test = _band_parts(spark, sf)
-        model = _fitted(
-            presets.classifier(name, PRICE_PREDICTORS, "adr_category", rounds=BAND_ROUNDS, trees=TREES,
-                               forest_depth=DEPTH),
-            train, PRICE_PREDICTORS, "adr_category")
-        return _class_report(name, "adr_category", model.transform(test), "adr_category")
+        model = _fitted(presets.classifier(name, PRICE_PREDICTORS, "adr_category", rounds=ROUNDS, trees=TREES,
+                                           forest_depth=DEPTH), train, PRICE_PREDICTORS, "adr_category")
+        return _class_report(name, "adr_category", train, model.transform(test))
     return query
 
 
@@ -513,57 +522,106 @@ def _both_targets(name: str) -> Query:
 
 
 def cls_adaboost(spark, sf):
-    train, test = _cancel_parts(spark, sf)
-    train = session.balanced(train, "Booking_ID")
-    stumps = adaboost.fit_adaboost(
-        presets.vectors(train, CANCEL_PREDICTORS, "is_canceled"), presets.FEATURES, "is_canceled",
-        [0.0, 1.0], rounds=10, max_depth=1)
-    scored = stumps.transform(presets.vectors(test, CANCEL_PREDICTORS, "is_canceled"))
-    report = _class_report("adaboost", "is_canceled", scored, "is_canceled")
-    train, test = _band_parts(spark, sf)
-    train = session.balanced(train, "Booking_ID")
-    deep = adaboost.fit_adaboost(
-        presets.vectors(train, PRICE_PREDICTORS, "adr_category"), presets.FEATURES, "adr_category",
-        [float(band) for band in range(1, len(scalars.RATE_EDGES))], rounds=BAND_ROUNDS, max_depth=DEPTH)
-    scored = deep.transform(presets.vectors(test, PRICE_PREDICTORS, "adr_category"))
-    return report.unionByName(_class_report("adaboost", "adr_category", scored, "adr_category"))
+    reports = []
+    for parts, predictors, label, classes, depth in (
+        (_cancel_parts, CANCEL_PREDICTORS, "is_canceled", 2, 1),
+        (_band_parts, PRICE_PREDICTORS, "adr_category", len(scalars.RATE_EDGES) - 1, DEPTH),
+    ):
+        train, test = parts(spark, sf)
+        rows = session.spread(presets.vectors(train, predictors, "Booking_ID", label), "Booking_ID", PARTITIONS)
+        model = adaboost.fit_adaboost(
+            rows, presets.FEATURES, label, [float(c) for c in range(classes)], rounds=BOOSTS, max_depth=depth)
+        scored = model.transform(presets.vectors(test, predictors, label))
+        reports.append(_class_report("adaboost", label, train, scored))
+    return reports[0].unionByName(reports[1])
 
 
 def cls_knn(spark, sf):
     train, test = _cancel_parts(spark, sf)
     rows = train.select("Booking_ID", "is_canceled", knn.feature_array(CANCEL_PREDICTORS).alias("features"))
-    model = knn.fit_knn(session.balanced(rows, "Booking_ID"), "Booking_ID", "features", "is_canceled")
-    scored = scoring.predictions(model, session.balanced(test, "Booking_ID"), CANCEL_PREDICTORS)
-    return _class_report("knn", "is_canceled", scored, "is_canceled")
+    model = knn.fit_knn(session.spread(rows, "Booking_ID", PARTITIONS), "Booking_ID", "features", "is_canceled")
+    scored = scoring.predictions(model, session.spread(test, "Booking_ID", PARTITIONS), CANCEL_PREDICTORS)
+    return _class_report("knn", "is_canceled", train, scored)
 
 
 def pca_scores(spark, sf):
+    """All components of the scores: centred, uncorrelated, with the columns' total variance."""
     rows = _price(spark, sf).select("Booking_ID", *PCA_COLUMNS)
     with _held(rows) as held:
-        model = scaling.fit_pca(held, PCA_COLUMNS, k=2)
-    scored = model.transform(rows)
+        model = scaling.fit_pca(held, PCA_COLUMNS, k=len(PCA_COLUMNS))
     scores = vector_to_array("pca_scores")
-    return scored.select("Booking_ID", scores[0].alias("pc1"), scores[1].alias("pc2"))
+    names = [f"pc{i}" for i in range(len(PCA_COLUMNS))]
+    wide = model.transform(rows).select(*[scores[i].alias(n) for i, n in enumerate(names)])
+    pairs = [(x, y) for i, x in enumerate(names) for y in names[:i]]
+    return wide.agg(
+        F.count("*").alias("n_rows"),
+        F.round(F.greatest(*[F.abs(F.avg(n)) for n in names]), 6).alias("largest_mean"),
+        F.round(F.greatest(*[F.abs(F.covar_samp(x, y)) for x, y in pairs]), 6).alias("largest_covariance"),
+        F.round(sum((F.var_samp(n) for n in names), F.lit(0.0)), 6).alias("total_variance"))
 
 
 def pca_variance(spark, sf):
+    """Ratios sum to 1; the eigenvalues' squares are the squared norm of the correlation matrix."""
     with _held(_price(spark, sf).select("Booking_ID", *PCA_COLUMNS)) as rows:
         model = scaling.fit_pca(rows, PCA_COLUMNS, k=len(PCA_COLUMNS), unit_variance=True)
     ratios = model.stages[-1].explainedVariance.toArray().tolist()
-    return spark.createDataFrame(list(enumerate(ratios, start=1)), "component int, ratio double")
+    frame = spark.createDataFrame([(r,) for r in ratios], "ratio double")
+    return frame.agg(F.count("*").alias("n_components"), F.round(F.sum("ratio"), 6).alias("ratio_sum"),
+                     F.round(F.sum((F.col("ratio") * len(PCA_COLUMNS)) ** 2), 6).alias("squared_norm"))
+
+
+def _score_report(scored: DataFrame) -> DataFrame:
+    return scored.agg(F.count("*").alias("n_rows"), F.count("predicted").alias("n_scored"),
+                      F.round(F.sum(F.col("adr").cast("double")), 4).alias("total_adr"))
 
 
 def score_price(spark, sf):
+    """Monthly rows that the model wasn't trained on, scored."""
     train, _ = _price_parts(spark, sf)
     model = _fitted(presets.regressor("linear", PRICE_PREDICTORS, "adr"), train, PRICE_PREDICTORS, "adr")
-    return conform.to_warehouse_names(scoring.price_scorer(model)(monthly_price(spark, sf)))
+    _, test = splitting.train_test_split(monthly_price(spark, sf), "Booking_ID")
+    return _score_report(scoring.price_scorer(model)(test))
 
 
 def score_cancel(spark, sf):
+    """The same for cancellations; a prediction that is no class counts as missing."""
     train, _ = _cancel_parts(spark, sf)
     model = _fitted(
         presets.classifier("logistic", CANCEL_PREDICTORS, "is_canceled"), train, CANCEL_PREDICTORS, "is_canceled")
-    return conform.to_warehouse_names(scoring.cancel_scorer(model)(monthly_cancel(spark, sf)))
+    _, test = splitting.train_test_split(monthly_cancel(spark, sf), "Booking_ID")
+    scored = scoring.cancel_scorer(model)(test)
+    return _score_report(scored.withColumn("predicted", F.when(F.col("predicted").isin(0, 1), F.col("predicted"))))
+
+
+def retrain_champion(spark, sf):
+    """Fit, rank, promote and reload on stored tables: whether the promoted model is the board's best, and how
+    many hold-out rows the reloaded one scores otherwise than a fit of its own candidate."""
+    root = session.scratch_path(spark, "retrain")
+    Table(spark, root, ingest.PRICE_NAME).overwrite(conform.to_warehouse_names(_price(spark, sf)))
+    Table(spark, root, ingest.CANCEL_NAME).overwrite(conform.to_warehouse_names(_cancel(spark, sf)))
+    store = ModelStore(spark, f"{root}/models")
+    names = {"price": ["linear", "elastic_net"], "cancel": ["logistic", "logistic_scaled"]}
+    promoted = jobs.retrain(spark, root, store, YEAR, QUARTER, price_candidates=names["price"],
+                            cancel_candidates=names["cancel"], partitions=PARTITIONS)
+    reports = []
+    for target, parts, predictors, label, preset, metric in (
+        ("price", _price_parts, PRICE_PREDICTORS, "adr", presets.regressor, evaluation.regression_metrics),
+        ("cancel", _cancel_parts, CANCEL_PREDICTORS, "is_canceled", presets.classifier, evaluation.classification_metrics),
+    ):
+        train, test = parts(spark, sf)
+        key = "r2" if target == "price" else "accuracy"
+        board = {}
+        for name in names[target]:
+            scored = _fitted(preset(name, predictors, label), train, predictors, label).transform(test)
+            board[name] = metric(scored, label, "prediction").first()[key]
+            if name == promoted[target].candidate:
+                again = scored.select("Booking_ID", F.col("prediction").alias("fitted"))
+        loaded = store.load(target).transform(test).select("Booking_ID", F.col("prediction").alias("loaded"))
+        best = abs(max(board.values()) - promoted[target].metric) < 1e-9
+        reports.append(loaded.join(again, "Booking_ID").agg(
+            F.lit(target).alias("target"), F.count("*").alias("n_rows"), F.lit(best).alias("best_promoted"),
+            F.count_if(F.abs(F.col("loaded") - F.col("fitted")) > 1e-6).alias("n_different")))
+    return reports[0].unionByName(reports[1])
 
 
 def model_roundtrip(spark, sf):
@@ -607,7 +665,7 @@ QUERIES: dict[str, Query] = {
     "monthly_buckets": _event_buckets("month"), "quarterly_buckets": _event_buckets("quarter"),
     "stream_ingest": stream_ingest,
     "pca_scores": pca_scores, "pca_variance": pca_variance,
-    "reg_linear": _regression("linear"), "reg_elastic_net": _regression("elastic_net"),
+    "reg_linear": reg_linear, "reg_elastic_net": _regression("elastic_net"),
     "reg_random_forest": _regression("random_forest"), "reg_gbt": _regression("gbt"),
     "reg_gbt_deep": _regression("gbt_deep"), "reg_gbt_subsample": _regression("gbt_subsample"),
     "reg_gbt_indexed": _regression("gbt_indexed"), "reg_bayesian_ridge": reg_bayesian_ridge,
@@ -619,4 +677,5 @@ QUERIES: dict[str, Query] = {
     "cls_gbt_multiclass": _band_class("gbt_multiclass"), "cls_gbt_deep": _band_class("gbt_deep"),
     "cls_adaboost": cls_adaboost, "cls_knn": cls_knn,
     "score_price": score_price, "score_cancel": score_cancel, "model_roundtrip": model_roundtrip,
+    "retrain_champion": retrain_champion,
 }

@@ -16,7 +16,7 @@ from innlake.operators.conform import (
 from innlake.operators.evaluation import champion, classification_metrics, regression_metrics
 from innlake.operators.splitting import quarter_slice, train_test_split
 from innlake.schemas import CANCEL_PREDICTORS, LISTINGS, MONTHLY, PRICE_PREDICTORS
-from innlake.session import balanced, ensure_checkpoint_dir
+from innlake.session import ensure_checkpoint_dir, spread
 from innlake.sources.csv_files import read_csv
 from innlake.sources.tables import Table
 from innlake.streaming.ingest import CANCEL_NAME, PRICE_NAME, append_month
@@ -73,11 +73,12 @@ def _fit(name: str, train: DataFrame, predictors: list[str], label: str, regress
 
 def _contest(
     df: DataFrame, names: list[str], predictors: list[str], label: str, regression: bool, sizes: dict,
+    partitions: int | None,
 ) -> tuple[DataFrame, dict]:
     """Fit every candidate on the training rows and score the hold-out."""
     ensure_checkpoint_dir(df.sparkSession)
     train, test = train_test_split(df, "Booking_ID")
-    train = balanced(train, "Booking_ID").persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread(train, "Booking_ID", partitions).persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
     metric = "r2" if regression else "accuracy"
     try:
@@ -97,13 +98,15 @@ def _contest(
 def retrain(
     spark: SparkSession, warehouse: str, store: ModelStore, year: int, quarter: int,
     scope: str = "all", price_candidates: list[str] = PRICE_CANDIDATES,
-    cancel_candidates: list[str] = CANCEL_CANDIDATES, **sizes: int,
+    cancel_candidates: list[str] = CANCEL_CANDIDATES, partitions: int | None = None, **sizes: int,
 ) -> dict[str, Champion]:
     """Fit the candidates on the feature tables and promote the best of each.
 
     scope 'all' trains on everything stored so far, 'quarter' on the price rows
     of that quarter and on the cancellation rows scored since the batch load
-    (whose arrival year is 0, so it never matches a year).
+    (whose arrival year is 0, so it never matches a year). partitions deals the
+    training rows anew, for inputs of few files or for models that are the same
+    on every cluster.
     """
     if scope not in ("all", "quarter"):
         raise ValueError(f"unknown scope {scope}")
@@ -115,7 +118,7 @@ def retrain(
         df = from_warehouse_names(Table(spark, warehouse, table).scan())
         if scope == "quarter":
             df = quarter_slice(df, quarter, year)
-        board, models = _contest(df, names, predictors, label, regression, sizes)
+        board, models = _contest(df, names, predictors, label, regression, sizes, partitions)
         metric = "r2" if regression else "accuracy"
         winner = champion(board, metric).first()
         promoted[model] = store.promote(model, winner["candidate"], models[winner["candidate"]], winner[metric])

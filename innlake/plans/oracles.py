@@ -288,6 +288,54 @@ SELECT vec_id, label AS prediction FROM
 WHERE place = 1"""
 
 
+def _regression_facts(name: str, extra: str = "") -> str:
+    """Facts of a regression's hold-out; a fit that doesn't beat the training mean would differ."""
+    return f"""{_PRICES}, parts AS (SELECT adr, {_SPLIT} < 80 AS train FROM price),
+        base AS (SELECT avg(adr) AS guess FROM parts WHERE train)
+        SELECT '{name}' AS model, count(*) AS n_rows, {_r("avg(adr)")} AS label_mean,
+        {_r("avg((adr - guess) ** 2)")} AS baseline_mse, true AS beats_baseline{extra}
+        FROM parts, base WHERE NOT train"""
+
+
+def _class_facts(name: str, target: str, bands: str) -> str:
+    rows = f"{_CANCELS}, labelled AS (SELECT \"Booking_ID\", is_canceled AS label FROM cancel)" \
+        if target == "is_canceled" else f"{_PRICES}, {bands}, labelled AS (SELECT \"Booking_ID\", adr_category AS label FROM banded)"
+    return f"""{rows}, parts AS (SELECT label, {_SPLIT} < 80 AS train FROM labelled),
+        base AS (SELECT label AS guess FROM parts WHERE train GROUP BY label ORDER BY count(*) DESC, label LIMIT 1)
+        SELECT '{name}' AS model, '{target}' AS target, count(*) AS n_rows, count(DISTINCT label) AS n_classes,
+        {_r("avg(CASE WHEN label = guess THEN 1.0::DOUBLE ELSE 0 END)")} AS baseline_accuracy, true AS beats_baseline
+        FROM parts, base WHERE NOT train"""
+
+
+def _learners(bands: str) -> dict[str, str]:
+    """What SQL can say about the learners: rows, baselines and identities that any right fit meets."""
+    sql = {f"reg_{n}": _regression_facts(n) for n in (
+        "elastic_net", "random_forest", "gbt", "gbt_deep", "gbt_subsample", "gbt_indexed", "bayesian_ridge")}
+    sql["reg_linear"] = _regression_facts("linear", ", 0.0::DOUBLE AS normal_residual")
+    for name in ("logistic_scaled", "gbt", "gbt_indexed", "knn"):
+        sql[f"cls_{name}"] = _class_facts(name, "is_canceled", bands)
+    for name in ("decision_tree", "extra_trees", "gbt_multiclass", "gbt_deep"):
+        sql[f"cls_{name}"] = _class_facts(name, "adr_category", bands)
+    for name in ("logistic", "random_forest", "adaboost"):
+        both = [f"SELECT * FROM ({_class_facts(name, t, bands)})" for t in ("is_canceled", "adr_category")]
+        sql[f"cls_{name}"] = " UNION ALL ".join(both)
+    columns = [_q(f"market_segment_{s}") for s in ("Direct", "Groups", "Offline TA/TO", "Online TA")]
+    sql["pca_scores"] = f"""{_PRICES} SELECT count(*) AS n_rows, 0.0::DOUBLE AS largest_mean,
+        0.0::DOUBLE AS largest_covariance, {_r(" + ".join(f"var_samp({c})" for c in columns))} AS total_variance FROM price"""
+    squares = " + ".join(f"corr({x}, {y}) ** 2" for x in columns for y in columns)
+    sql["pca_variance"] = f"""{_PRICES} SELECT {len(columns)}::BIGINT AS n_components, 1.0::DOUBLE AS ratio_sum,
+        {_r(squares)} AS squared_norm FROM price"""
+    for name in ("score_price", "score_cancel"):
+        sql[name] = _with(_BOOKINGS, _MONTHLY) + f"""
+            SELECT count(*) AS n_rows, count(*) AS n_scored, {_r("sum(CAST(adr AS DOUBLE))", 4)} AS total_adr
+            FROM monthly WHERE {_SPLIT} >= 80"""
+    sql["retrain_champion"] = " UNION ALL ".join(
+        f"SELECT * FROM ({base} SELECT '{target}' AS target, count(*) AS n_rows, true AS best_promoted, "
+        f"0::BIGINT AS n_different FROM {table} WHERE {_SPLIT} >= 80)"
+        for target, base, table in (("price", _PRICES, "price"), ("cancel", _CANCELS, "cancel")))
+    return sql
+
+
 def oracles() -> dict[str, str]:
     categorical = list(VOCABULARY)
     price_inputs = ", ".join(['"Booking_ID"', *NUMERIC_FEATURES, *categorical])
@@ -298,9 +346,10 @@ def oracles() -> dict[str, str]:
               "reservation_status, reservation_status_date, hotel")
     months = {q: ",".join(MONTHS[3 * q - 3:3 * q]) for q in (1, 2, 3, 4)}
     july, august, september = (f'"arrival_date_month_{m}" = 1' for m in ("July", "August", "September"))
-    bands = " ".join(
-        f"WHEN adr > {low} AND adr <= {low + (26 if low == 49 else 25)} THEN {i}"
-        for i, low in enumerate([49, *range(75, 400, 25)], start=1))
+    # The edges of the rate bands.
+    edges = [49, 75, 100, 125, 150, 175, 200, 225, 250, 275, 300, 325, 350, 375, 400]
+    bands = " ".join(f"WHEN adr > {low} AND adr <= {high} THEN {i}"
+                     for i, (low, high) in enumerate(zip(edges, edges[1:]), start=1))
     rounded = f'SELECT "Booking_ID", CAST(round_even(adr, 0) AS INTEGER) AS adr FROM bookings WHERE {_IN_RANGE}'
     band_case = f"CASE {bands} END"
     pairs = [(x, y) for i, x in enumerate(NUMERIC_FEATURES) for y in NUMERIC_FEATURES[i:]]
@@ -436,6 +485,7 @@ FROM ends WHERE n > 0 AND value NOT IN ('START', 'END')""",
         + f"\nSELECT * EXCLUDE (is_canceled), {_FORMULA} AS predicted FROM monthly",
     }
     sql["append_writers"] = sql["load_append"]
+    sql |= _learners(f"banded AS (SELECT \"Booking_ID\", adr, {band_case} - 1 AS adr_category FROM price)")
     for name, unit in (("monthly_buckets", "month"), ("quarterly_buckets", "quarter")):
         sql[name] = f"""SELECT CAST(date_trunc('{unit}', ts) AS DATE) AS period_start, count(*) AS n_events,
             round(sum(value), 4) AS total_value FROM events GROUP BY 1"""

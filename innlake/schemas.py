@@ -140,6 +140,4 @@ CANCEL_TABLE = {**_feature_columns("double"), "is_canceled": "int", "predicted":
 BOOKINGS = struct(BOOKING_COLUMNS)
 MONTHLY = struct(MONTHLY_COLUMNS)
 LISTINGS = struct(LISTING_COLUMNS, required=("listing_id",))
-PRICE_FEATURES = struct(PRICE_TABLE)
-CANCEL_FEATURES = struct(CANCEL_TABLE)
 MESSAGES = struct({"topic": "string", "partition": "int", "offset": "bigint", "value": "binary"})

@@ -54,13 +54,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/innlake/{label}-{uuid.uuid4().hex}"
 
 
-def balanced(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread rows over all cores where a few small files would use only some.
+def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Rows dealt by their key, in key order, to the given number of partitions.
 
-    For frames that are read many times. Inputs with enough partitions are
-    left as they are, so large tables are never shuffled for it.
+    For frames that are read many times by a learner that draws rows by their
+    place: the same rows and number of partitions give the same model on any
+    cluster. Without a number the rows stay as they are.
     """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= wanted:
-        return df
-    return df.repartition(wanted, *keys)
+    return df if partitions is None else df.repartition(partitions, key).sortWithinPartitions(key)
