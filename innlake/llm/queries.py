@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from innlake.llm import (
-    best_fit, cross_parse, near_dedup, page_text, piece_codec, pivot_search, suffix_dedup, token_files, vector_dedup,
+    best_fit, cross_parse, near_dedup, oracles, page_text, piece_codec, pivot_search, suffix_dedup, token_files, vector_dedup,
     word_dedup,
 )
 
@@ -20,4 +20,11 @@ QUERIES = {
     "op10_language_id": cross_parse.query,
 }
 
-ORACLES: dict[str, str] = {}
+# The rest is compared with brute force, the tokenizers' own results or held-out labels in tests/llm.
+ORACLES = {
+    "op1_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op4_minhash_near_dedup": oracles.NEAR_DEDUP,
+    "op5_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op6_vector_near_dedup": oracles.VECTOR_DEDUP,
+    "op7_pivot_top_k": oracles.TOP_K,
+}
