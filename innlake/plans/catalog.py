@@ -394,11 +394,15 @@ def _event_buckets(unit: str) -> Query:
     return query
 
 
-def stream_ingest(spark, sf):
-    """The booking log replayed in two drops, cut in the middle of two months.
+#: A message that is no booking, with a comma inside quotes.
+_BAD_BOOKING = {"Booking_ID": "INN0", "adults": "two", "market_segment": '"Online, TA"', "adr": "99.5"}
+
+
+def _ingested(spark, sf) -> str:
+    """The booking log replayed in two drops, cut in the middle of two months, with a bad message a month.
 
     Each drop runs one availableNow micro-batch on the same checkpoint, so
-    frames are carried across batches and restarts. Returns the price table.
+    frames are carried across batches and restarts. Returns the warehouse.
     """
     root = session.scratch_path(spark, "stream")
     warehouse, source = f"{root}/warehouse", f"{root}/messages"
@@ -412,7 +416,10 @@ def stream_ingest(spark, sf):
     def cancel(df):
         return df.withColumn("predicted", (F.col("lead_time") > 220).cast("int"))
 
-    log = views.booking_messages(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    log = views.booking_messages(spark, sf)
+    bad = log.filter(F.col("value") == frames.START).withColumns({
+        "offset": F.col("offset") + 3, "value": F.lit(",".join(_BAD_BOOKING.get(c, "") for c in MONTHLY.names))})
+    log = log.unionByName(bad).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cut = F.col("offset") >= (YEAR * 12 + 6) * views.MONTH_SPAN + 500
         other_cut = F.col("offset") >= (YEAR * 12 + 5) * views.MONTH_SPAN + 500
@@ -423,7 +430,21 @@ def stream_ingest(spark, sf):
             ingest.start_ingest(stream, root, warehouse, price, cancel).awaitTermination()
     finally:
         log.unpersist()
-    return conform.from_warehouse_names(Table(spark, warehouse, ingest.PRICE_NAME).scan())
+    return warehouse
+
+
+def stream_ingest(spark, sf):
+    return conform.from_warehouse_names(Table(spark, _ingested(spark, sf), ingest.PRICE_NAME).scan())
+
+
+def stream_ingest_cancel(spark, sf):
+    return conform.from_warehouse_names(Table(spark, _ingested(spark, sf), ingest.CANCEL_NAME).scan())
+
+
+def stream_rejected(spark, sf):
+    """What the stream set apart: one bad message a month, and nothing stopped."""
+    found = Table(spark, _ingested(spark, sf), ingest.REJECTED_NAME).scan()
+    return found.groupBy("line", "reason", "market_segment").agg(F.count("*").alias("n_rows"))
 
 
 # --- learners: facts about the hold-out that SQL can state --------------------
@@ -663,7 +684,7 @@ QUERIES: dict[str, Query] = {
     "scan_all": scan_all, "frame_messages": frame_messages,
     "frame_messages_unreset": frame_messages_unreset,
     "monthly_buckets": _event_buckets("month"), "quarterly_buckets": _event_buckets("quarter"),
-    "stream_ingest": stream_ingest,
+    "stream_ingest": stream_ingest, "stream_ingest_cancel": stream_ingest_cancel, "stream_rejected": stream_rejected,
     "pca_scores": pca_scores, "pca_variance": pca_variance,
     "reg_linear": reg_linear, "reg_elastic_net": _regression("elastic_net"),
     "reg_random_forest": _regression("random_forest"), "reg_gbt": _regression("gbt"),

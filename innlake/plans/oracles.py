@@ -154,12 +154,12 @@ feed_rows AS (
     {" || ',' || ".join("id_text" if c == "Booking_ID" else f"coalesce(CAST({c} AS VARCHAR), '')" for c in _FEED)} AS value
   FROM feed),
 controls AS (
-  SELECT DISTINCT month, unnest([0, 1, {10 ** 13 - 1}]) AS position,
+  SELECT month, unnest([0, 1, max(position) + 1]) AS position,
     unnest(['START', '{",".join(_FEED)}', 'END']) AS value
-  FROM feed_rows),
+  FROM feed_rows GROUP BY month),
 log AS (
   SELECT 'bookings' AS topic, CAST(month % 2 AS INTEGER) AS partition,
-    month * {10 ** 13} + position AS "offset", value
+    month * {10 ** 13} + 2 * position AS "offset", value
   FROM (SELECT * FROM feed_rows UNION ALL SELECT * FROM controls))"""
 
 _EVENT_LOG = """
@@ -484,6 +484,13 @@ FROM ends WHERE n > 0 AND value NOT IN ('START', 'END')""",
         "stream_ingest": _with(_BOOKINGS, _MONTHLY)
         + f"\nSELECT * EXCLUDE (is_canceled), {_FORMULA} AS predicted FROM monthly",
     }
+    monthly = _with(_BOOKINGS, _MONTHLY)
+    sql["stream_ingest_cancel"] = f"""{monthly} SELECT * EXCLUDE (adr), CAST(adr AS DOUBLE) AS adr,
+        CASE WHEN lead_time > 220 THEN 1 ELSE 0 END AS predicted FROM monthly"""
+    fields = {"Booking_ID": "INN0", "adults": "two", "market_segment": '"Online, TA"', "adr": "99.5"}
+    line = ",".join(fields.get(c, "") for c in _FEED)
+    sql["stream_rejected"] = f"""{_BASES} SELECT '{line}' AS line, 'unreadable: adults' AS reason,
+        'Online, TA' AS market_segment, count(DISTINCT (arrival_date_year, arrival_date_month)) AS n_rows FROM bookings"""
     sql["append_writers"] = sql["load_append"]
     sql |= _learners(f"banded AS (SELECT \"Booking_ID\", adr, {band_case} - 1 AS adr_category FROM price)")
     for name, unit in (("monthly_buckets", "month"), ("quarterly_buckets", "quarter")):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from innlake.functions.sqltext import text
 from innlake.operators.frames import END, START
 from innlake.schemas import BOOKING_COLUMNS, LISTING_COLUMNS, MONTHLY_COLUMNS, MONTHS
-from innlake.sources.csv_files import csv_header, csv_line
+from innlake.sources.messages import frame_rows
 
 # Room between two months in the message log; far more than bookings a month.
 MONTH_SPAN = 10 ** 13
@@ -122,41 +122,26 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _feed_log(
-    spark: SparkSession, sf_dir: str, framing: tuple[tuple[int, str], ...],
-) -> DataFrame:
-    """Monthly feed as CSV lines with extra lines per month at given positions.
+def booking_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly feed as messages: per month START, header, rows, END.
 
-    Months alternate between two log partitions. Offsets are computed from the
-    month and the booking number, so no ordering pass is needed.
+    Months alternate between two log partitions. Offsets come from the month
+    and the booking number; every other one is free.
     """
     feed = monthly_bookings(spark, sf_dir)
     month = F.array_position(F.array(*map(F.lit, MONTHS)), F.col("arrival_date_month"))
-    ordinal = F.col("arrival_date_year") * 12 + month - 1
-    rows = feed.select(
-        ordinal.cast("bigint").alias("month"),
-        (F.expr("cast(substring(Booking_ID, 4) as bigint)") + 2).alias("position"),
-        csv_line(feed.columns).alias("value"),
-    )
-    extra = rows.select("month").distinct().select("month", F.inline(F.array(*[
-        F.struct(F.lit(position).cast("bigint").alias("position"), F.lit(value).alias("value"))
-        for position, value in framing
-    ])))
-    return rows.unionByName(extra).select(
+    numbered = feed.withColumns({
+        "feed_month": (F.col("arrival_date_year") * 12 + month - 1).cast("bigint"),
+        "feed_number": F.expr("cast(substring(Booking_ID, 4) as bigint)"),
+    })
+    return frame_rows(numbered, feed.columns, "feed_month", "feed_number").select(
         F.lit("bookings").alias("topic"),
-        (F.col("month") % 2).cast("int").alias("partition"),
-        (F.col("month") * MONTH_SPAN + F.col("position")).alias("offset"),
+        (F.col("group") % 2).cast("int").alias("partition"),
+        (F.col("group") * MONTH_SPAN + 2 * (F.col("position") + 2)).alias("offset"),
         "value",
     )
 
 
-def booking_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The monthly feed as messages: per month START, header, rows, END."""
-    header = csv_header(list(MONTHLY_COLUMNS))
-    return _feed_log(spark, sf_dir, ((0, START), (1, header), (MONTH_SPAN - 1, END)))
-
-
 def booking_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text lines of the monthly files, headers included."""
-    header = csv_header(list(MONTHLY_COLUMNS))
-    return _feed_log(spark, sf_dir, ((1, header),)).select("value")
+    return booking_messages(spark, sf_dir).filter(~F.col("value").isin(START, END)).select("value")
