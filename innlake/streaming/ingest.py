@@ -84,20 +84,36 @@ class FrameAssembler:
         since = closing.agg(F.min("open_since")).first()[0]
         if since is None:
             return None
-        try:
-            stored = spark.read.schema(PENDING).parquet(f"{self.root}/pending")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        stored = stored.filter((F.col("batch_id") >= since) & (F.col("batch_id") < batch_id))
+        # Every batch has written its folder, so they are read by name.
+        folders = [f"{self.root}/pending/batch_id={i}" for i in range(since, batch_id)]
+        if not folders:
+            return None
+        stored = spark.read.schema(PENDING).option("basePath", f"{self.root}/pending").parquet(*folders)
         return (stored.join(F.broadcast(closing.select(*LOG, "frame_id")), [*LOG, "frame_id"])
                 .drop("batch_id"))
 
+    def _expire(self, spark: SparkSession, state: DataFrame, batch_id: int) -> None:
+        """Remove waiting rows and states from before any frame that is open.
+
+        The state read is that of a batch the stream has committed, so a replay
+        never asks for what goes here.
+        """
+        since = state.agg(F.min("open_since")).first()[0]
+        least = batch_id - 1 if since is None else min(since, batch_id - 1)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        files = hadoop.Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        for folder, keep in (("pending", least), ("state", batch_id - 1)):
+            top = hadoop.Path(f"{self.root}/{folder}")
+            for found in files.listStatus(top) if files.exists(top) else ():
+                name = found.getPath().getName()
+                if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) < keep:
+                    files.delete(found.getPath(), True)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # One row per log partition: small by nature, so safe to broadcast.
         state = self._state(spark, batch_id - 1)
+        self._expire(spark, state, batch_id)
         tagged = tag_frames(batch, self.block_span).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             data = (
