@@ -1,10 +1,10 @@
 """Exact k-nearest-neighbour classification as a pruned, blocked join.
 
 Training rows belong to the nearest of a bounded number of pivots and, there,
-to a ring of similar distance to it; pivot and ring make a cell. The rows
-closest to each pivot give every query an upper bound of its k-th distance; by
-the triangle inequality only rings that can beat it are visited, so the result
-equals a full comparison. Cells are cut into blocks of bounded size, however
+to a ring of similar distance to it; pivot and ring make a cell. A query first
+meets the cell it lies in or next to, which gives it the k-th distance there;
+then, by the triangle inequality, only cells that can beat that are visited, so
+the result equals a full comparison. Cells are cut into blocks of bounded size, however
 many rows share a cell, and a task compares one query block with one training
 block, keeping only k rows per query. No pair ever leaves a task.
 """
@@ -99,16 +99,34 @@ class KnnModel:
 
     def neighbours(self, queries: DataFrame, id_col: str, features: str) -> DataFrame:
         """(query_id, train_id, distance, label) of the k nearest rows."""
-        visits = self._visits(queries, id_col, features)
+        spark = self.train.sparkSession
+        asked = queries.select(F.col(id_col).alias("query_id"), F.col(features).alias("features"))
+        path = scratch_path(spark, "knn-visits")
+        asked.withColumn("cell", self._own_cell()(F.col("features"))).write.parquet(f"{path}/own")
+        own = spark.read.parquet(f"{path}/own")
+        self._compared(own).write.parquet(f"{path}/near")
+        near = spark.read.parquet(f"{path}/near")
+        reach = near.groupBy("query_id").agg(F.max_by("distance", "rank").alias("reach"), F.count("*").alias("n")) \
+            .select("query_id", F.when(F.col("n") >= self.k, F.col("reach")).alias("reach"))
+        (own.join(reach, "query_id", "left")
+         .withColumn("visit", F.explode(self._others()(F.col("features"), F.col("reach"))))
+         .filter("visit <> cell").select("query_id", "features", F.col("visit").alias("cell"))
+         .write.parquet(f"{path}/others"))
+        every = near.unionByName(self._compared(spark.read.parquet(f"{path}/others")))
+        ranked = Window.partitionBy("query_id").orderBy("distance", "train_id", "label")
+        return every.withColumn("rank", F.row_number().over(ranked)).filter(f"rank <= {self.k}").drop("rank")
+
+    def _compared(self, visits: DataFrame) -> DataFrame:
+        """(query_id, train_id, distance, label, rank) of the k nearest rows in the visited cells."""
         demand = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
         blocks = self.train.sparkSession.createDataFrame([
             (c["cell"], math.ceil(c["n"] / self.block_rows), math.ceil(demand[c["cell"]] / self.block_rows))
             for c in self.cells if c["cell"] in demand
         ], "cell int, train_blocks int, query_blocks int")
+        # The joined table has a row for each cell, pivots times RINGS at most.
 
         def blocked(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
-            # Own block by hash of the id, one copy per block of the other
-            # side. The joined table has one row per pivot, MAX_PIVOTS at most.
+            # Own block by hash of the id, one copy per block of the other side.
             return (df.join(F.broadcast(blocks), "cell")
                     .withColumn(f"{own}_block", F.pmod(F.xxhash64(key), f"{own}_blocks").cast("int"))
                     .withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
@@ -140,18 +158,39 @@ class KnnModel:
                  .applyInPandas(nearest_in_block,
                                 f"query_id {query_type}, train_id bigint, distance double, label {label_type}"))
         ranked = Window.partitionBy("query_id").orderBy("distance", "train_id", "label")
-        return local.withColumn("rank", F.row_number().over(ranked)).filter(f"rank <= {k}").drop("rank")
+        return local.withColumn("rank", F.row_number().over(ranked)).filter(f"rank <= {k}")
+
+    def _own_cell(self):
+        """The ring of the nearest pivot that the query lies in, or the closest one that has rows."""
+        pivots = self.pivots
+        index = np.array([c["cell"] for c in self.cells])
+        inner = np.array([c["inner"] for c in self.cells])
+        outer = np.array([c["outer"] for c in self.cells])
+
+        @F.pandas_udf("int")
+        def own_cell(series: pd.Series) -> pd.Series:
+            found = []
+            for start in range(0, len(series), VISIT_CHUNK):
+                to_pivot = _pivot_distances(_matrix(series.iloc[start:start + VISIT_CHUNK]), pivots)
+                distance = to_pivot[:, index // RINGS]
+                outside = np.maximum(np.maximum(inner - distance, distance - outer), 0)
+                # Least distance to the pivot settles rings that all hold the query.
+                found.extend(index[np.lexsort((distance, outside), axis=1)[:, 0]].tolist())
+            return pd.Series(found, dtype="int32")
+
+        return own_cell
 
-    def _visits(self, queries: DataFrame, id_col: str, features: str) -> DataFrame:
-        """(query_id, features, cell) for every cell that may hold a neighbour."""
+    def _others(self):
+        """Every cell that may hold a neighbour within the query's reach (NULL: unknown)."""
         pivots, k, closest = self.pivots, self.k, self.closest
         index = np.array([c["cell"] for c in self.cells])
         inner = np.array([c["inner"] for c in self.cells])
         outer = np.array([c["outer"] for c in self.cells])
 
         @F.pandas_udf("array<int>")
-        def cells_to_visit(series: pd.Series) -> pd.Series:
+        def cells_to_visit(series: pd.Series, reaches: pd.Series) -> pd.Series:
             visits = []
+            known = reaches.to_numpy(dtype=np.float64, na_value=np.nan)
             for start in range(0, len(series), VISIT_CHUNK):
                 points = _matrix(series.iloc[start:start + VISIT_CHUNK])
                 to_pivot = _pivot_distances(points, pivots)
@@ -160,16 +199,14 @@ class KnnModel:
                     bound = np.partition(reach, k - 1, axis=1)[:, k - 1]
                 else:
                     bound = np.full(len(points), np.inf)
+                bound = np.fmin(bound, np.sqrt(known[start:start + VISIT_CHUNK]))
                 bound = (bound * (1 + SLACK) + SLACK)[:, None]
                 distance = to_pivot[:, index // RINGS]
                 keep = (distance - outer <= bound) & (inner - distance <= bound)
                 visits.extend(index[row].tolist() for row in keep)
             return pd.Series(visits, dtype=object)
 
-        return queries.select(
-            F.col(id_col).alias("query_id"), F.col(features).alias("features"),
-            F.explode(cells_to_visit(F.col(features))).alias("cell"),
-        )
+        return cells_to_visit
 
     def save(self, path: str) -> None:
         spark = self.rows.sparkSession

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from innlake.learners.knn import feature_array, fit_knn
 from innlake.learners.presets import classifier, regressor
@@ -66,9 +67,11 @@ def monthly_etl(
 def _fit(name: str, train: DataFrame, predictors: list[str], label: str, regression: bool, sizes: dict):
     if name == "knn":
         rows = train.select("Booking_ID", label, feature_array(predictors).alias("features"))
+        if (bound := sizes.get("knn_rows")) is not None:
+            rows = rows.orderBy(F.xxhash64("Booking_ID"), "Booking_ID").limit(bound)
         return fit_knn(rows, "Booking_ID", "features", label)
     preset = regressor if regression else classifier
-    return preset(name, predictors, label, **sizes).fit(train)
+    return preset(name, predictors, label, **{k: v for k, v in sizes.items() if k != "knn_rows"}).fit(train)
 
 
 def _contest(
@@ -106,7 +109,8 @@ def retrain(
     of that quarter and on the cancellation rows scored since the batch load
     (whose arrival year is 0, so it never matches a year). partitions deals the
     training rows anew, for inputs of few files or for models that are the same
-    on every cluster.
+    on every cluster. sizes are those of the presets, and knn_rows: the number
+    of labelled rows, by hash order, that a neighbour model is fitted on.
     """
     if scope not in ("all", "quarter"):
         raise ValueError(f"unknown scope {scope}")

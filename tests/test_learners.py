@@ -44,13 +44,31 @@ def test_knn_equals_brute_force(spark, shape):
     assert {r.qid: r.prediction for r in again.collect()} == found
 
 
-def test_knn_skips_far_cells(spark):
+def test_knn_skips_far_cells(spark, monkeypatch):
     rows = [(i, [float(i % 2) * 1000 + i / 100, 0.0], i % 2) for i in range(200)]
     df = spark.createDataFrame(rows, "id bigint, v array<double>, y int")
     model = knn.fit_knn(df, "id", "v", "y", n_pivots=8)
     q = spark.createDataFrame([(1, [0.5, 0.0])], "qid bigint, v array<double>")
-    visited = model._visits(q, "qid", "v").count()
-    assert 0 < visited < len(model.cells)
+    visited = []
+    compared = knn.KnnModel._compared
+    monkeypatch.setattr(knn.KnnModel, "_compared", lambda self, v: visited.append(v.count()) or compared(self, v))
+    assert model.neighbours(q, "qid", "v").count() == 5
+    # The query's own cell first, then few others.
+    assert visited[0] == 1 and sum(visited) < len(model.cells) / 2
+
+
+def test_stored_models_of_every_kind(spark):
+    store = ModelStore(spark, scratch_path(spark, "kinds"))
+    df = spark.createDataFrame([(float(i), float(i % 7), float(i % 7 > 3)) for i in range(60)], "i double, a double, y double")
+    rows = presets.vectors(df, ["a"], "y")
+    boosted = adaboost.fit_adaboost(rows, presets.FEATURES, "y", [0.0, 1.0], rounds=3)
+    formula = bayesian_ridge.LinearFormula(["a"], [2.0], -1.0)
+    for candidate, model, data in (("boosted", boosted, rows), ("formula", formula, df)):
+        store.promote("m", candidate, model, 0.5)
+        again = store.load("m").transform(data).select("prediction").collect()
+        assert again == model.transform(data).select("prediction").collect()
+    with pytest.raises(ValueError, match="no metric"):
+        store.promote("m", "nan", formula, float("nan"))
 
 
 def test_bayesian_ridge_recovers_a_line(spark):
