@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from innlake.functions import sqltext
 from innlake.operators import evaluation, scaling, splitting
 
 
@@ -57,3 +58,13 @@ def test_champion_keeps_the_earlier_of_equals(spark):
     scores = spark.createDataFrame(
         [(0, "a", 0.5), (2, "c", 0.9), (1, "b", 0.9), (3, "d", None)], "ordinal int, candidate string, r2 double")
     assert evaluation.champion(scores, "r2").first().candidate == "b"
+
+
+def test_a_model_without_metric_never_wins(spark):
+    scores = spark.createDataFrame([(0, "a", 0.9), (1, "b", float("nan")), (2, "c", None)], "ordinal int, candidate string, r2 double")
+    assert evaluation.champion(scores, "r2").first().candidate == "a"
+
+
+def test_numbers_without_literal():
+    assert sqltext.number(0.1) == "0.1D"
+    assert [sqltext.number(float(x)) for x in ("nan", "inf", "-inf")] == ["double('nan')", "double('inf')", "double('-inf')"]

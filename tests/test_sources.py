@@ -2,7 +2,7 @@ import pytest
 
 from innlake.schemas import MONTHLY, struct
 from innlake.session import scratch_path
-from innlake.sources.csv_files import csv_header, csv_line, parse_csv_lines, read_csv, write_csv
+from innlake.sources.csv_files import csv_header, csv_line, parse_csv_lines, parse_csv_messages, read_csv, write_csv
 from innlake.sources.tables import SchemaMismatchError, Table, TableMissingError
 
 PAIR = struct({"name": "string", "n": "int", "x": "double"})
@@ -73,3 +73,30 @@ def test_created_table_is_empty_with_its_schema(spark):
     table.create(MONTHLY)
     assert table.exists() and table.scan().count() == 0
     assert table.schema().names == MONTHLY.names
+
+
+def test_a_fraction_is_no_whole_number(spark):
+    path = write_text(spark, ["name,n,x", "a,2.7,1"])
+    with pytest.raises(Exception, match="not whole"):
+        read_csv(spark, path, PAIR).collect()
+    assert read_csv(spark, path, PAIR, strict=False).first().n is None
+
+
+def test_messages_are_one_row_each_with_a_reason(spark):
+    values = ['a,1,2.5', '"two\nlines, one field",2,NA', "b,2.7,x", "c,1", csv_header(PAIR.names), " ", 'd,3.0,']
+    df = spark.createDataFrame([(v,) for v in values], "line string")
+    found = {r.name: (r.n, r.x, r.reason) for r in parse_csv_messages(df, "line", PAIR).collect()}
+    assert found == {
+        "a": (1, 2.5, None), "two\nlines, one field": (2, None, None), "d": (3, None, None),
+        "b": (None, None, "unreadable: n x"), "c": (1, None, "wrong number of fields")}
+
+
+def test_writers_keep_their_rows_apart(spark):
+    table = Table(spark, scratch_path(spark, "warehouse"), "t")
+    table.create(struct({"k": "int"}))
+    for k, writer in enumerate(["stream-a", "files", "stream-b", "files"]):
+        table.append(spark.createDataFrame([(k,)], "k int"), 1, writer)
+    assert sorted(r.k for r in table.scan().collect()) == [0, 2, 3]
+    for writer in ("load", "a/b", ""):
+        with pytest.raises(ValueError):
+            table.append(spark.createDataFrame([(1,)], "k int"), 1, writer)
