@@ -33,13 +33,14 @@ CANCEL_CANDIDATES = ["random_forest", "gbt_indexed", "knn", "gbt"]
 def batch_etl(spark: SparkSession, bookings: DataFrame, listings: DataFrame, warehouse: str) -> None:
     """Replace the four tables from the historical inputs; safe to run again."""
     require_rates(bookings)
-    for name, df in {
-        BOOKINGS_NAME: bookings,
-        CANCEL_NAME: to_warehouse_names(historical_cancel(bookings)),
-        PRICE_NAME: to_warehouse_names(historical_price(bookings)),
-        LISTINGS_NAME: clean_listings(listings),
-    }.items():
-        Table(spark, warehouse, name).overwrite(df)
+    for name, df, partition_by in (
+        (BOOKINGS_NAME, bookings, None),
+        # The historical cancellation rows have arrival year 0, the price rows their own.
+        (CANCEL_NAME, to_warehouse_names(historical_cancel(bookings)), None),
+        (PRICE_NAME, to_warehouse_names(historical_price(bookings)), ["arrival_date_year"]),
+        (LISTINGS_NAME, clean_listings(listings), None),
+    ):
+        Table(spark, warehouse, name).overwrite(df, partition_by)
 
 
 def batch_etl_from_csv(

@@ -18,7 +18,7 @@ from innlake.functions.sqltext import name
 
 WRITER, BATCH = "writer", "batch_id"
 LOAD = "load"
-POINTER = "version int, schema string"
+POINTER = "version int, schema string, partition_by array<string>"
 
 
 class TableMissingError(LookupError):
@@ -52,7 +52,7 @@ class Table:
         self.spark, self.name = spark, table
         self.path = f"{root.rstrip('/')}/{table}"
 
-    def _current(self) -> tuple[int, T.StructType]:
+    def _current(self) -> tuple[int, T.StructType, list[str]]:
         try:
             pointers = self.spark.read.schema(POINTER).parquet(f"{self.path}.pointers")
         except AnalysisException as error:
@@ -62,7 +62,7 @@ class Table:
         latest = pointers.orderBy(F.desc("version")).first()
         if latest is None:
             raise TableMissingError(self.name)
-        return latest["version"], T.StructType.fromJson(json.loads(latest["schema"]))
+        return latest["version"], T.StructType.fromJson(json.loads(latest["schema"])), latest["partition_by"] or []
 
     def schema(self) -> T.StructType:
         return self._current()[1]
@@ -74,18 +74,18 @@ class Table:
             return False
         return True
 
-    def create(self, schema: T.StructType) -> None:
+    def create(self, schema: T.StructType, partition_by: list[str] | None = None) -> None:
         """An empty table; creating an existing one empties it."""
-        self.overwrite(self.spark.createDataFrame([], schema))
+        self.overwrite(self.spark.createDataFrame([], schema), partition_by)
 
-    def overwrite(self, df: DataFrame) -> None:
-        """Replace content and schema."""
+    def overwrite(self, df: DataFrame, partition_by: list[str] | None = None) -> None:
+        """Replace content, schema and the columns of few values that files are kept apart by."""
         try:
             version = self._current()[0] + 1
         except TableMissingError:
             version = 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v{version}/{WRITER}={LOAD}/{BATCH}=0")
-        pointer = self.spark.createDataFrame([(version, df.schema.json())], POINTER)
+        df.write.mode("overwrite").partitionBy(*partition_by or []).parquet(f"{self.path}/v{version}/{WRITER}={LOAD}/{BATCH}=0")
+        pointer = self.spark.createDataFrame([(version, df.schema.json(), partition_by or [])], POINTER)
         pointer.coalesce(1).write.mode("append").parquet(f"{self.path}.pointers")
 
     def append(self, df: DataFrame, batch_id: int, writer: str) -> None:
@@ -98,16 +98,16 @@ class Table:
             raise ValueError("batch ids of appends start at 1; 0 is the overwrite load")
         if writer == LOAD or not re.fullmatch(r"[A-Za-z0-9._-]+", writer):
             raise ValueError(f"{writer!r} is no name for a writer")
-        version, schema = self._current()
+        version, schema, partition_by = self._current()
         rows = conform_to_schema(df, schema)
-        rows.write.mode("overwrite").parquet(f"{self.path}/v{version}/{WRITER}={writer}/{BATCH}={batch_id}")
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/v{version}/{WRITER}={writer}/{BATCH}={batch_id}")
 
     def batches(self) -> DataFrame:
         """All rows with the writer and the batch they came with."""
         # The known schema spares a footer scan over every stored file.
-        version, schema = self._current()
+        version, schema, _ = self._current()
         stored = T.StructType([*schema, T.StructField(WRITER, T.StringType()), T.StructField(BATCH, T.LongType())])
-        return self.spark.read.schema(stored).parquet(f"{self.path}/v{version}")
+        return self.spark.read.schema(stored).parquet(f"{self.path}/v{version}").select(*map(name, stored.names))
 
     def scan(self) -> DataFrame:
         return self.batches().drop(WRITER, BATCH)

@@ -2,10 +2,17 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from innlake.functions.scalars import rate_category
 from innlake.learners import adaboost, bayesian_ridge, knn, presets
 from innlake.learners.scoring import predictions
 from innlake.learners.store import ModelStore, NoChampionError
-from innlake.session import scratch_path
+from innlake.operators.conform import historical_cancel, historical_price
+from innlake.operators.evaluation import classification_facts, regression_facts
+from innlake.schemas import CANCEL_PREDICTORS, PRICE_PREDICTORS
+from innlake.session import ensure_checkpoint_dir, scratch_path
+from innlake.sources.booking_views import bookings
+
+SF = "/root/testdata/sf0.001"
 
 
 def brute_force(train, queries, k):
@@ -118,3 +125,30 @@ def test_store_versions_and_reload(spark):
     scored = predictions(store.load("price"), df, ["a"])
     assert scored.columns == ["a", "y", "prediction"]
     assert [r.prediction for r in scored.collect()] == pytest.approx([r.y for r in df.collect()])
+
+
+SMALL = {"rounds": 2, "trees": 2, "forest_depth": 3}
+
+
+@pytest.mark.parametrize("name", ["random_forest", "gbt", "gbt_deep", "gbt_subsample", "gbt_indexed", "elastic_net"])
+def test_price_presets_beat_the_mean(spark, name):
+    df = historical_price(bookings(spark, SF)).cache()
+    ensure_checkpoint_dir(spark)
+    scored = presets.regressor(name, PRICE_PREDICTORS, "adr", **SMALL).fit(df).transform(df)
+    assert regression_facts(df, scored, "adr", "prediction").first()["beats_baseline"]
+
+
+@pytest.mark.parametrize("name", ["random_forest", "extra_trees", "gbt", "gbt_indexed", "decision_tree"])
+def test_cancel_presets_fit(spark, name):
+    df = historical_cancel(bookings(spark, SF)).cache()
+    scored = presets.classifier(name, CANCEL_PREDICTORS, "is_canceled", **SMALL).fit(df).transform(df)
+    assert classification_facts(df, scored, "is_canceled", "prediction").first()["n_classes"] == 2
+
+
+@pytest.mark.parametrize("name", ["gbt_multiclass", "gbt_deep"])
+def test_one_model_for_each_band(spark, name):
+    df = historical_price(bookings(spark, SF)).withColumn("band", rate_category(F.col("adr")) - 1)
+    df = df.filter("band < 3").cache()
+    ensure_checkpoint_dir(spark)
+    model = presets.classifier(name, PRICE_PREDICTORS, "band", **SMALL).fit(df)
+    assert len(model.stages[-1].models) == df.agg(F.max("band")).first()[0] + 1
