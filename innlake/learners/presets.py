@@ -130,6 +130,6 @@ def classifier(
     if name in ("gbt_multiclass", "gbt_deep"):
         depth = 3 if name == "gbt_multiclass" else 5
         one = GBTClassifier(**seeded, maxIter=rounds, maxDepth=depth, stepSize=0.1)
-        return _plain(columns, OneVsRest(classifier=one, parallelism=4, **common))
+        return _plain(columns, OneVsRest(classifier=one, parallelism=16, **common))
     raise KeyError(name)
 

@@ -25,7 +25,7 @@ from innlake.plans import jobs
 from innlake.schemas import (
     BOOKINGS, CANCEL_INPUTS, CANCEL_PREDICTORS, CANCEL_TABLE, CANCEL_UNUSED, MARKET_SEGMENTS,
     MEALS, MONTHLY, NUMERIC_FEATURES, ONE_HOT, PRICE_INPUTS, PRICE_PREDICTORS,
-    PRICE_TABLE, VOCABULARY, indicator,
+    PRICE_TABLE, PRICE_UNUSED, VOCABULARY, indicator,
 )
 from innlake.sources import booking_views as views
 from innlake.sources import csv_files, messages
@@ -70,6 +70,11 @@ def drop_unused(spark, sf):
     return views.bookings(spark, sf).drop(*CANCEL_UNUSED)
 
 
+def price_preparation(spark, sf):
+    """City hotel only, without the columns that price models discard."""
+    return views.bookings(spark, sf).filter(F.col("hotel") == "City Hotel").drop(*PRICE_UNUSED)
+
+
 def rename_columns(spark, sf):
     return conform.to_warehouse_names(_price(spark, sf))
 
@@ -659,6 +664,7 @@ def model_roundtrip(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "price_select": price_select, "cancel_select": cancel_select, "drop_unused": drop_unused,
+    "price_preparation": price_preparation,
     "rename_columns": rename_columns, "cast_ints": cast_ints, "booking_id_parse": booking_id_parse,
     "conform_price": _price, "conform_cancel": _cancel, "conform_unknown": conform_unknown,
     "monthly_price": monthly_price, "monthly_cancel": monthly_cancel,

@@ -6,10 +6,33 @@ so a mistake in the DataFrame code cannot cancel out.
 
 from __future__ import annotations
 
-from innlake.schemas import (
-    BOOKING_COLUMNS, MARKET_SEGMENTS, MEALS, MONTHS, NUMERIC_FEATURES, ONE_HOT,
-    ROOM_TYPES, VOCABULARY, WAREHOUSE_RENAMES,
-)
+# Fixed values of the data model, spelled out here as well: a slip in the
+# library's own lists must not be a slip in its checks.
+NUMERIC_FEATURES = [
+    "lead_time", "adr", "arrival_date_year", "stays_in_weekend_nights", "stays_in_week_nights", "adults",
+    "children", "is_repeated_guest", "previous_cancellations", "previous_bookings_not_canceled",
+    "required_car_parking_spaces", "total_of_special_requests",
+]
+MARKET_SEGMENTS = ["Aviation", "Complementary", "Corporate", "Direct", "Groups", "Offline TA/TO", "Online TA"]
+MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+          "November", "December"]
+MEALS = ["BB", "FB", "HB", "SC"]
+ROOM_TYPES = ["A", "B", "C", "D", "E", "F", "G"]
+WAREHOUSE_RENAMES = {"market_segment_Offline TA/TO": "market_segment_Offline_TA_TO",
+                     "market_segment_Online TA": "market_segment_Online_TA"}
+_KINDS = """
+Booking_ID bigint, hotel string, is_canceled int, lead_time int, arrival_date_year int, arrival_date_month string,
+arrival_date_week_number int, arrival_month string, arrival_date_day_of_month int, stays_in_weekend_nights int,
+stays_in_week_nights int, adults int, children int, babies int, meal string, country string, market_segment string,
+distribution_channel string, is_repeated_guest int, previous_cancellations int, previous_bookings_not_canceled int,
+reserved_room_type string, assigned_room_type string, booking_changes int, deposit_type string, agent string,
+company string, days_in_waiting_list int, customer_type string, adr double, required_car_parking_spaces int,
+total_of_special_requests int, reservation_status string, reservation_status_date string"""
+
+BOOKING_COLUMNS = dict(x.split() for x in _KINDS.split(","))
+VOCABULARY = {"market_segment": MARKET_SEGMENTS, "arrival_date_month": sorted(MONTHS), "meal": MEALS,
+              "reserved_room_type": ROOM_TYPES}
+ONE_HOT = [f"{c}_{level}" for c, levels in VOCABULARY.items() for level in levels]
 
 _BOOKINGS = """
 raw_bookings AS (
@@ -366,6 +389,8 @@ def oracles() -> dict[str, str]:
         "price_select": f"{_BASES} SELECT {price_inputs} FROM bookings",
         "cancel_select": f"{_BASES} SELECT {cancel_inputs} FROM bookings",
         "drop_unused": f"{_BASES} SELECT * EXCLUDE ({unused}) FROM bookings",
+        "price_preparation": f"""{_BASES} SELECT * EXCLUDE ({unused}, is_canceled, arrival_date_day_of_month)
+            FROM bookings WHERE hotel = 'City Hotel'""",
         "rename_columns": f"{_PRICES} SELECT {_SAFE} FROM price",
         "cast_ints": f"""{_BASES} SELECT "Booking_ID", CAST(trunc(adr) AS INTEGER) AS adr_int,
             CAST(arrival_month AS INTEGER) AS arrival_month_int, coalesce(children, 0) AS children_int FROM bookings""",
