@@ -103,7 +103,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, key: str = "vec_id", ve
     length = vectors.usual_length(rows, vector)
     # floor() returns a long; components too large for one are whole numbers already.
     scaled = F.col(vector).cast("array<double>")
-    large = F.transform(scaled, lambda x: F.when(F.abs(x) < 1e12, F.floor(x * SCALE).cast("double")).otherwise(x * SCALE))
+    large = F.transform(scaled, lambda x: F.when(
+        F.abs(x) < 1e12, F.floor(x * SCALE).cast("double")).otherwise(x * SCALE))
     usable = rows.filter(F.col(key).isNotNull() & vectors.sound(vector) & (F.size(vector) == length)) \
         .select(F.col(key).cast("long").alias("own"), large.alias("whole"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     sample = usable.orderBy(F.xxhash64("own"), "own").limit(SAMPLE).collect()
@@ -138,7 +139,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, key: str = "vec_id", ve
     def copies(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    asked = known.filter("asks").dropDuplicates(["own", "whole"]).withColumn("q", F.pmod(place, F.lit(q_blocks)).cast("int")).withColumn("c", copies(c_blocks))
+    asked = known.filter("asks").dropDuplicates(["own", "whole"]) \
+        .withColumn("q", F.pmod(place, F.lit(q_blocks)).cast("int")).withColumn("c", copies(c_blocks))
     against = known.withColumn("asks", F.lit(False)).withColumn("c", F.pmod(place, F.lit(c_blocks)).cast("int")) \
         .withColumn("q", copies(q_blocks))
 

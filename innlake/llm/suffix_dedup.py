@@ -13,7 +13,6 @@ gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
