@@ -4,8 +4,9 @@ The model file's protobuf is read field by field; normaliser, white-space
 marker, vocabulary, unigram scores or merges, and byte fallback are rebuilt as
 a tokenizers pipeline. Texts are cut before each run of markers, which no
 piece of the model crosses (checked on loading), so chunks are encoded in
-multithreaded batches and remembered. Every chunk's ids are compared once with
-the sentencepiece library's own: `differing` counts those that are not equal.
+multithreaded batches and remembered. When a chunk is first met, its ids may be
+compared with the sentencepiece library's own: `differing` counts those that are
+not equal. CHECKED says for one of how many chunks, by position, that is done.
 
 Defined results: null or empty text has no ids; rows repeated are encoded each;
 other columns are ignored; an empty table gives an empty result.
@@ -28,6 +29,12 @@ from innlake.llm import units
 from innlake.llm.chunk_codes import ChunkCodes, by_lists, gap_starts
 
 MARK = "▁"
+#: Chunks that a worker remembers.
+REMEMBERED = 250_000
+CHECKED = 16
+#: Threads of the tokenizers library in a task; each holds memory of its own.
+THREADS = 2
+
 # Fixed values of the model format: kinds of models and of pieces.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -148,20 +155,22 @@ def normaliser(model: PieceModel):
 class Codec:
     """Encoder and decoder of one model; differing counts chunks unlike the sentencepiece library's."""
 
-    def __init__(self, path: str, verify: bool = True):
+    def __init__(self, path: str, checked: int = 1):
+        """checked: one of so many new chunks is compared with the sentencepiece library; 0 for none."""
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         with open(path, "rb") as source:
             self.model = PieceModel.parse(source.read())
         self._tokenizer = build(self.model)
         self._normalise = normaliser(self.model)
         self._whole = not self.model.chunkable()
         self.differing = 0
-        self._reference = None
-        if verify:
+        self._reference, self._checked = None, checked
+        if checked:
             import sentencepiece
 
             self._reference = sentencepiece.SentencePieceProcessor(model_file=path)
-        self._codes = ChunkCodes(by_lists(self._encode), np.int32)
+        self._codes = ChunkCodes(by_lists(self._encode), np.int32, REMEMBERED)
         pieces = [self._surface(p, kind) for p, _, kind in self.model.pieces]
         self._bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self._ends = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
@@ -181,9 +190,10 @@ class Codec:
         if self._reference is not None:
             # Chunks start with a space, which the library puts there by itself.
             lead = 1 if self.model.dummy_prefix else 0
-            theirs = self._reference.encode([c[lead:] for c in chunks], num_threads=1)
-            self.differing += sum(a != b for c, a, b in zip(chunks, found, theirs)
-                                  if c[:1] == " " and c[1:2] not in ("", " ", MARK))
+            some = [i for i in range(0, len(chunks), self._checked)
+                    if chunks[i][:1] == " " and chunks[i][1:2] not in ("", " ", MARK)]
+            theirs = self._reference.encode([chunks[i][lead:] for i in some], num_threads=1)
+            self.differing += sum(found[i] != ids for i, ids in zip(some, theirs))
         return found
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +229,7 @@ _codecs: dict[str, Codec] = {}
 
 def _codec(path: str) -> Codec:
     if path not in _codecs:
-        _codecs[path] = Codec(path)
+        _codecs[path] = Codec(path, CHECKED)
     return _codecs[path]
 
 
@@ -227,49 +237,53 @@ def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text"
     """key, ids, decoded (text from the ids) and normal (the normalised text) of every document,
     and differing: chunks met first in this row's batch whose ids are unlike the sentencepiece library's."""
     kind = docs.schema[key].dataType.simpleString()
+    return _rows(docs, key, text).mapInArrow(
+        lambda batches: _encode_batches(batches, model),
+        f"own {kind}, ids array<int>, decoded binary, normal binary, differing long").withColumnRenamed("own", key)
+
+
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("own"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("body"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model)
-        for batch in batches:
-            body = batch.column("body")
-            if codec._normalise is not None:
-                body = pa.array(codec.normal([b.decode() for b in body.to_pylist()])).cast(pa.binary())
-            data, offsets = units.flat(body)
-            for first, part, own in units.chunks(data, offsets, 4 << 20):
-                before = codec.differing
-                ids, ends = codec.encode(part, own)
-                back, back_ends = codec.decode(ids, ends)
-                n = len(own) - 1
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("own").slice(first, n), pa.ListArray.from_arrays(ends.astype(np.int32), ids),
-                     pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(back_ends.astype(np.int32)),
-                                                            pa.py_buffer(back)]),
-                     body.slice(first, n), pa.array(np.full(n, codec.differing - before))],
-                    names=["own", "ids", "decoded", "normal", "differing"])
-
-    rows = docs.select(F.col(key).alias("own"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("body"))
-    return rows.mapInArrow(run, f"own {kind}, ids array<int>, decoded binary, normal binary, differing long") \
-        .withColumnRenamed("own", key)
+
+def _encode_batches(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
+    codec = _codec(model)
+    for batch in batches:
+        body = batch.column("body")
+        if codec._normalise is not None:
+            body = pa.array(codec.normal([b.decode() for b in body.to_pylist()])).cast(pa.binary())
+        data, offsets = units.flat(body)
+        for first, part, own in units.chunks(data, offsets, 1 << 20):
+            before = codec.differing
+            ids, ends = codec.encode(part, own)
+            back, back_ends = codec.decode(ids, ends)
+            n = len(own) - 1
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("own").slice(first, n), pa.ListArray.from_arrays(ends.astype(np.int32), ids),
+                 pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(back_ends.astype(np.int32)), pa.py_buffer(back)]),
+                 body.slice(first, n), pa.array(np.full(n, codec.differing - before))],
+                names=["own", "ids", "decoded", "normal", "differing"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all `documents`, with a digest of the ids and of the text they decode to."""
     import public_tokenizers
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    found = encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return found.mapInArrow(_digest, "doc_id long, n_tokens long, ids_crc32 long, n_bytes long, "
-                                     "round_trip boolean, verified boolean")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = _rows(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
+    # Digested where the ids are made: neither ids nor texts leave the worker.
+    return rows.mapInArrow(lambda batches: _digest(_encode_batches(batches, model)),
+                           "doc_id long, n_tokens long, ids_crc32 long, n_bytes long, round_trip boolean, verified boolean")
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, ends = batch.column("ids"), None
+        ids = batch.column("ids")
         ends = ids.offsets.to_numpy()
         raw = ids.values.to_numpy().astype("<u4")
         decoded, normal = batch.column("decoded").to_pylist(), batch.column("normal").to_pylist()
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.diff(ends).astype(np.int64)),
+            [batch.column("own").cast(pa.int64()), pa.array(np.diff(ends).astype(np.int64)),
              pa.array([zlib.crc32(raw[a:z].tobytes()) for a, z in zip(ends[:-1], ends[1:])], pa.int64()),
              pa.array([len(d) for d in decoded], pa.int64()),
              pa.array([a == b for a, b in zip(decoded, normal)]),
