@@ -10,7 +10,7 @@ page marks an article, the text is that article's.
 
 Defined results: null html gives an empty text; a null or odd url is a host of
 its own; markup that isn't closed is closed where HTML says; repeated rows give
-repeated results and count as pages; other columns are ignored; an empty table
+repeated results and count as one page; other columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -40,13 +40,13 @@ def templates(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(h, p) for h, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist())
-                    for p in set(page_tree.prints(page_tree.parse(source or "")))]
+            rows = [(h, p, v) for h, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist())
+                    for p, v, _ in page_tree.prints(page_tree.parse(source or ""))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in rows], pa.string()), pa.array([p for _, p in rows], pa.int64())],
-                names=["host", "print"])
+                [pa.array([h for h, _, _ in rows], pa.string()), pa.array([p for _, p, _ in rows], pa.int64()),
+                 pa.array([v for *_, v in rows], pa.int64())], names=["host", "print", "vote"])
 
-    counted = pages.select("host", "html").mapInArrow(run, "host string, print long") \
+    counted = pages.select("host", "html").mapInArrow(run, "host string, print long, vote long").distinct() \
         .groupBy("host", "print").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_PAGES)
     size = pages.groupBy("host").agg(F.count("*").alias("pages"))
     return counted.join(size, "host").filter(F.col("n") >= F.col("pages") * SHARE) \

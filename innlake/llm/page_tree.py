@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import xxhash
@@ -29,6 +28,13 @@ ASIDE_WORDS = set("""ad ads adbox advert advertisement advertising adsense banne
  navigation newsletter notice notification overlay pager pagination popup promo promotion recommended related replies
  respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget""".split())
 READERS = {"comment", "comments", "commentlist", "replies", "respond", "disqus"}
+# Aside when search for marked articles fails elsewhere, too.
+CLOSED_TAGS = set("nav footer aside head".split()) | set(RAW)
+# Words that may stand beside an aside word in a hyphenated class: "site-header" is a header, "no-sidebar" no sidebar.
+PLACES = set("""area bar block bottom box button buttons inner item items left link links list main page primary right
+ secondary section site text top""".split())
+# Inside an article, parts of lists and tables and headings recur by chance.
+SMALL = set("li dt dd tr td th thead tbody tfoot caption option optgroup legend h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -40,12 +46,24 @@ _ATTR = re.compile(r"(class|id|role|aria-hidden|itemprop|style|hidden)\s*(?:=\s*
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+def _names(tokens: str) -> set[str]:
+    """Aside words that the tokens of a class or id are, whole or beside words for places."""
+    found = set()
+    for token in tokens.split():
+        parts = set(_WORD.findall(token))
+        found |= parts & ASIDE_WORDS
+    return found
+_INSIDE = 0x5851F42D4C957F2D
+
+
 @dataclass(slots=True)
 class Element:
     tag: str
     label: str = ""
     main: bool = False
     aside: bool = False
+    closed: bool = False
+    words: bool = False
     parts: list = field(default_factory=list)
     print: int = 0
 
@@ -53,7 +71,7 @@ class Element:
 def _describe(element: Element, attrs: str) -> None:
     values = {k.lower(): (v or "").strip("\"'").lower() for k, v in _ATTR.findall(attrs)} if attrs.strip(" /") else {}
     element.label = f"{values.get('class', '')}|{values.get('id', '')}|{values.get('role', '')}"
-    words = set(_WORD.findall(values.get("class", "") + " " + values.get("id", "")))
+    words = _names(values.get("class", "") + " " + values.get("id", "")) if values else set()
     tag = element.tag
     element.main = tag in ("article", "main") or values.get("role") == "main" or values.get("itemprop") == "articlebody"
     hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "")
@@ -62,7 +80,8 @@ def _describe(element: Element, attrs: str) -> None:
     elif tag == "article":
         element.aside = bool(words & READERS) or hidden
     else:
-        element.aside = tag in ASIDE_TAGS or values.get("role") in ASIDE_ROLES or bool(words & ASIDE_WORDS) or hidden
+        element.aside = tag in ASIDE_TAGS or values.get("role") in ASIDE_ROLES or bool(words) or hidden
+    element.closed = element.aside and (hidden or tag in CLOSED_TAGS or bool(words & READERS))
     if element.aside:
         element.main = False
 
@@ -75,6 +94,7 @@ def parse(source: str) -> Element:
     def close(n: int) -> None:
         while len(stack) > n:
             done = stack.pop()
+            done.words = any(p.words if isinstance(p, Element) else not p.isspace() for p in done.parts)
             done.print = _fingerprint(done)
 
     def add_text(text: str) -> None:
@@ -124,34 +144,71 @@ def _fingerprint(element: Element) -> int:
     own = [element.tag, element.label]
     for part in element.parts:
         own.append(str(part.print) if isinstance(part, Element) else " ".join(part.split()))
+    return _hash("\x1f".join(own))
+
+
+def _mains(root: Element) -> list[Element]:
+    """The outermost article or main elements; those under aside wrappers count if there are no others."""
+    for deep in (False,):
+        found, todo = [], [root]
+        while todo:
+            element = todo.pop()
+            if element.main:
+                found.append(element)
+            elif not (element.closed if deep else element.aside):
+                todo += [p for p in reversed(element.parts) if isinstance(p, Element)]
+        if found:
+            return found
+    return []
+
+
+def _hash(text: str) -> int:
     # Signed, as Spark's numbers are.
-    return xxhash.xxh3_64_intdigest("\x1f".join(own).encode("utf-8", "surrogatepass")) - (1 << 63)
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
 
+def prints(root: Element) -> set[tuple[int, int, bool]]:
+    """(fingerprint, vote, whether in an article) of the page's elements that may be templates.
 
-def prints(root: Element) -> Iterator[int]:
-    """Fingerprints of all elements outside main text."""
-    todo = [root]
-    while todo:
-        for part in todo.pop().parts:
-            if isinstance(part, Element) and not part.main:
-                if part.tag not in ("html", "body"):
-                    yield part.print
+    The vote names the text that the element stands in, without what is aside: that of its article, or of the page.
+    Copies of a page or article vote alike. Words inside a line of text are no template.
+    """
+    mains = _mains(root)
+    marked = set(map(id, mains))
+    found = set()
+    page = _hash(_blocks(mains or [root], bool(mains), set()))
+    for top, vote in [(root, page), *((m, _hash(_blocks([m], True, set()))) for m in mains)]:
+        todo = [top]
+        while todo:
+            element = todo.pop()
+            alone = not any(isinstance(p, str) and not p.isspace() for p in element.parts)
+            for part in element.parts:
+                if not isinstance(part, Element) or not part.words or id(part) in marked:
+                    continue
+                if _deletable(part, alone, top is not root) and part.tag not in ("html", "body"):
+                    found.add((_named(part, top is not root), vote, top is not root))
                 todo.append(part)
+    return found
+
+
+def _named(part: Element, inside: bool) -> int:
+    """Fingerprints inside articles have names of their own, as they are counted by themselves."""
+    return part.print ^ _INSIDE if inside else part.print
+
+
+def _deletable(part: Element, alone: bool, inside: bool) -> bool:
+    if inside:
+        return False
+    return alone or part.tag in BLOCK
 
 
 def text(root: Element, templates: set[int]) -> str:
-    """Main text: the outermost article or main elements, or else the page, without what is aside or a template.
+    """Main text: the outermost article or main elements, or else the page, without what is aside or a template."""
+    mains = _mains(root)
+    return _blocks(mains or [root], bool(mains), templates)
 
-    Templates are deleted outside main elements only: what recurs inside is a copied text.
-    """
-    mains: list[Element] = []
-    todo = [root]
-    while todo:
-        element = todo.pop()
-        if element.main:
-            mains.append(element)
-        elif not element.aside:
-            todo += [p for p in reversed(element.parts) if isinstance(p, Element)]
+
+def _blocks(tops: list[Element], inside: bool, templates: set[int]) -> str:
     blocks: list[str] = []
     line: list[str] = []
 
@@ -161,11 +218,11 @@ def text(root: Element, templates: set[int]) -> str:
             blocks.append(own)
         line.clear()
 
-    for top in mains or [root]:
-        inside = bool(mains)
-        walk: list[tuple[object, bool]] = [(top, False)]
+    for top in tops:
+        # Of each part: whether it ends here, and whether its parent has no text beside its elements.
+        walk: list[tuple[object, bool, bool]] = [(top, False, True)]
         while walk:
-            part, closing = walk.pop()
+            part, closing, alone = walk.pop()
             if isinstance(part, str):
                 line.append(part)
                 continue
@@ -177,13 +234,15 @@ def text(root: Element, templates: set[int]) -> str:
                     line.append(" ")
                 continue
             if part is not top and (part.aside or part.tag == "header" and not inside
-                                    or not inside and part.print in templates):
+                                    or templates and _named(part, inside) in templates
+                                    and _deletable(part, alone, inside)):
                 if block:
                     flush()
                 continue
             if block:
                 flush()
-            walk.append((part, True))
-            walk += [(p, False) for p in reversed(part.parts)]
+            walk.append((part, True, alone))
+            own = bool(templates) and not any(isinstance(p, str) and not p.isspace() for p in part.parts)
+            walk += [(p, False, own) for p in reversed(part.parts)]
         flush()
     return "\n".join(blocks)

@@ -62,3 +62,14 @@ def test_copied_articles_are_no_template(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     folder = cases.saved(spark.createDataFrame([], SCHEMA), tmp_path, "pages")
     assert page_text.query(spark, folder).collect() == []
+
+
+def texts(spark, tmp_path, sources, host="a.example"):
+    rows = [(i, f"http://{host}/{i}", s, None, None) for i, s in enumerate(sources)]
+    folder = cases.saved(spark.createDataFrame(rows, SCHEMA), tmp_path, "pages")
+    return {r["page_id"]: r["text"] for r in page_text.query(spark, folder).collect()}
+
+
+def test_copied_unmarked_pages_are_one_page(spark, tmp_path):
+    found = texts(spark, tmp_path, ["<body><div><p>own text</p><p>of a page</p></div></body>"] * 3)
+    assert set(found.values()) == {"own text\nof a page"}
