@@ -70,6 +70,20 @@ def texts(spark, tmp_path, sources, host="a.example"):
     return {r["page_id"]: r["text"] for r in page_text.query(spark, folder).collect()}
 
 
+def test_bar_does_not_rise_with_the_host(spark, tmp_path):
+    box = "<div>In our section</div>"
+    found = texts(spark, tmp_path, [f"<body>{box if i < 4 else ''}<p>story {i}</p></body>" for i in range(600)])
+    assert all(found[i] == f"story {i}" for i in range(600))
+
+
+def test_hot_templates_and_copies(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(page_text, "HOT_ROWS", 2)
+    monkeypatch.setattr(page_text, "HOT_COPIES", 2)
+    pages = [f"<body><div>menu</div><p>story {i}</p></body>" for i in range(6)]
+    found = texts(spark, tmp_path, pages + pages[:1] * 5)
+    assert [found[i] for i in range(11)] == [f"story {i}" for i in [*range(6), *[0] * 5]]
+
+
 def test_copied_unmarked_pages_are_one_page(spark, tmp_path):
     found = texts(spark, tmp_path, ["<body><div><p>own text</p><p>of a page</p></div></body>"] * 3)
     assert set(found.values()) == {"own text\nof a page"}
