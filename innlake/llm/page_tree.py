@@ -198,7 +198,7 @@ def _named(part: Element, inside: bool) -> int:
 
 def _deletable(part: Element, alone: bool, inside: bool) -> bool:
     if inside:
-        return False
+        return part.tag in BLOCK and part.tag not in SMALL
     return alone or part.tag in BLOCK
 
 

@@ -70,6 +70,15 @@ def texts(spark, tmp_path, sources, host="a.example"):
     return {r["page_id"]: r["text"] for r in page_text.query(spark, folder).collect()}
 
 
+def test_boilerplate_inside_articles_goes(spark, tmp_path):
+    notice = "<p>Read <b>more</b> every day</p>"
+    pages = [f"<article><h2>Sum</h2><p>story {i} is <b>so</b> long</p>{notice}</article>" for i in range(8)]
+    copies = ["<article><p>same text</p><p>of all copies</p></article>"] * 9
+    found = texts(spark, tmp_path, pages + copies)
+    assert all(found[i] == f"Sum\nstory {i} is so long" for i in range(8))
+    assert all(found[i] == "same text\nof all copies" for i in range(8, 17))
+
+
 def test_bar_does_not_rise_with_the_host(spark, tmp_path):
     box = "<div>In our section</div>"
     found = texts(spark, tmp_path, [f"<body>{box if i < 4 else ''}<p>story {i}</p></body>" for i in range(600)])
