@@ -51,7 +51,8 @@ def _names(tokens: str) -> set[str]:
     found = set()
     for token in tokens.split():
         parts = set(_WORD.findall(token))
-        found |= parts & ASIDE_WORDS
+        if parts <= ASIDE_WORDS | PLACES:
+            found |= parts & ASIDE_WORDS
     return found
 _INSIDE = 0x5851F42D4C957F2D
 
@@ -149,7 +150,7 @@ def _fingerprint(element: Element) -> int:
 
 def _mains(root: Element) -> list[Element]:
     """The outermost article or main elements; those under aside wrappers count if there are no others."""
-    for deep in (False,):
+    for deep in (False, True):
         found, todo = [], [root]
         while todo:
             element = todo.pop()

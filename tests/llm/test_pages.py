@@ -96,3 +96,15 @@ def test_hot_templates_and_copies(spark, tmp_path, monkeypatch):
 def test_copied_unmarked_pages_are_one_page(spark, tmp_path):
     found = texts(spark, tmp_path, ["<body><div><p>own text</p><p>of a page</p></div></body>"] * 3)
     assert set(found.values()) == {"own text\nof a page"}
+
+
+@pytest.mark.parametrize("source, wanted", [
+    ("<div class='layout no-sidebar'><article>yes</article></div>", "yes"),
+    ("<div id=with-nav><div class='header-fixed'><p>yes</p></div></div>", "yes"),
+    ("<form><div><article>yes</article></div></form>", "yes"),
+    ("<div class=sidebar><article>no</article></div><article>yes</article>", "yes"),
+    ("<nav><article>no</article></nav><div class=comments><article>no</article></div><p>yes</p>", "yes"),
+    ("<div class='cookie-banner'>no</div><div class='site-header'>no</div><p>yes</p>", "yes"),
+])
+def test_aside_words(source, wanted):
+    assert page_tree.text(page_tree.parse(source), set()) == wanted
