@@ -4,9 +4,10 @@ The model file's protobuf is read field by field; normaliser, white-space
 marker, vocabulary, unigram scores or merges, and byte fallback are rebuilt as
 a tokenizers pipeline. Texts are cut before each run of markers, which no
 piece of the model crosses (checked on loading), so chunks are encoded in
-multithreaded batches and remembered. When a chunk is first met, its ids may be
-compared with the sentencepiece library's own: `differing` counts those that are
-not equal. CHECKED says for one of how many chunks, by position, that is done.
+multithreaded batches and remembered. Every text's ids are compared with the
+sentencepiece library's own for the whole text as it came: `verified` says whether
+they are equal. The library gets one text at a time, and one of more than SPAN
+characters in spans that are cut between words, which bounds its memory.
 
 Defined results: null or empty text has no ids; rows repeated are encoded each;
 other columns are ignored; an empty table gives an empty result.
@@ -15,6 +16,7 @@ other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,13 +33,15 @@ from innlake.llm.chunk_codes import ChunkCodes, by_lists, gap_starts
 MARK = "▁"
 #: Chunks that a worker remembers.
 REMEMBERED = 250_000
-CHECKED = 16
+#: Characters that the sentencepiece library encodes at once, up to the next cut.
+SPAN = 65_536
 #: Threads of the tokenizers library in a task; each holds memory of its own.
 THREADS = 2
 
 # Fixed values of the model format: kinds of models and of pieces.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
+_CUT = re.compile("(?<=[^ ▁]) (?=[^ ▁])")
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -153,10 +157,10 @@ def normaliser(model: PieceModel):
 
 
 class Codec:
-    """Encoder and decoder of one model; differing counts chunks unlike the sentencepiece library's."""
+    """Encoder and decoder of one model; differing counts texts unlike the sentencepiece library's."""
 
-    def __init__(self, path: str, checked: int = 1):
-        """checked: one of so many new chunks is compared with the sentencepiece library; 0 for none."""
+    def __init__(self, path: str, checked: bool = True):
+        """checked: texts can be compared with the sentencepiece library."""
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         with open(path, "rb") as source:
@@ -165,7 +169,7 @@ class Codec:
         self._normalise = normaliser(self.model)
         self._whole = not self.model.chunkable()
         self.differing = 0
-        self._reference, self._checked = None, checked
+        self._reference = None
         if checked:
             import sentencepiece
 
@@ -186,15 +190,34 @@ class Codec:
 
     def _encode(self, chunks: list[str]) -> list[list[int]]:
         marked = [c.replace(" ", MARK) if self.model.escape else c for c in chunks]
-        found = [e.ids for e in self._tokenizer.encode_batch_fast(marked, add_special_tokens=False)]
-        if self._reference is not None:
-            # Chunks start with a space, which the library puts there by itself.
-            lead = 1 if self.model.dummy_prefix else 0
-            some = [i for i in range(0, len(chunks), self._checked)
-                    if chunks[i][:1] == " " and chunks[i][1:2] not in ("", " ", MARK)]
-            theirs = self._reference.encode([chunks[i][lead:] for i in some], num_threads=1)
-            self.differing += sum(found[i] != ids for i, ids in zip(some, theirs))
-        return found
+        return [e.ids for e in self._tokenizer.encode_batch_fast(marked, add_special_tokens=False)]
+
+    def verified(self, text: str, normal: str, ids: np.ndarray) -> bool | None:
+        """Whether the sentencepiece library gives the text these ids; None if it isn't asked."""
+        if self._reference is None:
+            return None
+        at = 0
+        for span in self._spans(text, normal):
+            theirs = self._reference.encode(span)
+            if not np.array_equal(ids[at: at + len(theirs)], np.array(theirs, np.int64)):
+                break
+            at += len(theirs)
+        else:
+            if at == len(ids):
+                return True
+        self.differing += 1
+        return False
+
+    def _spans(self, text: str, normal: str) -> Iterator[str]:
+        """The text, or if it is long, spans of its normal form without the space at each cut, which the library adds."""
+        if len(text) <= SPAN or self._whole or not self.model.dummy_prefix:
+            yield text
+            return
+        at = 0
+        while cut := _CUT.search(normal, at + SPAN):
+            yield normal[at: cut.start()]
+            at = cut.end()
+        yield normal[at:]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, id offsets) of texts that are normalised already."""
@@ -229,17 +252,17 @@ _codecs: dict[str, Codec] = {}
 
 def _codec(path: str) -> Codec:
     if path not in _codecs:
-        _codecs[path] = Codec(path, CHECKED)
+        _codecs[path] = Codec(path)
     return _codecs[path]
 
 
 def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ids, decoded (text from the ids) and normal (the normalised text) of every document,
-    and differing: chunks met first in this row's batch whose ids are unlike the sentencepiece library's."""
+    and verified: whether the ids are the sentencepiece library's own."""
     kind = docs.schema[key].dataType.simpleString()
     return _rows(docs, key, text).mapInArrow(
         lambda batches: _encode_batches(batches, model),
-        f"own {kind}, ids array<int>, decoded binary, normal binary, differing long").withColumnRenamed("own", key)
+        f"own {kind}, ids array<int>, decoded binary, normal binary, verified boolean").withColumnRenamed("own", key)
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -249,20 +272,21 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 def _encode_batches(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
     codec = _codec(model)
     for batch in batches:
-        body = batch.column("body")
+        came = body = batch.column("body")
         if codec._normalise is not None:
             body = pa.array(codec.normal([b.decode() for b in body.to_pylist()])).cast(pa.binary())
         data, offsets = units.flat(body)
         for first, part, own in units.chunks(data, offsets, 1 << 20):
-            before = codec.differing
             ids, ends = codec.encode(part, own)
             back, back_ends = codec.decode(ids, ends)
             n = len(own) - 1
+            verified = [codec.verified(came[first + i].as_py().decode(), body[first + i].as_py().decode(), ids[ends[i]: ends[i + 1]])
+                        for i in range(n)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("own").slice(first, n), pa.ListArray.from_arrays(ends.astype(np.int32), ids),
                  pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(back_ends.astype(np.int32)), pa.py_buffer(back)]),
-                 body.slice(first, n), pa.array(np.full(n, codec.differing - before))],
-                names=["own", "ids", "decoded", "normal", "differing"])
+                 body.slice(first, n), pa.array(verified, pa.bool_())],
+                names=["own", "ids", "decoded", "normal", "verified"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,5 +311,5 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([zlib.crc32(raw[a:z].tobytes()) for a, z in zip(ends[:-1], ends[1:])], pa.int64()),
              pa.array([len(d) for d in decoded], pa.int64()),
              pa.array([a == b for a, b in zip(decoded, normal)]),
-             pa.array([x == 0 for x in batch.column("differing").to_pylist()])],
+             batch.column("verified")],
             names=["doc_id", "n_tokens", "ids_crc32", "n_bytes", "round_trip", "verified"])

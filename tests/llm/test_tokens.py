@@ -120,3 +120,26 @@ def test_piece_query(spark, tmp_path):
     assert all(r["round_trip"] and r["verified"] for r in found)
     folder = cases.saved(cases.documents(spark, []), tmp_path, "documents")
     assert piece_codec.query(spark, folder).collect() == []
+
+
+def test_every_text_is_verified(monkeypatch):
+    monkeypatch.setattr(piece_codec, "SPAN", 20)
+    codec = piece_codec.Codec(PIECE)
+    wrong = codec._tokenizer.encode("▁wrong", add_special_tokens=False).ids
+    inner = codec._codes._encode
+
+    def encode(chunks):
+        flat, sizes = inner(chunks)
+        ends = np.cumsum(sizes)
+        for chunk, end, size in zip(chunks, ends, sizes):
+            if chunk.strip() == "wrong":
+                flat[end - size: end] = wrong[0] + 1
+        return flat, sizes
+
+    codec._codes._encode = encode
+    texts = [*TEXTS, *(f"some words and  more number{i} are here, ▁ and   there" for i in range(40)), "a wrong one", "wrong again and wrong"]
+    for _ in range(2):  # chunks are remembered the second time
+        ids, ends = codec.encode(*joined(codec.normal(texts)))
+        verdicts = [codec.verified(t, n, ids[ends[i]: ends[i + 1]]) for i, (t, n) in enumerate(zip(texts, codec.normal(texts)))]
+        assert verdicts == ["wrong" not in t for t in texts]
+    assert piece_codec.Codec(PIECE, False).verified("x", "x", ids[:0]) is None
