@@ -82,3 +82,22 @@ def test_few_and_no_rows(spark, tmp_path):
         folder = table(spark, some, tmp_path)
         assert pivot_search.query(spark, folder).collect() == []
         assert [tuple(r) for r in vector_dedup.query(spark, folder).collect()] == [(1, 0, 1, True)][: len(some)]
+
+
+def test_pairs_in_a_hot_cone_are_met(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "WINDOW", 16)
+    monkeypatch.setattr(vector_dedup, "EXACT", 500)
+    rng = np.random.default_rng(5)
+    n, length, pairs = 3000, 64, 150
+    unit = rng.standard_normal((n, length))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    values = np.sqrt(0.8) * np.eye(length)[0] + np.sqrt(0.2) * unit  # about 0.8 of each other
+    values[1500:] = unit[1500:]
+    for i in range(0, 2 * pairs, 2):
+        side = rng.standard_normal(length)
+        side -= side @ values[i] * values[i] / (values[i] @ values[i])
+        values[i + 1] = values[i] + 0.3 * np.linalg.norm(values[i]) * side / np.linalg.norm(side)
+    folder = table(spark, [(i, [float(x) for x in v], 0, None, None) for i, v in enumerate(values)], tmp_path)
+    names = {r["vec_id"]: r["component_id"] for r in vector_dedup.query(spark, folder).collect()}
+    met = [names[i] == names[i + 1] for i in range(0, 2 * pairs, 2)]
+    assert np.mean(met) >= 0.98
