@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from innlake.llm import (
-    best_fit, cross_parse, near_dedup, oracles, page_text, piece_codec, pivot_search, suffix_dedup, token_files, vector_dedup,
+    best_fit, cross_parse, near_dedup, oracles, page_text, piece_codec, pivot_search, suffix_dedup, token_files, trie_bpe, vector_dedup,
     word_dedup,
 )
 
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_sentencepiece_codec": piece_codec.query,
     "op9_page_text": page_text.query,
     "op10_language_id": cross_parse.query,
+    "op13_trie_bpe": trie_bpe.query,
 }
 
 # The rest is compared with brute force, the tokenizers' own results or held-out labels in tests/llm.
