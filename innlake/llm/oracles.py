@@ -90,3 +90,27 @@ scores AS (
   FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10"""
+
+
+_TERMS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+RANKED_SEARCH = f"""
+WITH doc AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+total AS (SELECT count(*) AS docs, sum(len(w)) AS terms FROM doc WHERE len(w) > 0),
+asked AS (
+  SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY item_id, t),
+held AS (
+  SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM doc)
+  WHERE t IN (SELECT t FROM asked) GROUP BY doc_id, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT t, count(*) AS df FROM held GROUP BY t), total),
+sized AS (
+  SELECT doc_id, CAST(75 + (25 * len(w) * docs) // terms AS BIGINT) AS m FROM doc, total WHERE len(w) > 0),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN held USING (t) JOIN weights USING (t) JOIN sized USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20"""

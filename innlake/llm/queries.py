@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from innlake.llm import (
-    best_fit, cross_parse, near_dedup, oracles, page_text, piece_codec, pivot_search, suffix_dedup, token_files, trie_bpe, vector_dedup,
-    word_dedup,
+    best_fit, cross_parse, near_dedup, oracles, page_text, piece_codec, pivot_search, ranked_search, suffix_dedup, token_files,
+    trie_bpe, vector_dedup, word_dedup,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_sentencepiece_codec": piece_codec.query,
     "op9_page_text": page_text.query,
     "op10_language_id": cross_parse.query,
+    "op11_ranked_search": ranked_search.query,
     "op13_trie_bpe": trie_bpe.query,
 }
 
@@ -28,4 +29,5 @@ ORACLES = {
     "op5_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op6_vector_near_dedup": oracles.VECTOR_DEDUP,
     "op7_pivot_top_k": oracles.TOP_K,
+    "op11_ranked_search": oracles.RANKED_SEARCH,
 }

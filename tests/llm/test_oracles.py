@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         duck.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     relation = duck.sql(ORACLES[name])
     found = QUERIES[name](spark, SF)
