@@ -114,3 +114,25 @@ scores AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
 SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20"""
+
+
+HARD_NEGATIVES = f"""
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND {_SOUND}),
+scores AS (
+  SELECT a.vec_id AS anchor_id, x.vec_id AS other, a.label = x.label AS same,
+    CAST(list_inner_product(a.v, x.v) AS BIGINT) AS score
+  FROM whole a JOIN whole x ON a.vec_id <> x.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS place FROM scores WHERE same)
+  WHERE place <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS place
+  FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE place <= 3"""

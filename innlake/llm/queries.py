@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from innlake.llm import (
-    best_fit, cross_parse, near_dedup, oracles, page_text, piece_codec, pivot_search, ranked_search, suffix_dedup, token_files,
-    trie_bpe, vector_dedup, word_dedup,
+    best_fit, cross_parse, hard_negatives, near_dedup, oracles, page_text, piece_codec, pivot_search, ranked_search, suffix_dedup,
+    token_files, trie_bpe, vector_dedup, word_dedup,
 )
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_page_text": page_text.query,
     "op10_language_id": cross_parse.query,
     "op11_ranked_search": ranked_search.query,
+    "op12_hard_negatives": hard_negatives.query,
     "op13_trie_bpe": trie_bpe.query,
 }
 
@@ -30,4 +31,5 @@ ORACLES = {
     "op6_vector_near_dedup": oracles.VECTOR_DEDUP,
     "op7_pivot_top_k": oracles.TOP_K,
     "op11_ranked_search": oracles.RANKED_SEARCH,
+    "op12_hard_negatives": oracles.HARD_NEGATIVES,
 }
