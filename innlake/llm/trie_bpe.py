@@ -36,7 +36,8 @@ from innlake.llm import units
 from innlake.llm.chunk_codes import ChunkCodes, gap_starts
 
 #: Chunks, words and pairs of tokens that a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 1_000_000
+WORDS = 500_000
 PAIRS = 1_000_000
 #: A word of more characters is walked alone: a trie node for each would take too much memory.
 LONG = 1024
@@ -85,7 +86,7 @@ class TrieBpe:
         self._signs = [""] * (1 + max([*self._vocabulary.values(), *self._added.values()]))
         for sign, token in self._vocabulary.items():
             self._signs[token] = sign
-        self._steps, self._token_at = self._spelled()
+        self._spelled()
         self._apart: dict[int, bool] = {}
         self._known: dict[str, tuple[int, ...]] = {}
         self._codes = ChunkCodes(self._encode_chunks, np.uint32, REMEMBERED)
@@ -96,21 +97,42 @@ class TrieBpe:
         self._bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self._ends = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
 
-    def _spelled(self) -> tuple[list[dict[str, int]], list[int]]:
-        """The vocabulary as a trie: steps of each state, and the token that a state spells."""
-        steps: list[dict[str, int]] = [{}]
-        tokens = [_NONE]
+    def _spelled(self) -> None:
+        """The vocabulary as an automaton of suffixes.
+
+        A state is the longest end of what was read that begins a token; _suffix leads to the
+        longest token that ends a state's string, other than that itself.
+        """
+        self._steps: list[dict[str, int]] = [{}]
+        self._token_at, self._size = [_NONE], [0]
         for sign, token in self._vocabulary.items():
             state = 0
             for c in sign:
-                after = steps[state].get(c)
+                after = self._steps[state].get(c)
                 if after is None:
-                    after = steps[state][c] = len(steps)
-                    steps.append({})
-                    tokens.append(_NONE)
+                    after = self._steps[state][c] = len(self._steps)
+                    self._steps.append({})
+                    self._token_at.append(_NONE)
+                    self._size.append(self._size[state] + 1)
                 state = after
-            tokens[state] = token
-        return steps, tokens
+            self._token_at[state] = token
+        self._fail = array("i", bytes(4 * len(self._steps)))
+        self._suffix = array("i", bytes(4 * len(self._steps)))
+        level = list(self._steps[0].values())
+        while level:
+            below = []
+            for state in level:
+                fail = self._fail[state]
+                self._suffix[state] = fail if self._token_at[fail] != _NONE else self._suffix[fail]
+                for c, after in self._steps[state].items():
+                    self._fail[after] = self._after(fail, c)
+                    below.append(after)
+            level = below
+
+    def _after(self, state: int, sign: str) -> int:
+        while (found := self._steps[state].get(sign)) is None and state:
+            state = self._fail[state]
+        return found or 0
 
     def _merged(self, sign: str) -> list[int]:
         """Tokens of a short string by joining the best pair until none is left."""
@@ -136,54 +158,63 @@ class TrieBpe:
             found = self._apart[name] = self._merged(text) == [*head, token]
         return found
 
-    def _step(self, sign: str, spelling: list, last) -> tuple[int, int, list]:
-        """(last token, node where it begins, spellings that go on) one character further.
+    def _step(self, sign: str, state: int, depth: int, above) -> tuple[int, int, int]:
+        """(last token, its length, state) one character further, at the given depth.
 
-        spelling has (node, vocabulary state) for every node above from which a token may still be spelled,
-        the farthest first. last has the last tokens of the nodes; the root's is none.
+        above has the last tokens by depth, none for the root.
         """
-        token, begin, on = _NONE, 0, []
-        for start, state in spelling:
-            state = self._steps[state].get(sign)
-            if state is None:
-                continue
-            on.append((start, state))
-            if token == _NONE and self._token_at[state] != _NONE and self._fits(last[start], self._token_at[state]):
-                token, begin = self._token_at[state], start
-        return token, begin, on
+        state = at = self._after(state, sign)
+        if self._token_at[at] == _NONE:
+            at = self._suffix[at]
+        while at:
+            token, size = self._token_at[at], self._size[at]
+            before = above[depth - size]
+            fits = self._apart.get((before + 1) << 32 | token)
+            if fits or (fits is None and self._fits(before, token)):
+                return token, size, state
+            at = self._suffix[at]
+        raise ValueError(f"no token ends with {sign!r}")
 
     def _walk(self, words: list[str]) -> None:
         """Learns the ids of distinct words from one trie."""
-        below: list[dict[str, int]] = [{}]
+        below: list[dict[str, int] | None] = [{}]
         ends = []
         for word in words:
             node = 0
             for c in word:
-                after = below[node].get(c)
+                kids = below[node]
+                if kids is None:
+                    kids = below[node] = {}
+                after = kids.get(c)
                 if after is None:
-                    after = below[node][c] = len(below)
-                    below.append({})
+                    after = kids[c] = len(below)
+                    below.append(None)
                 node = after
             ends.append(node)
         last, begin = [_NONE] * len(below), [0] * len(below)
-        stack = [(0, [(0, 0)])]
+        path = [0] * (2 + max(map(len, words), default=0))  # nodes by depth, and their last tokens
+        above = [_NONE] * len(path)
+        stack = [(0, 0, 0)]
         while stack:
-            node, spelling = stack.pop()
-            for c, after in below[node].items():
-                last[after], begin[after], on = self._step(c, spelling, last)
-                on.append((after, 0))
-                stack.append((after, on))
+            node, state, depth = stack.pop()
+            path[depth], above[depth] = node, last[node]
+            kids = below[node]
+            if kids:
+                depth += 1
+                for c, after in kids.items():
+                    last[after], size, on = self._step(c, state, depth, above)
+                    begin[after] = path[depth - size]
+                    stack.append((after, on, depth))
         for word, node in zip(words, ends):
             self._known[word] = _path(node, last, begin)
 
     def _alone(self, word: str) -> tuple[int, ...]:
         """The same along a single word; a node is a place in it."""
-        last, begin, spelling = array("i", [_NONE]), array("q", [0]), [(0, 0)]
+        last, begin, state = array("i", [_NONE]), array("q", [0]), 0
         for i, c in enumerate(word, 1):
-            token, start, spelling = self._step(c, spelling, last)
+            token, size, state = self._step(c, state, i, last)
             last.append(token)
-            begin.append(start)
-            spelling.append((i, 0))
+            begin.append(i - size)
         return _path(len(word), last, begin)
 
     def _words(self, chunk: str) -> list[str | int]:
@@ -199,7 +230,7 @@ class TrieBpe:
 
     def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         cut = [self._words(c) for c in chunks]
-        if len(self._known) >= REMEMBERED:
+        if len(self._known) >= WORDS:
             self._known.clear()
         fresh = {w for words in cut for w in words if isinstance(w, str) and w not in self._known}
         self._walk([w for w in fresh if len(w) <= LONG])

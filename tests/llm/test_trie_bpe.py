@@ -86,6 +86,7 @@ def test_shared_prefixes_are_encoded_once(coder, monkeypatch):
 
 def test_memory_bounds_do_not_change_ids(library, monkeypatch):
     monkeypatch.setattr(trie_bpe, "REMEMBERED", 5)
+    monkeypatch.setattr(trie_bpe, "WORDS", 5)
     monkeypatch.setattr(trie_bpe, "PAIRS", 5)
     monkeypatch.setattr(trie_bpe, "LONG", 4)
     small = trie_bpe.TrieBpe(PATH)
