@@ -3,7 +3,7 @@
 A pass gives every vector a key, the signs of its projections on many random
 directions one after another, and sorts by it; vectors that are near agree in
 a long head of their keys with good probability and so stand near. In sorted
-order, each block of vectors is compared with itself and the next block. The
+order, a block of OWN vectors is compared with itself and the next WINDOW. The
 passes use directions of their own; verified pairs of all passes are united.
 
 That finds components. A component may hold more vectors than a window: its
@@ -15,9 +15,10 @@ How many passes a vector needs is measured, not assumed: a pass tells how many
 leading bits a key must share with a vector's to stand within WINDOW of it, and so
 with what probability a neighbour at the threshold meets it there. A vector whose
 neighbours have met it in some pass with a probability of RECALL leaves; the others,
-in crowded regions, have more passes among themselves. When EXACT of them or fewer
-are left, all their pairs are compared; after MAX_PASSES, those left are given up,
-and a warning says how many they are.
+in crowded regions, have more passes among themselves. When more passes would compare
+more pairs than there are among those left, or after MAX_PASSES, all of these are
+decided in full: they are dealt to cells around pivots, cells in blocks of bounded
+size, and blocks meet unless the triangle inequality of angles keeps their cells apart.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and those of another than the commonest length, are linked with
@@ -28,7 +29,6 @@ empty result.
 
 from __future__ import annotations
 
-import logging
 import math
 from collections.abc import Iterator
 
@@ -46,11 +46,12 @@ COSINE = 0.95
 WINDOW = 256
 BITS = 64
 RECALL = 0.995
-#: Vectors that are compared with each other in full, and passes at most.
-EXACT = 16_384
-MAX_PASSES = 192
-#: Vectors of a component that are compared in one task.
+#: Vectors of a block in a pass, and passes at most.
+OWN = 1024
+MAX_PASSES = 64
+#: Vectors that are compared with as many others in one task, and cells at most.
 BLOCK = 1024
+CELLS = 4096
 _SEED = 20240
 
 
@@ -66,7 +67,7 @@ def _units(rows: np.ndarray) -> np.ndarray:
 
 
 def _keyed(nodes: DataFrame, length: int, first: int, passes: int) -> DataFrame:
-    """(pass, key, node, vector): signs of projections as one sortable number."""
+    """(pass, key, node): signs of projections as one sortable number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.uint64(1) << np.arange(BITS - 1, -1, -1, dtype=np.uint64)
@@ -76,16 +77,15 @@ def _keyed(nodes: DataFrame, length: int, first: int, passes: int) -> DataFrame:
                 directions = np.random.default_rng([_SEED, i]).standard_normal((length, BITS))
                 key = ((rows @ directions > 0) * weights).sum(axis=1, dtype=np.uint64) ^ np.uint64(1 << 63)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rows), i, np.int32)), pa.array(key.view(np.int64)), batch.column("node"),
-                     batch.column("vector")], names=["pass", "key", "node", "vector"])
+                    [pa.array(np.full(len(rows), i, np.int32)), pa.array(key.view(np.int64)), batch.column("node")],
+                    names=["pass", "key", "node"])
 
-    kind = nodes.schema["vector"].dataType.simpleString()
-    return nodes.mapInArrow(run, f"pass int, key long, node long, vector {kind}")
+    return nodes.mapInArrow(run, "pass int, key long, node long")
 
 
-def _ranked(keyed: DataFrame, partitions: int) -> DataFrame:
-    """Blocks of WINDOW neighbours in the order of (pass, key): block, own (false for the block before's view), place in
-    the block, pass, key, node, vector."""
+def _ranked(keyed: DataFrame, nodes: DataFrame, partitions: int) -> DataFrame:
+    """Blocks of OWN neighbours in the order of (pass, key), and the WINDOW next to them: block, own (false for the
+    latter), place, pass, key, node, vector."""
     spark = keyed.sparkSession
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,10 +96,9 @@ def _ranked(keyed: DataFrame, partitions: int) -> DataFrame:
             at += batch.num_rows
 
     order = ["pass", "key", "node"]
-    kind = keyed.schema["vector"].dataType.simpleString()
     path = scratch_path(spark, "projections")
     keyed.repartitionByRange(partitions, *order).sortWithinPartitions(*order).mapInArrow(
-        number, f"pass int, key long, node long, vector {kind}, part int, place long").write.parquet(path)
+        number, "pass int, key long, node long, part int, place long").write.parquet(path)
     rows = spark.read.parquet(path)
     sizes = rows.groupBy("part").agg(F.count("*").alias("n")).collect()  # one row a partition
     offsets, at = [], 0
@@ -108,12 +107,14 @@ def _ranked(keyed: DataFrame, partitions: int) -> DataFrame:
         at += r["n"]
     begin = spark.createDataFrame(offsets, "part int, offset long")
     rank = F.col("offset") + F.col("place")
-    placed = rows.join(F.broadcast(begin), "part").withColumn("block", F.floor(rank / WINDOW)) \
-        .withColumn("place", (rank % WINDOW).cast("int"))
-    views = F.array(F.struct(F.col("block").alias("block"), F.lit(True).alias("own")),
-                    F.struct((F.col("block") - 1).alias("block"), F.lit(False).alias("own")))
-    columns = ["pass", "key", "place", "node", "vector"]
-    return placed.select(*columns, F.explode(views).alias("v")).select(*columns, "v.*")
+    placed = rows.join(F.broadcast(begin), "part").withColumn("block", F.floor(rank / OWN)) \
+        .withColumn("place", (rank % OWN).cast("int"))
+    own = F.struct(F.col("block").alias("block"), F.lit(True).alias("own"))
+    ahead = F.struct((F.col("block") - 1).alias("block"), F.lit(False).alias("own"))
+    views = F.when(F.col("place") < WINDOW, F.array(own, ahead)).otherwise(F.array(own))
+    columns = ["pass", "key", "place", "node"]
+    # Vectors come in only here, so that neither the sort nor its files hold them once a pass.
+    return placed.select(*columns, F.explode(views).alias("v")).select(*columns, "v.*").join(nodes, "node")
 
 
 def _forest(node: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
@@ -139,18 +140,20 @@ def _window_links(length: int, cosine: float):
     """(u, v) of links; and (u, pass, bits): leading bits that node u's key shares with the one WINDOW away."""
     def run(table: pa.Table) -> pa.Table:
         node = table.column("node").to_numpy()
-        own = table.column("own").to_numpy(zero_copy_only=False)
-        turn = table.column("pass").to_numpy()
+        own = np.flatnonzero(table.column("own").to_numpy(zero_copy_only=False))
+        turn, key = table.column("pass").to_numpy(), table.column("key").to_numpy()
         rows = _units(vectors.matrix(table.column("vector"), length))
         near = rows[own] @ rows.T >= cosine
         near &= turn[own][:, None] == turn[None, :]
         i, j = np.nonzero(near)
-        links = _forest(node, np.flatnonzero(own)[i], j)
-        place, key = table.column("place").to_numpy(), table.column("key").to_numpy()
-        here, there = np.full(WINDOW, -1), np.full(WINDOW, -1)
-        here[place[own]], there[place[~own]] = np.flatnonzero(own), np.flatnonzero(~own)
-        both = (here >= 0) & (there >= 0)
-        a, b = here[both], there[both]
+        links = _forest(node, own[i], j)
+        at = table.column("place").to_numpy().astype(np.int64) + OWN
+        at[own] -= OWN
+        standing = np.full(OWN + OWN + WINDOW, -1)
+        standing[at] = np.arange(len(node))
+        a, b = standing[:OWN], standing[WINDOW: OWN + WINDOW]
+        both = (a >= 0) & (b >= 0)
+        a, b = a[both], b[both]
         same = turn[a] == turn[b]
         a, b = a[same], b[same]
         differ = (key[a] ^ key[b]).view(np.uint64)
@@ -178,18 +181,80 @@ def _all_links(length: int, cosine: float):
     return run
 
 
+def _angles(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(rows @ pivots.T, -1.0, 1.0))
+
+
+def meeting_cells(pivots: np.ndarray, radius: np.ndarray, limit: float) -> list[list[int]]:
+    """For each cell those, itself included, that may hold a vector within the angle `limit` of one of its own."""
+    return [np.flatnonzero(_angles(pivots[i: i + 1], pivots)[0] - radius - radius[i] <= limit + 1e-6).tolist()
+            for i in range(len(pivots))]
+
+
+def _full_links(rest: DataFrame, n: int, length: int, cosine: float) -> DataFrame:
+    """(u, v) that connect the components of n nodes (node, vector), from all pairs that may be links."""
+    spark = rest.sparkSession
+    drawn = rest.orderBy(F.xxhash64("node")).limit(min(CELLS, math.ceil(n / BLOCK))).collect()
+    pivots = _units(np.array([r["vector"] for r in drawn], np.float64))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                angles = _angles(_units(vectors.matrix(part.column("vector"), length)), pivots)
+                cell = angles.argmin(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node"), part.column("vector"), pa.array(cell.astype(np.int32)), pa.array(angles.min(axis=1))],
+                    names=["node", "vector", "cell", "angle"])
+
+    path = scratch_path(spark, "cells")
+    kind = rest.schema["vector"].dataType.simpleString()
+    rest.mapInArrow(place, f"node long, vector {kind}, cell int, angle double").write.parquet(path)
+    placed = spark.read.parquet(path)
+    sizes = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("far")).collect()}
+    radius = np.array([sizes[i]["far"] if i in sizes else -math.inf for i in range(len(pivots))])  # CELLS rows at most
+    first, blocks, at = {}, {}, 0
+    for i in sorted(sizes):
+        first[i], blocks[i] = at, math.ceil(sizes[i]["n"] / BLOCK)
+        at += blocks[i]
+    meets = {i: [j for j in others if j in sizes] for i, others in enumerate(meeting_cells(pivots, radius, math.acos(cosine)))
+             if i in sizes}
+    shared = spark.sparkContext.broadcast((first, blocks, meets))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin, count, near = shared.value
+        others = {c: np.concatenate([np.arange(begin[x], begin[x] + count[x]) for x in cells]) for c, cells in near.items()}
+        for batch in batches:
+            cells, deal = batch.column("cell").to_pylist(), batch.column("deal").to_pylist()
+            for at in range(0, len(cells), 256):
+                part = range(at, min(at + 256, len(cells)))
+                theirs = [others[cells[i]] for i in part]
+                sizes = [len(x) for x in theirs]
+                mine = np.repeat([begin[cells[i]] + deal[i] % count[cells[i]] for i in part], sizes)
+                row, their = np.repeat(list(part), sizes), np.concatenate(theirs)
+                for first_row in range(0, len(row), 8192):
+                    some = slice(first_row, first_row + 8192)
+                    rows = batch.select(["node", "vector"]).take(pa.array(row[some]))
+                    yield pa.RecordBatch.from_arrays(
+                        [*rows.columns, pa.array(mine[some]), pa.array(np.minimum(mine, their)[some]),
+                         pa.array(np.maximum(mine, their)[some])], names=["node", "vector", "block", "one", "two"])
+
+    spread = placed.withColumn("deal", F.pmod(F.xxhash64("node"), F.lit(1 << 30)).cast("long")) \
+        .mapInArrow(dealt, f"node long, vector {kind}, block long, one long, two long")
+    return spread.groupBy("one", "two").applyInArrow(_all_links(length, cosine), "u long, v long")
+
+
 def _links(nodes: DataFrame, n: int, length: int, cosine: float) -> DataFrame:
     """(u, v) that connect the components of nodes (node, vector)."""
     spark = nodes.sparkSession
     same_sign = 1 - math.acos(cosine) / math.pi
     goal = math.log(1 - RECALL)
     found, done, left = spark.createDataFrame([], "u long, v long"), 0, n
+    passes, rest = passes_for(n, cosine), nodes
     spent = None  # (node, missed): logarithm of the probability that a neighbour hasn't met the node
-    passes = passes_for(n, cosine)
-    while left > EXACT and done < MAX_PASSES:
-        rest = nodes if spent is None else nodes.join(spent.filter(F.col("missed") > goal).select("node"), "node")
+    while left:
         path = scratch_path(spark, "windows")
-        blocks = _ranked(_keyed(rest, length, done, passes), 1 + left * passes // 50_000)
+        blocks = _ranked(_keyed(rest, length, done, passes), rest, 1 + left * passes // 500_000)
         blocks.groupBy("block").applyInArrow(
             _window_links(length, cosine), "u long, v long, pass int, bits int").write.parquet(path)
         seen = spark.read.parquet(path)
@@ -209,18 +274,13 @@ def _links(nodes: DataFrame, n: int, length: int, cosine: float) -> DataFrame:
         done += passes
         open_ = spent.filter(F.col("missed") > goal)
         left, middle = open_.agg(F.count("*"), F.percentile_approx("missed", 0.5)).first()
-        if left:
-            more = math.ceil(done * (goal / middle - 1)) if middle < 0 else MAX_PASSES
-            passes = max(4, min(32, more, MAX_PASSES - done))
-    if left > EXACT:
-        logging.getLogger(__name__).warning("%d vectors had %d passes, too few for a recall of %s", left, done, RECALL)
-    elif left:
-        rest = nodes if spent is None else nodes.join(spent.filter(F.col("missed") > goal).select("node"), "node")
-        blocks = max(1, math.ceil(left / BLOCK))
-        met = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")) \
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) \
-            .select("node", "vector", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-        found = found.unionByName(met.groupBy("one", "two").applyInArrow(_all_links(length, cosine), "u long, v long"))
+        rest = nodes.join(open_.select("node"), "node")
+        if not left:
+            break
+        more = math.ceil(done * (goal / middle - 1)) if middle < 0 else MAX_PASSES
+        if done + more > MAX_PASSES or 2 * more * (OWN + WINDOW) >= left:
+            return found.unionByName(_full_links(rest, left, length, cosine))
+        passes = max(4, min(32, more))
     return found
 
 

@@ -84,9 +84,17 @@ def test_few_and_no_rows(spark, tmp_path):
         assert [tuple(r) for r in vector_dedup.query(spark, folder).collect()] == [(1, 0, 1, True)][: len(some)]
 
 
-def test_pairs_in_a_hot_cone_are_met(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("passes", [4, 64])
+def test_pairs_in_a_hot_cone_are_met(spark, tmp_path, monkeypatch, passes):
+    """With few passes most of the cone is decided in full, in many blocks; with many, by passes."""
     monkeypatch.setattr(vector_dedup, "WINDOW", 16)
-    monkeypatch.setattr(vector_dedup, "EXACT", 500)
+    monkeypatch.setattr(vector_dedup, "OWN", 16)
+    monkeypatch.setattr(vector_dedup, "BLOCK", 128)
+    monkeypatch.setattr(vector_dedup, "MAX_PASSES", passes)
+    ran, full = [], []
+    keyed, decided = vector_dedup._keyed, vector_dedup._full_links
+    monkeypatch.setattr(vector_dedup, "_keyed", lambda *a: ran.append(a[3]) or keyed(*a))
+    monkeypatch.setattr(vector_dedup, "_full_links", lambda *a: full.append(a[1]) or decided(*a))
     rng = np.random.default_rng(5)
     n, length, pairs = 3000, 64, 150
     unit = rng.standard_normal((n, length))
@@ -101,3 +109,28 @@ def test_pairs_in_a_hot_cone_are_met(spark, tmp_path, monkeypatch):
     names = {r["vec_id"]: r["component_id"] for r in vector_dedup.query(spark, folder).collect()}
     met = [names[i] == names[i + 1] for i in range(0, 2 * pairs, 2)]
     assert np.mean(met) >= 0.98
+    assert sum(ran) >= 4
+    if passes == 4:
+        assert full and full[0] > 4 * 128
+
+
+def test_every_table_has_passes(spark, tmp_path, monkeypatch):
+    ran = []
+    keyed = vector_dedup._keyed
+    monkeypatch.setattr(vector_dedup, "_keyed", lambda *a: ran.append(a[3]) or keyed(*a))
+    vector_dedup.query(spark, table(spark, rows()[:40], tmp_path)).collect()
+    assert sum(ran) >= 4
+
+
+def test_cells_that_meet_hold_all_near_pairs():
+    rng = np.random.default_rng(6)
+    values = rng.standard_normal((20, 8))[rng.integers(0, 20, 600)] + 0.15 * rng.standard_normal((600, 8))
+    unit = values / np.linalg.norm(values, axis=1, keepdims=True)
+    pivots = unit[:40]
+    angles = vector_dedup._angles(unit, pivots)
+    cell, far = angles.argmin(axis=1), angles.min(axis=1)
+    radius = np.array([far[cell == i].max() for i in range(40)])
+    meets = vector_dedup.meeting_cells(pivots, radius, np.arccos(0.95))
+    for a, b in zip(*np.nonzero(unit @ unit.T >= 0.95)):
+        assert cell[b] in meets[cell[a]]
+    assert sum(map(len, meets)) < 40 * 40
