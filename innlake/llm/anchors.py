@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innlake.llm import sketch, units
+from innlake.llm.memory import released
 from innlake.session import scratch_path
 
 U64 = np.uint64
@@ -147,7 +148,7 @@ def repeated_spans(docs: DataFrame, shape: Windows, refine: Callable[[Callable[[
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     path = scratch_path(spark, label)
-    docs.select("doc_id", "doc_key", "body").mapInArrow(candidates, f"doc_id {kind}, doc_key long, anchor long, context long, place long") \
+    docs.select("doc_id", "doc_key", "body").mapInArrow(released(candidates), f"doc_id {kind}, doc_key long, anchor long, context long, place long") \
         .write.parquet(f"{path}/candidates")
     seen = spark.read.parquet(f"{path}/candidates")
     distinct = seen.groupBy("anchor", "context").agg(
@@ -180,7 +181,7 @@ def repeated_spans(docs: DataFrame, shape: Windows, refine: Callable[[Callable[[
             F.collect_list(F.struct("anchor", "context", "n_alike", "copies", "place")).alias("asked"))
         # All columns go along so that this exchange is the same as that of the final join.
         return dealt.join(asked, "doc_key").select(*own, "asked").mapInArrow(
-            cut_out, "anchor long, context long, n_alike long, copies long, body binary")
+            released(cut_out), "anchor long, context long, n_alike long, copies long, body binary")
 
     parts = refine(texts)
     whole = seen.groupBy("anchor", "context").agg(F.count("*").alias("copies")).filter("copies > 1").select(

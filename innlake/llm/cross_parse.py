@@ -23,16 +23,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innlake.llm import units
+from innlake.llm.anchors import in_slices
+from innlake.llm.memory import released
 
 UNDETERMINED = "und"
 #: Bound of the sample: bytes of normalised text a language, and rows it is drawn from.
 SAMPLE_BYTES = 32_000
 SAMPLE_ROWS = 64
 SEGMENT = 1024
+#: Rows that a worker lower-cases and parses at once.
+SLICE_ROWS = 1024
 _LANES = 4096
 _BREAK = 0x20
 
@@ -168,8 +173,10 @@ class Parser:
         return best, np.clip(1 - two[:, 0] / np.maximum(two[:, 1], 1e-12), 0, 1)
 
 
-def _lowered(text: str) -> Column:
-    return F.lower(F.col(text))
+def _lowered(texts: pa.Array) -> pa.Array:
+    """Lower-cased UTF-8; null for null, and for a text without a letter."""
+    some = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False)
+    return pc.if_else(some, pc.utf8_lower(texts), pa.scalar(None, texts.type)).cast(pa.binary())
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_bytes: int = SAMPLE_BYTES,
@@ -183,17 +190,17 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_byte
     rank = F.shiftrightunsigned(F.xxhash64(F.col(text)), 11) / float(1 << 53)
     share = F.create_map(*[x for name, n in counts.items() for x in (F.lit(name), F.lit(4.0 * sample_rows / n))])
     drawn = rows.filter(rank < share[F.col(lang)]).select(
-        F.col(lang).alias("lang"), rank.alias("rank"), F.substring(_lowered(text), 1, sample_bytes).alias("text"))
+        F.col(lang).alias("lang"), rank.alias("rank"), F.substring(text, 1, sample_bytes).alias("text"))
     texts: dict[str, list[tuple[float, str]]] = {name: [] for name in counts}
     for r in drawn.distinct().collect():
         texts[r["lang"]].append((r["rank"], r["text"]))
     missing = [name for name, found in texts.items() if not found]
     for name in missing:  # the draw missed a language of few rows
-        first = rows.filter(F.col(lang) == name).select(_lowered(text).alias("text")).orderBy(F.xxhash64("text")).first()
+        first = rows.filter(F.col(lang) == name).select(F.col(text).alias("text")).orderBy(F.xxhash64("text")).first()
         texts[name].append((0.0, first["text"][:sample_bytes]))
     samples = {}
     for name, found in texts.items():
-        raw = " ".join(t for _, t in sorted(found)).encode()
+        raw = " ".join(t for _, t in sorted(found)).lower().encode()
         clean, _ = normalised(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
         samples[name] = clean.tobytes()[:sample_bytes]
     return Parser.fit(samples)
@@ -204,29 +211,28 @@ def predict(docs: DataFrame, parser: Parser, text: str = "text") -> DataFrame:
     docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(parser)
     own = docs.columns
-    low = F.when(F.col(text).rlike(r"\p{L}"), _lowered(text).cast("binary"))
     names = [f"c{i}" for i in range(len(own))]
-    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(own, names)], low.alias("low"))
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(own, names)])
+    place = names[own.index(text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
-            low = batch.column("low")
+        for batch in in_slices(batches, SLICE_ROWS):
+            low = _lowered(batch.column(place))
             data, offsets = units.flat(low.fill_null(b""))
             known = low.is_valid().to_numpy(zero_copy_only=False)
             langs, scores = [], []
-            for first, part, places in units.chunks(data, offsets, 4 << 20):
+            for first, part, places in units.chunks(data, offsets):
                 best, score = model.predict(*normalised(part, places))
                 use = known[first: first + len(best)] & bool(model.languages)
                 langs += [model.languages[b] if u else UNDETERMINED for b, u in zip(best, use)]
                 scores.append(np.where(use, score, 0.0))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names]
-                + [pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
+                [*batch.columns, pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
                 names=[*names, "lang_pred", "score"])
 
-    schema = rows.drop("low").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(run, schema).toDF(*own, "lang_pred", "score")
+    schema = rows.schema.add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(released(run), schema).toDF(*own, "lang_pred", "score")
 
 
 def _fold(key: str = "doc_id") -> Column:

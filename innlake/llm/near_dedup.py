@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from innlake.llm import minhash, sketch, units
 from innlake.llm.graph import components
+from innlake.llm.memory import released
 from innlake.session import scratch_path
 
 SHINGLE = 4
@@ -61,7 +62,7 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                          None, pa.py_buffer(signs.tobytes())]).cast(pa.binary())],
                     names=["doc_id", "n_shingles", "node", "signature"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, signature binary")
+    return docs.mapInArrow(released(run), f"doc_id {kind}, n_shingles long, node long, signature binary")
 
 
 def _candidate_links(signed: DataFrame) -> DataFrame:
@@ -101,7 +102,7 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame, n_wanted: int, size: int) -
                     [pa.array(nodes[keep]), pa.array([hashes[places[i]: places[i + 1]].tobytes() for i in keep], pa.binary())],
                     names=["node", "members"])
 
-    return tagged.mapInArrow(run, "node long, members binary")
+    return tagged.mapInArrow(released(run), "node long, members binary")
 
 
 def confirmed(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:

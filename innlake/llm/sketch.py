@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from innlake.llm.memory import released
 from innlake.llm.units import mix
 
 ROWS = 2
@@ -86,7 +87,7 @@ def build(rows: DataFrame, keys: Callable[[Iterator[pa.RecordBatch]], Iterator[n
         return pa.table({"row": table.column("row")[:1], "block": table.column("block")[:1],
                          "bits": pa.array([np.packbits(counts > 1).tobytes()], pa.binary())})
 
-    merged = rows.mapInArrow(partial, "row int, block int, cells binary") \
+    merged = rows.mapInArrow(released(partial), "row int, block int, cells binary") \
         .groupBy("row", "block").applyInArrow(merge, "row int, block int, bits binary")
     bits = np.zeros((ROWS, 1 << (log_cells - 3)), np.uint8)
     size = 1 << (_LOG_BLOCK - 3)

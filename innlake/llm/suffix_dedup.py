@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innlake.llm.anchors import Windows, in_slices, keyed, merged, repeated_spans, windows_repeated
+from innlake.llm.memory import released
 from innlake.llm.run_index import RunIndex
 
 LENGTH = 200
 ANCHOR = 32
 #: Bytes of context text in a shard, and distinct contexts of one anchor that a shard takes.
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 1 << 20
 HOT_CONTEXTS = 4096
 
 
@@ -82,7 +83,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
                  runs, pa.array([k for _, k in pairs], pa.binary())],
                 names=["doc_id", "n_bytes", "runs", "kept"])
 
-    return found.mapInArrow(cut, f"doc_id {kind}, n_bytes long, runs array<struct<start:int,end:int>>, kept binary")
+    return found.mapInArrow(released(cut), f"doc_id {kind}, n_bytes long, runs array<struct<start:int,end:int>>, kept binary")
 
 
 _RUNS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -98,7 +99,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated strings; a character that a cut divides goes, a null text stays null."""
     columns = docs.columns
@@ -114,7 +114,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     schema = found.select("extra").schema.add("text", "string")
     text = F.when(F.col("extra.has_text"), F.col("text")).alias("text")
-    kept = found.mapInArrow(cut, schema).select(text, *[F.col(f"extra.`{c}`") for c in others if c != "has_text"])
+    kept = found.mapInArrow(released(cut), schema).select(text, *[F.col(f"extra.`{c}`") for c in others if c != "has_text"])
     if "n_chars" in columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*columns)
