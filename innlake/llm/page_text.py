@@ -5,10 +5,11 @@ different texts (articles inside marked articles, else pages) that a fingerprint
 stands in; one that stands in at least MIN_PAGES pages, or MIN_ARTICLES articles,
 is part of the site's template, and its subtree is deleted. Copies of a page or
 article count once, so that copied texts stay, and the numbers don't depend on
-how many pages a host has. Inside articles, only blocks are deleted (not parts of
-lists and tables, headings or words in a line). What a page alone can tell
-(navigation, forms, advert or comment classes) is left out too; where a page
-marks an article, the text is that article's.
+how many pages a host has. Prose is no template: lines without a class, id or role
+(paragraphs, headings, quotations, items) stay, however many pages have the same,
+and inside articles only labelled containers go. What a page alone can tell
+(navigation, forms, advert or comment classes) is left out too. The main text is what
+is left; where a page marks articles that hold a fair share of it, theirs alone.
 
 A page meets its templates by a join on (host, fingerprint) and one on (host, hash
 of the page); what is on very many pages is broadcast, and pages with very many
@@ -37,6 +38,8 @@ MIN_ARTICLES = 5
 HOT_ROWS = 10_000
 HOT_COPIES = 1000
 SALTS = 64
+#: Rows of a table that every task gets; a larger one is joined by shuffles.
+SHARED_ROWS = 200_000
 
 
 def host(url: str) -> Column:
@@ -45,6 +48,11 @@ def host(url: str) -> Column:
     return F.lower(F.coalesce(found, F.lit("")))
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """Broadcast if it has few rows."""
+    return F.broadcast(rows) if rows.limit(SHARED_ROWS + 1).count() <= SHARED_ROWS else rows
+
+
 def _candidates(pages: DataFrame) -> DataFrame:
     """(host, doc, print, vote, inside) of the elements of pages (host, doc, html) that may be templates."""
 
@@ -80,7 +88,7 @@ def templates(pages: DataFrame) -> DataFrame:
         .filter("hot or recurs").write.parquet(known)
     counted = spark.read.parquet(known)
     hot = counted.filter("hot").select("host", "print", "recurs")
-    tagged = rows.select("host", "doc", "print").join(F.broadcast(hot), ["host", "print"], "left")
+    tagged = rows.select("host", "doc", "print").join(_shared(hot), ["host", "print"], "left")
     rare = counted.filter("not hot").select("host", "print")
     found = tagged.filter("recurs").select("host", "doc", "print").unionByName(
         tagged.filter("recurs is null").join(rare, ["host", "print"]).select("host", "doc", "print"))
@@ -94,8 +102,10 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     path = scratch_path(pages.sparkSession, "recurring")
     templates(rows).write.parquet(path)
     known = pages.sparkSession.read.parquet(path)
-    copied = F.broadcast(rows.groupBy("host", "doc").count().filter(F.col("count") > HOT_COPIES)
-                         .select("host", "doc", F.lit(True).alias("copied")))
+    path = scratch_path(pages.sparkSession, "copied")
+    rows.groupBy("host", "doc").count().filter(F.col("count") > HOT_COPIES) \
+        .select("host", "doc", F.lit(True).alias("copied")).write.parquet(path)
+    copied = _shared(pages.sparkSession.read.parquet(path))
     kind = rows.schema["own"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

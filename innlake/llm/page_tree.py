@@ -33,8 +33,11 @@ CLOSED_TAGS = set("nav footer aside head".split()) | set(RAW)
 # Words that may stand beside an aside word in a hyphenated class: "site-header" is a header, "no-sidebar" no sidebar.
 PLACES = set("""area bar block bottom box button buttons inner item items left link links list main page primary right
  secondary section site text top""".split())
-# Inside an article, parts of lists and tables and headings recur by chance.
-SMALL = set("li dt dd tr td th thead tbody tfoot caption option optgroup legend h1 h2 h3 h4 h5 h6".split())
+# Prose: lines of text, lists and tables may be the same in several articles; without a label they aren't template.
+LINES = set("p blockquote pre hr summary li dt dd tr td th thead tbody tfoot caption option optgroup legend h1 h2 h3 h4 h5 h6".split())
+PROSE = LINES | set("ul ol dl table".split())
+#: Share of the words left that marked articles must hold to be the page's main text.
+MARKED_SHARE = 0.25
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -182,7 +185,7 @@ def prints(root: Element) -> set[tuple[int, int, bool]]:
         todo = [top]
         while todo:
             element = todo.pop()
-            alone = not any(isinstance(p, str) and not p.isspace() for p in element.parts)
+            alone = _alone(element)
             for part in element.parts:
                 if not isinstance(part, Element) or not part.words or id(part) in marked:
                     continue
@@ -197,19 +200,36 @@ def _named(part: Element, inside: bool) -> int:
     return part.print ^ _INSIDE if inside else part.print
 
 
+def _alone(parent: Element) -> bool:
+    """Its elements stand by themselves: no text beside them, and the parent is no line of prose."""
+    return parent.tag not in LINES and not any(isinstance(p, str) and not p.isspace() for p in parent.parts)
+
+
 def _deletable(part: Element, alone: bool, inside: bool) -> bool:
+    """Inside articles labelled containers (by class, id or role); elsewhere what isn't an unlabelled line of prose."""
+    labelled = part.label.strip("| ") != ""
     if inside:
-        return part.tag in BLOCK and part.tag not in SMALL
-    return alone or part.tag in BLOCK
+        return labelled and part.tag in BLOCK and part.tag not in PROSE
+    return (alone or part.tag in BLOCK) and (labelled or part.tag not in LINES)
 
 
 def text(root: Element, templates: set[int]) -> str:
-    """Main text: the outermost article or main elements, or else the page, without what is aside or a template."""
+    """Main text: what is left without templates and what is aside.
+
+    Where articles are marked and hold MARKED_SHARE of the words left, theirs alone.
+    """
     mains = _mains(root)
-    return _blocks(mains or [root], bool(mains), templates)
+    if mains:
+        inside = _blocks(mains, True, templates)
+        outside = _blocks([root], False, templates, set(map(id, mains)))
+        mine, others = inside.count(" ") + inside.count("\n"), outside.count(" ") + outside.count("\n")
+        if not outside or mine >= MARKED_SHARE * (mine + others):
+            return inside
+    return _blocks([root], False, templates)
 
 
-def _blocks(tops: list[Element], inside: bool, templates: set[int]) -> str:
+def _blocks(tops: list[Element], inside: bool, templates: set[int], without: set[int] = frozenset()) -> str:
+    """Text of the elements tops, one line a block; `without` names elements (by id()) that are left out."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -234,7 +254,7 @@ def _blocks(tops: list[Element], inside: bool, templates: set[int]) -> str:
                 elif part.tag in ("td", "th"):
                     line.append(" ")
                 continue
-            if part is not top and (part.aside or part.tag == "header" and not inside
+            if part is not top and (part.aside or id(part) in without or part.tag == "header" and not inside
                                     or templates and _named(part, inside) in templates
                                     and _deletable(part, alone, inside)):
                 if block:
@@ -243,7 +263,7 @@ def _blocks(tops: list[Element], inside: bool, templates: set[int]) -> str:
             if block:
                 flush()
             walk.append((part, True, alone))
-            own = bool(templates) and not any(isinstance(p, str) and not p.isspace() for p in part.parts)
+            own = bool(templates) and _alone(part)
             walk += [(p, False, own) for p in reversed(part.parts)]
         flush()
     return "\n".join(blocks)

@@ -1,5 +1,7 @@
 """Main text of pages: rules on one page, templates over a host."""
 
+from urllib.parse import urlsplit
+
 import pytest
 from pyspark.sql import types as T
 
@@ -70,15 +72,71 @@ def texts(spark, tmp_path, sources, host="a.example"):
     return {r["page_id"]: r["text"] for r in page_text.query(spark, folder).collect()}
 
 
-def test_boilerplate_inside_articles_goes(spark, tmp_path):
-    notice = "<p>Read <b>more</b> every day</p>"
-    pages = [f"<article><h2>Sum</h2><p>story {i} is <b>so</b> long</p>{notice}</article>" for i in range(8)]
+def test_labelled_boilerplate_inside_articles_goes_and_prose_stays(spark, tmp_path):
+    notice = "<div class=promise>Read <b>more</b> every day</div>"
+    prose = "<p>Released under a license.</p><ul><li>Les.</li></ul><blockquote>So it is</blockquote>"
+    pages = [f"<article><h2>Sum</h2><p>story {i} is <b>so</b> long</p>{prose}{notice}</article>" for i in range(8)]
     copies = ["<article><p>same text</p><p>of all copies</p></article>"] * 9
     found = texts(spark, tmp_path, pages + copies)
-    assert all(found[i] == f"Sum\nstory {i} is so long" for i in range(8))
+    assert all(found[i] == f"Sum\nstory {i} is so long\nReleased under a license.\nLes.\nSo it is" for i in range(8))
     assert all(found[i] == "same text\nof all copies" for i in range(8, 17))
 
 
+def test_text_does_not_depend_on_the_size_of_the_host(spark, tmp_path):
+    def page(i):
+        return f"<body><div class=top>Site</div><article><p>story {i} goes on</p><p>Les.</p></article></body>"
+    small = texts(spark, tmp_path / "a", [page(i) for i in range(3)])
+    large = texts(spark, tmp_path / "b", [page(i) for i in range(300)])
+    assert all(large[i] == small[i] == f"story {i} goes on\nLes." for i in range(3))
+
+
+def test_pages_without_marked_articles(spark, tmp_path):
+    def page(i):
+        return (f"<body><div id=top><p>Home</p><p>News</p></div><ul><li>One</li><li>Two</li></ul>"
+                f"<div><h1>Title {i}</h1><p>story {i} goes on</p><p><b>Les.</b></p></div><div>Imprint</div></body>")
+    found = texts(spark, tmp_path, [page(i) for i in range(6)])
+    assert all(found[i] == f"Title {i}\nstory {i} goes on\nLes." for i in range(6))
+
+
+def test_marked_teasers_are_not_the_main_text(spark, tmp_path):
+    source = "<body><div><p>" + "long story " * 30 + "</p></div><section><article>next</article></section></body>"
+    assert texts(spark, tmp_path, [source])[0] == ("long story " * 30).strip() + "\nnext"
+
+
+def test_very_long_page(spark, tmp_path):
+    body = "".join(f"<p>line {i} of many</p>" for i in range(60_000))
+    found = texts(spark, tmp_path, [f"<nav>x</nav><article>{body}</article>"])
+    assert found[0].split("\n") == [f"line {i} of many" for i in range(60_000)]
+
+
+def test_templates_equal_a_single_count(spark):
+    """All pages of a table, with templates counted in one process."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()
+    votes = {}
+    for r in rows:
+        host = urlsplit(r["url"] or "").hostname or ""
+        for name, vote, inside in page_tree.prints(page_tree.parse(r["html"] or "")):
+            votes.setdefault((host, name, inside), set()).add(vote)
+    recurring = {(host, name) for (host, name, inside), found in votes.items() if len(found) >= (5 if inside else 3)}
+    found = {r["page_id"]: r["text"] for r in page_text.query(spark, "/root/testdata/sf0.01").collect()}
+    assert len(found) == len(rows) and recurring
+    for r in rows:
+        root = page_tree.parse(r["html"] or "")
+        host = urlsplit(r["url"] or "").hostname or ""
+        own = {name for name, _, _ in page_tree.prints(root) if (host, name) in recurring}
+        assert found[r["page_id"]] == page_tree.text(root, own)
+
+
+def test_texts_are_those_of_documents(spark):
+    """The given pages are made of documents: their texts are whole."""
+    def plain(text):
+        return "".join((text or "").split())
+    documents = {plain(r["text"]) for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()}
+    pages = page_text.query(spark, "/root/testdata/sf0.1").select("text").collect()
+    whole = sum(plain(r["text"]) in documents or plain(r["text"].partition("\n")[2]) in documents for r in pages)
+    assert whole == len(pages)
+
+
 def test_bar_does_not_rise_with_the_host(spark, tmp_path):
     box = "<div>In our section</div>"
     found = texts(spark, tmp_path, [f"<body>{box if i < 4 else ''}<p>story {i}</p></body>" for i in range(600)])
