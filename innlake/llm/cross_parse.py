@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from innlake.llm import units
 from innlake.llm.anchors import in_slices
@@ -231,7 +232,7 @@ def predict(docs: DataFrame, parser: Parser, text: str = "text") -> DataFrame:
                 [*batch.columns, pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
                 names=[*names, "lang_pred", "score"])
 
-    schema = rows.schema.add("lang_pred", "string").add("score", "double")
+    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return rows.mapInArrow(released(run), schema).toDF(*own, "lang_pred", "score")
 
 

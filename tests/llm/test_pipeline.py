@@ -10,9 +10,8 @@ from tests.llm.test_near_dedup import classes, linked, shingles
 from tests.llm.test_repeats import covered
 
 
-
 def test_stages_equal_brute_force(spark, tmp_path):
-    rows = [r for r in cases.rows() if r[0] not in (None, 12)]
+    rows = [r for r in cases.rows() if r[0] is not None]
     folder = cases.saved(cases.documents(spark, rows), tmp_path, "documents")
     found = corpus_pipeline.run(spark, folder).collect()
 
@@ -35,9 +34,21 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert packed == sizes
 
 
+def test_rows_without_id_and_empty_tables(spark, tmp_path):
+    rows = [(None, cases.words(10, 50), "en", "s1", None, None, None, None, None), (1, cases.words(11, 2100), None, None, 7, None, None, None, None),
+            (None, None, None, None, None, None, None, None, None)]
+    folder = cases.saved(cases.documents(spark, rows), tmp_path / "a", "documents")
+    found = Counter()
+    for r in corpus_pipeline.run(spark, folder).collect():
+        found[r["doc_id"]] += r["n_tokens"]
+    assert found == {None: 50, 1: 2100}
+    folder = cases.saved(cases.documents(spark, []), tmp_path / "b", "documents")
+    assert corpus_pipeline.run(spark, folder).collect() == []
+
+
 def test_names_of_stages_and_queries():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "suffix_dedup", "packing"]
     names = contract.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) <= set(names) and "pipeline" in names
     assert set(ORACLES) <= set(QUERIES)
