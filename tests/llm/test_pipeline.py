@@ -36,12 +36,13 @@ def test_stages_equal_brute_force(spark, tmp_path):
 
 def test_rows_without_id_and_empty_tables(spark, tmp_path):
     rows = [(None, cases.words(10, 50), "en", "s1", None, None, None, None, None), (1, cases.words(11, 2100), None, None, 7, None, None, None, None),
+            (2, cases.words(12, 40), "en", None, 7, None, None, None, None), (3, cases.words(13, 40), "en", None, 7, None, None, None, None),
             (None, None, None, None, None, None, None, None, None)]
     folder = cases.saved(cases.documents(spark, rows), tmp_path / "a", "documents")
     found = Counter()
     for r in corpus_pipeline.run(spark, folder).collect():
         found[r["doc_id"]] += r["n_tokens"]
-    assert found == {None: 50, 1: 2100}
+    assert found == {None: 50, 1: 2100, 2: 40, 3: 40}
     folder = cases.saved(cases.documents(spark, []), tmp_path / "b", "documents")
     assert corpus_pipeline.run(spark, folder).collect() == []
 
