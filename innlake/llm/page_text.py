@@ -40,6 +40,8 @@ HOT_COPIES = 1000
 SALTS = 64
 #: Rows of a table that every task gets; a larger one is joined by shuffles.
 SHARED_ROWS = 200_000
+#: Files that a filtered, small table is written to, whatever the number of partitions before.
+FILES = 8
 
 
 def host(url: str) -> Column:
@@ -85,7 +87,7 @@ def templates(pages: DataFrame) -> DataFrame:
         .groupBy("host", "print", "inside").agg(F.count("*").alias("votes"), F.sum("n").alias("n")) \
         .select("host", "print", (F.col("n") > HOT_ROWS).alias("hot"),
                 (F.col("votes") >= F.when(F.col("inside"), MIN_ARTICLES).otherwise(MIN_PAGES)).alias("recurs")) \
-        .filter("hot or recurs").write.parquet(known)
+        .filter("hot or recurs").repartition(FILES).write.parquet(known)
     counted = spark.read.parquet(known)
     hot = counted.filter("hot").select("host", "print", "recurs")
     tagged = rows.select("host", "doc", "print").join(_shared(hot), ["host", "print"], "left")
@@ -104,7 +106,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     known = pages.sparkSession.read.parquet(path)
     path = scratch_path(pages.sparkSession, "copied")
     rows.groupBy("host", "doc").count().filter(F.col("count") > HOT_COPIES) \
-        .select("host", "doc", F.lit(True).alias("copied")).write.parquet(path)
+        .select("host", "doc", F.lit(True).alias("copied")).repartition(FILES).write.parquet(path)
     copied = _shared(pages.sparkSession.read.parquet(path))
     kind = rows.schema["own"].dataType.simpleString()
 
