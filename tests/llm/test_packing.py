@@ -64,3 +64,15 @@ def test_query_and_empty_table(spark, tmp_path):
     assert sum(r["n_tokens"] for r in found) == wanted
     folder = cases.saved(cases.documents(spark, []), tmp_path, "documents")
     assert best_fit.query(spark, folder).collect() == []
+
+
+def test_full_pieces_and_repeated_rows_stay_out_of_large_groups(spark, monkeypatch):
+    """A text of two million words, and one row many times."""
+    docs = spark.createDataFrame([(1, "a " * 2_000_000, "s"), *[(2, "b " * 30, None)] * 500], "doc_id long, text string, source string")
+    found = best_fit.packed(docs, best_fit._words(), F.lit(None), capacity=64, group_pieces=50).collect()
+    full = [r for r in found if r["bin"] < 0]
+    assert len(full) == 2_000_000 // 64 and {r["n_tokens"] for r in full} == {64}
+    assert len({r["bin"] for r in full}) == len(full)
+    rest = [r for r in found if r["bin"] >= 0]
+    assert len(rest) == 500 and len({r["bin"] >> 32 for r in rest}) > 5
+    assert max(sum(r["bin"] >> 32 == g for r in rest) for g in range(11)) < 100
