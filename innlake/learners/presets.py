@@ -1,21 +1,24 @@
-"""Named model presets as MLlib pipelines over the feature tables.
+"""Named model presets over the feature tables.
 
-Boosting variants MLlib does not ship (leaf-wise, second-order, ordered) are
-represented by boosted-tree presets with the property that sets them apart:
-deeper trees with finer bins, row subsampling with a split threshold, and
-categories kept as categories instead of indicators.
+What MLlib ships are its pipelines. Trees without a depth bound, extra trees and
+the boosting variants (leaf-wise, second-order, on ordered target means, several
+classes at once) are this package's own estimators: fit(df) gives a model whose
+transform(df) adds `prediction`.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 
+from innlake.learners.boosting import LOGISTIC, SOFTMAX, SQUARED, BoostedTrees, Growth
+from innlake.learners.forests import Forest, ForestSpec
+from innlake.learners.ordered import OrderedTrees
 from innlake.schemas import ONE_HOT, VOCABULARY, indicator
 
 SEED = 42
@@ -55,17 +58,36 @@ def _plain(columns: list[str], estimator: Estimator) -> Pipeline:
     return Pipeline(stages=[assemble(columns), estimator])
 
 
-#: Deepest trees that MLlib grows; the published forests have no bound.
-DEEPEST = 30
-#: Memory for the statistics of the nodes that one pass over the rows splits.
-_FOREST_MB = 1024
+#: Depth of trees that are grown until their leaves are pure.
+UNBOUNDED = 1 << 30
+
+
+def _loss(classes: int) -> dict:
+    return {"loss": SQUARED} if not classes else {"loss": LOGISTIC} if classes == 2 else {"loss": SOFTMAX, "n_classes": classes}
+
+
+def _boosted(name: str, columns: list[str], label: str, rounds: int, classes: int) -> BoostedTrees | OrderedTrees:
+    """Published defaults of the variants."""
+    base = {"rounds": rounds, "seed": SEED, **_loss(classes)}
+    if name == "leafwise":
+        return BoostedTrees(columns, label, Growth(**base, max_leaves=31, min_rows=20, min_hessian=1e-3))
+    if name == "second_order":
+        return BoostedTrees(columns, label, Growth(**base, rate=0.3, max_depth=6, l2=1.0, min_hessian=1.0))
+    if name == "ordered":
+        return OrderedTrees(columns, label, Growth(**base, max_depth=6, l2=3.0))
+    depth = {"gbt_multiclass": 3, "gbt_deep": 5}[name]
+    return BoostedTrees(columns, label, Growth(**base, max_depth=depth, min_hessian=1e-3))
 
 
 def regressor(
     name: str, columns: list[str], label: str, rounds: int = 100, trees: int = 100,
-    forest_depth: int = DEEPEST,
-) -> Pipeline:
+    forest_depth: int = UNBOUNDED,
+) -> Estimator | BoostedTrees | OrderedTrees | Forest:
     """Price models by name."""
+    if name in ("leafwise", "second_order", "ordered"):
+        return _boosted(name, columns, label, rounds, 0)
+    if name == "random_forest":
+        return Forest(columns, label, ForestSpec(trees=trees, max_depth=forest_depth, seed=SEED))
     common = {"featuresCol": FEATURES, "labelCol": label}
     boosted = {**common, "seed": SEED}
     if name == "linear":
@@ -73,9 +95,6 @@ def regressor(
     if name == "elastic_net":
         return _plain(columns, LinearRegression(
             **common, regParam=1.0, elasticNetParam=0.5, standardization=False))
-    if name == "random_forest":
-        return _plain(columns, RandomForestRegressor(
-            **boosted, numTrees=trees, maxDepth=forest_depth, featureSubsetStrategy="all", maxMemoryInMB=_FOREST_MB))
     if name == "gbt":
         return _plain(columns, GBTRegressor(**boosted, maxIter=rounds, maxDepth=3, stepSize=0.1))
     if name == "gbt_deep":
@@ -91,13 +110,20 @@ def regressor(
 
 def classifier(
     name: str, columns: list[str], label: str, rounds: int = 100, trees: int = 100,
-    forest_depth: int = DEEPEST, scaled: list[str] | None = None,
-) -> Pipeline:
-    """Cancellation and price-band models by name.
+    forest_depth: int = UNBOUNDED, scaled: list[str] | None = None, classes: int = 2,
+) -> Estimator | BoostedTrees | OrderedTrees | Forest:
+    """Cancellation and price-band models by name; labels are 0 to classes - 1.
 
     scaled: numeric columns to standardise inside the pipeline, so the scaler
     is fitted on the training rows only.
     """
+    if name in ("leafwise", "second_order", "ordered", "gbt_multiclass", "gbt_deep"):
+        return _boosted(name, columns, label, rounds, classes)
+    if name in ("decision_tree", "random_forest", "extra_trees"):
+        single, sqrt = name == "decision_tree", max(1, math.isqrt(len(columns)))
+        return Forest(columns, label, ForestSpec(
+            classes=classes, trees=1 if single else trees, features=0 if single else sqrt, bootstrap=name == "random_forest",
+            random_cuts=name == "extra_trees", max_depth=forest_depth, seed=SEED))
     common = {"featuresCol": FEATURES, "labelCol": label}
     seeded = {**common, "seed": SEED}
     if name == "logistic":
@@ -112,24 +138,10 @@ def classifier(
             VectorAssembler(inputCols=["numeric_scaled", *rest], outputCol=FEATURES),
             LogisticRegression(**common, maxIter=100, standardization=False),
         ])
-    if name == "decision_tree":
-        return _plain(columns, DecisionTreeClassifier(**seeded, maxDepth=forest_depth, maxMemoryInMB=_FOREST_MB))
-    if name == "random_forest":
-        return _plain(columns, RandomForestClassifier(
-            **seeded, numTrees=trees, maxDepth=forest_depth, featureSubsetStrategy="sqrt", maxMemoryInMB=_FOREST_MB))
-    if name == "extra_trees":
-        # Whole sample per tree and coarse bins stand in for random thresholds.
-        return _plain(columns, RandomForestClassifier(
-            **seeded, numTrees=trees, maxDepth=forest_depth, featureSubsetStrategy="sqrt",
-            bootstrap=False, maxBins=8, maxMemoryInMB=_FOREST_MB))
     if name == "gbt":
         return _plain(columns, GBTClassifier(**seeded, maxIter=rounds, maxDepth=3, stepSize=0.1))
     if name == "gbt_indexed":
         return Pipeline(stages=[
             *_indexed_stages(columns), GBTClassifier(**seeded, maxIter=rounds, maxDepth=6, stepSize=0.1)])
-    if name in ("gbt_multiclass", "gbt_deep"):
-        depth = 3 if name == "gbt_multiclass" else 5
-        one = GBTClassifier(**seeded, maxIter=rounds, maxDepth=depth, stepSize=0.1)
-        return _plain(columns, OneVsRest(classifier=one, parallelism=16, **common))
     raise KeyError(name)
 

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from innlake import session
 from innlake.functions import scalars
-from innlake.learners import adaboost, bayesian_ridge, knn, presets, scoring
+from innlake.learners import adaboost, bayesian_ridge, boosting, knn, presets, scoring
 from innlake.learners.store import ModelStore
 from innlake.operators import (
-    cleaning, conform, encoding, evaluation, frames, profiling, scaling, splitting,
+    cleaning, conform, encoding, evaluation, frames, profiling, scaling, splitting, target_stats,
 )
 from innlake.plans import jobs
 from innlake.schemas import (
@@ -40,8 +40,9 @@ CATEGORICAL = list(VOCABULARY)
 PCA_COLUMNS = [indicator("market_segment", s) for s in ("Direct", "Groups", "Offline TA/TO", "Online TA")]
 # The published sizes: boosting rounds, trees, boosts of AdaBoost.
 ROUNDS, TREES, BOOSTS = 100, 100, 50
-# Smaller than the presets' defaults: the depth of forests, and the rounds of the 14 models of the bands.
-DEPTH, BAND_ROUNDS = 12, 20
+# Depth of the trees that MLlib grows for AdaBoost's bands.
+DEPTH = 12
+BANDS = len(scalars.RATE_EDGES) - 1
 # Training rows are dealt to as many partitions everywhere, so models don't depend on the cluster.
 PARTITIONS = 8
 
@@ -497,8 +498,7 @@ def _regression_report(name: str, train: DataFrame, scored: DataFrame) -> DataFr
 def _regression(name: str) -> Query:
     def query(spark, sf):
         train, test = _price_parts(spark, sf)
-        model = _fitted(presets.regressor(name, PRICE_PREDICTORS, "adr", rounds=ROUNDS, trees=TREES,
-                                          forest_depth=DEPTH), train, PRICE_PREDICTORS, "adr")
+        model = _fitted(presets.regressor(name, PRICE_PREDICTORS, "adr", rounds=ROUNDS, trees=TREES), train, PRICE_PREDICTORS, "adr")
         return _regression_report(name, train, model.transform(test))
     return query
 
@@ -528,8 +528,8 @@ def _class_report(name: str, target: str, train: DataFrame, scored: DataFrame) -
 def _cancel_class(name: str) -> Query:
     def query(spark, sf):
         train, test = _cancel_parts(spark, sf)
-        model = _fitted(presets.classifier(name, CANCEL_PREDICTORS, "is_canceled", rounds=ROUNDS, trees=TREES,
-                                           forest_depth=DEPTH), train, CANCEL_PREDICTORS, "is_canceled")
+        model = _fitted(presets.classifier(name, CANCEL_PREDICTORS, "is_canceled", rounds=ROUNDS, trees=TREES),
+                        train, CANCEL_PREDICTORS, "is_canceled")
         return _class_report(name, "is_canceled", train, model.transform(test))
     return query
 
@@ -537,8 +537,8 @@ def _cancel_class(name: str) -> Query:
 def _band_class(name: str) -> Query:
     def query(spark, sf):
         train, test = _band_parts(spark, sf)
-        model = _fitted(presets.classifier(name, PRICE_PREDICTORS, "adr_category", rounds=BAND_ROUNDS, trees=TREES,
-                                           forest_depth=DEPTH), train, PRICE_PREDICTORS, "adr_category")
+        model = _fitted(presets.classifier(name, PRICE_PREDICTORS, "adr_category", rounds=ROUNDS, trees=TREES, classes=BANDS),
+                        train, PRICE_PREDICTORS, "adr_category")
         return _class_report(name, "adr_category", train, model.transform(test))
     return query
 
@@ -549,11 +549,34 @@ def _both_targets(name: str) -> Query:
     return query
 
 
+def _stump(parts, predictors: list[str], label: str, loss: str) -> Query:
+    """The first round of second-order boosting, cut to one split: where it cuts and the weights of its two leaves."""
+    def query(spark, sf):
+        train, _ = parts(spark, sf)
+        growth = boosting.Growth(loss=loss, rounds=1, rate=0.3, max_depth=1, l2=1.0, min_hessian=1.0, bins=2000)
+        with _held(train.select("Booking_ID", *predictors, label)) as rows:
+            model = boosting.BoostedTrees(predictors, label, growth).fit(rows)
+        tree = model.trees[0][0]
+        feature, (left, right) = tree.feature[0], tree.value[1:]
+        edge = float(model.edges[feature][tree.cut[0] - 1])
+        row = (predictors[feature], edge, round(float(model.start[0]), 6), round(left, 6), round(right, 6))
+        return spark.createDataFrame([row], "feature string, threshold double, start double, left_value double, right_value double")
+    return query
+
+
+def target_encode(spark, sf):
+    """Categories as the share of cancellations among earlier bookings, in the order of a hash of the id."""
+    rows = views.bookings(spark, sf).select("Booking_ID", *CATEGORICAL, "country", "is_canceled")
+    names = [*CATEGORICAL, "country"]
+    found = target_stats.ordered_means(rows, "Booking_ID", names, "is_canceled")
+    return _rounded(found, *map(target_stats.target_name, names), digits=9)
+
+
 def cls_adaboost(spark, sf):
     reports = []
     for parts, predictors, label, classes, depth in (
         (_cancel_parts, CANCEL_PREDICTORS, "is_canceled", 2, 1),
-        (_band_parts, PRICE_PREDICTORS, "adr_category", len(scalars.RATE_EDGES) - 1, DEPTH),
+        (_band_parts, PRICE_PREDICTORS, "adr_category", BANDS, DEPTH),
     ):
         train, test = parts(spark, sf)
         rows = session.spread(presets.vectors(train, predictors, "Booking_ID", label), "Booking_ID", PARTITIONS)
@@ -704,6 +727,11 @@ QUERIES: dict[str, Query] = {
     "cls_extra_trees": _band_class("extra_trees"),
     "cls_gbt": _cancel_class("gbt"), "cls_gbt_indexed": _cancel_class("gbt_indexed"),
     "cls_gbt_multiclass": _band_class("gbt_multiclass"), "cls_gbt_deep": _band_class("gbt_deep"),
+    "reg_leafwise": _regression("leafwise"), "reg_second_order": _regression("second_order"),
+    "reg_ordered": _regression("ordered"), "cls_ordered": _cancel_class("ordered"),
+    "cls_leafwise_bands": _band_class("leafwise"), "target_encode": target_encode,
+    "reg_second_order_stump": _stump(_price_parts, PRICE_PREDICTORS, "adr", boosting.SQUARED),
+    "cls_second_order_stump": _stump(_cancel_parts, CANCEL_PREDICTORS, "is_canceled", boosting.LOGISTIC),
     "cls_adaboost": cls_adaboost, "cls_knn": cls_knn,
     "score_price": score_price, "score_cancel": score_cancel, "model_roundtrip": model_roundtrip,
     "retrain_champion": retrain_champion,

@@ -26,8 +26,8 @@ from innlake.streaming.ingest import CANCEL_NAME, PRICE_NAME, append_month
 BOOKINGS_NAME, LISTINGS_NAME = "hotel_booking_eda", "airbnb_eda"
 PRICE_MODEL, CANCEL_MODEL = "price", "cancel"
 # In order of precedence on equal metrics.
-PRICE_CANDIDATES = ["random_forest", "gbt", "gbt_deep", "gbt_subsample", "gbt_indexed"]
-CANCEL_CANDIDATES = ["random_forest", "gbt_indexed", "knn", "gbt"]
+PRICE_CANDIDATES = ["random_forest", "gbt", "leafwise", "second_order", "ordered"]
+CANCEL_CANDIDATES = ["random_forest", "ordered", "knn", "gbt"]
 
 
 def batch_etl(spark: SparkSession, bookings: DataFrame, listings: DataFrame, warehouse: str) -> None:

@@ -330,15 +330,57 @@ def _class_facts(name: str, target: str, bands: str) -> str:
         FROM parts, base WHERE NOT train"""
 
 
+def _first_split(base: str, table: str, label: str, start: str, hessian: str) -> str:
+    """The first cut of second-order boosting from all cuts of all predictors, and the weights on its two sides.
+
+    Gradients are the mean less the label; l2 is 1, the rate 0.3, and each side has a hessian of 1 at least.
+    """
+    names = [c for c in [*NUMERIC_FEATURES, *ONE_HOT]
+             if c != "adr" and not (table == "cancel" and c == "arrival_date_year")]
+    names = names if table == "price" else ["adr", *names]
+    places = {c: i for i, c in enumerate(names)}
+    long = " UNION ALL ".join(
+        f"SELECT {i} AS place, '{c}' AS feature, CAST({_q(c)} AS DOUBLE) AS x, y FROM train" for c, i in places.items())
+    return f"""{base}, train AS (SELECT *, CAST({label} AS DOUBLE) AS y FROM {table} WHERE {_SPLIT} < 80),
+        facts AS (SELECT avg(y) AS mean, {start} AS start FROM train), long AS ({long}),
+        cells AS (SELECT place, feature, x, sum(mean - y) AS g, count(*) * any_value({hessian}) AS h
+                  FROM long, facts GROUP BY place, feature, x),
+        sides AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY place) AS gt,
+                  sum(h) OVER (PARTITION BY place) AS ht, lead(x) OVER w AS following
+                  FROM cells WINDOW w AS (PARTITION BY place ORDER BY x)),
+        best AS (SELECT * FROM sides WHERE following IS NOT NULL AND hl >= 1 AND ht - hl >= 1
+                 ORDER BY gl ** 2 / (hl + 1) + (gt - gl) ** 2 / (ht - hl + 1) DESC, place, x LIMIT 1)
+        SELECT feature, x AS threshold, {_r("start")} AS start, {_r("-0.3 * gl / (hl + 1)")} AS left_value,
+        {_r("-0.3 * (gt - gl) / (ht - hl + 1)")} AS right_value FROM best, facts"""
+
+
+def _encoded() -> str:
+    names = [*VOCABULARY, "country"]
+    mean = "(SELECT avg(is_canceled) FROM bookings)"
+    cells = ", ".join(
+        f"round((coalesce(sum(is_canceled) OVER w_{c}, 0) + 1.0::DOUBLE * {mean}) / (count(is_canceled) OVER w_{c} + 1.0::DOUBLE), 9) AS {c}_target"
+        for c in names)
+    windows = ", ".join(f'w_{c} AS (PARTITION BY {c} ORDER BY h, "Booking_ID" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)'
+                        for c in names)
+    return f"""{_with(_BOOKINGS)}, hashed AS (
+        SELECT *, ('0x' || substr(md5(CAST("Booking_ID" AS VARCHAR)), 1, 15))::BIGINT AS h FROM bookings)
+        SELECT "Booking_ID", {", ".join(names)}, is_canceled, {cells} FROM hashed WINDOW {windows}"""
+
+
 def _learners(bands: str) -> dict[str, str]:
     """What SQL can say about the learners: rows, baselines and identities that any right fit meets."""
     sql = {f"reg_{n}": _regression_facts(n) for n in (
-        "elastic_net", "random_forest", "gbt", "gbt_deep", "gbt_subsample", "gbt_indexed", "bayesian_ridge")}
+        "elastic_net", "random_forest", "gbt", "gbt_deep", "gbt_subsample", "gbt_indexed", "bayesian_ridge", "leafwise",
+        "second_order", "ordered")}
     sql["reg_linear"] = _regression_facts("linear", ", 0.0::DOUBLE AS normal_residual")
-    for name in ("logistic_scaled", "gbt", "gbt_indexed", "knn"):
+    for name in ("logistic_scaled", "gbt", "gbt_indexed", "knn", "ordered"):
         sql[f"cls_{name}"] = _class_facts(name, "is_canceled", bands)
     for name in ("decision_tree", "extra_trees", "gbt_multiclass", "gbt_deep"):
         sql[f"cls_{name}"] = _class_facts(name, "adr_category", bands)
+    sql["cls_leafwise_bands"] = _class_facts("leafwise", "adr_category", bands)
+    sql["reg_second_order_stump"] = _first_split(_PRICES, "price", "adr", "avg(y)", "1.0::DOUBLE")
+    sql["cls_second_order_stump"] = _first_split(
+        _CANCELS, "cancel", "is_canceled", "ln(avg(y) / (1 - avg(y)))", "mean * (1 - mean)")
     for name in ("logistic", "random_forest", "adaboost"):
         both = [f"SELECT * FROM ({_class_facts(name, t, bands)})" for t in ("is_canceled", "adr_category")]
         sql[f"cls_{name}"] = " UNION ALL ".join(both)
@@ -517,6 +559,7 @@ FROM ends WHERE n > 0 AND value NOT IN ('START', 'END')""",
     sql["stream_rejected"] = f"""{_BASES} SELECT '{line}' AS line, 'unreadable: adults' AS reason,
         'Online, TA' AS market_segment, count(DISTINCT (arrival_date_year, arrival_date_month)) AS n_rows FROM bookings"""
     sql["append_writers"] = sql["load_append"]
+    sql["target_encode"] = _encoded()
     sql |= _learners(f"banded AS (SELECT \"Booking_ID\", adr, {band_case} - 1 AS adr_category FROM price)")
     for name, unit in (("monthly_buckets", "month"), ("quarterly_buckets", "quarter")):
         sql[name] = f"""SELECT CAST(date_trunc('{unit}', ts) AS DATE) AS period_start, count(*) AS n_events,

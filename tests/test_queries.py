@@ -33,7 +33,7 @@ def cells(rows, columns):
 
 
 # Hundreds of rounds or trees each; tests/test_learners.py fits the same presets at small sizes.
-HEAVY = {n for n in QUERIES if re.match(r"(reg|cls)_(random_forest|extra_trees|gbt|adaboost)", n)}
+HEAVY = {n for n in QUERIES if re.match(r"(reg|cls)_(random_forest|extra_trees|gbt|adaboost|leafwise|second_order$|ordered)", n)}
 
 
 @pytest.mark.parametrize("name", sorted(set(oracles()) - HEAVY))
