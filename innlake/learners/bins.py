@@ -26,24 +26,30 @@ def _value(column: str):
 
 
 def find_edges(df: DataFrame, columns: list[str], bins: int = BINS) -> list[np.ndarray]:
-    """Ascending edges of each column; the last is infinite. Two passes, of which bins * columns values come back."""
+    """Ascending edges of each column; the last is infinite. At most three passes, of which bins * columns values come back."""
     n = len(columns)
-    facts = df.agg(
-        *[F.approx_count_distinct(_value(c), 0.02).alias(f"d{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(_value(c), [j / bins for j in range(1, bins)], 20 * bins).alias(f"q{i}") for i, c in enumerate(columns)],
-    ).first()
-    few = [i for i in range(n) if facts[f"d{i}"] <= bins]
-    exact: dict[int, list[float]] = {i: [] for i in few}
+    about = df.agg(*[F.approx_count_distinct(_value(c), 0.02).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    few = [i for i in range(n) if about[f"d{i}"] <= bins]
+    many = [i for i in range(n) if about[f"d{i}"] > bins]
+    found: dict[int, list[float]] = {i: [] for i in range(n)}
     if few:
         cells = F.array(*[F.struct(F.lit(i).alias("i"), _value(columns[i]).alias("x")) for i in few])
         for r in df.select(F.inline(cells)).filter("x is not null").distinct().collect():
-            exact[r["i"]].append(r["x"])
+            found[r["i"]].append(r["x"])
+    if many:
+        spots = [j / bins for j in range(1, bins)]
+        row = df.agg(*[F.percentile_approx(_value(columns[i]), spots, 20 * bins).alias(f"q{i}") for i in many]).first()
+        for i in many:
+            found[i] = row[f"q{i}"]
     out = []
     for i in range(n):
-        # An estimate may be a little low: then quantiles serve.
-        values = np.unique(exact[i] if i in exact and len(exact[i]) <= bins else facts[f"q{i}"] or [])
-        last = [np.inf] if i in exact and len(exact[i]) <= bins else [*values[-1:], np.inf]
-        out.append(np.append(values[:-1], last).astype(np.float64))
+        values = np.unique(found[i])
+        if i in few:
+            # The largest value has no edge of its own. The estimate may have been a little low: then some edges go.
+            values = values[:-1]
+            if len(values) >= bins:
+                values = values[np.linspace(0, len(values) - 1, bins - 1).astype(int)]
+        out.append(np.append(values, np.inf).astype(np.float64))
     return out
 
 
@@ -67,7 +73,11 @@ def matrix(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
 
 
 def blocks(df: DataFrame, columns: list[str], edges: list[np.ndarray], label: str) -> DataFrame:
-    """BLOCK_SCHEMA: the rows of each partition in their order, cut into blocks. A block's number is its place."""
+    """BLOCK_SCHEMA: the rows of each partition in their order, cut into blocks. A block's number is its place.
+
+    Partitions of few rows are taken together: each pass over the blocks has a task for each.
+    """
+    df = df.coalesce(max(1, -(-df.count() // BLOCK_ROWS)))
     names = [f"x{i}" for i in range(len(columns))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,9 +2,9 @@
 
 Rows are coded once and held in blocks with their scores (see bins.py). A pass over
 the blocks sends every row to its node in the trees of the round, adds up gradients,
-hessians and rows by (tree, node, feature, code) and merges the sums by (tree, node) in
-Spark; what comes to the driver are the merged sums of a round's open nodes, whose
-size depends on bins and leaves, not on rows. Of two sisters only the one with fewer
+hessians and rows by (tree, node, feature, code) and merges the sums by (tree, node), in
+Spark if those of all tasks are more than the driver should take; what comes to the driver
+are the sums of a round's open nodes, whose size depends on bins and leaves, not on rows. Of two sisters only the one with fewer
 rows is added up; the other is their mother's sums less hers.
 
 All classes share a pass: a round grows one tree for each class from the same
@@ -15,6 +15,10 @@ softmax. Two ways to grow:
   opens all leaves that may be next, and as many splits are made from it as are certain, so a
   tree takes a pass for each few levels, not one for each split.
 
+A node of at most TASK_ROWS rows needs no passes: its rows go to one task, which grows what
+hangs below by the same rules. Best-first splits below a node come in the same order
+whatever happens elsewhere, so the whole tree's order follows from the gains.
+
 A split's gain and a leaf's weight follow from sums of gradients G and hessians H:
 weight = -T(G) / (H + l2), gain = (T(G_left)^2 / (H_left + l2) + ... - T(G)^2 / (H + l2)) / 2,
 where T moves G by l1 towards 0. Missing values go to the side with the larger gain.
@@ -24,7 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -34,10 +38,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innlake.learners import bins
-from innlake.learners.trees import TREE_FIELDS, Tree
+from innlake.learners.trees import LEAF, TREE_FIELDS, Tree
 from innlake.session import ensure_checkpoint_dir
 
 CHECKPOINT_EVERY = 10
+#: Sums of all tasks of a pass that the driver merges itself; Spark merges larger ones first.
+DRIVER_BYTES = 16 << 20
+#: Rows of a node that one task takes.
+TASK_ROWS = 131_072
 SQUARED, LOGISTIC, SOFTMAX = "squared", "logistic", "softmax"
 
 
@@ -191,6 +199,18 @@ def _add_up(codes: np.ndarray, g: np.ndarray, h: np.ndarray, keep: np.ndarray, t
     return out
 
 
+_GROWN = f"tree int, node int, {TREE_FIELDS}, gains array<double>"
+
+
+def _opened(row: dict, growth: Growth, features: int, kind: type, turn: int) -> tuple[np.ndarray, ...]:
+    """(codes, gradients, hessians, whether a row is drawn) of a block in a round."""
+    codes, labels = bins.opened(row, features, kind)
+    g, h = gradients(growth.loss, np.frombuffer(row["scores"]).reshape(growth.outputs, -1), labels)
+    keep = np.ones(len(labels), bool) if growth.subsample >= 1 else \
+        np.random.default_rng([growth.seed, turn, row["block"]]).random(len(labels)) < growth.subsample
+    return codes, g, h, keep
+
+
 class _Rounds:
     """Blocks with scores, and passes over them."""
 
@@ -206,6 +226,8 @@ class _Rounds:
 
         self.state = blocks.mapInArrow(scored, bins.BLOCK_SCHEMA + ", scores binary").persist(StorageLevel.MEMORY_AND_DISK)
         self.before: DataFrame | None = None
+        self.tasks = self.state.rdd.getNumPartitions()
+        self.rows = self.state.agg(F.sum("n")).first()[0]
 
     def sums(self, trees: list[Tree], wanted: list[list[int]]) -> dict[tuple[int, int], np.ndarray]:
         """Sums of the wanted nodes by (tree, node)."""
@@ -217,11 +239,7 @@ class _Rounds:
             total = np.zeros((len(names), *shape))
             for batch in batches:
                 for row in batch.to_pylist():
-                    codes, labels = bins.opened(row, features, kind)
-                    scores = np.frombuffer(row["scores"]).reshape(growth.outputs, -1)
-                    g, h = gradients(growth.loss, scores, labels)
-                    keep = np.ones(len(labels), bool) if growth.subsample >= 1 else \
-                        np.random.default_rng([growth.seed, turn, row["block"]]).random(len(labels)) < growth.subsample
+                    codes, g, h, keep = _opened(row, growth, features, kind, turn)
                     total += _add_up(codes, g, h, keep, trees, wanted, layout)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(names), dtype=np.int32)), pa.array([x.tobytes() for x in total], pa.binary())], names=["slot", "sums"])
@@ -230,11 +248,62 @@ class _Rounds:
             total = sum(np.frombuffer(x.as_py()) for x in table.column("sums"))
             return pa.table({"slot": table.column("slot")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
 
-        found = self.state.mapInArrow(add, "slot int, sums binary").groupBy("slot").applyInArrow(merge, "slot int, sums binary").collect()
+        parts = self.state.mapInArrow(add, "slot int, sums binary")
+        if self.tasks * len(names) * 8 * shape[0] * shape[1] > DRIVER_BYTES:
+            parts = parts.groupBy("slot").applyInArrow(merge, "slot int, sums binary")
+        found = parts.collect()
+        self._forget()
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for r in found:
+            name, own = names[r["slot"]], np.frombuffer(r["sums"]).reshape(shape)
+            total[name] = total[name] + own if name in total else own
+        return total
+
+    def finish(self, trees: list[Tree], nodes: list[tuple[int, int, int]]) -> dict[tuple[int, int], tuple[Tree, list[float]]]:
+        """What grows below the nodes (tree, node, depth), each in one task: (tree, gains) by (tree, node)."""
+        growth, layout, kind, features, turn = self.growth, self.layout, self.kind, len(self.edges), self.done
+        by_tree: dict[int, list[int]] = {}
+        for k, node, _ in nodes:
+            by_tree.setdefault(k, []).append(node)
+        depth = {(k, node): d for k, node, d in nodes}
+
+        def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    codes, g, h, keep = _opened(row, growth, features, kind, turn)
+                    for k, own in by_tree.items():
+                        leaf = np.where(keep, trees[k].leaves(codes), -1)
+                        for node in own:
+                            at = slice(None) if len(trees[k].feature) == 1 and keep.all() else np.flatnonzero(leaf == node)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([x], t) for x, t in zip(
+                                    (k, node, row["block"], np.ascontiguousarray(codes[:, at]).tobytes(),
+                                     np.stack([g[k, at], h[k, at]]).tobytes()),
+                                    (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                                names=["tree", "node", "block", "codes", "slopes"])
+
+        def grow(table: pa.Table) -> pa.Table:
+            k, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
+            parts = sorted(table.to_pylist(), key=lambda r: r["block"])  # the same sums on every run
+            codes = np.concatenate([np.frombuffer(r["codes"], kind).reshape(features, -1) for r in parts], axis=1)
+            g, h = np.concatenate([np.frombuffer(r["slopes"]).reshape(2, -1) for r in parts], axis=1)
+            below = growth if growth.max_leaves else replace(growth, max_depth=growth.max_depth - depth[k, node])
+            tree, gains = grow_here(codes, g, h, layout, below)
+            columns = [[x] for x in (k, node, *tree.row(), gains)]
+            kinds = (pa.int32(), pa.int32(), *[pa.list_(t) for t in (pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(),
+                                                                     pa.float64(), pa.float64())])
+            return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=[f.split()[0] for f in _GROWN.split(", ")])
+
+        rows = self.state.mapInArrow(ship, "tree int, node int, block long, codes binary, slopes binary") \
+            .groupBy("tree", "node").applyInArrow(grow, _GROWN).collect()
+        self._forget()
+        return {(r["tree"], r["node"]): (Tree(*(list(r[c]) for c in ("feature", "cut", "missing_left", "left", "right", "value"))),
+                                         list(r["gains"])) for r in rows}
+
+    def _forget(self) -> None:
         if self.before is not None:
             self.before.unpersist()
             self.before = None
-        return {names[r["slot"]]: np.frombuffer(r["sums"]).reshape(shape) for r in found}
 
     def take(self, trees: list[Tree]) -> None:
         """Adds the trees of a finished round to the scores."""
@@ -264,14 +333,18 @@ class _Rounds:
 class _Grower:
     """One tree in growth: sums and best splits of its nodes."""
 
-    def __init__(self, layout: Layout, growth: Growth):
-        self.tree, self.layout, self.growth = Tree(), layout, growth
+    def __init__(self, layout: Layout, growth: Growth, rows: int, alone: bool = False):
+        """alone: sums are at hand, so only the next leaf is opened, not all that may be."""
+        self.tree, self.layout, self.growth, self.alone = Tree(), layout, growth, alone
+        self.rows = {0: rows}
+        self.gains: dict[int, float] = {}
         self.sums: dict[int, np.ndarray] = {}
         self.splits: dict[int, Split | None] = {}
         self.depth = {0: 0}
         self.inner: set[int] = set()  # nodes that are split for good
         self.ends: set[int] = {0}  # nodes whose sums aren't divided yet
         self.pairs: list[tuple[int, int, int]] = []  # (mother, child to add up, its sister)
+        self.done: set[int] = set()  # nodes below which all is known
 
     def know(self, node: int, sums: np.ndarray) -> None:
         self.sums[node] = sums
@@ -280,17 +353,18 @@ class _Grower:
 
     def open(self) -> list[int]:
         """Divides ends, and names the children whose sums are wanted."""
-        able = [n for n in self.ends if self.splits[n] is not None and (
+        able = [n for n in self.ends if self.splits.get(n) is not None and (
             self.growth.max_leaves or self.depth[n] < self.growth.max_depth)]
         if self.growth.max_leaves:
-            room = self.growth.max_leaves - 1 - len(self.inner)
+            room = 1 if self.alone else self.growth.max_leaves - 1 - len(self.inner)
             able = sorted(able, key=lambda n: (-self.splits[n].gain, n))[:max(0, room)]
         self.pairs = []
         for node in able:
             s = self.splits[node]
             children = self.tree.split(node, s.feature, s.cut, s.missing_left)
-            for child in children:
-                self.depth[child] = self.depth[node] + 1
+            for child, n in zip(children, (s.left_rows, s.right_rows)):
+                self.depth[child], self.rows[child] = self.depth[node] + 1, round(n)
+            self.gains[node] = s.gain
             small, large = children if s.left_rows <= s.right_rows else children[::-1]
             self.pairs.append((node, small, large))
             self.ends.discard(node)
@@ -303,11 +377,36 @@ class _Grower:
             self.ends |= {small, large}
             del self.sums[mother]
 
+    def small(self) -> list[int]:
+        """Ends whose rows one task takes."""
+        return [n for n in self.ends if self.rows[n] <= TASK_ROWS and n not in self.done]
+
+    def graft(self, root: int, found: Tree, gains: list[float]) -> None:
+        """What a task has grown below a node."""
+        self.done.add(root)
+        todo = [(0, root)]
+        while todo:
+            own, node = todo.pop()
+            self.tree.value[node] = found.value[own]
+            self.splits[node] = None
+            if found.feature[own] == LEAF:
+                self.done.add(node)
+                self.ends.add(node)
+                continue
+            children = self.tree.split(node, found.feature[own], found.cut[own], found.missing_left[own])
+            self.splits[node] = Split(gains[own], found.feature[own], found.cut[own], found.missing_left[own], 0, 0)
+            self.ends.discard(node)
+            for below, child in zip((found.left[own], found.right[own]), children):
+                self.depth[child], self.rows[child] = self.depth[node] + 1, 0
+                todo.append((below, child))
+            if not self.growth.max_leaves:
+                self.inner.add(node)
+
     def settle(self) -> bool:
         """Makes the splits that are certain; whether more sums are needed."""
         if not self.growth.max_leaves:
             self.inner |= {mother for mother, _, _ in self.pairs}
-            return any(self.splits[n] is not None and self.depth[n] < self.growth.max_depth for n in self.ends)
+            return any(self.splits.get(n) is not None and self.depth[n] < self.growth.max_depth for n in self.ends)
         while len(self.inner) < self.growth.max_leaves - 1:
             leaves = [c for n in self.inner for c in (self.tree.left[n], self.tree.right[n]) if c not in self.inner] or [0]
             leaves = [n for n in leaves if n not in self.inner and self.splits[n] is not None]
@@ -320,21 +419,61 @@ class _Grower:
         return False
 
 
+def grow_here(codes: np.ndarray, g: np.ndarray, h: np.ndarray, layout: Layout, growth: Growth) -> tuple[Tree, list[float]]:
+    """(tree, gain of each node's split) over the rows at hand."""
+    grower = _Grower(layout, growth, codes.shape[1], alone=True)
+    members = {0: np.arange(codes.shape[1])}
+
+    def sums(node: int) -> np.ndarray:
+        at, out = members[node], np.zeros((3, int(layout.begin[-1])))
+        for f, size in enumerate(layout.sizes.tolist()):
+            code, part = codes[f][at], slice(int(layout.begin[f]), int(layout.begin[f + 1]))
+            out[0, part], out[1, part], out[2, part] = (np.bincount(code, w, size) for w in (g[at], h[at], None))
+        return out
+
+    grower.know(0, sums(0))
+    tree = grower.tree
+    while grower.settle():
+        wanted = grower.open()
+        for mother, _, _ in grower.pairs:
+            at = members.pop(mother)
+            code = codes[tree.feature[mother]][at]
+            goes_left = np.where(code == 0, tree.missing_left[mother], code <= tree.cut[mother])
+            members[tree.left[mother]], members[tree.right[mother]] = at[goes_left], at[~goes_left]
+        grower.learn({node: sums(node) for node in wanted})
+    gains = [grower.gains.get(n, 0.0) if n in grower.inner else 0.0 for n in range(len(tree.feature))]
+    kept = tree.kept(grower.inner)
+    todo = {0: 0}
+    order = [0.0] * len(kept.feature)
+    while todo:
+        new, old = todo.popitem()
+        order[new] = gains[old]
+        if kept.feature[new] != LEAF:
+            todo[kept.left[new]], todo[kept.right[new]] = tree.left[old], tree.right[old]
+    return kept, order
+
+
 def _grow(rounds: _Rounds) -> list[Tree]:
     """The trees of one round, one for each output."""
-    growers = [_Grower(rounds.layout, rounds.growth) for _ in range(rounds.growth.outputs)]
-    found = rounds.sums([g.tree for g in growers], [[0]] * len(growers))
-    for k, grower in enumerate(growers):
-        grower.know(0, found[k, 0])
-    live = [g.settle() for g in growers]
-    while any(live):
+    growers = [_Grower(rounds.layout, rounds.growth, rounds.rows) for _ in range(rounds.growth.outputs)]
+    if rounds.rows > TASK_ROWS:
+        found = rounds.sums([g.tree for g in growers], [[0]] * len(growers))
+        for k, grower in enumerate(growers):
+            grower.know(0, found[k, 0])
+    live = [True] * len(growers)
+    while True:
+        small = [(k, n, g.depth[n]) for k, g in enumerate(growers) if live[k] for n in g.small()]
+        if small:
+            for (k, node), grown in rounds.finish([g.tree for g in growers], small).items():
+                growers[k].graft(node, *grown)
+        live = [on and g.settle() for on, g in zip(live, growers)]
+        if not any(live):
+            return [g.tree.kept(g.inner) for g in growers]
         wanted = [g.open() if on else [] for g, on in zip(growers, live)]
         found = rounds.sums([g.tree for g in growers], wanted)
         for k, grower in enumerate(growers):
             if live[k]:
                 grower.learn({node: found[k, node] for node in wanted[k]})
-                live[k] = grower.settle()
-    return [g.tree.kept(g.inner) for g in growers]
 
 
 @dataclass

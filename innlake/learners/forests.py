@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from innlake.learners import bins
 from innlake.learners.trees import LEAF, TREE_FIELDS, Tree
-from innlake.session import ensure_checkpoint_dir, scratch_path
+from innlake.session import scratch_path
 
 TASK_ROWS = 131_072
 #: Nodes of a forest that every worker may hold.
@@ -54,9 +54,10 @@ class ForestSpec:
         return max(1, self.classes)
 
 
-def weights(spec: ForestSpec, tree: int, block: int, n: int) -> np.ndarray:
-    """How often a tree draws each row of a block."""
-    return np.random.default_rng([spec.seed, tree, block]).poisson(1.0, n).astype(float) if spec.bootstrap else np.ones(n)
+def weights(spec: ForestSpec, tree: int, row: dict) -> np.ndarray:
+    """Weights of a block's rows in a tree: how often it draws them, times their own if the block has such."""
+    own = np.frombuffer(row["weight"]) if row.get("weight") is not None else np.ones(row["n"])
+    return own * np.random.default_rng([spec.seed, tree, row["block"]]).poisson(1.0, row["n"]) if spec.bootstrap else own
 
 
 def _targets(spec: ForestSpec, labels: np.ndarray) -> np.ndarray:
@@ -209,7 +210,7 @@ class _Wide:
         def read(row: dict) -> Iterator[tuple]:
             codes, labels = bins.opened(row, features, kind)
             for k, nodes in by_tree.items():
-                w, leaf = weights(spec, k, row["block"], row["n"]), trees[k].leaves(codes)
+                w, leaf = weights(spec, k, row), trees[k].leaves(codes)
                 for node in nodes:
                     at = np.flatnonzero((leaf == node) & (w > 0))
                     if len(at):
@@ -342,7 +343,7 @@ def _batch(rows: list[tuple], names, kinds) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(names))
 
 
-def _joined(tops: list[Tree], rows: list) -> list[Tree]:
+def joined(tops: list[Tree], rows: list) -> list[Tree]:
     """Whole trees from their tops and the subtrees below; rows by (tree, node)."""
     out = [Tree(*(list(x) for x in t.row())) for t in tops]
     for r in rows:
@@ -359,6 +360,45 @@ def _joined(tops: list[Tree], rows: list) -> list[Tree]:
     return out
 
 
+def code_values(rows: DataFrame, columns: list[str], edges: list[np.ndarray]) -> list[np.ndarray]:
+    """A value for each code: its edge, the largest value for the last; a missing value stands one below the least."""
+    tops = rows.agg(*[F.max(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    out = []
+    for edge, top in zip(edges, tops):
+        finite = np.append(edge[:-1], 0.0 if top is None or not math.isfinite(top) else top)
+        out.append(np.append(finite[0] - 1, finite))
+    return out
+
+
+def grown(blocks: DataFrame, spec: ForestSpec, edges: list[np.ndarray], values: list[np.ndarray],
+          task_rows: int | None = None) -> tuple[list[Tree] | None, DataFrame]:
+    """(tops, _SUBTREES below them) of all trees over the blocks; no tops if there are no rows."""
+    spark, task_rows = blocks.sparkSession, TASK_ROWS if task_rows is None else task_rows
+    wide = _Wide(blocks, spec, edges, values)
+    trees = [Tree() for _ in range(spec.trees)]
+    open_ = [(k, 0, 0) for k in range(spec.trees)]
+    sizes = wide.sizes_of(trees, [n[:2] for n in open_])
+    if not sizes:
+        return None, spark.createDataFrame([], _SUBTREES)
+    ready, large = ([n for n in open_ if (sizes.get(n[:2], 0) > task_rows) == big] for big in (False, True))
+    while large:
+        following = []
+        for r in wide.splits(trees, [n[:2] for n in large]):
+            k, node, depth = r["tree"], r["node"], large[0][2]
+            trees[k].value[node] = r["value"]
+            if r["feature"] == LEAF or depth >= spec.max_depth:
+                continue
+            children = trees[k].split(node, r["feature"], r["cut"], True)
+            for child, n in zip(children, (r["left_rows"], r["right_rows"])):
+                (ready if n <= task_rows else following).append((k, child, depth + 1))
+        large = following
+    if not ready:
+        return trees, spark.createDataFrame([], _SUBTREES)
+    path = scratch_path(spark, "forest")
+    wide.finished(trees, ready).write.parquet(path)
+    return trees, spark.read.parquet(path)
+
+
 @dataclass
 class ForestModel:
     """Tops of the trees and a table of the subtrees below them."""
@@ -383,7 +423,7 @@ class ForestModel:
         return self._by_broadcast(df, output) if nodes <= SHARED_NODES else self._by_join(df, output)
 
     def _by_broadcast(self, df: DataFrame, output: str) -> DataFrame:
-        shared = df.sparkSession.sparkContext.broadcast(_joined(self.tops, self.subtrees.collect()))
+        shared = df.sparkSession.sparkContext.broadcast(joined(self.tops, self.subtrees.collect()))
         edges, settled = self.edges, ForestModel(self.columns, self.edges, self.classes, [], None)._settled
 
         def run(*columns: pd.Series) -> pd.Series:
@@ -463,37 +503,14 @@ class Forest:
     spec: ForestSpec
 
     def fit(self, df: DataFrame) -> ForestModel:
-        spark, spec = df.sparkSession, self.spec
-        ensure_checkpoint_dir(spark)
+        spec = self.spec
         rows = df.filter(F.col(f"`{self.label}`").isNotNull()).select(*[F.col(f"`{c}`") for c in dict.fromkeys([*self.columns, self.label])])
         edges = bins.find_edges(rows, self.columns, spec.bins)
-        tops = rows.agg(*[F.max(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(self.columns)]).first()
-        values = []  # by code: a missing value stands one below the least
-        for edge, top in zip(edges, tops):
-            finite = np.append(edge[:-1], 0.0 if top is None or not math.isfinite(top) else top)
-            values.append(np.append(finite[0] - 1, finite))
         held = bins.blocks(rows, self.columns, edges, self.label).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            wide = _Wide(held, spec, edges, values)
-            trees = [Tree() for _ in range(spec.trees)]
-            open_ = [(k, 0, 0) for k in range(spec.trees)]
-            sizes = wide.sizes_of(trees, [(k, 0) for k in range(spec.trees)])
-            if not sizes:
+            trees, subtrees = grown(held, spec, edges, code_values(rows, self.columns, edges))
+            if trees is None:
                 raise ValueError(f"no labels in {self.label}")
-            ready, large = ([n for n in open_ if (sizes.get(n[:2], 0) > TASK_ROWS) == big] for big in (False, True))
-            while large:
-                following = []
-                for r in wide.splits(trees, [n[:2] for n in large]):
-                    k, node, depth = r["tree"], r["node"], large[0][2]
-                    trees[k].value[node] = r["value"]
-                    if r["feature"] == LEAF or depth >= spec.max_depth:
-                        continue
-                    children = trees[k].split(node, r["feature"], r["cut"], True)
-                    for child, n in zip(children, (r["left_rows"], r["right_rows"])):
-                        (ready if n <= TASK_ROWS else following).append((k, child, depth + 1))
-                large = following
-            path = scratch_path(spark, "forest")
-            wide.finished(trees, ready).write.parquet(path)
         finally:
             held.unpersist()
-        return ForestModel(self.columns, edges, spec.classes, trees, spark.read.parquet(path))
+        return ForestModel(self.columns, edges, spec.classes, trees, subtrees)

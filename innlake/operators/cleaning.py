@@ -6,7 +6,7 @@ filters are pushed to the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innlake.functions.scalars import (
@@ -43,9 +43,14 @@ def clamp_parking(df: DataFrame) -> DataFrame:
     return df.withColumn(name, upper_clamp(F.col(name), 1))
 
 
+def in_rate_range() -> Column:
+    """50 < adr <= 400."""
+    return (F.col("adr") > RATE_ABOVE) & (F.col("adr") <= RATE_AT_MOST)
+
+
 def keep_rate_range(df: DataFrame) -> DataFrame:
     """50 < adr <= 400, on the unrounded rate. Check missing rates beforehand."""
-    return df.filter((F.col("adr") > RATE_ABOVE) & (F.col("adr") <= RATE_AT_MOST))
+    return df.filter(in_rate_range())
 
 
 def round_rate(df: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ unfolded into one row per column (no shuffle beyond the final merge)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,11 +111,10 @@ def corr_rank(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
 
 
 def _summary(df: DataFrame, columns: list[str]) -> dict[str, dict]:
-    """Count, moments, extremes and approximate distinct count: one small row."""
+    """Count, moments and extremes: one small row."""
     stats = {
         "n": "count({})", "mean": "avg({})", "std": "stddev_samp({})",
         "min": "cast(min({}) as double)", "max": "cast(max({}) as double)",
-        "distinct": "approx_count_distinct({})",
     }
     row = df.selectExpr(*[
         f"{expr.format(name(c))} as {stat}{i}"
@@ -124,16 +123,14 @@ def _summary(df: DataFrame, columns: list[str]) -> dict[str, dict]:
     return {c: {stat: row[f"{stat}{i}"] for stat in stats} for i, c in enumerate(columns)}
 
 
-def _quartiles(df: DataFrame, summary: dict[str, dict], **tuning: int) -> dict[str, list]:
-    return interpolated_quantiles(
-        df, QUARTILES, {c: s["n"] for c, s in summary.items()},
-        {c: s["distinct"] for c, s in summary.items()}, **tuning)
+def _quartiles(df: DataFrame, columns: list[str]) -> dict[str, list]:
+    return interpolated_quantiles(df, QUARTILES, {c: s["n"] for c, s in _summary(df, columns).items()})
 
 
-def describe_numeric(df: DataFrame, columns: list[str], **tuning: int) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std (sample), min, exact quartiles, max: a row per column."""
     summary = _summary(df, columns)
-    quartiles = _quartiles(df, summary, **tuning)
+    quartiles = interpolated_quantiles(df, QUARTILES, {c: s["n"] for c, s in summary.items()})
     schema = T.StructType(
         [T.StructField("column_name", T.StringType()), T.StructField("n", T.LongType())]
         + [T.StructField(c, T.DoubleType()) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
@@ -144,21 +141,28 @@ def describe_numeric(df: DataFrame, columns: list[str], **tuning: int) -> DataFr
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def iqr_outliers(df: DataFrame, columns: list[str], whisker: float = 3.0, **tuning: int) -> DataFrame:
+def iqr_outliers(df: DataFrame, columns: list[str], whisker: float = 3.0) -> DataFrame:
     """Box-plot numbers: quartiles, whisker ends (furthest row within whisker x
     IQR of the box) and the rows beyond them."""
-    quartiles = _quartiles(df, _summary(df, columns), **tuning)
+    return staged_iqr_outliers(df, columns, {"": F.lit(True)}, whisker).drop("stage")
+
+
+def staged_iqr_outliers(df: DataFrame, columns: list[str], stages: dict[str, Column], whisker: float = 3.0) -> DataFrame:
+    """The box-plot numbers of the rows of each stage, a name and a condition; all stages share the scans."""
+    places = {f"s{i}_{j}": (stage, c) for i, stage in enumerate(stages) for j, c in enumerate(columns)}
+    wide = df.select(*[F.when(stages[stage], F.col(f"`{c}`")).alias(place) for place, (stage, c) in places.items()])
     stats = {}
-    for c, box in quartiles.items():
+    for place, box in _quartiles(wide, list(places)).items():
         if box[0] is None:
             q1 = q2 = q3 = low = high = "cast(null as double)"
         else:
             reach = whisker * (box[2] - box[0])
             q1, q2, q3, low, high = map(number, [*box, box[0] - reach, box[2] + reach])
-        inside = f"if({name(c)} between {low} and {high}, cast({name(c)} as double), null)"
-        stats[c] = {
+        inside = f"if({place} between {low} and {high}, cast({place} as double), null)"
+        stats[place] = {
             "q1": q1, "median": q2, "q3": q3,
             "whisker_low": f"min({inside})", "whisker_high": f"max({inside})",
-            "n_below": f"count_if({name(c)} < {low})", "n_above": f"count_if({name(c)} > {high})",
+            "n_below": f"count_if({place} < {low})", "n_above": f"count_if({place} > {high})",
         }
-    return _unfold(df, stats)
+    names = {place: {"stage": text(stage), "own_name": text(c)} for place, (stage, c) in places.items()}
+    return _unfold(wide, stats, names).drop("column_name").withColumnRenamed("own_name", "column_name")

@@ -1,150 +1,110 @@
-"""Exact interpolated quantiles without gathering a column in one task.
-
-The built-in exact percentile keeps every distinct value of a group in one
-buffer, which a global aggregate over a large column cannot afford. Here the
-wanted order statistics are located instead: sketches (fixed size, merged
-map-side) bracket each wanted rank, rows outside the bracket are dropped, and
-once a bracket holds few distinct values their counts settle the rank exactly.
-Every round divides the bracketed rows by about SKETCH_ACCURACY / 4, whatever
-the distribution, and the driver only ever sees one row per wanted rank.
+"""Exact interpolated quantiles in four scans, whatever the data.
+
+The bits of a double, turned so that they sort like the numbers, are read as four
+digits of 16 bits. A scan counts, for all columns and wanted ranks at once, the rows
+by their next digit among those that share the digits found so far; the running count
+tells the digit that holds the rank. After four digits the value is known. Counts are
+added up in each task, then by Spark: a digit's counts are 65,536 rows at most for a column
+and head, and what comes to the driver is one row for each wanted rank.
+
+Null is left out; NaN counts as the largest; -0.0 is 0.0.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, replace
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innlake.functions.sqltext import name, number, rows
+from innlake.functions.sqltext import name
 
-SKETCH_ACCURACY = 10_000
-SETTLE_DISTINCT = 100_000
+DIGIT = 16
+SCANS = 64 // DIGIT
+_SIGN = np.uint64(1 << 63)
 
 
-@dataclass(frozen=True)
-class _Target:
-    """One wanted 0-based rank of a column, and the open bracket that holds it."""
+def sortable(values: np.ndarray) -> np.ndarray:
+    """64-bit numbers that sort like the doubles."""
+    values = np.where(np.isnan(values), np.nan, values + 0.0)  # one NaN, one zero
+    bits = values.view(np.uint64)
+    return np.where(bits & _SIGN, ~bits, bits | _SIGN)
 
-    column: str
-    rank: int
-    low: float | None = None
-    high: float | None = None
-
-    @property
-    def cell(self) -> str:
-        return f"cast({name(self.column)} as double)"
-
-    @property
-    def bracketed(self) -> str:
-        """The value where it lies inside the bracket, else NULL."""
-        if self.low is None:
-            return self.cell
-        return f"if({self.cell} > {number(self.low)} and {self.cell} < {number(self.high)}, {self.cell}, null)"
-
-
-def _settle(df: DataFrame, targets: dict[int, _Target], below: dict[int, int]) -> dict[int, float]:
-    """Exact values of targets whose bracket holds few distinct values.
-
-    Ranks that share a column and a bracket are read off the same counts.
-    """
-    groups: dict[str, list[int]] = {}
-    for key, t in targets.items():
-        groups.setdefault(t.bracketed, []).append(key)
-    tagged = df.selectExpr(rows([
-        f"struct({i} as bracket, {value} as value)" for i, value in enumerate(groups)
-    ])).filter("value is not null")
-    counts = tagged.groupBy("bracket", "value").agg(F.count("*").alias("n"))
-    # One row per distinct value, bounded by the settling limit per bracket.
-    running = Window.partitionBy("bracket").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    wanted = ", ".join(
-        f"{i}, array({', '.join(f'{targets[key].rank - below[key]}L' for key in keys)})"
-        for i, keys in enumerate(groups.values()))
-    found = (counts.withColumn("upto", F.sum("n").over(running))
-             .filter(f"exists(element_at(map({wanted}), bracket), r -> r >= upto - n and r < upto)")
-             .collect())
-    members = list(groups.values())
-    return {
-        key: row["value"] for row in found for key in members[row["bracket"]]
-        if row["upto"] - row["n"] <= targets[key].rank - below[key] < row["upto"]
-    }
 
+def value_of(key: int) -> float:
+    """The double of a sortable number."""
+    bits = key ^ (1 << 63) if key >> 63 else key ^ ((1 << 64) - 1)
+    return float(np.array([bits], np.uint64).view(np.float64)[0])
 
-def order_statistics(
-    df: DataFrame, wanted: dict[str, list[int]], counts: dict[str, int],
-    distinct: dict[str, int], settle_distinct: int = SETTLE_DISTINCT,
-    accuracy: int = SKETCH_ACCURACY,
-) -> dict[tuple[str, int], float]:
-    """Values at 0-based ranks per column. counts are the non-NULL row counts,
-    distinct the approximate numbers of distinct values."""
-    targets = {
-        i: t for i, t in enumerate(
-            _Target(c, rank) for c, ranks in wanted.items() for rank in sorted(set(ranks)))
-    }
-    done: dict[tuple[str, int], float] = {}
-    below = {i: 0 for i in targets}
-    rows_in = {i: counts[t.column] for i, t in targets.items()}
-    distinct_in = {i: distinct[t.column] for i, t in targets.items()}
-    slack = {i: 2.0 / accuracy for i in targets}
-    while targets:
-        small = {i: t for i, t in targets.items() if distinct_in[i] <= settle_distinct}
-        if small:
-            for i, value in _settle(df, small, below).items():
-                t = targets.pop(i)
-                done[t.column, t.rank] = value
-        if not targets:
-            break
-        # Slack of two sketch errors either side keeps the rank bracketed.
-        sketches = []
-        for i, t in targets.items():
-            position = (t.rank - below[i] + 0.5) / rows_in[i]
-            spots = [max(position - slack[i], 0.0), min(position + slack[i], 1.0)]
-            sketches.append(
-                f"percentile_approx({t.bracketed}, array({', '.join(map(number, spots))}), {accuracy}) as s{i}")
-        ends = {i: tuple(found) for i, found in zip(targets, df.selectExpr(*sketches).first())}
-        stats = []
-        for i, t in targets.items():
-            low, high = map(number, ends[i])
-            stats += [
-                f"count_if({t.cell} < {low}) as under_low{i}", f"count_if({t.cell} <= {low}) as upto_low{i}",
-                f"count_if({t.cell} < {high}) as under_high{i}", f"count_if({t.cell} <= {high}) as upto_high{i}",
-                f"approx_count_distinct(if({t.cell} > {low} and {t.cell} < {high}, {t.cell}, null)) as distinct{i}",
-            ]
-        checks = df.selectExpr(*stats).first()
-        for i, t in list(targets.items()):
-            low, high = ends[i]
-            if not checks[f"under_low{i}"] <= t.rank < checks[f"upto_high{i}"]:
-                slack[i] *= 4
-            elif t.rank < checks[f"upto_low{i}"]:
-                done[t.column, t.rank] = low
-                targets.pop(i)
-            elif t.rank >= checks[f"under_high{i}"]:
-                done[t.column, t.rank] = high
-                targets.pop(i)
-            else:
-                # The ends are settled, so even a value that fills most rows
-                # is out of the next, open bracket.
-                targets[i] = replace(t, low=low, high=high)
-                below[i] = checks[f"upto_low{i}"]
-                rows_in[i] = checks[f"under_high{i}"] - below[i]
-                distinct_in[i] = checks[f"distinct{i}"]
-    return done
-
-
-def interpolated_quantiles(
-    df: DataFrame, probabilities: list[float], counts: dict[str, int], distinct: dict[str, int],
-    **tuning: int,
-) -> dict[str, list[float | None]]:
-    """Linear interpolation between neighbouring order statistics."""
+
+@dataclass
+class _Target:
+    """A wanted 0-based rank of a column: digits found so far, and the rows below them."""
+
+    column: int
+    rank: int
+    head: int = 0
+    below: int = 0
+
+
+def _counted(df: DataFrame, columns: list[str], heads: list[tuple[int, int]], scan: int) -> DataFrame:
+    """(slot, digit, n) of the rows whose column starts with the head; slots are places in heads (column, head)."""
+    names = [f"x{i}" for i in range(len(columns))]
+    up, down = np.uint64(64 - DIGIT * scan), np.uint64(64 - DIGIT * (scan + 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(heads), 1 << DIGIT), np.int64)
+        for batch in batches:
+            keys: dict[int, np.ndarray] = {}
+            for slot, (c, head) in enumerate(heads):
+                if c not in keys:
+                    column = batch.column(c)
+                    keys[c] = sortable(column.drop_null().to_numpy(zero_copy_only=False).astype(np.float64))
+                own = keys[c] if scan == 0 else keys[c][keys[c] >> up == np.uint64(head)]
+                digits = ((own >> down) & np.uint64((1 << DIGIT) - 1)).astype(np.int64)
+                total[slot] += np.bincount(digits, minlength=1 << DIGIT)
+        slot, digit = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(slot.astype(np.int32)), pa.array(digit.astype(np.int32)), pa.array(total[slot, digit])],
+            names=["slot", "digit", "n"])
+
+    values = df.select(*[F.expr(f"cast({name(c)} as double)").alias(n) for c, n in zip(columns, names)])
+    return values.mapInArrow(run, "slot int, digit int, n long").groupBy("slot", "digit").agg(F.sum("n").alias("n"))
+
+
+def order_statistics(df: DataFrame, wanted: dict[str, list[int]]) -> dict[tuple[str, int], float]:
+    """Values at 0-based ranks of the present values of each column."""
+    columns = [c for c, ranks in wanted.items() if ranks]
+    targets = [_Target(i, rank) for i, c in enumerate(columns) for rank in sorted(set(wanted[c]))]
+    if not targets:
+        return {}
+    running = Window.partitionBy("slot").orderBy("digit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for scan in range(SCANS):
+        heads = sorted({(t.column, t.head) for t in targets})
+        counts = _counted(df, columns, heads, scan).withColumn("upto", F.sum("n").over(running))
+        asked = df.sparkSession.createDataFrame(
+            [(i, heads.index((t.column, t.head)), t.rank - t.below) for i, t in enumerate(targets)], "target int, slot int, rank long")
+        found = counts.join(F.broadcast(asked), "slot").filter("rank >= upto - n and rank < upto") \
+            .select("target", "digit", (F.col("upto") - F.col("n")).alias("before")).collect()
+        for r in found:
+            t = targets[r["target"]]
+            t.head, t.below = t.head << DIGIT | r["digit"], t.below + r["before"]
+    return {(columns[t.column], t.rank): value_of(t.head) for t in targets}
+
+
+def interpolated_quantiles(df: DataFrame, probabilities: list[float], counts: dict[str, int]) -> dict[str, list[float | None]]:
+    """Linear interpolation between neighbouring order statistics; counts are the numbers of present values."""
     columns = {c: n for c, n in counts.items() if n}
     positions = {c: [(n - 1) * p for p in probabilities] for c, n in columns.items()}
     ranks = {
         c: [r for position in spots for r in (math.floor(position), math.ceil(position))]
         for c, spots in positions.items()
     }
-    found = order_statistics(df, ranks, counts, distinct, **tuning)
+    found = order_statistics(df, ranks)
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in counts}
     for c, spots in positions.items():
         result[c] = [

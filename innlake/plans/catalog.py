@@ -25,12 +25,12 @@ from innlake.plans import jobs
 from innlake.schemas import (
     BOOKINGS, CANCEL_INPUTS, CANCEL_PREDICTORS, CANCEL_TABLE, CANCEL_UNUSED, MARKET_SEGMENTS,
     MEALS, MONTHLY, NUMERIC_FEATURES, ONE_HOT, PRICE_INPUTS, PRICE_PREDICTORS,
-    PRICE_TABLE, PRICE_UNUSED, VOCABULARY, indicator,
+    PRICE_TABLE, PRICE_UNUSED, VOCABULARY, indicator, struct,
 )
 from innlake.sources import booking_views as views
-from innlake.sources import csv_files, messages
+from innlake.sources import csv_files, message_log, messages
 from innlake.sources.tables import Table
-from innlake.streaming import ingest
+from innlake.streaming import frame_state, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,8 +40,6 @@ CATEGORICAL = list(VOCABULARY)
 PCA_COLUMNS = [indicator("market_segment", s) for s in ("Direct", "Groups", "Offline TA/TO", "Online TA")]
 # The published sizes: boosting rounds, trees, boosts of AdaBoost.
 ROUNDS, TREES, BOOSTS = 100, 100, 50
-# Depth of the trees that MLlib grows for AdaBoost's bands.
-DEPTH = 12
 BANDS = len(scalars.RATE_EDGES) - 1
 # Training rows are dealt to as many partitions everywhere, so models don't depend on the cluster.
 PARTITIONS = 8
@@ -246,9 +244,8 @@ def shape_report(spark, sf):
 def iqr_outliers(spark, sf):
     columns = ["adr", "lead_time"]
     rows = views.bookings(spark, sf).select(*columns)
-    before = profiling.iqr_outliers(rows, columns).withColumn("stage", F.lit("raw"))
-    after = profiling.iqr_outliers(cleaning.keep_rate_range(rows), columns).withColumn("stage", F.lit("in range"))
-    return _rounded(before.unionByName(after), "q1", "median", "q3", "whisker_low", "whisker_high")
+    found = profiling.staged_iqr_outliers(rows, columns, {"raw": F.lit(True), "in range": cleaning.in_rate_range()})
+    return _rounded(found, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
 # --- sort, union --------------------------------------------------------------
@@ -341,6 +338,17 @@ def csv_parse_lines(spark, sf):
     return csv_files.parse_csv_lines(views.booking_lines(spark, sf), "value", MONTHLY)
 
 
+def csv_quoted_lines(spark, sf):
+    """Notes with line breaks, quotes and commas, written as CSV, cut into lines, and read back from these."""
+    notes = views.bookings(spark, sf).select(
+        "Booking_ID", F.concat_ws("\n", "hotel", F.concat(F.lit('"'), "meal", F.lit('", said')), F.lit(""), "country").alias("note"))
+    text = csv_files.once(notes, F.col("Booking_ID"), csv_files.csv_line(["Booking_ID", "note"]).alias("text"))
+    lines = text.select((F.col("Booking_ID") % 4).alias("part"), "Booking_ID", F.posexplode(F.split("text", "\n")).alias("i", "line")) \
+        .select("part", (F.col("Booking_ID") * 8 + F.col("i")).alias("at"), "line")
+    records = csv_files.join_quoted_lines(lines, "line", "at", ["part"], block_span=5000)
+    return csv_files.parse_csv_lines(records.select("line"), "line", struct({"Booking_ID": "bigint", "note": "string"}))
+
+
 def message_encode(spark, sf):
     encoded = messages.encode_values(views.booking_messages(spark, sf))
     return messages.decode_values(encoded)
@@ -406,7 +414,7 @@ def _event_buckets(unit: str) -> Query:
 _BAD_BOOKING = {"Booking_ID": "INN0", "adults": "two", "market_segment": '"Online, TA"', "adr": "99.5"}
 
 
-def _ingested(spark, sf) -> str:
+def _ingested(spark, sf, fmt: str = "parquet") -> str:
     """The booking log replayed in two drops, cut in the middle of two months, with a bad message a month.
 
     Each drop runs one availableNow micro-batch on the same checkpoint, so
@@ -433,8 +441,8 @@ def _ingested(spark, sf) -> str:
         other_cut = F.col("offset") >= (YEAR * 12 + 5) * views.MONTH_SPAN + 500
         later = F.when(F.col("partition") == 0, cut).otherwise(other_cut)
         for drop in (~later, later):
-            messages.write_messages(log.filter(drop), "parquet", path=source)
-            stream = messages.message_stream(spark, "parquet", path=source)
+            messages.write_messages(log.filter(drop), fmt, path=source)
+            stream = messages.message_stream(spark, fmt, path=source)
             ingest.start_ingest(stream, root, warehouse, price, cancel).awaitTermination()
     finally:
         log.unpersist()
@@ -445,6 +453,26 @@ def stream_ingest(spark, sf):
     return conform.from_warehouse_names(Table(spark, _ingested(spark, sf), ingest.PRICE_NAME).scan())
 
 
+def log_ingest(spark, sf):
+    """The same from a log that is read by offsets."""
+    return conform.from_warehouse_names(Table(spark, _ingested(spark, sf, message_log.FORMAT), ingest.PRICE_NAME).scan())
+
+
+def stateful_frames(spark, sf):
+    """Frames of the event log, which arrives in three parts; what is open waits in the stream's state."""
+    root = session.scratch_path(spark, "frames")
+    log = views.event_messages(spark, sf)
+    ends = log.agg(F.max("offset")).first()[0] or 0
+    for part in range(3):
+        low, high = (ends + 1) * part // 3, (ends + 1) * (part + 1) // 3
+        messages.write_messages(log.filter((F.col("offset") >= low) & (F.col("offset") < high)), message_log.FORMAT, path=f"{root}/log")
+        stream = messages.message_stream(spark, message_log.FORMAT, path=f"{root}/log")
+        with frame_state.rocks_store(spark):
+            frame_state.stateful_frames(stream).writeStream.format("parquet").option("path", f"{root}/frames") \
+                .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/frames").drop("closed")
+
+
 def stream_ingest_cancel(spark, sf):
     return conform.from_warehouse_names(Table(spark, _ingested(spark, sf), ingest.CANCEL_NAME).scan())
 
@@ -573,26 +601,26 @@ def target_encode(spark, sf):
 
 
 def cls_adaboost(spark, sf):
+    """Stumps for cancellations, trees without a depth bound for rate bands."""
     reports = []
     for parts, predictors, label, classes, depth in (
         (_cancel_parts, CANCEL_PREDICTORS, "is_canceled", 2, 1),
-        (_band_parts, PRICE_PREDICTORS, "adr_category", BANDS, DEPTH),
+        (_band_parts, PRICE_PREDICTORS, "adr_category", BANDS, presets.UNBOUNDED),
     ):
         train, test = parts(spark, sf)
-        rows = session.spread(presets.vectors(train, predictors, "Booking_ID", label), "Booking_ID", PARTITIONS)
-        model = adaboost.fit_adaboost(
-            rows, presets.FEATURES, label, [float(c) for c in range(classes)], rounds=BOOSTS, max_depth=depth)
-        scored = model.transform(presets.vectors(test, predictors, label))
-        reports.append(_class_report("adaboost", label, train, scored))
+        model = _fitted(adaboost.AdaBoost(predictors, label, classes, BOOSTS, depth), train, predictors, label)
+        reports.append(_class_report("adaboost", label, train, model.transform(test)))
     return reports[0].unionByName(reports[1])
 
 
-def cls_knn(spark, sf):
-    train, test = _cancel_parts(spark, sf)
-    rows = train.select("Booking_ID", "is_canceled", knn.feature_array(CANCEL_PREDICTORS).alias("features"))
-    model = knn.fit_knn(session.spread(rows, "Booking_ID", PARTITIONS), "Booking_ID", "features", "is_canceled")
-    scored = scoring.predictions(model, session.spread(test, "Booking_ID", PARTITIONS), CANCEL_PREDICTORS)
-    return _class_report("knn", "is_canceled", train, scored)
+def _knn(parts, predictors: list[str], label: str) -> Query:
+    def query(spark, sf):
+        train, test = parts(spark, sf)
+        rows = train.select("Booking_ID", label, knn.feature_array(predictors).alias("features"))
+        model = knn.fit_knn(session.spread(rows, "Booking_ID", PARTITIONS), "Booking_ID", "features", label)
+        scored = scoring.predictions(model, session.spread(test, "Booking_ID", PARTITIONS), predictors)
+        return _class_report("knn", label, train, scored)
+    return query
 
 
 def pca_scores(spark, sf):
@@ -710,12 +738,13 @@ QUERIES: dict[str, Query] = {
     "model_leaderboard": model_leaderboard, "champion_select": champion_select,
     "regression_metrics": regression_metrics, "classification_metrics": classification_metrics,
     "knn_classify": knn_classify, "csv_roundtrip": csv_roundtrip, "csv_parse_lines": csv_parse_lines,
+    "csv_quoted_lines": csv_quoted_lines,
     "message_encode": message_encode, "load_overwrite": load_overwrite, "load_append": load_append,
     "append_writers": append_writers,
     "scan_all": scan_all, "frame_messages": frame_messages,
     "frame_messages_unreset": frame_messages_unreset,
     "monthly_buckets": _event_buckets("month"), "quarterly_buckets": _event_buckets("quarter"),
-    "stream_ingest": stream_ingest, "stream_ingest_cancel": stream_ingest_cancel, "stream_rejected": stream_rejected,
+    "stream_ingest": stream_ingest, "log_ingest": log_ingest, "stateful_frames": stateful_frames, "stream_ingest_cancel": stream_ingest_cancel, "stream_rejected": stream_rejected,
     "pca_scores": pca_scores, "pca_variance": pca_variance,
     "reg_linear": reg_linear, "reg_elastic_net": _regression("elastic_net"),
     "reg_random_forest": _regression("random_forest"), "reg_gbt": _regression("gbt"),
@@ -732,7 +761,8 @@ QUERIES: dict[str, Query] = {
     "cls_leafwise_bands": _band_class("leafwise"), "target_encode": target_encode,
     "reg_second_order_stump": _stump(_price_parts, PRICE_PREDICTORS, "adr", boosting.SQUARED),
     "cls_second_order_stump": _stump(_cancel_parts, CANCEL_PREDICTORS, "is_canceled", boosting.LOGISTIC),
-    "cls_adaboost": cls_adaboost, "cls_knn": cls_knn,
+    "cls_adaboost": cls_adaboost, "cls_knn": _knn(_cancel_parts, CANCEL_PREDICTORS, "is_canceled"),
+    "knn_classify_band": _knn(_band_parts, PRICE_PREDICTORS, "adr_category"),
     "score_price": score_price, "score_cancel": score_cancel, "model_roundtrip": model_roundtrip,
     "retrain_champion": retrain_champion,
 }

@@ -377,6 +377,7 @@ def _learners(bands: str) -> dict[str, str]:
         sql[f"cls_{name}"] = _class_facts(name, "is_canceled", bands)
     for name in ("decision_tree", "extra_trees", "gbt_multiclass", "gbt_deep"):
         sql[f"cls_{name}"] = _class_facts(name, "adr_category", bands)
+    sql["knn_classify_band"] = _class_facts("knn", "adr_category", bands)
     sql["cls_leafwise_bands"] = _class_facts("leafwise", "adr_category", bands)
     sql["reg_second_order_stump"] = _first_split(_PRICES, "price", "adr", "avg(y)", "1.0::DOUBLE")
     sql["cls_second_order_stump"] = _first_split(
@@ -530,6 +531,8 @@ def oracles() -> dict[str, str]:
         "model_roundtrip": f"{_PRICES} SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM price WHERE {_SPLIT} >= 80",
         "csv_roundtrip": f"{_BASES} SELECT * REPLACE (nullif(country, 'NA') AS country) FROM bookings",
         "csv_parse_lines": f"""{_BASES} SELECT {_FEED_ID} AS "Booking_ID", {", ".join(_FEED[1:])} FROM bookings""",
+        "csv_quoted_lines": f"""{_BASES} SELECT "Booking_ID",
+            concat_ws(chr(10), hotel, '"' || meal || '", said', '', country) AS note FROM bookings""",
         "message_encode": _with(_BOOKINGS, _MESSAGES) + "\nSELECT * FROM log",
         "load_overwrite": f"{_PRICES} SELECT {_SAFE} FROM price",
         "load_append": _with(_BOOKINGS, _PRICE, _MONTHLY,
@@ -559,6 +562,7 @@ FROM ends WHERE n > 0 AND value NOT IN ('START', 'END')""",
     sql["stream_rejected"] = f"""{_BASES} SELECT '{line}' AS line, 'unreadable: adults' AS reason,
         'Online, TA' AS market_segment, count(DISTINCT (arrival_date_year, arrival_date_month)) AS n_rows FROM bookings"""
     sql["append_writers"] = sql["load_append"]
+    sql["log_ingest"], sql["stateful_frames"] = sql["stream_ingest"], sql["frame_messages"]
     sql["target_encode"] = _encoded()
     sql |= _learners(f"banded AS (SELECT \"Booking_ID\", adr, {band_case} - 1 AS adr_category FROM price)")
     for name, unit in (("monthly_buckets", "month"), ("quarterly_buckets", "quarter")):

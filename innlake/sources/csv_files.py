@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,18 +102,75 @@ def parse_csv_messages(df: DataFrame, value: str, schema: T.StructType) -> DataF
     return typed.selectExpr(*others, *[name(f.name) for f in schema], f"{reason} as reason")
 
 
+#: Stands for a line break inside quotes while text is cut into lines; no CSV text has it.
+_KEPT_BREAK = "\ufdd0"
+
+
+def _records(value: Column) -> Column:
+    """The records of a CSV text: its lines, but for breaks inside quotes.
+
+    Between two quotes text is quoted and outside by turns (a doubled quote only adds an
+    empty turn), so one pass over the parts finds the breaks that stay.
+    """
+    parts = F.transform(F.split(value, '"'), lambda part, i: F.when(
+        i % 2 == 1, F.translate(part, "\n", _KEPT_BREAK)).otherwise(part))
+    lines = F.split(F.array_join(parts, '"'), "\r?\n")
+    return F.transform(lines, lambda line: F.translate(line, _KEPT_BREAK, "\n"))
+
+
+def once(df: DataFrame, *columns: Column) -> DataFrame:
+    """The given columns, each computed once for a row.
+
+    A generator keeps the optimiser from writing an expensive expression into every
+    place where its column is used.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def parse_csv_lines(
     df: DataFrame, value: str, schema: T.StructType, strict: bool = True,
 ) -> DataFrame:
-    """Rows from a text column holding one or more CSV lines per value.
+    """Rows from a text column holding one or more CSV records per value.
 
-    Header lines and blank lines are dropped; other columns are kept.
+    A line break inside quotes belongs to its field. Header lines and blank lines are
+    dropped; other columns are kept.
     """
     others = [c for c in df.columns if c != value]
     ddl = ", ".join(f"`{f.name}` string" for f in schema)
-    lines = (df.select(*others, F.explode(F.split(F.col(value), "\\r?\\n")).alias("line"))
+    texts = once(df, *[F.col(f"`{c}`") for c in others], F.col(f"`{value}`").alias("line"))
+    has_break = F.instr("line", "\n") > 0
+    lines = (texts.select(*[F.col(f"`{c}`") for c in others],
+                          F.explode(F.when(has_break, _records(F.col("line"))).otherwise(F.array("line"))).alias("line"))
              .filter((F.col("line") != "") & (F.col("line") != csv_header(schema.names))))
-    # A generator parses each line once; field access on from_csv would be
+    # A generator parses each record once; field access on from_csv would be
     # rewritten into one parse per field and use.
-    fields = lines.select(*others, F.inline(F.array(F.from_csv("line", ddl, _DIALECT))))
+    options = {**_DIALECT, "lineSep": _KEPT_BREAK}
+    fields = lines.select(*[F.col(f"`{c}`") for c in others], F.inline(F.array(F.from_csv("line", ddl, options))))
     return fields.selectExpr(*map(name, others), *typed_columns(schema, strict))
+
+
+def join_quoted_lines(df: DataFrame, value: str, order: str, group: list[str], block_span: int = 1_000_000) -> DataFrame:
+    """Records from the lines of a text: a line that starts inside quotes belongs to the record before it.
+
+    df: the group's columns, an integer order that is unique in a group, and the line. Added
+    up along a group, the lines' quotes tell by their parity where a record starts. Windows run
+    inside blocks of consecutive orders; along a whole group only one row a block is added up.
+    A record has the order of its first line. A null line counts as an empty one.
+    """
+    keys, place = [F.col(f"`{c}`") for c in group], F.col(f"`{order}`")
+    text_ = F.coalesce(F.col(f"`{value}`"), F.lit(""))
+    quotes = F.length(text_) - F.length(F.translate(text_, '"', ""))
+    rows = once(df, *keys, place.alias("_order"), text_.alias("_line"), (quotes % 2).alias("_odd"),
+                F.floor(place / block_span).alias("_block"))
+    inside = Window.partitionBy(*keys, "_block").orderBy("_order")
+    earlier, upto = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(Window.unboundedPreceding, 0)
+    blocks = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    parity = rows.groupBy(*keys, "_block").agg(F.sum("_odd").alias("_sum")) \
+        .withColumn("_before", F.coalesce(F.sum("_sum").over(blocks), F.lit(0))).drop("_sum")
+    marked = rows.withColumn("_in", F.coalesce(F.sum("_odd").over(earlier), F.lit(0))).join(parity, [*group, "_block"]) \
+        .withColumn("_start", F.when((F.col("_in") + F.col("_before")) % 2 == 0, F.col("_order")))
+    last = marked.groupBy(*keys, "_block").agg(F.max("_start").alias("_last")) \
+        .withColumn("_carried", F.max("_last").over(blocks)).drop("_last")
+    record = F.coalesce(F.max("_start").over(upto), F.col("_carried"))
+    return marked.join(last, [*group, "_block"]).withColumn("_record", record).groupBy(*keys, F.col("_record").alias(order)).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_order", "_line"))), lambda x: x["_line"]), "\n").alias(value))

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from innlake.learners import bins
+from innlake.learners import bins, boosting
 from innlake.learners.boosting import LOGISTIC, SOFTMAX, SQUARED, BoostedModel, BoostedTrees, Growth, gradients
 from innlake.session import scratch_path
 
@@ -89,13 +89,28 @@ def plain_scores(x, y, growth):
     Growth(loss=SOFTMAX, n_classes=3, rounds=2, max_depth=2, min_hessian=1e-3),
     Growth(loss=SOFTMAX, n_classes=3, rounds=1, max_leaves=5, min_rows=20),
 ], ids=["leafwise", "second-order", "logistic", "softmax", "leafwise-classes"])
-def test_equals_a_plain_booster(spark, growth):
+@pytest.mark.parametrize("task_rows", [1 << 20, 120, 0])
+def test_equals_a_plain_booster(spark, monkeypatch, growth, task_rows):
+    """Grown in a task, by passes down to small nodes, or by passes alone."""
+    monkeypatch.setattr(boosting, "TASK_ROWS", task_rows)
     classes = {SQUARED: 0, LOGISTIC: 2, SOFTMAX: 3}[growth.loss]
     x, y = data(2000 if growth.loss == SQUARED else 600, classes=classes)
     model = BoostedTrees(NAMES, "y", growth).fit(frame(spark, x, y))
     assert model.scores(x) == pytest.approx(plain_scores(x, y, growth), abs=1e-6)
 
 
+def test_sums_are_merged_by_spark_beyond_a_size(spark, monkeypatch):
+    x, y = data(600, classes=3)
+    growth = Growth(loss=SOFTMAX, n_classes=3, rounds=2, max_leaves=5)
+    models = []
+    monkeypatch.setattr(boosting, "TASK_ROWS", 0)
+    for limit in (boosting.DRIVER_BYTES, 0):
+        monkeypatch.setattr(boosting, "DRIVER_BYTES", limit)
+        monkeypatch.setattr(bins, "BLOCK_ROWS", 150)
+        models.append(BoostedTrees(NAMES, "y", growth).fit(frame(spark, x, y, 4)))
+    assert models[0].scores(x) == pytest.approx(models[1].scores(x), abs=1e-9)
+
+
 def test_best_first_makes_the_largest_gains(spark):
     x, y = data()
     by_leaf = BoostedTrees(NAMES, "y", Growth(rounds=1, rate=1.0, max_leaves=12)).fit(frame(spark, x, y))
@@ -127,8 +142,8 @@ def test_transform_save_and_load(spark):
 
 
 def test_sums_need_a_fixed_number_of_passes(spark, monkeypatch):
-    from innlake.learners import boosting
     passes = []
+    monkeypatch.setattr(boosting, "TASK_ROWS", 0)
     own = boosting._Rounds.sums
     monkeypatch.setattr(boosting._Rounds, "sums", lambda self, *a: passes.append(1) or own(self, *a))
     x, y = data(500, classes=3)

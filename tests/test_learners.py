@@ -68,10 +68,9 @@ def test_knn_skips_far_cells(spark, monkeypatch):
 def test_stored_models_of_every_kind(spark):
     store = ModelStore(spark, scratch_path(spark, "kinds"))
     df = spark.createDataFrame([(float(i), float(i % 7), float(i % 7 > 3)) for i in range(60)], "i double, a double, y double")
-    rows = presets.vectors(df, ["a"], "y")
-    boosted = adaboost.fit_adaboost(rows, presets.FEATURES, "y", [0.0, 1.0], rounds=3)
+    boosted = adaboost.AdaBoost(["a"], "y", 2, rounds=3).fit(df)
     formula = bayesian_ridge.LinearFormula(["a"], [2.0], -1.0)
-    for candidate, model, data in (("boosted", boosted, rows), ("formula", formula, df)):
+    for candidate, model, data in (("boosted", boosted, df), ("formula", formula, df)):
         store.promote("m", candidate, model, 0.5)
         again = store.load("m").transform(data).select("prediction").collect()
         assert again == model.transform(data).select("prediction").collect()
@@ -93,25 +92,47 @@ def test_bayesian_ridge_recovers_a_line(spark):
     assert np.std([r.e for r in errors]) == pytest.approx(0.1, rel=0.2)
 
 
-def test_adaboost_beats_one_stump(spark):
+def plain_adaboost(x, y, rounds):
+    """SAMME with stumps, by recounting all cuts; the votes' winner for each row."""
+    w, votes = np.ones(len(y)), np.zeros((2, len(y)))
+    for _ in range(rounds):
+        best = (-1.0, None)
+        for f in range(x.shape[1]):
+            for cut in np.unique(x[:, f])[:-1]:
+                left = x[:, f] <= cut
+                gain = sum(sum((w[s] * (y[s] == c)).sum() ** 2 for c in (0, 1)) / w[s].sum() for s in (left, ~left))
+                if gain > best[0] + 1e-9:
+                    best = (gain, left)
+        guess = np.empty(len(y))
+        for s in (best[1], ~best[1]):
+            guess[s] = float((w[s] * (y[s] == 1)).sum() > (w[s] * (y[s] == 0)).sum())
+        error = w[guess != y].sum() / w.sum()
+        alpha = np.log((1 - error) / error)
+        votes[guess.astype(int), np.arange(len(y))] += alpha
+        w = w * np.where(guess != y, np.exp(alpha), 1.0)
+        w *= len(y) / w.sum()
+    return votes.argmax(axis=0)
+
+
+def test_adaboost_equals_a_plain_one(spark):
     rng = np.random.default_rng(5)
-    x = rng.uniform(-1, 1, size=(600, 2))
+    x = np.round(rng.uniform(-1, 1, size=(600, 2)), 2)
     label = (x.sum(axis=1) > 0).astype(float)
     df = spark.createDataFrame(np.column_stack([x, label]).tolist(), "a double, b double, y double")
-    rows = presets.vectors(df, ["a", "b"], "y")
     accuracy = []
     for rounds in (1, 12):
-        model = adaboost.fit_adaboost(rows, presets.FEATURES, "y", [0.0, 1.0], rounds=rounds)
-        accuracy.append(model.transform(rows).filter("prediction = y").count() / 600)
+        model = adaboost.AdaBoost(["a", "b"], "y", 2, rounds=rounds).fit(df)
+        assert (model.predicted(x) == plain_adaboost(x, label, rounds)).all()
+        accuracy.append(model.transform(df).filter("prediction = y").count() / 600)
     assert accuracy[1] > accuracy[0] + 0.05 and accuracy[1] > 0.9
 
 
 def test_adaboost_multiclass_and_perfect_tree(spark):
     df = spark.createDataFrame([(float(i % 3), float(i % 3)) for i in range(60)], "a double, y double")
-    rows = presets.vectors(df, ["a"], "y")
-    model = adaboost.fit_adaboost(rows, presets.FEATURES, "y", [0.0, 1.0, 2.0], rounds=5, max_depth=3)
-    assert len(model.trees) == 1
-    assert model.transform(rows).filter("prediction = y").count() == 60
+    for depth in (3, presets.UNBOUNDED):
+        model = adaboost.AdaBoost(["a"], "y", 3, rounds=5, max_depth=depth).fit(df)
+        assert len(model.trees) == 1
+        assert model.transform(df).filter("prediction = y").count() == 60
 
 
 def test_store_versions_and_reload(spark):

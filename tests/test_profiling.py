@@ -2,14 +2,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from innlake.operators import profiling
-from innlake.operators.quantiles import interpolated_quantiles
-
-
-def quantiles(df, counts, **tuning):
-    # A distinct count above the limit forces the sketch rounds.
-    return interpolated_quantiles(df, [0.0, 0.25, 0.5, 0.75, 1.0], counts, {c: 10 ** 9 for c in counts}, **tuning)
+from innlake.operators import profiling, quantiles
+from innlake.operators.quantiles import interpolated_quantiles, order_statistics
 
 
 @pytest.mark.parametrize("values", [
@@ -19,17 +15,37 @@ def quantiles(df, counts, **tuning):
     [7.5] * 100,
     [1.0] * 1999 + [3.0, 4.0] + [9.0] * 1999,
     [2.0],
+    [-0.0, 0.0, -5e-324, float("inf"), float("-inf")] * 20,
+    [1.0 + i * 2**-52 for i in range(500)],
 ])
-def test_sketch_rounds_find_exact_quantiles(spark, values):
+def test_four_scans_find_exact_quantiles(spark, values):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(7)
-    found = quantiles(df, {"x": len(values)}, settle_distinct=5, accuracy=50)["x"]
-    assert found == pytest.approx(np.quantile(values, [0, 0.25, 0.5, 0.75, 1]).tolist(), rel=1e-12)
-
-
-def test_settling_by_counts_and_empty_columns(spark):
+    ranks = [0, len(values) // 3, len(values) // 2, len(values) - 1]
+    found = order_statistics(df, {"x": ranks})
+    assert [found["x", r] for r in ranks] == [sorted(values)[r] for r in ranks]
+    if np.isfinite(values).all():
+        spots = [0.0, 0.25, 0.5, 0.75, 1.0]
+        assert interpolated_quantiles(df, spots, {"x": len(values)})["x"] == pytest.approx(np.quantile(values, spots).tolist(), rel=1e-12)
+
+
+def test_nan_is_largest_and_scans_are_fixed(spark, monkeypatch):
+    df = spark.createDataFrame([(float("nan"), i) for i in range(3)] + [(float(i), None) for i in range(50)], "x double, y int")
+    scans = []
+    own = quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda *a: scans.append(1) or own(*a))
+    found = order_statistics(df, {"x": [0, 49, 50, 52], "y": [0, 2]})
+    assert [found["x", r] for r in (0, 49)] == [0.0, 49.0] and np.isnan([found["x", 50], found["x", 52]]).all()
+    assert [found["y", r] for r in (0, 2)] == [0.0, 2.0]
+    assert len(scans) == 4  # all columns and ranks together
+    scans.clear()
+    rows = spark.createDataFrame([(float(i % 97), float(i)) for i in range(1000)], "a double, b double")
+    profiling.staged_iqr_outliers(rows, ["a", "b"], {"all": F.lit(True), "low": F.col("b") < 300}).collect()
+    assert len(scans) == 4
+
+
+def test_empty_columns(spark):
     df = spark.createDataFrame([(i % 10, None) for i in range(1000)], "x int, y double")
-    result = interpolated_quantiles(df, [0.25, 0.5], {"x": 1000, "y": 0}, {"x": 10, "y": 0})
-    assert result == {"x": [2.0, 4.5], "y": [None, None]}
+    assert interpolated_quantiles(df, [0.25, 0.5], {"x": 1000, "y": 0}) == {"x": [2.0, 4.5], "y": [None, None]}
 
 
 def test_describe_matches_numpy(spark):

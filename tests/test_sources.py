@@ -2,9 +2,10 @@ import pytest
 
 from innlake.schemas import MONTHLY, struct
 from innlake.session import scratch_path
-from innlake.sources.csv_files import csv_header, csv_line, parse_csv_lines, parse_csv_messages, read_csv, write_csv
+from innlake.sources.csv_files import csv_header, csv_line, join_quoted_lines, parse_csv_lines, parse_csv_messages, read_csv, write_csv
 from innlake.sources.tables import SchemaMismatchError, Table, TableMissingError
 
+SF = "/root/testdata/sf0.001"
 PAIR = struct({"name": "string", "n": "int", "x": "double"})
 
 
@@ -50,6 +51,38 @@ def test_lines_keep_quoted_commas_and_skip_headers(spark):
         ('a,"b"', 1, 2.5), (None, None, None), ("x", 1, 1.0), ("y", 2, 2.0)}
 
 
+def test_line_breaks_inside_quotes_stay(spark):
+    text = 'name,n,x\n"a\nb",1,2.5\r\n"say ""hi""\n\n, you",2,1\n\nplain,3,0\n"",4,\n"last\n",5,1'
+    df = spark.createDataFrame([(text,), ('"one\ntwo",6,6',)], "value string")
+    parsed = parse_csv_lines(df, "value", PAIR).collect()
+    assert {tuple(r) for r in parsed} == {
+        ("a\nb", 1, 2.5), ('say "hi"\n\n, you', 2, 1.0), ("plain", 3, 0.0), (None, 4, None), ("last\n", 5, 1.0), ("one\ntwo", 6, 6.0)}
+
+
+@pytest.mark.parametrize("block_span", [1_000_000, 3])
+def test_quoted_lines_are_joined(spark, block_span):
+    lines = ["a,1", '"b', "c", 'd",2', '"e""', '"', '",3', "f,4", "", '"g"",", h",5', '"open', "end"]
+    rows = [(g, i * 2 + g, line) for g in (0, 1) for i, line in enumerate(lines)]
+    df = spark.createDataFrame(rows, "g int, at long, line string").repartition(4)
+    found = sorted(map(tuple, join_quoted_lines(df, "line", "at", ["g"], block_span).collect()))
+    wanted, inside = [], False
+    for g, at, line in rows:
+        if inside:
+            wanted[-1][2].append(line)
+        else:
+            wanted.append((g, at, [line]))
+        inside ^= line.count('"') % 2 == 1
+        if at >= 2 * (len(lines) - 1):
+            inside = False
+    assert found == sorted((g, at, "\n".join(x)) for g, at, x in wanted)
+
+
+def test_csv_text_is_made_once(spark):
+    from innlake.plans.catalog import QUERIES
+    plan = QUERIES["csv_parse_lines"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("to_csv") == 1 and plan.count("from_csv") == 1
+
+
 def test_overwrite_replaces_schema_and_append_is_by_name_and_idempotent(spark):
     table = Table(spark, scratch_path(spark, "warehouse"), "t")
     one = spark.createDataFrame([(1, "a")], "k int, `a b/c` string")
