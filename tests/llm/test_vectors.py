@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import types as T
 
 from innlake.llm import pivot_search, vector_dedup
+from innlake.session import scratch_path
 from tests.llm import cases
 from tests.llm.test_near_dedup import classes
 
@@ -69,6 +70,28 @@ def test_top_k_equals_all_scores(spark, tmp_path, monkeypatch, sizes):
     assert sorted(map(tuple, found.collect())) == sorted(wanted)
 
 
+def test_cells_that_cannot_reach_the_floor_are_not_sent(spark, tmp_path, monkeypatch):
+    """Clusters far from each other: a query's block meets few of the chunks, and the bounds hold."""
+    rng = np.random.default_rng(8)
+    centres = 20 * rng.standard_normal((12, 16))
+    values = centres[rng.integers(0, 12, 1200)] + 0.3 * rng.standard_normal((1200, 16))
+    some = [(i, [float(np.float32(x)) for x in v], 0, "n", "o") for i, v in enumerate(values)]
+    sent = []
+    folder = table(spark, some, tmp_path)
+    monkeypatch.setattr(pivot_search, "CANDIDATE_BLOCK", 50)
+    monkeypatch.setattr(pivot_search, "QUERY_BLOCK", 1)
+    monkeypatch.setattr(pivot_search, "scratch_path", lambda *a: sent.append(scratch_path(*a)) or sent[-1])
+    found = sorted(map(tuple, pivot_search.query(spark, folder).collect()))
+    whole = [(i, np.floor(np.array(v) * 1024).astype(np.int64)) for i, v, *_ in some]
+    wanted = []
+    for key in range(0, 1200, 100):
+        best = sorted((-int(whole[key][1] @ v), i) for i, v in whole if i != key)[:10]
+        wanted += [(key, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    assert found == sorted(wanted)
+    visits = spark.read.parquet(sent[-1])
+    assert visits.count() < 12 * 24 / 2  # of the pairs of a query and a chunk of at most 50
+
+
 def test_large_components_stay_exact():
     big = np.array([[2.0 ** 60, 3.0], [2.0 ** 61, -5.0]])
     assert pivot_search._scores(big[:1], big).tolist() == [[(1 << 63) - 1] * 2]
