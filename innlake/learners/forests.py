@@ -371,13 +371,16 @@ def code_values(rows: DataFrame, columns: list[str], edges: list[np.ndarray]) ->
 
 
 def grown(blocks: DataFrame, spec: ForestSpec, edges: list[np.ndarray], values: list[np.ndarray],
-          task_rows: int | None = None) -> tuple[list[Tree] | None, DataFrame]:
-    """(tops, _SUBTREES below them) of all trees over the blocks; no tops if there are no rows."""
+          task_rows: int | None = None, rows: int | None = None) -> tuple[list[Tree] | None, DataFrame]:
+    """(tops, _SUBTREES below them) of all trees over the blocks; no tops if there are no rows.
+
+    rows: how many a tree has, if that is known.
+    """
     spark, task_rows = blocks.sparkSession, TASK_ROWS if task_rows is None else task_rows
     wide = _Wide(blocks, spec, edges, values)
     trees = [Tree() for _ in range(spec.trees)]
     open_ = [(k, 0, 0) for k in range(spec.trees)]
-    sizes = wide.sizes_of(trees, [n[:2] for n in open_])
+    sizes = wide.sizes_of(trees, [n[:2] for n in open_]) if rows is None else {n[:2]: rows for n in open_}
     if not sizes:
         return None, spark.createDataFrame([], _SUBTREES)
     ready, large = ([n for n in open_ if (sizes.get(n[:2], 0) > task_rows) == big] for big in (False, True))
