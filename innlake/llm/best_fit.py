@@ -8,10 +8,10 @@ search starts at the first bin with room enough and goes on to the next until
 one is compatible. Pieces are taken longest first.
 
 A document longer than a bin is cut; its full pieces are bins of their own (with
-negative numbers) and meet no other piece, the rest is packed like any document.
-Packing is independent in groups that rows are dealt to by a hash, of about
-GROUP_PIECES pieces whatever the table's size, so hot sources, repeated rows and
-long documents spread evenly and no group grows with the input.
+negative numbers), the rest is packed like any document. Packing is independent in
+groups that rows are dealt to by a hash, of about GROUP_PIECES pieces whatever the
+table's size, and full pieces have groups of their own, so hot sources, repeated
+rows and long documents spread evenly and no group grows with the input.
 
 Defined results: a null source or cluster conflicts with nothing; documents
 without tokens are left out; equal lengths are ordered by key, then piece; rows
@@ -71,8 +71,11 @@ def packed(docs: DataFrame, tokens: Column, cluster: Column, capacity: int = CAP
         .withColumn("length", F.least(F.lit(capacity).cast("long"), F.col("size") - F.col("start")))
     # Of a place in the table, not of the row alone: rows repeated as a whole spread, too.
     pieces = pieces.withColumn("at", F.monotonically_increasing_id())
-    whole, partial = F.col("length") == capacity, F.col("length") < capacity
-    groups = 1 + pieces.filter(partial).count() // group_pieces
+    full = F.col("length") == capacity
+    n = pieces.agg(F.count_if(~full).alias("partial"), F.count_if(full).alias("full")).first()
+    place = F.xxhash64("own", "cluster", "piece", "at")
+    group = F.when(full, -1 - F.pmod(place, F.lit(1 + n["full"] // group_pieces))).otherwise(
+        F.pmod(place, F.lit(1 + n["partial"] // group_pieces)))
 
     def run(table: pa.Table) -> pa.Table:
         own, piece = table.column("own").to_pylist(), table.column("piece").to_pylist()
@@ -85,13 +88,11 @@ def packed(docs: DataFrame, tokens: Column, cluster: Column, capacity: int = CAP
             "bin", pa.array([(group << 32) | b for b, _ in found], pa.int64())).append_column(
             "position", pa.array([p for _, p in found], pa.int64()))
 
-    found = pieces.filter(partial).withColumn("group", F.pmod(F.xxhash64("own", "cluster", "piece", "at"), F.lit(groups))) \
+    return pieces.withColumn("group", group) \
         .select("group", "own", "source", "cluster", "piece", "start", "length") \
         .groupBy("group").applyInArrow(
-            run, f"own {kind}, piece long, start long, length long, bin long, position long")
-    full = pieces.filter(whole).select("own", "piece", "start", "length", (-1 - F.col("at")).alias("bin"),
-                                       F.lit(0).cast("long").alias("position"))
-    return full.unionByName(found).withColumnsRenamed({"own": key, "length": "n_tokens"})
+            run, f"own {kind}, piece long, start long, length long, bin long, position long") \
+        .withColumnsRenamed({"own": key, "length": "n_tokens"})
 
 
 def _words(text: str = "text") -> Column:
