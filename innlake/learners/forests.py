@@ -33,7 +33,7 @@ from innlake.session import scratch_path
 
 TASK_ROWS = 131_072
 #: Nodes of a forest that every worker may hold.
-SHARED_NODES = 2_000_000
+SHARED_NODES = 5_000_000
 
 
 @dataclass(frozen=True)
