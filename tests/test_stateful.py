@@ -3,13 +3,14 @@
 import json
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from innlake.operators.frames import END, START
 from innlake.session import scratch_path
 from innlake.sources import message_log, messages
-from innlake.streaming.frame_state import rocks_store, stateful_frames
+from innlake.streaming.frame_state import FrameProcessor, rocks_store, stateful_frames
 from tests.test_frames import SCHEMA, strict_replay
 
 
@@ -118,3 +119,42 @@ def test_log_source_resumes_by_offsets(spark):
         stored = spark.read.parquet(f"{root}/out")
         assert stored.count() == stored.select("partition", "offset").distinct().count() == 20 * (part + 1)
         assert stored.filter(F.col("value") != F.concat_ws("-", F.col("partition"), F.col("offset"))).isEmpty()
+
+
+class Kept:
+    """A state that counts how often it is touched."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value or []
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def appendList(self, rows):
+        self.calls, self.value = self.calls + 1, [*(self.value or []), *rows]
+
+    def clear(self):
+        self.calls, self.value = self.calls + 1, None
+
+
+def test_state_is_touched_a_few_times_a_batch_not_a_frame():
+    values = ["x", START, "a"] + [END, START, "b", "c"] * 300 + [START, "d", None, END, "y", START, "e"]
+    processor = FrameProcessor(None)
+    processor.handle, processor.frame, processor.rows = None, Kept(), Kept()
+    parts = []
+    for low, high in ((0, 2), (2, 3), (3, 900), (900, len(values))):
+        batch = pd.DataFrame({"offset": range(low, high), "value": values[low:high]}).sample(frac=1, random_state=1)
+        half = len(batch) // 2
+        parts += processor.handleInputRows(("t", 0), iter([batch[:half], batch[half:]]), None)
+    assert processor.frame.calls + processor.rows.calls <= 4 * 6
+    found = pd.concat(parts)
+    assert dict(zip(found["offset"], found["frame_id"])) == strict_replay(values)
+    assert found["offset"].is_monotonic_increasing and found["closed"].all()
+    assert processor.rows.value == [(len(values) - 1, "e")] and processor.frame.value[1]
