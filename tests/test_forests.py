@@ -1,5 +1,7 @@
 """Forests without a depth bound, extra trees and ordered target means."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -146,3 +148,25 @@ def test_target_means_score_new_rows(spark):
     assert found == {"x": (1 + 2) / 3, None: (5 + 2) / 2, "new": 2.0}
     empty = df.filter("id > 5")
     assert ordered_means(empty, "id", ["a"], "y").collect() == []
+
+
+@pytest.mark.parametrize("random_cuts", [False, True])
+def test_work_of_a_node_does_not_grow_with_classes(monkeypatch, random_cuts):
+    rng = np.random.default_rng(3)
+    codes = np.stack([rng.permutation(200), np.full(200, 7), rng.integers(1, 3, 200)]).astype(np.uint8)
+    labels, added = rng.integers(0, 40, 200).astype(float), []
+    plain = np.bincount
+
+    def counted(key, *args, **kwargs):
+        added.append(len(key))
+        return plain(key, *args, **kwargs)
+
+    monkeypatch.setattr(np, "bincount", counted)
+    spec = forests.ForestSpec(classes=40, trees=1, bootstrap=False, random_cuts=random_cuts, max_depth=1)
+    values = [np.arange(256.0)] * 3
+    tree = forests.grow(codes, labels, np.ones(200), spec, [256] * 3, values, np.random.default_rng(1))
+    # Two levels' totals, and at most twice two varying features of the root; the constant one isn't added up.
+    assert sum(added) <= (2 + 2 * 2) * 200
+    whole = forests.grow(codes, labels, np.ones(200), replace(spec, max_depth=99), [256] * 3, values, np.random.default_rng(1))
+    assert len(tree.feature) == 3 and np.array_equal(whole.predict(codes), labels)
+    assert np.array_equal(whole.packed().predict(codes), labels)
