@@ -52,6 +52,39 @@ def _squared_distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
     return total
 
 
+def nearest(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, point, squared distance) of the k nearest points of each query, equal distances by the point's place.
+
+    A product of matrices leaves those that rounding allows among the k; only their distances
+    are summed up. Values that are no finite numbers are compared one by one.
+    """
+    out = []
+    own = np.einsum("ij,ij->i", points, points)
+    for start in range(0, len(queries), VISIT_CHUNK):
+        q = queries[start:start + VISIT_CHUNK]
+        norm = np.einsum("ij,ij->i", q, q)
+        if len(points) <= k or not (np.isfinite(own).all() and np.isfinite(norm).all()):
+            distance = _squared_distances(q, points)
+            picked = np.argsort(distance, axis=1, kind="stable")[:, :k]
+            rows = np.repeat(np.arange(len(q)), picked.shape[1])
+            picked = picked.ravel()
+            out.append((rows + start, picked, distance[rows, picked]))
+            continue
+        about = own - 2 * (q @ points.T)
+        slack = 32 * (points.shape[1] + 4) * np.finfo(float).eps * (norm + own.max())
+        limit = np.partition(about, k - 1, axis=1)[:, k - 1] + slack
+        rows, picked = np.nonzero(about <= limit[:, None])
+        distance = np.zeros(len(rows))
+        for d in range(points.shape[1]):
+            distance += (q[rows, d] - points[picked, d]) ** 2
+        order = np.lexsort((picked, distance, rows))
+        rows = rows[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, np.arange(len(q)))[rows]
+        order = order[rank < k]
+        out.append((rows[rank < k] + start, picked[order], distance[order]))
+    return tuple(np.concatenate(parts) for parts in zip(*out))
+
+
 @dataclass
 class KnnModel:
     """Training rows (id, features, label, pivot, radius) and their summary.
@@ -141,14 +174,11 @@ class KnnModel:
             if q.empty or t.empty:
                 return pd.DataFrame(columns=columns)
             t = t.sort_values(["id", "label"], kind="stable", ignore_index=True)
-            distance = _squared_distances(_matrix(q["features"]), _matrix(t["features"]))
-            # Stable over id-sorted rows: ties keep the smaller id.
-            order = np.argsort(distance, axis=1, kind="stable")[:, :k]
-            rows = np.repeat(np.arange(len(q)), order.shape[1])
-            picked = order.ravel()
+            # Rows sorted by id: ties keep the smaller id.
+            rows, picked, distance = nearest(_matrix(q["features"]), _matrix(t["features"]), k)
             return pd.DataFrame({
                 "query_id": q["query_id"].to_numpy()[rows], "train_id": t["id"].to_numpy()[picked],
-                "distance": distance[rows, picked], "label": t["label"].to_numpy()[picked],
+                "distance": distance, "label": t["label"].to_numpy()[picked],
             })
 
         keys = ["cell", "query_block", "train_block"]

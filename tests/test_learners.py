@@ -190,3 +190,15 @@ def test_own_models_are_stored(spark, name):
     store.promote("price", name, model, 0.5)
     found = [{r["Booking_ID"]: r["prediction"] for r in m.transform(df).collect()} for m in (model, store.load("price"))]
     assert found[0] == found[1] and len(found[0]) == df.count()
+
+
+@pytest.mark.parametrize("low", [0, 10 ** 6])
+def test_only_possible_neighbours_are_compared_in_full(monkeypatch, low):
+    rng = np.random.default_rng(8)
+    queries, points = (low + rng.integers(0, 3, (n, 6)).astype(float) for n in (700, 300))  # many equal distances
+    whole = knn._squared_distances(queries, points)
+    order = np.argsort(whole, axis=1, kind="stable")[:, :4]
+    monkeypatch.setattr(knn, "_squared_distances", None)
+    rows, picked, distance = knn.nearest(queries, points, 4)
+    assert np.array_equal(rows, np.repeat(np.arange(700), 4)) and np.array_equal(picked, order.ravel())
+    assert np.array_equal(distance, whole[rows, picked])
