@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from innlake.learners import bins, boosting
+from innlake.learners import bins, boosting, bundles
 from innlake.learners.boosting import LOGISTIC, SOFTMAX, SQUARED, BoostedModel, BoostedTrees, Growth, gradients
 from innlake.session import scratch_path
 
@@ -167,3 +167,52 @@ def test_edges(spark):
 def test_no_rows(spark):
     with pytest.raises(ValueError, match="no labels"):
         BoostedTrees(NAMES, "y", Growth()).fit(frame(spark, *data(0)))
+
+
+def test_a_tree_takes_a_pass_for_each_level_that_may_be_split(spark, monkeypatch):
+    """The last level's leaves have no pass of their own: their weights follow from the splits."""
+    passes = []
+    monkeypatch.setattr(boosting, "TASK_ROWS", 0)
+    own = boosting._Rounds.sums
+    monkeypatch.setattr(boosting._Rounds, "sums", lambda self, *a: passes.append(1) or own(self, *a))
+    x, y = data(500, classes=3)
+    BoostedTrees(NAMES, "y", Growth(loss=SOFTMAX, n_classes=3, rounds=2, max_depth=3)).fit(frame(spark, x, y))
+    assert len(passes) == 2 * 3
+
+
+def test_bundles_name_every_rows_codes(spark):
+    rng = np.random.default_rng(5)
+    level = rng.integers(0, 9, 3000)
+    x = np.column_stack([*(level == i for i in range(9)), rng.integers(0, 200, 3000), rng.integers(0, 200, 3000)]).astype(float)
+    x[rng.random(3000) < 0.05, 3] = np.nan
+    names = [f"f{i}" for i in range(11)]
+    df = spark.createDataFrame([(*[None if np.isnan(v) else float(v) for v in r], 1.0) for r in x],
+                               ", ".join(f"{n} double" for n in [*names, "y"])).repartition(3)
+    edges = bins.find_edges(df, names)
+    plain = bins.blocks(df, names, edges, "y").persist()
+    found = bundles.find(plain, edges)
+    assert sorted(f for b in found for f in b.features) == list(range(11))
+    assert len(found) == 3 and max(b.size for b in found) <= bundles.JOINT_CODES
+    together = {r["block"]: r for r in bundles.joint(plain, edges, found).collect()}
+    layout = boosting.Layout.of(edges)
+    joint = bundles.Joint(found, layout.begin)
+    for r in plain.collect():
+        codes, _ = bins.opened(r, 11, bins.code_type(edges))
+        new = np.frombuffer(together[r["block"]]["codes"], joint.kind).reshape(len(found), -1)
+        for b, own in zip(found, new):
+            for f, of_joint in zip(b.features, b.codes):
+                assert (of_joint[own] == codes[f]).all()
+        out = np.zeros((3, joint.begin[-1]))
+        g = rng.normal(size=r["n"])
+        boosting._add(out, new, g, None, None, joint)
+        sums = joint.by_feature(out)
+        for f, size in enumerate(layout.sizes):
+            part = slice(layout.begin[f], layout.begin[f + 1])
+            assert sums[0, part] == pytest.approx(np.bincount(codes[f], g, size)) and (sums[2, part] == np.bincount(codes[f], minlength=size)).all()
+    plain.unpersist()
+
+
+def test_a_column_of_as_many_values_as_bins_has_an_edge_for_each(spark):
+    df = spark.range(0, 4000, 1, 4).selectExpr("cast(id % 255 as double) a", "cast(id % 256 as double) b", "cast(id div 1000 as double) c")
+    edges = bins.find_edges(df, ["a", "b", "c"])
+    assert edges[0].tolist() == [*range(254), np.inf] and len(edges[1]) <= 255 and edges[2].tolist() == [0, 1, 2, np.inf]
