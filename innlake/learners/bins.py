@@ -66,6 +66,11 @@ def find_edges(df: DataFrame, columns: list[str], bins: int = BINS) -> list[np.n
     return out
 
 
+def level_edges(levels: int) -> np.ndarray:
+    """Edges that give each of the numbers from 0 its own code, so that it doesn't depend on which of them occur."""
+    return np.append(np.arange(levels - 1, dtype=np.float64), np.inf)
+
+
 def code_type(edges: list[np.ndarray]) -> type:
     return np.uint8 if max(map(len, edges), default=0) < 256 else np.uint16
 

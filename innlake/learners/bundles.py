@@ -24,6 +24,8 @@ from innlake.learners import bins
 JOINT_CODES = 256
 #: Passes over the rows that look for bundles.
 PASSES = 8
+#: Codes of a category that a set holds: a tree's cuts are 32-bit integers when it is stored.
+MOST_LEVELS = 31
 _PAIRS = 1 << 16  # combinations that two bundles may have at most to be looked at
 
 
@@ -137,11 +139,21 @@ def code_type(bundles: list[Bundle]) -> type:
     return np.uint8 if max((b.size for b in bundles), default=0) <= 256 else np.uint16
 
 
+def code_set(codes: list[int]) -> int:
+    """A set of a category's codes, from 1 to MOST_LEVELS, as the bits of a number."""
+    return sum(1 << (c - 1) for c in codes)
+
+
+def _in_set(codes: np.ndarray, found: int) -> np.ndarray:
+    return (found >> np.maximum(codes.astype(np.int64) - 1, 0)) & 1 == 1
+
+
 class Joint:
     """Where bundles' codes stand in sums by joint code, and how these become sums by (feature, code)."""
 
-    def __init__(self, bundles: list[Bundle], begin: np.ndarray):
-        """begin: the place of each feature's first code, and the end."""
+    def __init__(self, bundles: list[Bundle], begin: np.ndarray, categories: frozenset[int] = frozenset()):
+        """begin: the place of each feature's first code, and the end. categories: features cut by sets of codes."""
+        self.categories = categories
         self.sizes = [b.size for b in bundles]
         self.begin = np.concatenate([[0], np.cumsum(self.sizes)]).astype(int).tolist()
         self.features = [b.features for b in bundles]
@@ -151,15 +163,16 @@ class Joint:
         self.home = {f: (b, i) for b, own in enumerate(self.features) for i, f in enumerate(own)}
 
     @classmethod
-    def alone(cls, begin: np.ndarray) -> Joint:
+    def alone(cls, begin: np.ndarray, categories: frozenset[int] = frozenset()) -> Joint:
         """Each feature by itself."""
-        return cls([Bundle([f], np.arange(n)[None, :]) for f, n in enumerate(np.diff(begin).tolist())], begin)
+        return cls([Bundle([f], np.arange(n)[None, :]) for f, n in enumerate(np.diff(begin).tolist())], begin, categories)
 
     def side(self, feature: int, cut: int, missing_left: bool) -> tuple[int, np.ndarray]:
         """The bundle that tells a split's sides, and whether each of its joint codes goes left."""
         b, i = self.home[feature]
         code = self.codes[b][i]
-        return b, np.where(code == 0, missing_left, code <= cut)
+        goes_left = _in_set(code, cut) if feature in self.categories else code <= cut
+        return b, np.where(code == 0, missing_left, goes_left)
 
     @cached_property
     def _spread(self) -> list[tuple[np.ndarray, np.ndarray]]:

@@ -1,8 +1,8 @@
 """Named model presets over the feature tables.
 
 What MLlib ships are its pipelines. Trees without a depth bound, extra trees and
-the boosting variants (leaf-wise, second-order, on ordered target means, several
-classes at once) are this package's own estimators: fit(df) gives a model whose
+the boosting variants (leaf-wise, second-order, on ordered target means, on indexed
+categories, several classes at once) are this package's own estimators: fit(df) gives a model whose
 transform(df) adds `prediction`.
 """
 
@@ -12,14 +12,15 @@ import math
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 
-from innlake.learners.boosting import LOGISTIC, SOFTMAX, SQUARED, BoostedTrees, Growth
+from innlake.learners.boosting import DEVIANCE, LOGISTIC, SOFTMAX, SQUARED, BoostedTrees, Growth
 from innlake.learners.forests import Forest, ForestSpec
+from innlake.learners.indexed import IndexedTrees
 from innlake.learners.ordered import OrderedTrees
-from innlake.schemas import ONE_HOT, VOCABULARY, indicator
+from innlake.schemas import ONE_HOT
 
 SEED = 42
 FEATURES = "features"
@@ -34,26 +35,6 @@ def vectors(df: DataFrame, columns: list[str], *kept: str) -> DataFrame:
     return assemble(columns).transform(df).select(*kept, FEATURES)
 
 
-def _indexed_stages(columns: list[str]) -> list:
-    """Indicators folded back into one categorical column each.
-
-    Vocabularies are fixed, so the index needs no pass over the data.
-    """
-    def folded(column: str) -> str:
-        whens = " ".join(
-            f"when `{indicator(column, level)}` = 1 then '{level}'" for level in VOCABULARY[column])
-        return f"case {whens} else 'other' end as `{column}_level`"
-
-    sql = "select *, " + ", ".join(folded(c) for c in VOCABULARY) + " from __THIS__"
-    names = list(VOCABULARY)
-    indexer = StringIndexerModel.from_arrays_of_labels(
-        [VOCABULARY[c] + ["other"] for c in names],
-        inputCols=[f"{c}_level" for c in names], outputCols=[f"{c}_index" for c in names],
-        handleInvalid="keep")
-    numeric = [c for c in columns if c not in ONE_HOT]
-    return [SQLTransformer(statement=sql), indexer, assemble(numeric + [f"{c}_index" for c in names])]
-
-
 def _plain(columns: list[str], estimator: Estimator) -> Pipeline:
     return Pipeline(stages=[assemble(columns), estimator])
 
@@ -66,7 +47,7 @@ def _loss(classes: int) -> dict:
     return {"loss": SQUARED} if not classes else {"loss": LOGISTIC} if classes == 2 else {"loss": SOFTMAX, "n_classes": classes}
 
 
-def _boosted(name: str, columns: list[str], label: str, rounds: int, classes: int) -> BoostedTrees | OrderedTrees:
+def _boosted(name: str, columns: list[str], label: str, rounds: int, classes: int) -> BoostedTrees | IndexedTrees | OrderedTrees:
     """Published defaults of the variants."""
     base = {"rounds": rounds, "seed": SEED, **_loss(classes)}
     if name == "leafwise":
@@ -75,6 +56,10 @@ def _boosted(name: str, columns: list[str], label: str, rounds: int, classes: in
         return BoostedTrees(columns, label, Growth(**base, rate=0.3, max_depth=6, l2=1.0, min_hessian=1.0))
     if name == "ordered":
         return OrderedTrees(columns, label, Growth(**base, max_depth=6, l2=3.0))
+    if name == "gbt_indexed":
+        # MLlib's numbers: a step of 0.1 along slopes that are twice the residuals, and a first tree that counts in full.
+        own = {"loss": DEVIANCE, "first_rate": 0.5} if classes else {"rate": 0.2, "first_rate": 1.0}
+        return IndexedTrees(columns, label, Growth(**{**base, **own}, max_depth=6, bins=32))
     depth = {"gbt_multiclass": 3, "gbt_deep": 5}[name]
     return BoostedTrees(columns, label, Growth(**base, max_depth=depth, min_hessian=1e-3))
 
@@ -82,9 +67,9 @@ def _boosted(name: str, columns: list[str], label: str, rounds: int, classes: in
 def regressor(
     name: str, columns: list[str], label: str, rounds: int = 100, trees: int = 100,
     forest_depth: int = UNBOUNDED,
-) -> Estimator | BoostedTrees | OrderedTrees | Forest:
+) -> Estimator | BoostedTrees | IndexedTrees | OrderedTrees | Forest:
     """Price models by name."""
-    if name in ("leafwise", "second_order", "ordered"):
+    if name in ("leafwise", "second_order", "ordered", "gbt_indexed"):
         return _boosted(name, columns, label, rounds, 0)
     if name == "random_forest":
         return Forest(columns, label, ForestSpec(trees=trees, max_depth=forest_depth, seed=SEED))
@@ -102,22 +87,19 @@ def regressor(
     if name == "gbt_subsample":
         return _plain(columns, GBTRegressor(
             **boosted, maxIter=rounds, maxDepth=6, stepSize=0.3, subsamplingRate=0.8, minInfoGain=0.01))
-    if name == "gbt_indexed":
-        return Pipeline(stages=[
-            *_indexed_stages(columns), GBTRegressor(**boosted, maxIter=rounds, maxDepth=6, stepSize=0.1)])
     raise KeyError(name)
 
 
 def classifier(
     name: str, columns: list[str], label: str, rounds: int = 100, trees: int = 100,
     forest_depth: int = UNBOUNDED, scaled: list[str] | None = None, classes: int = 2,
-) -> Estimator | BoostedTrees | OrderedTrees | Forest:
+) -> Estimator | BoostedTrees | IndexedTrees | OrderedTrees | Forest:
     """Cancellation and price-band models by name; labels are 0 to classes - 1.
 
     scaled: numeric columns to standardise inside the pipeline, so the scaler
     is fitted on the training rows only.
     """
-    if name in ("leafwise", "second_order", "ordered", "gbt_multiclass", "gbt_deep"):
+    if name in ("leafwise", "second_order", "ordered", "gbt_multiclass", "gbt_deep", "gbt_indexed"):
         return _boosted(name, columns, label, rounds, classes)
     if name in ("decision_tree", "random_forest", "extra_trees"):
         single, sqrt = name == "decision_tree", max(1, math.isqrt(len(columns)))
@@ -140,8 +122,5 @@ def classifier(
         ])
     if name == "gbt":
         return _plain(columns, GBTClassifier(**seeded, maxIter=rounds, maxDepth=3, stepSize=0.1))
-    if name == "gbt_indexed":
-        return Pipeline(stages=[
-            *_indexed_stages(columns), GBTClassifier(**seeded, maxIter=rounds, maxDepth=6, stepSize=0.1)])
     raise KeyError(name)
 

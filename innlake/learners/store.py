@@ -13,11 +13,12 @@ from innlake.learners.adaboost import AdaBoostModel
 from innlake.learners.bayesian_ridge import LinearFormula
 from innlake.learners.boosting import BoostedModel
 from innlake.learners.forests import ForestModel
+from innlake.learners.indexed import IndexedModel
 from innlake.learners.knn import KnnModel
 from innlake.learners.ordered import OrderedModel
 
 OWN_KINDS = {"knn": KnnModel, "adaboost": AdaBoostModel, "formula": LinearFormula, "boosted": BoostedModel,
-             "forest": ForestModel, "ordered": OrderedModel}
+             "forest": ForestModel, "ordered": OrderedModel, "indexed": IndexedModel}
 
 POINTER = "name string, version int, candidate string, kind string, path string, metric double"
 
@@ -77,7 +78,7 @@ class ModelStore:
         row.coalesce(1).write.mode("append").parquet(self._pointers(name))
         return chosen
 
-    def load(self, name: str) -> PipelineModel | KnnModel | AdaBoostModel | LinearFormula | BoostedModel | ForestModel | OrderedModel:
+    def load(self, name: str) -> PipelineModel | KnnModel | AdaBoostModel | LinearFormula | BoostedModel | ForestModel | OrderedModel | IndexedModel:
         chosen = self.current(name)
         if chosen.kind in OWN_KINDS:
             return OWN_KINDS[chosen.kind].load(self.spark, chosen.path)

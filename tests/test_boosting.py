@@ -216,3 +216,75 @@ def test_a_column_of_as_many_values_as_bins_has_an_edge_for_each(spark):
     df = spark.range(0, 4000, 1, 4).selectExpr("cast(id % 255 as double) a", "cast(id % 256 as double) b", "cast(id div 1000 as double) c")
     edges = bins.find_edges(df, ["a", "b", "c"])
     assert edges[0].tolist() == [*range(254), np.inf] and len(edges[1]) <= 255 and edges[2].tolist() == [0, 1, 2, np.inf]
+
+
+def test_passes_have_a_task_for_each_core(spark, monkeypatch):
+    monkeypatch.setattr(bins, "BLOCK_ROWS", 20)
+    x, y = data(400)
+    df = frame(spark, x, y, parts=16)
+    edges = bins.find_edges(df, NAMES)
+    blocks = bins.blocks(df, NAMES, edges, "y")
+    assert blocks.rdd.getNumPartitions() == 16
+    cores = spark.sparkContext.defaultParallelism
+    for most in (32, 1):
+        monkeypatch.setattr(boosting, "TASK_PARTITIONS", most)
+        rounds = boosting._Rounds(blocks, np.zeros(1), edges, Growth())
+        assert rounds.tasks == min(16, max(cores, 16 // most)) and rounds.rows == 400
+        rounds.close()
+
+
+@pytest.mark.parametrize("depth,wanted", [(0, 1), (3, 1), (4, 2), (5, 1), (6, 1), (8, 1), (8, 3)])
+def test_rows_are_told_apart_by_bits(depth, wanted):
+    """Trees of up to 256 leaves, some features cut by sets of codes: against each row's own way."""
+    rng = np.random.default_rng(depth)
+    edges = [bins.level_edges(n) for n in (7, 12, 31, 4)]
+    joint = bundles.Joint.alone(boosting.Layout.of(edges).begin, frozenset((0, 2)))
+    codes = np.stack([rng.integers(0, len(e) + 1, 3000) for e in edges]).astype(np.uint8)
+    tree, ends = boosting.Tree(), [0]
+    for _ in range(depth):
+        below = []
+        for node in ends:
+            f = int(rng.integers(4))
+            size = len(edges[f])
+            cut = bundles.code_set((np.flatnonzero(rng.random(size) < 0.5) + 1).tolist()) if f in (0, 2) else int(rng.integers(1, size))
+            below += tree.split(node, f, cut, bool(rng.integers(2)))
+        ends = below
+    tree.value = rng.normal(size=len(tree.feature)).tolist()
+
+    def end(row):
+        node = 0
+        while tree.feature[node] >= 0:
+            f, code, cut = tree.feature[node], int(row[tree.feature[node]]), tree.cut[node]
+            left = tree.missing_left[node] if not code else bool(cut >> (code - 1) & 1) if f in (0, 2) else code <= cut
+            node = tree.left[node] if left else tree.right[node]
+        return node
+
+    own = np.array([end(row) for row in codes.T])
+    assert np.array_equal(boosting._Values(tree, joint).predict(codes), np.array(tree.value)[own])
+    some = ends[::wanted]
+    rows = np.sort(rng.permutation(3000)[:2000])
+    for drawn in (None, rows):
+        found = {}
+        for marks in boosting._marks(tree, joint, some):
+            at, places = marks.find(codes, drawn)
+            at = np.arange(3000) if at is None else at
+            for node, row in zip(np.array(marks.ends)[np.zeros(len(at), int) if places is None else places], at):
+                assert found.setdefault(int(row), int(node)) == node
+        assert found == {r: int(own[r]) for r in (range(3000) if drawn is None else rows.tolist()) if own[r] in set(some)}
+
+
+def test_categories_are_cut_by_the_best_set():
+    rng = np.random.default_rng(3)
+    edges = [bins.level_edges(6), bins.level_edges(3)]
+    layout = boosting.Layout.of(edges, frozenset((0,)))
+    code, other = rng.integers(1, 6, 500), rng.integers(1, 4, 500)  # the last level of the first has no rows
+    g = rng.normal(size=6)[code - 1] + rng.normal(size=500) * 0.1
+    sums = np.zeros((1, 3, layout.begin[-1]))
+    boosting._add(sums, np.stack([code, other]), g, None, None, bundles.Joint.alone(layout.begin))
+    split, = boosting.best_splits(sums.copy(), layout, Growth())
+    def gain(left):
+        return (g[left].sum() ** 2 / left.sum() + g[~left].sum() ** 2 / (~left).sum() - g.sum() ** 2 / 500) / 2
+    best = max(gain(np.isin(code, [c + 1 for c in range(5) if s >> c & 1])) for s in range(1, 31))
+    _, goes = bundles.Joint.alone(layout.begin, layout.categories).side(split.feature, split.cut, split.missing_left)
+    assert split.feature == 0 and split.gain == pytest.approx(best) and gain(goes[code]) == pytest.approx(best)
+    assert not goes[6] and split.left[2] == goes[code].sum()
