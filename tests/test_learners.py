@@ -209,6 +209,37 @@ def test_only_possible_neighbours_are_compared_in_full(monkeypatch, low):
     assert np.array_equal(distance, whole[rows, picked])
 
 
+@pytest.mark.parametrize("wide", [True, False])
+def test_leaves_that_boxes_keep_apart_are_not_compared(monkeypatch, wide):
+    rng = np.random.default_rng(9)
+    points = np.column_stack([37.0 * rng.integers(0, 12, 9000), rng.integers(0, 7, 9000), rng.integers(0, 3, (9000, 8)) * (wide or 1e-9)])
+    queries = np.concatenate([points[:700], points[:100] + 0.3])
+    want = knn.nearest(queries, points, 4)
+    pairs, near = [], knn.nearest
+    monkeypatch.setattr(knn, "nearest", lambda q, p, *rest: pairs.append(len(q) * len(p)) or near(q, p, *rest))
+    for reach in (None, want[2].reshape(-1, 4)[:, 3]):
+        pairs.clear()
+        found = knn.search(queries, points, 4, reach)
+        assert all(np.array_equal(x, y) for x, y in zip(found, want))
+        assert sum(pairs) < 0.5 * len(queries) * len(points)
+    points[17, 3] = queries[5, 1] = np.nan
+    assert all(np.array_equal(x, y, equal_nan=True) for x, y in zip(knn.search(queries, points, 4), near(queries, points, 4)))
+
+
+def test_knn_visits_few_cells(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    points = np.column_stack([37 * rng.integers(0, 12, 3000), rng.integers(0, 7, (3000, 2)), rng.integers(0, 2, (3000, 6))]).astype(float)
+    rows = [(i, p.tolist(), i % 3) for i, p in enumerate(points)]
+    model = knn.fit_knn(spark.createDataFrame(rows[300:], "id bigint, v array<double>, y int"), "id", "v", "y", n_pivots=32)
+    visits, compared = [], knn.KnnModel._compared
+    monkeypatch.setattr(knn.KnnModel, "_compared", lambda self, v: visits.append(v.count()) or compared(self, v))
+    found = model.neighbours(spark.createDataFrame([r[:2] for r in rows[:300]], "qid bigint, v array<double>"), "qid", "v").collect()
+    assert len(found) == 300 * 5 and len(model.cells) == 32
+    assert visits[0] == 300 and sum(visits) < 300 * 8
+    want = knn.nearest(points[:300], points[300:], 5)
+    assert {(r["query_id"], r["train_id"] - 300, r["distance"]) for r in found} == set(zip(*(x.tolist() for x in want)))
+
+
 def _few_values(spark, n=1500):
     """Feature rows with few different values, so bins lose no cut, in an order that is the same everywhere."""
     rng = np.random.default_rng(12)
