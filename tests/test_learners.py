@@ -240,6 +240,19 @@ def test_knn_visits_few_cells(spark, monkeypatch):
     assert {(r["query_id"], r["train_id"] - 300, r["distance"]) for r in found} == set(zip(*(x.tolist() for x in want)))
 
 
+def test_bands_have_the_same_neighbours_by_cells_of_pivots(spark):
+    """As models were stored before: rows of equal distances to a pivot, and no boxes."""
+    path = scratch_path(spark, "pivots")
+    rows = [(i, [float(i % 12) * 37, float(i % 7), float(i % 3)], i % 14) for i in range(900)]
+    old = spark.createDataFrame([(*r, r[0] % 4, 1.0) for r in rows], "id bigint, features array<double>, label int, pivot int, radius double")
+    old.write.parquet(f"{path}/rows")
+    spark.createDataFrame([(5,)], "k int").write.parquet(f"{path}/settings")
+    q = spark.createDataFrame([r[:2] for r in rows[::9]], "qid bigint, v array<double>")
+    new = knn.fit_knn(old, "id", "features", "label", n_pivots=16)
+    found = [{r["qid"]: r["prediction"] for r in m.classify(q, "qid", "v").collect()} for m in (knn.KnnModel.load(spark, path), new)]
+    assert found[0] == found[1] == brute_force([(i, v, y) for i, v, y in rows], [r[:2] for r in rows[::9]], 5)
+
+
 def _few_values(spark, n=1500):
     """Feature rows with few different values, so bins lose no cut, in an order that is the same everywhere."""
     rng = np.random.default_rng(12)
