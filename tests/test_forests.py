@@ -170,3 +170,16 @@ def test_work_of_a_node_does_not_grow_with_classes(monkeypatch, random_cuts):
     whole = forests.grow(codes, labels, np.ones(200), replace(spec, max_depth=99), [256] * 3, values, np.random.default_rng(1))
     assert len(tree.feature) == 3 and np.array_equal(whole.predict(codes), labels)
     assert np.array_equal(whole.packed().predict(codes), labels)
+
+
+@pytest.mark.parametrize("random_cuts", [False, True])
+def test_wide_nodes_of_one_class_and_of_constant_features(spark, monkeypatch, random_cuts):
+    monkeypatch.setattr(forests, "TASK_ROWS", 20)
+    spec = ForestSpec(classes=4, trees=6, features=1, bootstrap=False, random_cuts=random_cuts)
+    x, _ = data(120)
+    x[:, :3] = 1.0  # most features drawn have no cut
+    x[:, 3] = np.arange(120) // 30
+    found = values(Forest(NAMES, "y", spec).fit(frame(spark, x, np.full(120, 2.0))), frame(spark, x, np.full(120, 2.0)))
+    assert set(found) == {(2.0, 2.0)}
+    found = values(Forest(NAMES, "y", spec).fit(frame(spark, x, x[:, 3])), frame(spark, x, x[:, 3]))
+    assert all(p == t for p, t in found)
