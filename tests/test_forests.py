@@ -183,3 +183,16 @@ def test_wide_nodes_of_one_class_and_of_constant_features(spark, monkeypatch, ra
     assert set(found) == {(2.0, 2.0)}
     found = values(Forest(NAMES, "y", spec).fit(frame(spark, x, x[:, 3])), frame(spark, x, x[:, 3]))
     assert all(p == t for p, t in found)
+
+
+def test_turns_take_only_features_that_vary():
+    rng = np.random.default_rng(2)
+    codes = np.ones((40, 600), np.uint8)
+    codes[7], codes[21, 300:], codes[30, :300] = rng.integers(0, 9, 600), rng.integers(2, 4, 300), rng.integers(5, 7, 300)
+    level = forests._Level(ForestSpec(classes=2), np.full(40, 10), forests._by_row(codes), rng.integers(0, 2, 600), np.ones(600),
+                           np.array([300, 300]))
+    assert [np.flatnonzero(own).tolist() for own in level.varies()] == [[7, 30], [7, 21]]
+    turns = [(nodes.tolist(), own.tolist()) for nodes, own, *_ in level.turns(level.varies())]
+    assert turns == [([0, 1], [7, 7]), ([0, 1], [30, 21])]
+    for _, own, rows, place, code in level.turns(level.varies()):
+        assert np.array_equal(code, codes[own[place], rows])
