@@ -172,6 +172,48 @@ def test_work_of_a_node_does_not_grow_with_classes(monkeypatch, random_cuts):
     assert np.array_equal(whole.packed().predict(codes), labels)
 
 
+@pytest.mark.parametrize("classes", [0, 5])
+def test_packs_find_the_same_trees(monkeypatch, classes):
+    """Exclusive indicators are added up as one code; of weights that are whole numbers the sums are the same."""
+    rng = np.random.default_rng(6)
+    level, other = rng.integers(0, 9, 6000), rng.integers(0, 4, 6000)
+    codes = np.stack([*(1 + (level == i) for i in range(8)), *(1 + (other == i) for i in range(3)), rng.integers(1, 7, 6000),
+                      rng.integers(1, 200, 6000), np.full(6000, 3)]).astype(np.uint8)
+    labels = (level * 3 + codes[11] + rng.integers(0, 3, 6000)) % (classes or 50) * 1.0
+    w, added = 1.0 + rng.poisson(1.0, 6000), []
+    spec, sizes = ForestSpec(classes=classes), [3] * 11 + [7, 200, 4]
+    packed = forests._Level.packed_cuts
+    monkeypatch.setattr(forests._Level, "packed_cuts", lambda self, pack, *rest: added.append(len(pack.sides)) or packed(self, pack, *rest))
+    whole = grow(codes, labels, w, spec, sizes, [], np.random.default_rng(0))
+    assert set(added) == {9, 4, 6}
+    monkeypatch.setattr(forests, "PACK_ROWS", 1 << 30)
+    added.clear()
+    assert whole == grow(codes, labels, w, spec, sizes, [], np.random.default_rng(0)) and not added
+    monkeypatch.setattr(forests, "PACK_ROWS", 0)  # rows beyond the first ones, where two indicators meet
+    codes[0, 5000:] = codes[1, 5000:] = 2
+    at = forests._by_row(codes)
+    packs, found = forests._packs(at, len(codes))
+    for pack, own in zip(packs, found):
+        assert all(np.array_equal(side[own], codes[f] <= c) for f, c, side in zip(pack.feature, pack.cut, pack.sides.T))
+    assert sorted({f for p in packs for f in p.feature.tolist()}) == list(range(12))
+
+
+def test_subtrees_are_packed_and_lists_still_load(spark, monkeypatch):
+    monkeypatch.setattr(forests, "TASK_ROWS", 200)
+    x, y = data(900, 3)
+    df = frame(spark, x, y)
+    model = Forest(NAMES, "y", ForestSpec(classes=3, trees=4, features=2)).fit(df)
+    rows = model.subtrees.collect()
+    assert model.subtrees.columns == ["tree", "node", "nodes"] and len(rows) > 4
+    trees = {(r["tree"], r["node"]): forests.unpack_tree(r["nodes"]) for r in rows}
+    assert all(forests.pack_tree(t) == bytes(r["nodes"]) and len(r["nodes"]) == 16 * len(t.feature) for r, t in zip(rows, trees.values()))
+    path = scratch_path(spark, "lists")
+    model.save(path)
+    lists = spark.createDataFrame([(*name, *t.row()) for name, t in trees.items()], f"tree int, node int, {forests.TREE_FIELDS}")
+    lists.write.mode("overwrite").parquet(f"{path}/subtrees")
+    assert sorted(values(ForestModel.load(spark, path), df)) == sorted(values(model, df))
+
+
 @pytest.mark.parametrize("random_cuts", [False, True])
 def test_wide_nodes_of_one_class_and_of_constant_features(spark, monkeypatch, random_cuts):
     monkeypatch.setattr(forests, "TASK_ROWS", 20)
