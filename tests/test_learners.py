@@ -8,7 +8,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from innlake.functions.scalars import rate_category
-from innlake.learners import adaboost, bayesian_ridge, boosting, indexed, knn, presets
+from innlake.learners import adaboost, bayesian_ridge, bins, boosting, forests, indexed, knn, presets
 from innlake.learners.boosting import BoostedModel
 from innlake.learners.scoring import predictions
 from innlake.learners.store import ModelStore, NoChampionError
@@ -299,3 +299,29 @@ def test_indexed_boosting_is_stored_and_refuses_missing_values(spark):
     for wrong in (F.lit(2), F.lit(None).cast("int")):
         with pytest.raises(ValueError, match="no class"):
             presets.classifier("gbt_indexed", columns, "gone", rounds=2).fit(df.withColumn("gone", wrong))
+
+
+def test_deep_adaboost_keeps_subtrees_out_of_the_driver(spark, monkeypatch):
+    """Rows missed are told by bits where trees are finished in tasks: weights are those of whole trees."""
+    monkeypatch.setattr(forests, "TASK_ROWS", 60)
+    rng = np.random.default_rng(11)
+    x = np.column_stack([rng.integers(0, 9, 500), rng.integers(0, 5, 500)]).astype(float)
+    label = ((x.sum(axis=1) + rng.integers(0, 3, 500)) % 4).astype(float)  # equal rows of several classes
+    df = spark.createDataFrame(np.column_stack([x, label]).tolist(), "a double, b double, y double").repartition(3)
+    model = adaboost.AdaBoost(["a", "b"], "y", 4, rounds=4, max_depth=presets.UNBOUNDED).fit(df)
+    rows = model.subtrees.collect()
+    assert len(rows) > 4 and {r["tree"] for r in rows} == set(range(len(model.tops)))
+    weights = np.ones(500)
+    for tree, alpha in zip(model.trees, model.alphas):
+        missed = tree.predict(bins.codes_of(x, model.edges)) != label
+        error = weights[missed].sum() / weights.sum()
+        assert alpha == pytest.approx(np.log((1 - error) / error) + np.log(3))
+        weights = weights * np.where(missed, np.exp(alpha), 1.0)
+    found = model.transform(df).toPandas()
+    assert np.array_equal(found["prediction"], model.predicted(found[["a", "b"]].to_numpy()))
+    monkeypatch.setattr(forests, "SHARED_NODES", 1)
+    path = scratch_path(spark, "deep")
+    model.save(path)
+    again = adaboost.AdaBoostModel.load(spark, path).transform(df).toPandas()
+    key = ["a", "b", "y", "prediction"]
+    assert sorted(map(tuple, again[key].to_numpy())) == sorted(map(tuple, found[key].to_numpy()))
