@@ -1,8 +1,4 @@
-"""Boosting on categories as indexes, cut by sets of levels.
-
-Steps follow the gradient of the loss, as in MLlib's boosted trees: the first tree is fitted to the labels (1 and -1
-for classes) and counts in full, the others to what the trees before leave, at the rate of the growth.
-"""
+"""Boosting on categories as indexes, cut by sets of levels, in steps along the gradient (see stepped.py)."""
 
 from __future__ import annotations
 
@@ -11,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innlake.learners.boosting import DEVIANCE, BoostedModel, BoostedTrees, Growth
+from innlake.learners.boosting import BoostedModel, BoostedTrees, Growth
+from innlake.learners.stepped import check_labels, given
 from innlake.schemas import ONE_HOT, VOCABULARY, indicator
 
 
@@ -27,19 +24,9 @@ def index(column: str) -> Column:
     return out
 
 
-def _missing(column: str) -> Column:
-    x = F.col(f"`{column}`").cast("double")
-    return x.isNull() | F.isnan(x)
-
-
-def _given(column: str) -> Column:
-    """The number; a missing one is an error."""
-    return F.when(_missing(column), F.raise_error(F.lit(f"missing value in {column}"))).otherwise(F.col(f"`{column}`"))
-
-
 def with_indexes(df: DataFrame, columns: list[str]) -> DataFrame:
     """df with each vocabulary's indicators folded into one column, and the columns' numbers checked."""
-    return df.withColumns({c: _given(c) for c in columns if c not in ONE_HOT} | {_named(c): index(c) for c in VOCABULARY})
+    return df.withColumns({c: given(c) for c in columns if c not in ONE_HOT} | {_named(c): index(c) for c in VOCABULARY})
 
 
 @dataclass
@@ -74,11 +61,7 @@ class IndexedTrees:
     def fit(self, df: DataFrame) -> IndexedModel:
         names = [_named(c) for c in VOCABULARY]
         numeric = [c for c in self.columns if c not in ONE_HOT]
-        wrong = _missing(self.label)
-        if self.growth.loss == DEVIANCE:
-            wrong |= ~F.col(f"`{self.label}`").isin(0, 1)
-        if not df.filter(wrong).isEmpty():
-            raise ValueError(f"labels in {self.label} that are missing or no class")
+        check_labels(df, self.label, self.growth)
         rows = with_indexes(df, numeric).select(*dict.fromkeys([*numeric, *names, self.label]))
         levels = {_named(c): len(VOCABULARY[c]) + 1 for c in VOCABULARY}
         return IndexedModel(numeric, BoostedTrees([*numeric, *names], self.label, self.growth, levels).fit(rows))

@@ -1,6 +1,7 @@
 """Named model presets over the feature tables.
 
-What MLlib ships are its pipelines. Trees without a depth bound, extra trees and
+Linear and logistic models are MLlib's pipelines. Trees without a depth bound, extra trees, boosted
+trees with MLlib's parameters and
 the boosting variants (leaf-wise, second-order, on ordered target means, on indexed
 categories, several classes at once) are this package's own estimators: fit(df) gives a model whose
 transform(df) adds `prediction`.
@@ -11,15 +12,16 @@ from __future__ import annotations
 import math
 
 from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 
 from innlake.learners.boosting import DEVIANCE, LOGISTIC, SOFTMAX, SQUARED, BoostedTrees, Growth
 from innlake.learners.forests import Forest, ForestSpec
 from innlake.learners.indexed import IndexedTrees
 from innlake.learners.ordered import OrderedTrees
+from innlake.learners.stepped import SteppedTrees, steps
 from innlake.schemas import ONE_HOT
 
 SEED = 42
@@ -47,6 +49,10 @@ def _loss(classes: int) -> dict:
     return {"loss": SQUARED} if not classes else {"loss": LOGISTIC} if classes == 2 else {"loss": SOFTMAX, "n_classes": classes}
 
 
+#: A first tree that is fitted to 1 and -1 counts in full.
+_CLASS_STEPS = {"loss": DEVIANCE, "first_rate": 0.5}
+
+
 def _boosted(name: str, columns: list[str], label: str, rounds: int, classes: int) -> BoostedTrees | IndexedTrees | OrderedTrees:
     """Published defaults of the variants."""
     base = {"rounds": rounds, "seed": SEED, **_loss(classes)}
@@ -57,8 +63,7 @@ def _boosted(name: str, columns: list[str], label: str, rounds: int, classes: in
     if name == "ordered":
         return OrderedTrees(columns, label, Growth(**base, max_depth=6, l2=3.0))
     if name == "gbt_indexed":
-        # MLlib's numbers: a step of 0.1 along slopes that are twice the residuals, and a first tree that counts in full.
-        own = {"loss": DEVIANCE, "first_rate": 0.5} if classes else {"rate": 0.2, "first_rate": 1.0}
+        own = _CLASS_STEPS if classes else steps(0.1)
         return IndexedTrees(columns, label, Growth(**{**base, **own}, max_depth=6, bins=32))
     depth = {"gbt_multiclass": 3, "gbt_deep": 5}[name]
     return BoostedTrees(columns, label, Growth(**base, max_depth=depth, min_hessian=1e-3))
@@ -67,33 +72,32 @@ def _boosted(name: str, columns: list[str], label: str, rounds: int, classes: in
 def regressor(
     name: str, columns: list[str], label: str, rounds: int = 100, trees: int = 100,
     forest_depth: int = UNBOUNDED,
-) -> Estimator | BoostedTrees | IndexedTrees | OrderedTrees | Forest:
+) -> Estimator | BoostedTrees | IndexedTrees | OrderedTrees | SteppedTrees | Forest:
     """Price models by name."""
     if name in ("leafwise", "second_order", "ordered", "gbt_indexed"):
         return _boosted(name, columns, label, rounds, 0)
     if name == "random_forest":
         return Forest(columns, label, ForestSpec(trees=trees, max_depth=forest_depth, seed=SEED))
     common = {"featuresCol": FEATURES, "labelCol": label}
-    boosted = {**common, "seed": SEED}
+    boosted = {"rounds": rounds, "seed": SEED}
     if name == "linear":
         return _plain(columns, LinearRegression(**common, solver="normal"))
     if name == "elastic_net":
         return _plain(columns, LinearRegression(
             **common, regParam=1.0, elasticNetParam=0.5, standardization=False))
     if name == "gbt":
-        return _plain(columns, GBTRegressor(**boosted, maxIter=rounds, maxDepth=3, stepSize=0.1))
+        return SteppedTrees(columns, label, Growth(**boosted, **steps(0.1), max_depth=3, bins=32))
     if name == "gbt_deep":
-        return _plain(columns, GBTRegressor(**boosted, maxIter=rounds, maxDepth=5, maxBins=255, stepSize=0.1))
+        return SteppedTrees(columns, label, Growth(**boosted, **steps(0.1), max_depth=5, bins=255))
     if name == "gbt_subsample":
-        return _plain(columns, GBTRegressor(
-            **boosted, maxIter=rounds, maxDepth=6, stepSize=0.3, subsamplingRate=0.8, minInfoGain=0.01))
+        return SteppedTrees(columns, label, Growth(**boosted, **steps(0.3, 0.01), max_depth=6, subsample=0.8, bins=32))
     raise KeyError(name)
 
 
 def classifier(
     name: str, columns: list[str], label: str, rounds: int = 100, trees: int = 100,
     forest_depth: int = UNBOUNDED, scaled: list[str] | None = None, classes: int = 2,
-) -> Estimator | BoostedTrees | IndexedTrees | OrderedTrees | Forest:
+) -> Estimator | BoostedTrees | IndexedTrees | OrderedTrees | SteppedTrees | Forest:
     """Cancellation and price-band models by name; labels are 0 to classes - 1.
 
     scaled: numeric columns to standardise inside the pipeline, so the scaler
@@ -107,7 +111,6 @@ def classifier(
             classes=classes, trees=1 if single else trees, features=0 if single else sqrt, bootstrap=name == "random_forest",
             random_cuts=name == "extra_trees", max_depth=forest_depth, seed=SEED))
     common = {"featuresCol": FEATURES, "labelCol": label}
-    seeded = {**common, "seed": SEED}
     if name == "logistic":
         # MLlib standardises internally and returns unscaled coefficients.
         return _plain(columns, LogisticRegression(**common, maxIter=100, family="auto"))
@@ -121,6 +124,6 @@ def classifier(
             LogisticRegression(**common, maxIter=100, standardization=False),
         ])
     if name == "gbt":
-        return _plain(columns, GBTClassifier(**seeded, maxIter=rounds, maxDepth=3, stepSize=0.1))
+        return SteppedTrees(columns, label, Growth(rounds=rounds, seed=SEED, **_CLASS_STEPS, max_depth=3, bins=32))
     raise KeyError(name)
 

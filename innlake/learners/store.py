@@ -16,9 +16,10 @@ from innlake.learners.forests import ForestModel
 from innlake.learners.indexed import IndexedModel
 from innlake.learners.knn import KnnModel
 from innlake.learners.ordered import OrderedModel
+from innlake.learners.stepped import SteppedModel
 
 OWN_KINDS = {"knn": KnnModel, "adaboost": AdaBoostModel, "formula": LinearFormula, "boosted": BoostedModel,
-             "forest": ForestModel, "ordered": OrderedModel, "indexed": IndexedModel}
+             "forest": ForestModel, "ordered": OrderedModel, "indexed": IndexedModel, "stepped": SteppedModel}
 
 POINTER = "name string, version int, candidate string, kind string, path string, metric double"
 
@@ -78,7 +79,8 @@ class ModelStore:
         row.coalesce(1).write.mode("append").parquet(self._pointers(name))
         return chosen
 
-    def load(self, name: str) -> PipelineModel | KnnModel | AdaBoostModel | LinearFormula | BoostedModel | ForestModel | OrderedModel | IndexedModel:
+    def load(self, name: str) -> (PipelineModel | KnnModel | AdaBoostModel | LinearFormula | BoostedModel | ForestModel | OrderedModel
+                                  | IndexedModel | SteppedModel):
         chosen = self.current(name)
         if chosen.kind in OWN_KINDS:
             return OWN_KINDS[chosen.kind].load(self.spark, chosen.path)

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -8,7 +10,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from innlake.functions.scalars import rate_category
-from innlake.learners import adaboost, bayesian_ridge, bins, boosting, forests, indexed, knn, presets
+from innlake.learners import adaboost, bayesian_ridge, bins, boosting, forests, indexed, knn, presets, stepped
 from innlake.learners.boosting import BoostedModel
 from innlake.learners.scoring import predictions
 from innlake.learners.store import ModelStore, NoChampionError
@@ -325,3 +327,42 @@ def test_deep_adaboost_keeps_subtrees_out_of_the_driver(spark, monkeypatch):
     again = adaboost.AdaBoostModel.load(spark, path).transform(df).toPandas()
     key = ["a", "b", "y", "prediction"]
     assert sorted(map(tuple, again[key].to_numpy())) == sorted(map(tuple, found[key].to_numpy()))
+
+
+@pytest.mark.parametrize("name, label, own", [
+    ("gbt", "rate", {"maxDepth": 3, "stepSize": 0.1}), ("gbt_deep", "rate", {"maxDepth": 5, "maxBins": 255, "stepSize": 0.1}),
+    ("gbt", "gone", {"maxDepth": 3, "stepSize": 0.1}), ("gbt_subsample", "rate", {"maxDepth": 6, "stepSize": 0.3, "minInfoGain": 2.0})])
+def test_stepped_boosting_equals_mllib(spark, name, label, own):
+    df, _, columns = _few_values(spark)
+    df = df.cache()
+    make, theirs = (presets.regressor, GBTRegressor) if label == "rate" else (presets.classifier, GBTClassifier)
+    trees = make(name, columns, label, rounds=4)
+    if name == "gbt_subsample":
+        assert trees.growth.subsample == 0.8 and trees.growth.min_row_gain == pytest.approx(0.01 / 8)
+        trees = replace(trees, growth=replace(trees.growth, subsample=1.0, **stepped.steps(0.3, 2.0)))
+    model = trees.fit(df)
+    assert isinstance(model, stepped.SteppedModel) and len(model.boosted.trees) == 4
+    fitted = Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features"),
+                              theirs(labelCol=label, maxIter=4, seed=42, **own)]).fit(df)
+    both = model.transform(fitted.transform(df).withColumnRenamed("prediction", "theirs")).select("theirs", "prediction").toPandas()
+    assert np.isclose(both["theirs"], both["prediction"]).mean() > 0.97  # equal gains are settled differently
+    if name == "gbt_subsample":
+        assert [len(t.feature) for grown in model.boosted.trees for t in grown] == [t.numNodes for t in fitted.stages[-1].trees]
+
+
+def test_stepped_boosting_is_stored_and_refuses_missing_values(spark):
+    df, _, columns = _few_values(spark, 300)
+    df = df.cache()
+    store = ModelStore(spark, scratch_path(spark, "stepped"))
+    model = presets.regressor("gbt_subsample", columns, "rate", rounds=2).fit(df)
+    store.promote("price", "gbt_subsample", model, 0.5)
+    found = [{r["Booking_ID"]: r["prediction"] for r in m.transform(df).collect()} for m in (model, store.load("price"))]
+    assert found[0] == found[1] and len(found[0]) == 300
+    holed = df.withColumn("adults", F.when(F.col("Booking_ID") != 7, F.col("adults")))
+    with pytest.raises(Exception, match="missing value in adults"):
+        presets.regressor("gbt", columns, "rate", rounds=2).fit(holed)
+    with pytest.raises(Exception, match="missing value in adults"):
+        model.transform(holed).collect()
+    for wrong in (F.lit(2), F.lit(None).cast("int")):
+        with pytest.raises(ValueError, match="no class"):
+            presets.classifier("gbt", columns, "gone", rounds=2).fit(df.withColumn("gone", wrong))
